@@ -3,19 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .line_rules import quality_rules
+from .packing import pack_documents
+from .token_counts import token_counts
+from .token_files import new_folder, read_token_files, write_token_files
+
+
+def tokenizer(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_table(spark, sf_dir, "documents"), tokenizer())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padding")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(_table(spark, sf_dir, "documents"), tokenizer())
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_token_files(_table(spark, sf_dir, "documents"), new_folder(spark), tokenizer())
+    rows = read_token_files(spark, manifest)
+    return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op4_token_counts": op4_token_counts,
+    "op7_token_files": op7_token_files,
     "op9_quality_rules": op9_quality_rules,
 }
 
