@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_rules import quality_rules
+from .near_dup import near_duplicates
 from .packing import pack_documents
 from .token_counts import token_counts
 from .token_files import new_folder, read_token_files, write_token_files
@@ -37,6 +38,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_token_counts": op4_token_counts,
     "op7_token_files": op7_token_files,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
 }
 
