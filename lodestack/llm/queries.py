@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contamination, hit_words
 from .line_rules import quality_rules
 from .near_dup import near_duplicates
 from .packing import pack_documents
@@ -27,6 +28,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padding")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hits = hit_words()
+    return found.select("doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(_table(spark, sf_dir, "documents"), tokenizer())
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -48,6 +55,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op7_token_files": op7_token_files,
     "op8_near_duplicates": op8_near_duplicates,

@@ -28,13 +28,16 @@ def coefficients(n: int, seed: int) -> np.ndarray:
         return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word in a row, words up to each text's end) of a large_string array without nulls."""
+def word_hashes(texts: pa.Array, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word in a row, words up to each text's end) of a large_string array without nulls.
+
+    ``blank`` tells of each byte whether it parts words.
+    """
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     cuts = offsets - offsets[0]
-    inside = ~_BLANK[raw]
+    inside = ~blank[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     at = cuts[:-1][cuts[:-1] < len(raw)]
