@@ -11,6 +11,7 @@ from .near_dup import near_duplicates
 from .packing import pack_documents
 from .token_counts import token_counts
 from .token_files import new_folder, read_token_files, write_token_files
+from .toxicity import held_out, toxicity_scores, train_toxicity
 
 
 def tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -39,6 +40,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, _table(spark, sf_dir, "labels").filter(~held_out()))
+    scores = toxicity_scores(docs, model)
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(_table(spark, sf_dir, "documents"), new_folder(spark), tokenizer())
     rows = read_token_files(spark, manifest)
@@ -57,6 +65,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
+    "op5_toxicity": op5_toxicity,
     "op7_token_files": op7_token_files,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,

@@ -33,6 +33,12 @@ def word_hashes(texts: pa.Array, blank: np.ndarray = _BLANK) -> tuple[np.ndarray
 
     ``blank`` tells of each byte whether it parts words.
     """
+    hashes, ends = prefix_hashes(texts, (), blank)
+    return hashes[0], ends
+
+
+def prefix_hashes(texts: pa.Array, prefixes: tuple[int, ...], blank: np.ndarray = _BLANK) -> tuple[list[np.ndarray], np.ndarray]:
+    """As ``word_hashes``, with the hashes of the words' first bytes besides, for each length of ``prefixes``."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
@@ -44,14 +50,19 @@ def word_hashes(texts: pa.Array, blank: np.ndarray = _BLANK) -> tuple[np.ndarray
     begins[at] = inside[at]
     first = np.flatnonzero(begins)
     if not len(first):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return [np.zeros(0, np.uint64)] * (1 + len(prefixes)), np.zeros(len(texts), np.int64)
     letters = _LOWER[raw[inside]]
     starts = np.cumsum(inside)[first] - 1
     lengths = np.diff(np.concatenate([starts, [len(letters)]]))
     place = np.arange(len(letters)) - np.repeat(starts, lengths)
     with np.errstate(over="ignore"):
-        sums = np.add.reduceat(letters * coefficients(int(lengths.max()), 11)[place], starts)
-        return mixed(sums + lengths.astype(np.uint64)), np.searchsorted(first, cuts[1:], side="left")
+        terms = letters * coefficients(int(lengths.max()), 11)[place]
+        found = [mixed(np.add.reduceat(terms, starts) + lengths.astype(np.uint64))]
+        for n in prefixes:
+            short = np.minimum(lengths, n)
+            sums = np.add.reduceat(terms[place < n], np.cumsum(short) - short)
+            found.append(mixed(sums + short.astype(np.uint64) + np.uint64(n << 32)))
+        return found, np.searchsorted(first, cuts[1:], side="left")
 
 
 def shingle_sets(texts: pa.Array, width: int = 5) -> list[np.ndarray]:
