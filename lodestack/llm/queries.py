@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import warc
+from .chat import VIEWS_SQL, perspective_views
 from .decontamination import contamination, hit_words
 from .line_rules import quality_rules
 from .near_dup import near_duplicates
@@ -24,6 +26,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = perspective_views(_table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("spans", lambda x: F.concat(x["start"].cast("string"), F.lit("+"), x["length"].cast("string"))), ",")
+    return views.select("conv_id", "segment", "speaker", "n_turns", "rendered", mask.alias("mask"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(_table(spark, sf_dir, "documents"), tokenizer())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padding")
@@ -61,7 +69,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    runs = warc.write_archives(_table(spark, sf_dir, "pages"), folder)
+    index = warc.read_index(warc.merge_index(spark, runs, folder))
+    return warc.read_records(index, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 QUERIES = {
+    "op1_chat_views": op1_chat_views,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
@@ -69,6 +85,9 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_chat_views": VIEWS_SQL,
+}

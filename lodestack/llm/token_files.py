@@ -166,11 +166,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 def _read_shards(batches):
     schema = pa.schema([("shard", pa.int32()), ("position", pa.int64()), ("id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
     for batch in batches:
-        for shard, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for shard, path, before in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             store, file = open_store(path)
             with store.open_input_file(file) as source:
                 reader = ShardReader(source)
-                starts = np.cumsum(reader.counts) - reader.counts
+                starts = before + np.cumsum(reader.counts) - reader.counts
                 rows, size = [], 0
                 for k, ids in reader.documents():
                     rows.append((shard, k, reader.ids[k], int(starts[k]), len(ids), ids.astype("<u4").tobytes()))
@@ -185,13 +185,13 @@ def _read_shards(batches):
 def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """(shard, position, id, start, n_tokens, ids): every document read back, its ids as little-endian unsigned 32-bit integers.
 
-    ``start`` counts the ids of all documents before it in all shards. Only the manifest's
-    few columns, a row per shard, are gathered to add up shards.
+    ``start`` counts the ids of all documents before it in all shards; the manifest's few
+    columns, a row per shard, are added up for that.
     """
     shards = max(1, manifest.count())
-    before = manifest.select("shard", F.coalesce(F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rows = manifest.select("shard", "path").repartitionByRange(shards, "shard").mapInArrow(_read_shards, "shard int, position long, id long, start long, n_tokens long, ids binary")
-    return rows.join(F.broadcast(before), "shard").withColumn("start", F.col("start") + F.col("before")).drop("before")
+    before = F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    placed = manifest.select("shard", "path", F.coalesce(before, F.lit(0)).alias("before"))
+    return placed.repartitionByRange(shards, "shard").mapInArrow(_read_shards, "shard int, position long, id long, start long, n_tokens long, ids binary")
 
 
 def new_folder(spark: SparkSession) -> str:
