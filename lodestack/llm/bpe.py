@@ -162,7 +162,8 @@ class PieceEncoder:
         p = Pieces(texts, self.specials)
         n = np.asarray([frequent.get(x, -1) for x in p.distinct], np.int64)
         miss = np.flatnonzero(n < 0)
-        n[miss] = self.lengths[self.slots_of([p.distinct[i] for i in miss])]
+        slots = self.slots_of([p.distinct[i] for i in miss])  # may replace self.lengths
+        n[miss] = self.lengths[slots]
         out = np.diff(np.concatenate([[0], np.cumsum(n[p.codes])])[np.concatenate([[0], p.ends])])
         for row, text in p.whole.items():
             out[row] = len(self.library.encode(text, add_special_tokens=False).ids)
