@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from . import warc
 from .chat import VIEWS_SQL, perspective_views
 from .decontamination import contamination, hit_words
+from .html_pages import labelled_pages
+from .html_text import extract_main_text, train_field
 from .line_rules import quality_rules
 from .near_dup import near_duplicates
 from .packing import pack_documents
@@ -55,6 +57,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_main_text(_table(spark, sf_dir, "pages"), train_field(labelled_pages()))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(_table(spark, sf_dir, "documents"), new_folder(spark), tokenizer())
     rows = read_token_files(spark, manifest)
@@ -82,6 +89,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op6_html_text": op6_html_text,
     "op7_token_files": op7_token_files,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
