@@ -126,17 +126,27 @@ def quality_rules(
     )
 
 
-def strip_frequent_lines(docs: DataFrame, max_texts: int = 100, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """``docs`` with the lines above the limit taken out of the text.
+def apply_quality_rules(
+    docs: DataFrame,
+    max_texts: int = 100,
+    min_left: float = 0.3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, without their lines above the limit.
 
     A text without such lines is returned as it is. The lines to take out are gathered per
-    text, at most as many as the text has.
+    text, at most as many as the text has; texts move once, to meet their verdicts.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
+    base = materialize(base_counts(docs, id_col, text_col, host_col), "line-rules-base")
     lines = line_rows(docs, text_col, host_col)
-    gone = lines.join(frequent_lines(lines, max_texts), "line_key").groupBy("content_key").agg(F.collect_set("line_key").alias("_gone"))
+    gone = lines.join(frequent_lines(lines, max_texts), "line_key").groupBy("content_key").agg(F.sum("words").alias("n"), F.collect_set("line_key").alias("_gone"))
+    totals = base.filter(~F.col("base_failed")).groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
+    kept = totals.join(gone, "content_key", "left").filter(1 - F.coalesce("n", F.lit(0)) / F.col("all_words") >= min_left).select(F.col("content_key").alias("_content_key"), "_gone")
+    rows = docs.withColumns({"_content_key": F.xxhash64(host, text), "_host": host}).join(kept, "_content_key")
     key = lambda line: F.xxhash64(F.col("_host"), F.array_join(words_of(F.lower(line)), " "))
-    rows = docs.withColumns({"_content_key": F.xxhash64(host, text), "_host": host}).join(gone.withColumnRenamed("content_key", "_content_key"), "_content_key", "left")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda line: ~F.array_contains("_gone", key(line))), "\n")
-    return rows.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)).select(*docs.columns)
+    left = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda line: ~F.array_contains("_gone", key(line))), "\n")
+    return rows.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)).select(*docs.columns)

@@ -181,6 +181,17 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row of each component, that with the least id, with its own columns; rows without id stay."""
+    kept = near_duplicates(docs, id_col=id_col, **options).filter("kept").select(id_col)
+    ids = kept.filter(F.col(id_col).isNotNull())
+    count, different = ids.agg(F.count("*"), F.count_distinct(id_col)).first()
+    named = docs.join(ids.distinct(), id_col, "left_semi").select(*docs.columns)
+    if count != different:
+        named = named.dropDuplicates([id_col])
+    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+
+
 def _with_node(text: DataFrame, width: int) -> DataFrame:
     return text.mapInArrow(partial(_node_of, width=width), f"id {text.schema['id'].dataType.simpleString()}, t string, node long")
 

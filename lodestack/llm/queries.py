@@ -35,7 +35,10 @@ def op1_chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack_documents(_table(spark, sf_dir, "documents"), tokenizer())
+    return packed_digest(pack_documents(_table(spark, sf_dir, "documents"), tokenizer()))
+
+
+def packed_digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padding")
 
 
