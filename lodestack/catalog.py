@@ -1,6 +1,682 @@
-"""All registered queries and their SQL twins."""
+"""All queries over the star-schema tables, each with SQL that gives the same rows.
+
+The tables stand in for filings and their rows: orders for filings, lineitems for trades,
+events for a feed, customers for known people. What a query computes is the operator's work.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import dates, money, similarity, text
+from .operators import forms, ingest, linking, quality, reports, versions
+from .sources import landed
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _lit_ts(x: str):
+    return F.lit(x).cast("timestamp")
+
+
+# ---------------------------------------------------------------- data quality
+
+
+@query("""
+WITH t AS (SELECT l.*, CAST(l_shipdate AS DATE) AS shipped, CAST(o_orderdate AS DATE) AS ordered FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey),
+a AS (SELECT count(*) AS total_transactions, count_if(l_returnflag <> 'N') AS ticker_linked, count_if(date_diff('day', ordered, shipped) > 45) AS late_filings,
+  count(date_diff('day', ordered, shipped)) AS late_filing_eligible,
+  count_if(l_extendedprice * l_discount > l_extendedprice * l_tax OR shipped < ordered OR shipped > DATE '2000-01-01' OR l_quantity - 10 <= 0) AS implausible_values FROM t),
+d AS (SELECT count(*) AS duplicate_groups FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)),
+b AS (SELECT count(*) AS broken_amendment_groups FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) <> 1))
+SELECT * FROM a, d, b
+""")
+def dq_metrics(spark, d):
+    line = table(spark, d, "lineitem")
+    t = line.join(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), line.l_orderkey == F.col("o_orderkey"))
+    shipped, ordered = F.to_date("l_shipdate"), F.to_date("o_orderdate")
+    days = F.datediff(shipped, ordered)
+    odd = quality.implausible(F.col("l_extendedprice") * F.col("l_discount"), F.col("l_extendedprice") * F.col("l_tax"), ordered, shipped, F.col("l_quantity") - 10, F.lit("9999-01-01").cast("date"))
+    totals = t.agg(
+        F.count("*").alias("total_transactions"), F.count_if(F.col("l_returnflag") != "N").alias("ticker_linked"), F.count_if(days > dates.LATE_AFTER_DAYS).alias("late_filings"),
+        F.count(days).alias("late_filing_eligible"), F.count_if(odd | (shipped > F.lit("2000-01-01").cast("date"))).alias("implausible_values"),
+    )
+    twins = quality.duplicate_groups(line, ["l_orderkey", "l_linenumber"]).agg(F.count("*").alias("duplicate_groups"))
+    broken = quality.broken_groups(line.withColumn("cur", F.col("l_linestatus") == "O"), ["l_partkey"], "cur").agg(F.count("*").alias("broken_amendment_groups"))
+    return totals.join(F.broadcast(twins), F.lit(True)).join(F.broadcast(broken), F.lit(True))
+
+
+@query("SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1")
+def duplicate_groups(spark, d):
+    return quality.duplicate_groups(table(spark, d, "events").select("user_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "event_type", "day"])
+
+
+@query("SELECT user_id, event_type, sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) AS n_current FROM events GROUP BY ALL HAVING sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) <> 1")
+def broken_currency_groups(spark, d):
+    return quality.broken_groups(table(spark, d, "events").withColumn("cur", F.col("event_id") % 3 == 0), ["user_id", "event_type"], "cur")
+
+
+@query("SELECT l_partkey, count(DISTINCT l_orderkey) AS n_filings FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_orderkey) > 1")
+def amended_ids(spark, d):
+    return versions.amended_ids(table(spark, d, "lineitem"), "l_partkey", "l_orderkey")
+
+
+@query("""
+SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 AS is_current,
+  first_value(o_orderkey) OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate, o_orderkey) AS oldest FROM orders
+""")
+def resolve_currency(spark, d):
+    return versions.resolve_currency(table(spark, d, "orders"), ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"]).select("o_orderkey", "is_current", "oldest")
+
+
+@query("""
+WITH f AS (SELECT o_orderkey AS fid, CAST(o_orderdate AS DATE) AS filed FROM orders),
+t AS (SELECT l_orderkey AS fid, row_index, sid FROM (SELECT l_orderkey, l_partkey AS sid, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) - 1 AS row_index FROM lineitem)),
+p AS (SELECT t.*, filed, row_number() OVER (PARTITION BY sid ORDER BY filed DESC, CAST(t.fid AS VARCHAR) DESC, row_index DESC) AS rk, first_value(CAST(t.fid AS VARCHAR)) OVER (PARTITION BY sid ORDER BY filed, CAST(t.fid AS VARCHAR), row_index) AS oldest
+  FROM t JOIN f USING (fid) WHERE sid IN (SELECT sid FROM t GROUP BY sid HAVING count(DISTINCT fid) > 1)),
+h AS (SELECT fid, min(oldest) AS o FROM p WHERE rk = 1 AND CAST(fid AS VARCHAR) <> oldest GROUP BY fid)
+SELECT CAST(t.fid AS VARCHAR) AS filing_id, CAST(t.row_index AS INTEGER) AS row_index, coalesce(p.rk = 1, true) AS is_current, h.o AS supersedes_filing_id
+FROM t LEFT JOIN p ON t.fid = p.fid AND t.row_index = p.row_index LEFT JOIN h ON t.fid = h.fid
+""")
+def link_amendments(spark, d):
+    from pyspark.sql import Window
+
+    orders, line = table(spark, d, "orders"), table(spark, d, "lineitem")
+    filings = orders.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.to_date("o_orderdate").alias("filed_date"), F.lit(None).cast("timestamp").alias("first_seen_at"), F.lit(None).cast("string").alias("supersedes_filing_id"))
+    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber")
+    rows = line.select(F.col("l_orderkey").cast("string").alias("filing_id"), (F.row_number().over(w) - 1).alias("row_index"), F.col("l_partkey").alias("source_transaction_id"), F.lit(True).alias("is_current"))
+    changed, linked = versions.link_amendments(filings, rows)
+    return changed.join(linked.select("filing_id", "supersedes_filing_id"), "filing_id").select("filing_id", "row_index", "is_current", "supersedes_filing_id")
+
+
+@query("""
+SELECT o_orderpriority, count_if(o_orderstatus = 'F') AS F, count_if(o_orderstatus = 'P') AS P, count_if(o_orderstatus = 'O') AS O,
+  CAST(count_if(o_orderstatus = 'F') AS DOUBLE) / nullif(count_if(o_orderstatus IN ('F', 'P')), 0) AS success_rate FROM orders GROUP BY 1
+""")
+def status_pivot(spark, d):
+    return quality.status_table(table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ["F", "P", "O"])
+
+
+@query("""
+SELECT n_name, count_if(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 45) AS n_late, count(l_shipdate) AS n_eligible,
+  CAST(count_if(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 45) AS DOUBLE) / count(l_shipdate) AS late_share
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+""")
+def late_share(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate").join(o, F.col("l_orderkey") == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return quality.late_share(rows, ["n_name"], F.to_date("l_shipdate"), F.to_date("o_orderdate"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice * l_discount > l_extendedprice * l_tax AS range_inverted, l_quantity - 3 < 0 AS negative_amount,
+  CAST(l_shipdate AS DATE) < CAST(o_orderdate AS DATE) AS notified_before_traded, CAST(o_orderdate AS DATE) > DATE '2000-06-01' AS traded_in_future, l_quantity - 10 <= 0 AS strike_not_positive
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+""")
+def plausibility_flags(spark, d):
+    t = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    e = F.col("l_extendedprice")
+    flags = quality.implausible_flags(e * F.col("l_discount"), e * F.col("l_tax"), F.to_date("o_orderdate"), F.to_date("l_shipdate"), F.col("l_quantity") - 10, F.lit("2000-06-01").cast("date"))
+    flags["negative_amount"] = F.col("l_quantity") - 3 < 0
+    return t.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *(v.alias(k) for k, v in flags.items()))
+
+
+@query("""
+WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS b FROM lineitem GROUP BY 1, 2),
+p AS (SELECT l_orderkey, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(b) AS BIGINT) AS n_blank, max(n) AS most_repeated FROM g GROUP BY 1)
+SELECT *, n_blank = 0 AS ok, n_blank > 0 OR n_rows > 20 OR most_repeated >= 3 OR n_rows <> 4 OR n_rows / 5 < 4.0 AS needs_review,
+  concat_ws('; ', CASE WHEN n_blank > 0 THEN 'blank description' END, CASE WHEN n_rows > 20 THEN 'many rows' END, CASE WHEN most_repeated >= 3 THEN 'repeated row' END,
+  CASE WHEN n_rows <> 4 THEN 'row count differs' END, CASE WHEN n_rows / 5 < 4.0 THEN 'few rows per page' END) AS reasons FROM p
+""")
+def extraction_check(spark, d):
+    rows = table(spark, d, "lineitem").withColumn("description", F.when(F.col("l_returnflag") == "R", " ").otherwise(F.col("l_returnflag")))
+    return quality.extraction_check(rows, "l_orderkey", "description", ["l_linenumber"], F.lit(4).cast("long"), F.lit(5).cast("long"))
+
+
+# ---------------------------------------------------------------- coverage and deduplication
+
+_SUBSET = "SELECT c_custkey FROM customer WHERE c_acctbal < 0"
+
+
+def _matched(spark, d):
+    return versions.coverage(table(spark, d, "events").select("event_id", "event_type", "user_id"), table(spark, d, "customer").filter("c_acctbal < 0"), "user_id", "c_custkey")
+
+
+@query(f"""
+WITH m AS (SELECT DISTINCT event_type, user_id, user_id IN ({_SUBSET}) AS hit FROM events)
+SELECT event_type, count_if(hit) AS matched, count_if(NOT hit) AS unmatched, CAST(count_if(hit) AS DOUBLE) / count(*) AS match_rate FROM m GROUP BY 1
+""")
+def survivorship(spark, d):
+    return versions.survivorship(_matched(spark, d), "event_type", "user_id")
+
+
+@query(f"""
+SELECT event_type, count_if(user_id IN ({_SUBSET})) AS before, count_if(user_id NOT IN ({_SUBSET}) AND user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 3000)) AS newly FROM events GROUP BY 1
+""")
+def rematch_unmatched(spark, d):
+    m = _matched(spark, d)
+    again = versions.rematch(m, table(spark, d, "customer").filter("c_acctbal < 3000"), "user_id", "c_custkey")
+    return again.groupBy("event_type").agg(F.count_if(F.col("matched_id").isNotNull() & ~F.col("newly")).alias("before"), F.count_if("newly").alias("newly"))
+
+
+@query("""
+SELECT event_id, sha256(concat_ws('|', CAST(user_id AS VARCHAR), event_type, CAST(CAST(ts AS DATE) AS VARCHAR), CASE WHEN event_id % 4 = 0 THEN '' ELSE CAST(CAST(value AS DECIMAL(18,1)) AS VARCHAR) END)) AS dedup_key FROM events
+""")
+def dedup_hash(spark, d):
+    value = versions.float_text(F.col("value"))
+    return table(spark, d, "events").select("event_id", versions.content_key(F.col("user_id"), F.col("event_type"), F.to_date("ts"), F.when(F.col("event_id") % 4 != 0, value)).alias("dedup_key"))
+
+
+@query("""
+WITH s AS (SELECT user_id, event_type FROM events WHERE event_id % 5 = 0)
+SELECT user_id, event_type, min(event_id) AS event_id FROM events WHERE (user_id, event_type) NOT IN (SELECT user_id, event_type FROM s) GROUP BY 1, 2
+""")
+def import_by_content(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_type", "event_id")
+    return versions.import_by_content(e.filter("event_id % 5 = 0"), e, ["user_id", "event_type"], "event_id")
+
+
+# ---------------------------------------------------------------- incremental writes
+
+
+@query("""
+SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rk FROM events) WHERE rk = 1 AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)
+""")
+def new_keys_anti(spark, d):
+    known = table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("user_id"))
+    return ingest.new_keys(table(spark, d, "events"), known, "user_id", "ts", "event_id").select("user_id", "event_id", "event_type")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 5)")
+def known_semi(spark, d):
+    parts = table(spark, d, "part").filter("p_size < 5")
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return line.join(parts, line.l_partkey == parts.p_partkey, "left_semi")
+
+
+@query("""
+SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN o.c_custkey IS NOT NULL THEN o.c_name ELSE n.c_name END AS c_name, coalesce(n.c_acctbal, o.c_acctbal) AS c_acctbal
+FROM (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0) o
+FULL JOIN (SELECT c_custkey, upper(c_name) AS c_name, round(c_acctbal * 2, 2) AS c_acctbal FROM customer WHERE c_custkey % 2 = 0) n ON o.c_custkey = n.c_custkey
+""")
+def upsert_customers(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    new = c.filter("c_custkey % 2 = 0").select("c_custkey", F.upper("c_name").alias("c_name"), F.round(F.col("c_acctbal") * 2, 2).alias("c_acctbal"))
+    return ingest.upsert(c.filter("c_custkey % 3 <> 0"), new, "c_custkey", keep=("c_name",))
+
+
+@query("""
+SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey % 5 <> 0
+UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 1 AND o_custkey % 5 = 0
+""")
+def full_replace(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    parents = table(spark, d, "customer").filter("c_custkey % 5 = 0").select(F.col("c_custkey").alias("o_custkey"))
+    return ingest.replace_children(o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 2 = 1"), parents, "o_custkey").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT event_type, count(*) AS object_count, CAST(sum(CAST(round(value) AS BIGINT)) AS BIGINT) AS total_bytes FROM events GROUP BY 1")
+def accumulate_usage(spark, d):
+    e = table(spark, d, "events").select("event_id", "event_type", F.round("value").cast("long").alias("total_bytes"), F.lit(1).cast("long").alias("object_count"))
+    base = e.filter("event_id % 2 = 0").groupBy("event_type").agg(F.sum("total_bytes").alias("total_bytes"), F.sum("object_count").alias("object_count"))
+    return ingest.accumulate(base, e.filter("event_id % 2 = 1"), "event_type", "total_bytes", "object_count")
+
+
+_ISSUES = "SELECT o_orderkey AS filing_id, o_orderpriority AS issue_type, CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS resolved_at FROM orders"
+
+
+def _issues(spark, d):
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("filing_id"), F.col("o_orderpriority").alias("issue_type"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")).alias("resolved_at"))
+
+
+@query(f"""
+WITH i AS ({_ISSUES}) SELECT DISTINCT l_orderkey AS filing_id, '1-URGENT' AS issue_type FROM lineitem
+WHERE l_returnflag = 'R' AND l_orderkey NOT IN (SELECT filing_id FROM i WHERE resolved_at IS NULL AND issue_type = '1-URGENT')
+""")
+def issues_open_once(spark, d):
+    found = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("filing_id"), F.lit("1-URGENT").alias("issue_type"))
+    return ingest.open_issues_once(_issues(spark, d), found, "filing_id")
+
+
+@query(f"""
+WITH i AS ({_ISSUES}) SELECT filing_id, issue_type, CASE WHEN resolved_at IS NULL AND filing_id IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A') THEN TIMESTAMP '2002-01-01' ELSE resolved_at END AS resolved_at FROM i
+""")
+def issues_resolve(spark, d):
+    solved = table(spark, d, "lineitem").filter("l_returnflag = 'A'").select(F.col("l_orderkey").alias("filing_id"))
+    return ingest.resolve_issues(_issues(spark, d), solved, "filing_id", _lit_ts("2002-01-01"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 2 <> 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders
+""")
+def field_fill(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    holes = o.select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("o_orderstatus"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    return ingest.fill_missing(holes, o.filter("o_orderkey % 2 = 0"), ["o_orderkey"], ["o_orderstatus", "o_orderpriority"])
+
+
+@query("""
+WITH k AS (SELECT p_brand, 'known-' || p_brand AS id FROM part WHERE p_size < 2 GROUP BY p_brand)
+SELECT * FROM k UNION ALL SELECT p_brand, sha256(p_brand) FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand NOT IN (SELECT p_brand FROM k))
+""")
+def lookup_or_create(spark, d):
+    p = table(spark, d, "part")
+    known = p.filter("p_size < 2").select("p_brand", F.concat(F.lit("known-"), "p_brand").alias("id")).distinct()
+    return ingest.lookup_or_create(known, p, "p_brand", "id")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45) THEN 'parsed' WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 30) THEN 'failed' ELSE o_orderstatus END AS parse_status FROM orders
+""")
+def parse_outcomes(spark, d):
+    line = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    filings = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("parse_status"))
+    return ingest.outcomes(filings, line.filter("l_quantity > 45"), line.filter("l_quantity > 30"), "o_orderkey")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, event_type FROM events WHERE event_id % 2 = 1 AND event_type <> 'error'")
+def concat_feeds(spark, d):
+    e = table(spark, d, "events").select("event_id", "event_type")
+    errors = e.filter("event_type = 'error'")
+    return e.filter("event_id % 2 = 0").unionByName(e.filter("event_id % 2 = 1").exceptAll(errors.filter("event_id % 2 = 1")))
+
+
+# ---------------------------------------------------------------- queues and order
+
+
+@query("""
+SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P' ORDER BY CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 48) THEN 1 ELSE 0 END,
+ CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END, o_orderkey LIMIT 50
+""")
+def priority_topk(spark, d):
+    pending = table(spark, d, "orders").filter("o_orderstatus = 'P'").select("o_orderkey", "o_orderpriority")
+    flagged = table(spark, d, "lineitem").filter("l_quantity > 48").select(F.col("l_orderkey").alias("o_orderkey"))
+    tier = F.when(F.col("o_orderpriority") == "1-URGENT", 0).when(F.col("o_orderpriority") == "2-HIGH", 1).otherwise(2)
+    return ingest.flagged_first(pending, flagged, "o_orderkey", 50, tier, "o_orderkey")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 97 <> 0 THEN o_orderdate END AS filed FROM orders ORDER BY filed DESC NULLS FIRST, o_orderkey LIMIT 300")
+def nulls_first_topk(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderdate")).alias("filed")).orderBy(F.col("filed").desc_nulls_first(), "o_orderkey").limit(300)
+
+
+@query("""
+SELECT c_custkey, c_mktsegment, rank, remainder FROM (SELECT *, CAST(row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS INTEGER) AS rank, greatest(count(*) OVER (PARTITION BY c_mktsegment) - 15, 0) AS remainder FROM customer) WHERE rank <= 15
+""")
+def cap_and_remainder(spark, d):
+    return reports.cap_and_remainder(table(spark, d, "customer"), "c_mktsegment", reports.SHOWN_LINES, F.desc("c_acctbal"), "c_custkey").select("c_custkey", "c_mktsegment", "rank", "remainder")
+
+
+# ---------------------------------------------------------------- joins and links
+
+
+@query("""
+WITH t AS (SELECT o_custkey AS cust, CAST(min(o_orderdate) AS DATE) AS start_date, CASE WHEN o_custkey % 7 <> 0 THEN CAST(max(o_orderdate) AS DATE) END AS end_date FROM orders GROUP BY 1),
+f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey AS cust, CAST(l_shipdate AS DATE) AS as_of FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT f.*, start_date, end_date FROM f JOIN t ON f.cust = t.cust AND start_date <= as_of AND (end_date IS NULL OR end_date >= as_of)
+""")
+def active_term_join(spark, d):
+    o = table(spark, d, "orders")
+    terms = o.groupBy(F.col("o_custkey").alias("cust")).agg(F.to_date(F.min("o_orderdate")).alias("start_date"), F.to_date(F.max("o_orderdate")).alias("m"))
+    terms = terms.select("cust", "start_date", F.when(F.col("cust") % 7 != 0, F.col("m")).alias("end_date"))
+    facts = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_custkey").alias("cust"), F.to_date("l_shipdate").alias("as_of"))
+    return linking.active_terms(facts, terms, "cust", "as_of")
+
+
+@query("""
+WITH r AS (SELECT p_partkey AS row_id, CASE WHEN p_size % 4 = 0 THEN NULL ELSE upper(p_brand) END AS tick, p_type AS descr FROM part),
+co AS (SELECT upper(p_brand) AS tick, lpad(CAST(max(p_size) AS VARCHAR), 10, '0') AS cik FROM part WHERE p_brand < 'Brand#2' GROUP BY 1)
+SELECT row_id,
+ CASE WHEN r.tick = 'BRAND#3' THEN NULL WHEN co.tick IS NOT NULL THEN r.tick WHEN descr = 'ECONOMY' THEN 'ECON' END AS ticker,
+ CASE WHEN r.tick = 'BRAND#3' THEN NULL WHEN co.tick IS NOT NULL THEN co.cik WHEN descr = 'ECONOMY' THEN '0000000001' END AS cik,
+ CASE WHEN r.tick = 'BRAND#3' THEN 'override' WHEN co.tick IS NOT NULL THEN 'ticker' WHEN descr = 'ECONOMY' THEN 'override' ELSE 'unmatched' END AS method
+FROM r LEFT JOIN co ON r.tick = co.tick
+""")
+def override_cascade(spark, d):
+    p = table(spark, d, "part")
+    rows = p.select(F.col("p_partkey").alias("row_id"), F.when(F.col("p_size") % 4 != 0, F.col("p_brand")).alias("ticker"), F.col("p_type").alias("description"))
+    companies = p.filter("p_brand < 'Brand#2'").groupBy(F.col("p_brand").alias("ticker")).agg(text.zero_padded(F.max("p_size").cast("string")).alias("cik")).withColumn("title", F.concat(F.lit("zzqx "), "ticker"))
+    fixed = spark.createDataFrame([("ticker", "BRAND#3", None, None), ("description", "ECONOMY", "ECON", "0000000001")], "match_type string, match_value string, ticker string, cik string")
+    return linking.link_securities(rows, companies, fixed)
+
+
+@query("""
+SELECT c_nationkey, CASE WHEN n > 3 THEN array_to_string(list_slice(labels, 1, 3), ', ') || ', +' || CAST(n - 3 AS VARCHAR) || ' more' ELSE array_to_string(labels, ', ') END AS members
+FROM (SELECT c_nationkey, list_sort(list(s_name)) AS labels, count(*) AS n FROM (SELECT DISTINCT c_nationkey FROM customer) JOIN supplier ON c_nationkey = s_nationkey GROUP BY 1)
+""")
+def members_list(spark, d):
+    members = table(spark, d, "customer").select("c_nationkey").distinct().withColumn("g", F.col("c_nationkey"))
+    groups = table(spark, d, "supplier").select(F.col("s_nationkey").alias("g"), "s_name")
+    lists = reports.member_lists(members, groups, "c_nationkey", "g", F.col("s_name"))
+    return lists.select("c_nationkey", reports.first_and_more(F.col("labels"), reports.SHOWN_COMMITTEES).alias("members"))
+
+
+_LCS = """
+WITH RECURSIVE p AS (SELECT DISTINCT p_name AS full_name FROM part),
+v AS (SELECT full_name AS raw, array_to_string(list_reverse(string_split(full_name, ' ')), ' ') || 'x' AS variant FROM p),
+s AS (SELECT DISTINCT variant, array_to_string(list_sort(string_split(variant, ' ')), ' ') AS a, full_name, array_to_string(list_sort(string_split(full_name, ' ')), ' ') AS b FROM v, p),
+g AS (SELECT variant, full_name, a, b, 0 AS i, list_transform(range(length(b) + 1), lambda z: 0::bigint) AS prev FROM s
+ UNION ALL SELECT variant, full_name, a, b, i + 1, list_reduce(list_transform(range(1, length(b) + 1), lambda j: [CASE WHEN substr(a, i + 1, 1) = substr(b, j, 1) THEN prev[j] + 1 ELSE prev[j + 1] END]), lambda acc, x: list_append(acc, greatest(acc[-1], x[1])), [0::bigint]) FROM g WHERE i < length(a)),
+r AS (SELECT variant, full_name, round(200.0 * max(prev[-1]) / (length(a) + length(b)), 4) AS score FROM g GROUP BY variant, full_name, a, b),
+k AS (SELECT *, row_number() OVER w AS rk, lead(score) OVER w AS second FROM r WINDOW w AS (PARTITION BY variant ORDER BY score DESC, full_name))
+SELECT variant, full_name, score, second, CASE WHEN score < 80 THEN 'unmatched' WHEN score < 92 AND score - second < 5 THEN 'ambiguous' ELSE 'fuzzy' END AS method FROM k WHERE rk = 1
+"""
+
+
+def _variants(spark, d):
+    names = table(spark, d, "part").select(F.col("p_name").alias("full_name")).distinct()
+    variants = names.select(F.concat(F.array_join(F.reverse(F.split("full_name", " ")), " "), F.lit("x")).alias("variant")).distinct()
+    # both sides are the few different names of a dictionary, not rows
+    return variants.join(names, F.lit(True))
+
+
+@query(_LCS)
+def token_sort_match(spark, d):
+    scored = _variants(spark, d).withColumn("score", similarity.score(similarity.sorted_tokens("variant"), similarity.sorted_tokens("full_name")))
+    best = linking.two_best(scored, "variant", "score", "full_name")
+    return best.select("variant", "full_name", "score", "second", similarity.person_decision(F.col("score"), F.col("second")).alias("method"))
+
+
+@query(_LCS)
+def token_sort_native(spark, d):
+    scored = _variants(spark, d).withColumn("score", similarity.native_score(similarity.sorted_tokens("variant"), similarity.sorted_tokens("full_name")))
+    best = linking.two_best(scored, "variant", "score", "full_name")
+    return best.select("variant", "full_name", "score", "second", similarity.person_decision(F.col("score"), F.col("second")).alias("method"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, 'C' || (o_custkey % 10) AS bioguide_id, 'fuzzy' AS method, 100.0::DOUBLE AS score FROM orders WHERE o_orderkey % 10 <> 0 UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'OVER', 'override', 100.0 FROM orders WHERE o_orderkey % 10 = 0")
+def link_people(spark, d):
+    o = table(spark, d, "orders")
+    names = ["amber quill", "boris vantage", "clara wintergreen", "dmitri jokula", "estelle fogarty", "fennimore park", "greta hyssop", "hugo ziegler", "imogen kastl", "jasper nwosu"]
+    listed = F.element_at(F.array(*(F.lit(n) for n in names)), (F.col("o_custkey") % 10 + 1).cast("int"))
+    filings = o.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.lit("house").alias("chamber"), F.when(F.col("o_orderkey") % 10 == 0, "Hon. Misfiled Name").otherwise(F.concat(F.lit("Hon. "), F.initcap(listed), F.lit(", Jr."))).alias("filer_name"), F.to_date("o_orderdate").alias("as_of"))
+    people = spark.createDataFrame([(f"C{i}", n.title()) for i, n in enumerate(names)], "bioguide_id string, full_name string")
+    terms = people.select("bioguide_id", F.lit("house").alias("chamber"), F.lit("1990-01-01").cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date"))
+    fixed = spark.createDataFrame([("house", "misfiled name", "OVER")], "chamber string, filer_name string, bioguide_id string")
+    return linking.link_people(filings, terms, people, fixed)
+
+
+# ---------------------------------------------------------------- scalar functions
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(floor(o_totalprice) AS DOUBLE) END AS low, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 THEN NULL ELSE CAST(floor(o_totalprice) * 2 AS DOUBLE) END AS high FROM orders
+""")
+def parse_amounts(spark, d):
+    lo = F.floor("o_totalprice")
+    raw = F.when(F.col("o_orderkey") % 7 == 0, "Undetermined").when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("Over "), money.whole_dollars(lo))).otherwise(F.concat(F.lit(" "), money.whole_dollars(lo), F.lit(" - "), money.whole_dollars(lo * 2)))
+    r = table(spark, d, "orders").select("o_orderkey", money.amount_range(raw).alias("r"))
+    return r.select("o_orderkey", "r.low", "r.high")
+
+
+@query("SELECT c_custkey, lower(replace(c_name, '#', ' ')) || ' ' || n_name_l AS name FROM (SELECT c_custkey, c_name, lower(n_name) AS n_name_l FROM customer JOIN nation ON c_nationkey = n_nationkey)")
+def normalize_names(spark, d):
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    raw = F.concat(F.lit("  Hon. "), F.replace("c_name", F.lit("#"), F.lit(",")), F.lit(" \t"), F.col("n_name"), F.lit(" Jr."))
+    return c.select("c_custkey", text.person_name(raw).alias("name"))
+
+
+@query("SELECT p_partkey, lower(p_name) AS name FROM part")
+def normalize_company(spark, d):
+    raw = F.concat(F.lit("ABC - "), F.initcap("p_name"), F.lit(" Inc. (NYSE: XYZ) Common  Stock [ST]"))
+    return table(spark, d, "part").select("p_partkey", text.company_name(raw).alias("name"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag, CASE l_returnflag WHEN 'A' THEN 'purchase' WHEN 'R' THEN 'sale_full' END AS trade FROM lineitem")
+def code_maps(spark, d):
+    flag = F.when(F.col("l_returnflag") == "N", " -- ").otherwise(F.concat(F.lit("\t"), "l_returnflag", F.lit(" ")))
+    code = F.translate("l_returnflag", "ARN", "PSX")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.dash_to_null(flag).alias("flag"), text.code_name(code, text.TRADE_CODES).alias("trade"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'T' || p_size WHEN 2 THEN 'T' || p_size END AS ticker, CASE p_partkey % 3 WHEN 0 THEN 'ST' WHEN 1 THEN 'GS' END AS kind FROM part")
+def suffix_extract(spark, d):
+    t = F.concat(F.lit(" (t"), F.col("p_size").cast("string"), F.lit(")"))
+    raw = F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, F.concat(t, F.lit(" [sT]"))).when(F.col("p_partkey") % 3 == 1, " [GS] ").otherwise(t))
+    return table(spark, d, "part").select("p_partkey", text.suffix_ticker(raw).alias("ticker"), text.suffix_type(raw).alias("kind"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'call' ELSE 'put' END AS option_type, CASE WHEN p_partkey % 3 < 2 THEN CAST(1000 + p_size AS DOUBLE) END AS strike, CASE WHEN p_partkey % 3 < 2 THEN DATE '2026-06-18' END AS expiry FROM part")
+def option_details(spark, d):
+    side = F.when(F.col("p_partkey") % 3 == 0, "Call").otherwise("PUT")
+    full = F.concat(F.lit("Bought 5 "), side, F.lit(" options; strike  price $1,0"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit(".00 and expires 06/18/2026"))
+    r = table(spark, d, "part").select("p_partkey", text.option_details(F.when(F.col("p_partkey") % 3 < 2, full).otherwise("wrote puts at 3.2")).alias("r"))
+    return r.select("p_partkey", "r.option_type", "r.strike", "r.expiry")
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'clean' WHEN 1 THEN 'risky' ELSE 'unknown' END AS tier FROM orders")
+def series_classifier(spark, d):
+    six = F.lpad((F.col("o_orderkey") % 1_000_000).cast("string"), 6, "0")
+    number = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("house:20"), six)).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("9"), six)).otherwise(F.concat(F.lit("house:7"), six))
+    return table(spark, d, "orders").select("o_orderkey", text.series_tier(number).alias("tier"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS us, CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) END AS iso FROM orders")
+def lenient_dates(spark, d):
+    us = F.when(F.col("o_orderkey") % 11 == 0, "13/45/x").otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
+    iso = F.when(F.col("o_orderkey") % 13 == 0, " ").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return table(spark, d, "orders").select("o_orderkey", dates.form_date(us).alias("us"), dates.iso_date(iso).alias("iso"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 5 = 0 THEN TIMESTAMP '2002-02-02 10:00:00' ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS first_seen_at,
+ CASE WHEN o_orderkey % 2 = 0 THEN 300 WHEN o_orderkey % 5 = 0 THEN 315360000 ELSE 86400 END AS precision_s FROM orders
+""")
+def first_seen_policy(spark, d):
+    filed = F.when(F.col("o_orderkey") % 5 != 0, F.to_date("o_orderdate"))
+    r = table(spark, d, "orders").select("o_orderkey", dates.first_seen(filed, _lit_ts("2002-02-02 10:00:00"), F.col("o_orderkey") % 2 == 0).alias("r"))
+    return r.select("o_orderkey", "r.first_seen_at", "r.precision_s")
+
+
+@query("""
+SELECT o_orderkey, 'house:' || o_orderkey AS filing_id, CASE WHEN o_orderstatus = 'P' THEN 'ptr-pdfs' ELSE 'financial-pdfs' END || '/' || year(o_orderdate) || '/' || o_orderkey || '.pdf' AS path,
+ CASE WHEN o_orderkey % 2 = 0 THEN 'Hon. ' ELSE '' END || c_name AS filer, year(o_orderdate) AS key_year FROM orders JOIN customer ON o_custkey = c_custkey
+""")
+def urls_and_names(spark, d):
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    path = landed.document_path(F.col("o_orderstatus"), F.year("o_orderdate"), F.col("o_orderkey").cast("string"))
+    filer = text.filer_name(F.when(F.col("o_orderkey") % 2 == 0, "Hon. ").otherwise(" "), F.lit(None).cast("string"), F.col("c_name"), F.lit(""))
+    return rows.select("o_orderkey", F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), path.alias("path"), filer.alias("filer"), F.split_part(path, F.lit("/"), F.lit(2)).cast("long").alias("key_year"))
+
+
+@query("SELECT o_orderkey, t.attempt, year(o_orderdate) + CASE t.attempt WHEN 1 THEN -1 WHEN 2 THEN 1 ELSE 0 END AS try_year FROM orders, (VALUES (0), (1), (2)) t(attempt)")
+def candidate_years(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").cast("long").alias("year"))
+    return landed.candidate_years(rows).select("o_orderkey", "attempt", "try_year")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_map_values(spark, d):
+    return table(spark, d, "events").select("event_id", F.explode(F.map_values(F.from_json("props", "map<string,bigint>"))).alias("k"))
+
+
+@query("SELECT lpad(CAST(c_custkey + 1 AS VARCHAR), 10, '0') AS cik, upper(c_mktsegment) AS ticker, c_name AS title FROM customer WHERE c_custkey % 4 <> 0")
+def company_json(spark, d):
+    entry = F.struct(F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") + 1).alias("cik_str"), F.lower("c_mktsegment").alias("ticker"), F.col("c_name").alias("title"))
+    texts = table(spark, d, "customer").select(F.concat(F.lit('{"0": '), F.to_json(entry), F.lit("}")).alias("value"))
+    return landed.company_rows(texts)
+
+
+@query("SELECT 'house:' || o_orderkey AS filing_id, CAST(o_orderkey AS VARCHAR) AS doc_id, 'Hon. ' || c_name AS filer_name, o_orderstatus AS filing_type, year(o_orderdate)::INT AS year, CAST(o_orderdate AS DATE) AS filed_date FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 <> 0")
+def xml_members(spark, d):
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    doc = F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderkey").cast("string")).otherwise("")
+    xml = F.concat(F.lit("<Member><Prefix> Hon. </Prefix><Last>"), "c_name", F.lit("</Last><First/><Suffix></Suffix><FilingType>"), "o_orderstatus", F.lit("</FilingType><StateDst>XX01</StateDst><Year>"), F.year("o_orderdate").cast("string"), F.lit("</Year><FilingDate>"), F.date_format("o_orderdate", "M/d/yyyy"), F.lit("</FilingDate><DocID>"), doc, F.lit("</DocID></Member>"))
+    members = rows.select(F.from_xml(xml, landed.MEMBER).alias("m")).select("m.*")
+    return landed.index_rows(members).drop("state_district")
+
+
+@query(r"""
+SELECT 'senate:' || u AS filing_id, c_name AS filer_name, o_orderkey % 2 = 0 AS is_electronic, CASE WHEN o_orderkey % 3 = 0 THEN 'Amendment 1' ELSE '' END AS amendment, CAST(o_orderdate AS DATE) AS filed_date
+FROM (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '-0000-0000-0000-000000000000' AS u FROM orders JOIN customer ON o_custkey = c_custkey) WHERE o_orderkey % 5 <> 0
+""")
+def search_rows(spark, d):
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    uuid = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit("-0000-0000-0000-000000000000"))
+    kind = F.when(F.col("o_orderkey") % 5 == 0, "other").when(F.col("o_orderkey") % 2 == 0, "ptr").otherwise("paper")
+    link = F.concat(F.lit('<a href="/search/view/'), kind, F.lit("/"), uuid, F.lit('/">Report</a>'), F.when(F.col("o_orderkey") % 3 == 0, " (Amendment 1)").otherwise(""))
+    return landed.search_rows(rows.select(F.array(F.concat("c_name", F.lit(" ")), F.lit(""), F.lit("office"), link, F.date_format("o_orderdate", "MM/dd/yyyy")).alias("r")))
+
+
+@query("SELECT page_id, unnest(list_distinct(regexp_extract_all(html, '<li><a href=\"([^\"]*)\">', 1))) AS target FROM pages")
+def html_rows(spark, d):
+    return table(spark, d, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)">'), 1))).alias("target"))
+
+
+@query("""
+SELECT l_orderkey AS filing_id, CAST(0 AS INTEGER) AS row_index, CASE l_returnflag WHEN 'A' THEN 'spouse' WHEN 'R' THEN 'child' END AS owner, CASE WHEN l_linenumber <> 1 THEN 'T' || l_partkey END AS ticker,
+ CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_quantity AS DOUBLE) AS amount_min, CAST(l_quantity + 1 AS DOUBLE) AS amount_max, CAST(l_shipdate AS DATE) AS tx_date
+FROM lineitem WHERE l_suppkey % 10 = 1
+""")
+def html_report_rows(spark, d):
+    line = table(spark, d, "lineitem").filter("l_suppkey % 10 = 1")
+    q = F.col("l_quantity").cast("int")
+    cells = ["1", F.date_format("l_shipdate", "MM/dd/yyyy"), F.translate("l_returnflag", "A", "S"), F.when(F.col("l_linenumber") == 1, "--").otherwise(F.concat(F.lit("T"), F.col("l_partkey").cast("string"))), "Asset Option Type: x", "Stock",
+             F.when(F.col("l_linestatus") == "O", "Purchase").otherwise("Sale (Partial)"), F.concat(F.lit("$"), q.cast("string"), F.lit(" - $"), (q + 1).cast("string")), "--"]
+    cells[2] = F.when(F.col("l_returnflag") == "A", "Spouse").when(F.col("l_returnflag") == "R", "Dependent Child").otherwise("Child")
+    html = F.concat(F.lit("<table><thead><tr><th>#</th></tr></thead><tbody><tr>"), *(F.concat(F.lit("<td> "), F.lit(c) if isinstance(c, str) else c, F.lit("</td>")) for c in cells), F.lit("</tr><tr><td>short</td></tr></tbody></table>"))
+    rows = landed.report_rows(line.select(F.col("l_orderkey").alias("filing_id"), html.alias("html")))
+    return rows.select("filing_id", "row_index", "owner", "ticker", "tx_type", "amount_min", "amount_max", "tx_date")
+
+
+@query("""
+SELECT 'house:' || o_orderkey AS filing_id, CAST(o_orderkey AS INTEGER) AS row_index, CASE WHEN o_orderkey % 3 = 0 THEN 'joint' END AS owner, 'ABC' AS ticker, CASE WHEN o_orderkey % 4 <> 0 THEN 'purchase' END AS tx_type,
+ CASE WHEN o_orderkey % 2 = 0 THEN 1001.0::DOUBLE ELSE 50000000.0::DOUBLE END AS amount_min, CASE WHEN o_orderkey % 2 = 0 THEN 15000.0::DOUBLE END AS amount_max FROM orders
+""")
+def transcribed_rows(spark, d):
+    o = table(spark, d, "orders")
+    key = F.col("o_orderkey").cast("string")
+    raw = o.select(
+        key.alias("doc_id"), F.lit("1").alias("page"), key.alias("row"), F.when(F.col("o_orderkey") % 3 == 0, "joint").otherwise("nobody").alias("owner"), F.lit("Some Company (abc)").alias("asset_name"), F.lit(" ").alias("ticker"),
+        F.when(F.col("o_orderkey") % 4 != 0, "purchase").otherwise("").alias("tx_type"), F.lit("2020-01-01").alias("tx_date"), F.lit("").alias("notification_date"), F.when(F.col("o_orderkey") % 2 == 0, "a").otherwise("J").alias("amount_band"),
+        *(F.lit("").alias(c) for c in ("k_flag", "confidence", "review", "note")),
+    )
+    return landed.transcribed_rows(raw).select("filing_id", "row_index", "owner", "ticker", "tx_type", "amount_min", "amount_max")
+
+
+# ---------------------------------------------------------------- forms
+
+
+def _form_words(spark, d):
+    """A page of positioned words per order: a header row and a row per line of the order."""
+    header = [("Owner", 60.0), ("Asset", 105.0), ("Transaction", 262.0), ("Date", 330.0), ("Notification", 385.0), ("Amount", 450.0), ("Cap.", 527.0)]
+    heads = F.array(*(F.struct(F.lit(t).alias("text"), F.lit(x).alias("x0"), F.lit(10.0).alias("top")) for t, x in header))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber")
+    rows = table(spark, d, "lineitem").filter("l_suppkey % 5 = 0").withColumn("i", F.row_number().over(w))
+    y = F.col("i") * 20.0 + 10.0
+    q = F.col("l_quantity").cast("int").cast("string")
+    word = lambda t, x, dy=0.0: F.struct((t if not isinstance(t, str) else F.lit(t)).alias("text"), F.lit(x).alias("x0"), (y + dy).alias("top"))
+    shipped = F.date_format("l_shipdate", "M/d/yyyy")
+    line = F.array(word(F.when(F.col("l_returnflag") == "A", "SP").otherwise("x"), 61.0), word("Part", 106.0, 1.0), word(F.col("l_partkey").cast("string"), 130.0), word(F.when(F.col("l_linestatus") == "O", "p").otherwise("S"), 262.5), word("(partial)", 290.0), word(shipped, 331.0), word(shipped, 386.0), word(F.concat(F.lit("$"), q), 451.0), word("-", 470.0), word("$100", 451.0, 8.0), word("(ABC)", 106.0, 8.0), word("[ST]", 150.0, 8.0))
+    words = rows.select("l_orderkey", F.explode(line).alias("w")).unionByName(rows.select("l_orderkey").distinct().select("l_orderkey", F.explode(heads).alias("w")))
+    return words.select(F.col("l_orderkey").cast("string").alias("filing_id"), F.lit(0).alias("page"), "w.text", "w.x0", "w.top")
+
+
+@query("""
+SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) - 1 AS row_index, CASE WHEN l_returnflag = 'A' THEN 'spouse' ELSE 'self' END AS owner,
+ 'Part ' || l_partkey || ' (ABC) [ST]' AS asset_description_raw, 'ABC' AS ticker, 'ST' AS asset_type, CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_shipdate AS DATE) AS tx_date,
+ CAST(l_shipdate AS DATE) AS notification_date, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, 100.0::DOUBLE AS amount_max FROM lineitem WHERE l_suppkey % 5 = 0
+""")
+def trade_form(spark, d):
+    return forms.trade_form(_form_words(spark, d)).select("filing_id", "row_index", "owner", "asset_description_raw", "ticker", "asset_type", "tx_type", "tx_date", "notification_date", "amount_min", "amount_max")
+
+
+@query("""
+SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, 2 * count(*) + 1 AS n_lines, 12 * count(*) + 7 AS n_words, true AS electronic FROM lineitem WHERE l_suppkey % 5 = 0 GROUP BY 1
+""")
+def word_lines(spark, d):
+    words = _form_words(spark, d)
+    lines = forms.lines_of(words).groupBy("filing_id").agg(F.count("*").alias("n_lines"), F.sum(F.size("words")).alias("n_words"))
+    return lines.join(forms.is_electronic(words), "filing_id")
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CAST(0 AS INTEGER) AS row_index, 'joint' AS owner, 'Fund ' || o_custkey || ' rest (FND) [MF]' AS asset_description_raw, 'FND' AS ticker, 'MF' AS asset_type, '$1,001 - $15,000' AS value_raw, 1001.0::DOUBLE AS value_min, 15000.0::DOUBLE AS value_max, 'Dividends' AS income_type, '$1 - $200' AS income_raw FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, 'self', 'Second', NULL, NULL, 'None', NULL, NULL, NULL, NULL FROM orders
+""")
+def holdings_form(spark, d):
+    o = table(spark, d, "orders")
+    word = lambda t, x, y: F.struct((F.lit(t) if isinstance(t, str) else t).alias("text"), F.lit(x).alias("x0"), F.lit(y).alias("top"))
+    page = [word("ScHeDule", 20.0, 5.0), word("a:", 80.0, 5.0), *(word(t, x, 20.0) for t, x in (("Asset", 20.0), ("owner", 200.0), ("Value", 260.0), ("Income", 340.0), ("Type", 360.0), ("Income", 420.0), ("tx.", 500.0)))]
+    page += [word("Fund", 20.0, 40.0), word(F.col("o_custkey").cast("string"), 50.0, 40.0), word("JT", 200.0, 40.0), word("$1,001", 260.0, 40.0), word("-", 300.0, 40.0), word("Dividends", 340.0, 40.0), word("$1", 420.0, 40.0), word("-", 430.0, 40.0), word("$200", 440.0, 40.0)]
+    page += [word("rest", 20.0, 50.0), word("(FND)", 50.0, 50.0), word("[MF]", 80.0, 50.0), word("$15,000", 260.0, 50.0), word("DESCRIPTION:", 20.0, 60.0), word("words", 90.0, 60.0), word("more", 20.0, 70.0)]
+    page += [word("Second", 20.0, 80.0), word("None", 260.0, 80.0), word("Schedule", 20.0, 95.0), word("B:", 80.0, 95.0), word("Ignored", 20.0, 110.0), word("None", 260.0, 110.0)]
+    words = o.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.explode(F.array(*page)).alias("w")).select("filing_id", F.lit(0).alias("page"), "w.text", "w.x0", "w.top")
+    return forms.holdings_form(words)
+
+
+# ---------------------------------------------------------------- reports and operations
+
+
+@query("""
+SELECT event_type, CAST(sum(round(value, 0)) AS BIGINT) AS total_bytes, count(*) AS object_count, sum(round(value, 0)) / 20000 AS fraction, sum(round(value, 0)) / 20000 >= 0.8 AS warn, sum(round(value, 0)) > 20000 AS exceeded FROM events GROUP BY 1
+""")
+def storage_budget(spark, d):
+    e = table(spark, d, "events").select("event_type", F.round("value").cast("long").alias("bytes"))
+    return reports.storage_budget(e, "event_type", "bytes", 20_000)
+
+
+@query("SELECT user_id, max(ts) AS last_at, epoch_us(TIMESTAMP '2024-01-31 00:00:00') // 1000000 - epoch_us(max(ts)) // 1000000 > 86400 AS silent FROM events GROUP BY 1")
+def silence(spark, d):
+    last = table(spark, d, "events").groupBy("user_id").agg(F.max("ts").alias("last_at"))
+    return last.withColumn("silent", dates.silent(F.col("last_at"), _lit_ts("2024-01-31 00:00:00")))
+
+
+@query("SELECT o_orderkey, sha256(CAST(o_totalprice AS VARCHAR)) AS digest, CASE WHEN o_orderkey % 3 = 0 THEN 'copy' ELSE 'replace' END AS action FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0")
+def copy_plan(spark, d):
+    here = table(spark, d, "orders").select("o_orderkey", F.sha2(F.col("o_totalprice").cast("string"), 256).alias("digest"))
+    there = here.filter("o_orderkey % 3 <> 0").withColumn("digest", F.when(F.col("o_orderkey") % 5 == 0, "old").otherwise(F.col("digest")))
+    return reports.copy_plan(here, there, "o_orderkey", "digest")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
+def missing_objects(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey")
+    return reports.missing_objects(o, o.filter("o_orderkey % 3 <> 0"), "o_orderkey")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linestatus = 'O' THEN 'BUY' ELSE 'SELL (partial)' END || ' P' || l_partkey ||
+ CASE WHEN l_linenumber <> 1 THEN ' $' || format('{:,}', CAST(l_quantity AS BIGINT) * 1000 + 1) || '-$' || format('{:,}', CAST(l_quantity AS BIGINT) * 2000) ELSE '' END || CASE WHEN l_returnflag <> 'N' THEN ' [' || l_returnflag || ']' ELSE '' END AS line FROM lineitem
+""")
+def message_lines(spark, d):
+    q = F.col("l_quantity").cast("long")
+    high = F.when(F.col("l_linenumber") != 1, q * 2000)
+    line = reports.trade_line(F.when(F.col("l_linestatus") == "O", "purchase").otherwise("sale_partial"), F.lit(None).cast("string"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")), q * 1000 + 1, high, F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", line.alias("line"))
+
+
+@query("SELECT user_id, min(event_id) AS event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rk FROM events) WHERE rk = 1 GROUP BY 1")
+def stream_first_seen(spark, d):
+    """The stream's micro-batches append to a state table; the result is that table's keys with the batch's first row."""
+    import tempfile
+    import uuid
+
+    from .streaming import first_seen
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
+    folder = f"{base.rstrip('/')}/first-seen-{uuid.uuid4().hex}"
+    table(spark, d, "events").groupBy("user_id").agg(F.min("event_id").alias("event_id")).write.parquet(f"{folder}/landing")
+    events = first_seen.read_events(spark, f"{folder}/landing", "user_id long, event_id long")
+    first_seen.ingest_available(events, f"{folder}/state", f"{folder}/checkpoint", "user_id")
+    return spark.read.parquet(f"{folder}/state")
