@@ -89,7 +89,7 @@ def resolve_currency(spark, d):
 
 @query("""
 WITH f AS (SELECT o_orderkey AS fid, CAST(o_orderdate AS DATE) AS filed FROM orders),
-t AS (SELECT l_orderkey AS fid, row_index, sid FROM (SELECT l_orderkey, l_partkey AS sid, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) - 1 AS row_index FROM lineitem)),
+t AS (SELECT l_orderkey AS fid, row_index, sid FROM (SELECT l_orderkey, l_partkey AS sid, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS row_index FROM lineitem)),
 p AS (SELECT t.*, filed, row_number() OVER (PARTITION BY sid ORDER BY filed DESC, CAST(t.fid AS VARCHAR) DESC, row_index DESC) AS rk, first_value(CAST(t.fid AS VARCHAR)) OVER (PARTITION BY sid ORDER BY filed, CAST(t.fid AS VARCHAR), row_index) AS oldest
   FROM t JOIN f USING (fid) WHERE sid IN (SELECT sid FROM t GROUP BY sid HAVING count(DISTINCT fid) > 1)),
 h AS (SELECT fid, min(oldest) AS o FROM p WHERE rk = 1 AND CAST(fid AS VARCHAR) <> oldest GROUP BY fid)
@@ -101,7 +101,7 @@ def link_amendments(spark, d):
 
     orders, line = table(spark, d, "orders"), table(spark, d, "lineitem")
     filings = orders.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.to_date("o_orderdate").alias("filed_date"), F.lit(None).cast("timestamp").alias("first_seen_at"), F.lit(None).cast("string").alias("supersedes_filing_id"))
-    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber")
+    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
     rows = line.select(F.col("l_orderkey").cast("string").alias("filing_id"), (F.row_number().over(w) - 1).alias("row_index"), F.col("l_partkey").alias("source_transaction_id"), F.lit(True).alias("is_current"))
     changed, linked = versions.link_amendments(filings, rows)
     return changed.join(linked.select("filing_id", "supersedes_filing_id"), "filing_id").select("filing_id", "row_index", "is_current", "supersedes_filing_id")
@@ -581,7 +581,7 @@ def _form_words(spark, d):
     heads = F.array(*(F.struct(F.lit(t).alias("text"), F.lit(x).alias("x0"), F.lit(10.0).alias("top")) for t, x in header))
     from pyspark.sql import Window
 
-    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber")
+    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
     rows = table(spark, d, "lineitem").filter("l_suppkey % 5 = 0").withColumn("i", F.row_number().over(w))
     y = F.col("i") * 20.0 + 10.0
     q = F.col("l_quantity").cast("int").cast("string")
@@ -593,7 +593,7 @@ def _form_words(spark, d):
 
 
 @query("""
-SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) - 1 AS row_index, CASE WHEN l_returnflag = 'A' THEN 'spouse' ELSE 'self' END AS owner,
+SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS row_index, CASE WHEN l_returnflag = 'A' THEN 'spouse' ELSE 'self' END AS owner,
  'Part ' || l_partkey || ' (ABC) [ST]' AS asset_description_raw, 'ABC' AS ticker, 'ST' AS asset_type, CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_shipdate AS DATE) AS tx_date,
  CAST(l_shipdate AS DATE) AS notification_date, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, 100.0::DOUBLE AS amount_max FROM lineitem WHERE l_suppkey % 5 = 0
 """)
