@@ -9,14 +9,17 @@ need. With 20 bands of 4 a pair of similarity s shares a table with probability
 1. Texts with equal shingle sets become one node, counted before they are shuffled.
 2. A band value that no second node has cannot be part of a shared table, so only shared
    values of both collections are paired into table keys.
-3. Every node is compared with the least node that it shares a table with: a row per node,
-   however large the tables. Links are confirmed on full shingle sets of the texts.
-4. What is still apart in a shared table is compared in full: all pairs of nodes of one table
-   in different components, but for pairs whose sizes or 160-bit sketches (six standard
-   deviations of allowance) rule the similarity out.
-
-A component needs no pairs inside it, so groups of copies cost rows in proportion to their
-size. Components come from alternating stars. Nothing but counts reaches the driver.
+3. Every node is compared with the most popular node that it shares a table with, which for a
+   group of copies is near their original: a row per node, however large the tables. Links
+   are confirmed on full shingle sets of the texts.
+4. Where nodes that share a table are still apart, the groups they are in so far meet in full:
+   groups that shared tables connect are dealt to blocks of about ``BLOCK_SHINGLES`` shingles,
+   and each pair of blocks is compared exactly by an inverted index over its shingles. A task
+   holds two blocks and returns a spanning set of links, never all pairs.
+
+A group that step 3 has joined needs no further rows, so copies cost rows in proportion to
+their number; step 4 costs a row per node and block of an open group. Components come from
+alternating stars. Nothing but counts reaches the driver.
 
 Defined results: null and empty texts have no shingles, link with nothing and are kept. A row
 without id links with nothing: its component is null and it is kept. Rows with equal ids and
@@ -38,7 +41,7 @@ from .shared import materialize
 from .shingles import coefficients, mixed, shingle_sets
 
 SIDE, ROWS = 20, 4
-SKETCH_SLACK = 46
+BLOCK_SHINGLES = 600_000
 
 
 def minhashes(sets: list[np.ndarray], count: int) -> np.ndarray:
@@ -67,7 +70,6 @@ def _signatures(batches, width: int, side: int, rows: int):
             full = np.flatnonzero(n)
             node = np.zeros(len(sets), np.uint64)
             bands = np.zeros((len(sets), 2 * side), np.uint64)
-            sketch = np.zeros((len(sets), 3), np.uint64)
             if len(full):
                 some = [sets[i] for i in full]
                 with np.errstate(over="ignore"):
@@ -77,33 +79,32 @@ def _signatures(batches, width: int, side: int, rows: int):
                     parts = mixed(mins + salt[:count, None])
                     for k in range(2 * side):
                         bands[full, k] = mixed(np.sum(parts[k * rows : (k + 1) * rows] * salt[count - rows : count, None], axis=0, dtype=np.uint64) ^ salt[count + k])
-                    bits = parts >> np.uint64(63)
-                    for k in range(count):
-                        sketch[full, k // 64 % 3] ^= bits[k] << np.uint64(k % 64)
             flat = pa.array(_signed(bands).reshape(-1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, len(texts)), pa.array(n), pa.array(_signed(node)), pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * 2 * side, flat), *(pa.array(_signed(np.ascontiguousarray(sketch[:, k]))) for k in range(3))],
-                ["id", "n_shingles", "node", "bands", "s0", "s1", "s2"],
+                [batch.column(0).slice(at, len(texts)), pa.array(n), pa.array(_signed(node)), pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * 2 * side, flat)],
+                ["id", "n_shingles", "node", "bands"],
             )
 
 
 def shingle_signatures(docs: DataFrame, width: int = 5, side: int = SIDE, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, node, bands, s0, s1, s2) of every row; ``node`` is the hash of the whole set."""
+    """(id, n_shingles, node, bands) of every row; ``node`` is the hash of the whole set."""
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        partial(_signatures, width=width, side=side, rows=rows), f"id {kind}, n_shingles long, node long, bands array<long>, s0 long, s1 long, s2 long"
+        partial(_signatures, width=width, side=side, rows=rows), f"id {kind}, n_shingles long, node long, bands array<long>"
     )
 
 
 def shared_tables(nodes: DataFrame, side: int = SIDE) -> DataFrame:
-    """(key, node) for all tensored tables that two or more nodes share."""
+    """(key, node, popular) for all tensored tables whose bands other nodes have; ``popular`` adds up how many have them."""
     bands = nodes.select("node", F.posexplode("bands").alias("place", "value"))
-    shared = bands.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1").select("value")
+    shared = bands.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1")
     sides = bands.join(shared, "value").groupBy("node").agg(
-        F.collect_list(F.when(F.col("place") < side, F.col("value"))).alias("left"), F.collect_list(F.when(F.col("place") >= side, F.col("value"))).alias("right")
+        F.collect_list(F.when(F.col("place") < side, F.col("value"))).alias("left"),
+        F.collect_list(F.when(F.col("place") >= side, F.col("value"))).alias("right"),
+        F.sum("n").alias("popular"),
     )
-    rows = sides.select("node", F.explode("left").alias("l"), "right").select("node", "l", F.explode("right").alias("r"))
-    return rows.select(F.xxhash64("l", "r").alias("key"), "node")
+    rows = sides.select("node", "popular", F.explode("left").alias("l"), "right").select("node", "popular", "l", F.explode("right").alias("r"))
+    return rows.select(F.xxhash64("l", "r").alias("key"), "node", "popular")
 
 
 def _confirmed(batches, width: int, percent: int):
@@ -135,6 +136,70 @@ def confirm_links(pairs: DataFrame, texts: DataFrame, width: int = 5, percent: i
     return both.select("a", "b", "ta", "tb").sortWithinPartitions("a").mapInArrow(partial(_confirmed, width=width, percent=percent), "a long, b long")
 
 
+def _block_links(table: pa.Table, width: int, percent: int) -> pa.Table:
+    """Links between texts of two blocks (or of one) that are in different groups so far, enough to join all that belong together."""
+    table = table.combine_chunks().sort_by("node")
+    node, root, block = (np.asarray(table[c]) for c in ("node", "root", "block"))
+    sets: list[np.ndarray] = []
+    texts = table["t"].combine_chunks()
+    for _, part in text_slices(texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts, 1 << 20):
+        sets += shingle_sets(part, width)
+    n = np.asarray([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), n)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    owner, values = owner[order], flat[order]
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    ends = np.append(first[1:], len(values))
+    names = values[first]
+    group = {r: r for r in root.tolist()}
+
+    def top(r: int) -> int:
+        while group[r] != r:
+            group[r] = r = group[group[r]]
+        return r
+
+    a, b = [], []
+    for x, own in enumerate(sets):
+        at = np.searchsorted(names, own)
+        at = at[ends[at] - first[at] > 1]
+        if not len(at):
+            continue
+        counts = ends[at] - first[at]
+        places = np.repeat(first[at] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        both = np.bincount(owner[places], minlength=len(sets))
+        close = np.flatnonzero(100 * both >= percent * (n[x] + n - both))
+        for y in close[close > x].tolist():
+            p, q = top(int(root[x])), top(int(root[y]))
+            if p != q:
+                group[max(p, q)] = min(p, q)
+                a.append(int(node[x]))
+                b.append(int(node[y]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def links_across(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of different roots within each set of groups that may belong together.
+
+    ``groups`` has (node, root, family, n_shingles). Small families share a task; a large one
+    is dealt to blocks by the hash of its nodes, and every pair of its blocks to a task.
+    """
+    sizes = groups.groupBy("family").agg(F.sum("n_shingles").alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    bins = max(1, total // BLOCK_SHINGLES)
+    sizes = sizes.select("family", F.ceil(F.col("size") / BLOCK_SHINGLES).cast("long").alias("blocks"))
+    rows = groups.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    # block k meets every block j: the task is the pair (lower, higher)
+    met = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.xxhash64(F.col("family"), F.least("block", j), F.greatest("block", j)))
+    tasks = F.when(F.col("blocks") == 1, F.array(F.pmod(F.xxhash64("family"), F.lit(bins)))).otherwise(met)
+    dealt = rows.select("node", "root", "block", F.explode(tasks).alias("task")).join(texts, "node")
+
+    def work(table: pa.Table) -> pa.Table:
+        return _block_links(table, width, percent)
+
+    return dealt.select("task", "node", "root", "block", "t").groupBy("task").applyInArrow(work, "a long, b long").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 75, side: int = SIDE, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -144,8 +209,8 @@ def near_duplicates(
     firsts = materialize(some.groupBy("node").agg(F.min("id").alias("id")), "near-dup-nodes")
     nodes = some.join(firsts, ["node", "id"], "left_semi").dropDuplicates(["node"])
     tables = shared_tables(nodes, side)
-    shared = tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1").select("key", "first")
-    tables = materialize(tables.join(shared, "key"), "near-dup-tables")
+    shared = tables.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("popular", "node")).alias("lead")).filter("n > 1").select("key", "lead")
+    tables = materialize(tables.join(shared, "key").select("key", "node", "lead"), "near-dup-tables")
 
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     wanted = firsts.join(tables.select("node").distinct(), "node", "left_semi")
@@ -156,20 +221,19 @@ def near_duplicates(
     texts = plain.join(text, "id").select("node", "t").unionByName(odd.join(_with_node(text, width), ["id", "node"]).select("node", "t"))
     texts = materialize(texts.dropDuplicates(["node"]), "near-dup-texts")
 
-    leads = tables.filter("node <> first").groupBy("node").agg(F.min("first").alias("a")).select("a", F.col("node").alias("b"))
-    links = materialize(confirm_links(leads, texts, width, percent), "near-dup-links")
+    leads = tables.filter("node <> lead.node").groupBy("node").agg(F.max("lead").alias("lead")).select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
+    links = materialize(confirm_links(leads, texts, width, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "near-dup-links")
     roots = connected_components(links)
 
-    labels = tables.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    apart = labels.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    facts = nodes.select("node", "n_shingles", "s0", "s1", "s2")
-    rest = materialize(labels.join(apart, "key").join(facts, "node"), "near-dup-apart")
-    p, q = rest.alias("p"), rest.alias("q")
-    differ = sum((F.bit_count(F.col(f"p.s{k}").bitwiseXOR(F.col(f"q.s{k}"))) for k in range(3)), F.lit(0))
-    size = lambda x, y: 100 * F.col(f"{x}.n_shingles") >= percent * F.col(f"{y}.n_shingles")
-    met = (F.col("p.key") == F.col("q.key")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.root") != F.col("q.root")) & size("p", "q") & size("q", "p") & (differ <= SKETCH_SLACK)
-    pairs = p.join(q, met).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(leads, ["a", "b"], "left_anti")
-    more = materialize(confirm_links(pairs, texts, width, percent), "near-dup-links")
+    labels = tables.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    apart = labels.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a < z").select("key", "a")
+    near = labels.join(apart, "key").filter("a < root").select("a", F.col("root").alias("b"))
+    families = connected_components(near)
+    open_roots = families.select(F.col("node").alias("root"), F.col("root").alias("family"))
+    open_roots = open_roots.unionByName(open_roots.select(F.col("family").alias("root"), "family").distinct())
+    facts = nodes.select("node", "n_shingles").join(tables.select("node").distinct(), "node", "left_semi").join(roots, "node", "left").select("node", "n_shingles", F.coalesce("root", "node").alias("root"))
+    groups = materialize(facts.join(open_roots, "root").select("node", "root", "family", "n_shingles"), "near-dup-open")
+    more = materialize(links_across(groups, texts, width, percent), "near-dup-links")
     roots = connected_components(links.unionByName(more))
 
     placed = firsts.join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
