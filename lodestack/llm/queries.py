@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import warc
+from . import oracles, warc
 from .chat import VIEWS_SQL, perspective_views
 from .decontamination import contamination, hit_words
 from .html_pages import labelled_pages
@@ -101,4 +101,8 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_chat_views": VIEWS_SQL,
+    "op3_decontamination": oracles.DECONTAMINATION,
+    "op8_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op9_quality_rules": oracles.QUALITY_RULES,
+    "op10_warc": oracles.WARC,
 }
