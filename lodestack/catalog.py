@@ -42,9 +42,9 @@ def _lit_ts(x: str):
 
 @query("""
 WITH t AS (SELECT l.*, CAST(l_shipdate AS DATE) AS shipped, CAST(o_orderdate AS DATE) AS ordered FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey),
-a AS (SELECT count(*) AS total_transactions, count_if(l_returnflag <> 'N') AS ticker_linked, count_if(date_diff('day', ordered, shipped) > 45) AS late_filings,
+a AS (SELECT count(*) AS total_transactions, count(*) FILTER (WHERE l_returnflag <> 'N') AS ticker_linked, count(*) FILTER (WHERE date_diff('day', ordered, shipped) > 45) AS late_filings,
   count(date_diff('day', ordered, shipped)) AS late_filing_eligible,
-  count_if(l_extendedprice * l_discount > l_extendedprice * l_tax OR shipped < ordered OR shipped > DATE '2000-01-01' OR l_quantity - 10 <= 0) AS implausible_values FROM t),
+  count(*) FILTER (WHERE l_extendedprice * l_discount > l_extendedprice * l_tax OR shipped < ordered OR shipped > DATE '2000-01-01' OR l_quantity - 10 <= 0) AS implausible_values FROM t),
 d AS (SELECT count(*) AS duplicate_groups FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)),
 b AS (SELECT count(*) AS broken_amendment_groups FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) <> 1))
 SELECT * FROM a, d, b
@@ -69,7 +69,7 @@ def duplicate_groups(spark, d):
     return quality.duplicate_groups(table(spark, d, "events").select("user_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "event_type", "day"])
 
 
-@query("SELECT user_id, event_type, sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) AS n_current FROM events GROUP BY ALL HAVING sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) <> 1")
+@query("SELECT user_id, event_type, CAST(sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_current FROM events GROUP BY ALL HAVING sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) <> 1")
 def broken_currency_groups(spark, d):
     return quality.broken_groups(table(spark, d, "events").withColumn("cur", F.col("event_id") % 3 == 0), ["user_id", "event_type"], "cur")
 
@@ -108,16 +108,16 @@ def link_amendments(spark, d):
 
 
 @query("""
-SELECT o_orderpriority, count_if(o_orderstatus = 'F') AS F, count_if(o_orderstatus = 'P') AS P, count_if(o_orderstatus = 'O') AS O,
-  CAST(count_if(o_orderstatus = 'F') AS DOUBLE) / nullif(count_if(o_orderstatus IN ('F', 'P')), 0) AS success_rate FROM orders GROUP BY 1
+SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'P') AS P, count(*) FILTER (WHERE o_orderstatus = 'O') AS O,
+  CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) / nullif(count(*) FILTER (WHERE o_orderstatus IN ('F', 'P')), 0) AS success_rate FROM orders GROUP BY 1
 """)
 def status_pivot(spark, d):
     return quality.status_table(table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ["F", "P", "O"])
 
 
 @query("""
-SELECT n_name, count_if(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 45) AS n_late, count(l_shipdate) AS n_eligible,
-  CAST(count_if(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 45) AS DOUBLE) / count(l_shipdate) AS late_share
+SELECT n_name, count(*) FILTER (WHERE date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 45) AS n_late, count(l_shipdate) AS n_eligible,
+  CAST(count(*) FILTER (WHERE date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 45) AS DOUBLE) / count(l_shipdate) AS late_share
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
 """)
 def late_share(spark, d):
@@ -162,14 +162,14 @@ def _matched(spark, d):
 
 @query(f"""
 WITH m AS (SELECT DISTINCT event_type, user_id, user_id IN ({_SUBSET}) AS hit FROM events)
-SELECT event_type, count_if(hit) AS matched, count_if(NOT hit) AS unmatched, CAST(count_if(hit) AS DOUBLE) / count(*) AS match_rate FROM m GROUP BY 1
+SELECT event_type, count(*) FILTER (WHERE hit) AS matched, count(*) FILTER (WHERE NOT hit) AS unmatched, CAST(count(*) FILTER (WHERE hit) AS DOUBLE) / count(*) AS match_rate FROM m GROUP BY 1
 """)
 def survivorship(spark, d):
     return versions.survivorship(_matched(spark, d), "event_type", "user_id")
 
 
 @query(f"""
-SELECT event_type, count_if(user_id IN ({_SUBSET})) AS before, count_if(user_id NOT IN ({_SUBSET}) AND user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 3000)) AS newly FROM events GROUP BY 1
+SELECT event_type, count(*) FILTER (WHERE user_id IN ({_SUBSET})) AS before, count(*) FILTER (WHERE user_id NOT IN ({_SUBSET}) AND user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 3000)) AS newly FROM events GROUP BY 1
 """)
 def rematch_unmatched(spark, d):
     m = _matched(spark, d)
