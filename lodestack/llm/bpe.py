@@ -44,7 +44,8 @@ _SPACE = r"\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205
 _LINE_END = f"([^{_SPACE}])\n([^{_SPACE}])"
 _STOP = r"([0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([.,])"
 _CUT = "\x00"
-_ODD_LINES = re.compile(r"[^\S \n]|  | \n|\n\n")
+_ODD_SPACE = re.compile(r"[^\S ]")
+_WHITE = re.compile(r"\s")
 
 
 class Pieces:
@@ -95,6 +96,9 @@ class PieceEncoder:
         self.slots = self.used = 0
         self._learn_apart(["", " ", "\n"])
         self.newline = self.flat[self.starts[2] : self.used].copy()
+        self.spaced = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab().items():
+            self.spaced[i] = token.startswith("Ġ")
 
     def _put(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n, k = len(ids), len(pieces)
@@ -114,27 +118,41 @@ class PieceEncoder:
         self._put(pieces, np.asarray([i for x in found for i in x], np.int32), np.asarray([len(x) for x in found], np.int64))
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces: those whose only white space is a first space are encoded as the lines of one text."""
-        lines = "\n".join(pieces)
-        if len(self.newline) != 1 or lines.count("\n") >= len(pieces) or not lines or lines[-1] in " \n" or _ODD_LINES.search(lines):
-            plain = [len(self.newline) == 1 and bool(x) and not _ODD_LINES.search(x) and "\n" not in x and x[-1] != " " for x in pieces]
-            self._learn_apart([x for x, y in zip(pieces, plain, strict=True) if not y])
-            pieces = [x for x, y in zip(pieces, plain, strict=True) if y]
-            lines = "\n".join(pieces)
-        if pieces:
-            ids = np.asarray(self.library.encode(lines, add_special_tokens=False).ids, np.int32)
-            at = np.concatenate([[-1], np.flatnonzero(ids == self.newline[0]), [len(ids)]])
-            if len(at) == len(pieces) + 1:
-                self._put(pieces, ids[ids != self.newline[0]], np.diff(at) - 1)
+        """Ids of new pieces. Those that begin with their only space are encoded as one text, whose
+        tokens with a space begin pieces; those without white space as the lines of one text."""
+        worded = [x for x in pieces if len(x) > 1 and x[0] == " "]
+        run = "".join(worded)
+        if run.count(" ") != len(worded) or _ODD_SPACE.search(run):
+            worded = [x for x in worded if x.count(" ") == 1 and not _ODD_SPACE.search(x)]
+            run = "".join(worded)
+        lines, apart = [], []
+        if len(worded) < len(pieces):
+            done = set(worded)
+            for x in pieces:
+                if x not in done:
+                    (lines if x and not _WHITE.search(x) else apart).append(x)
+        if worded:
+            ids = np.asarray(self.library.encode_batch_fast([run], add_special_tokens=False)[0].ids, np.int32)
+            at = np.flatnonzero(self.spaced[ids])
+            if len(at) == len(worded):
+                self._put(worded, ids, np.diff(np.append(at, len(ids))))
             else:
-                self._learn_apart(pieces)
+                apart += worded
+        if lines and len(self.newline) == 1:
+            ids = np.asarray(self.library.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, np.int32)
+            at = np.concatenate([[-1], np.flatnonzero(ids == self.newline[0]), [len(ids)]])
+            if len(at) == len(lines) + 1:
+                self._put(lines, ids[ids != self.newline[0]], np.diff(at) - 1)
+                lines = []
+        if lines or apart:
+            self._learn_apart(lines + apart)
 
     def slots_of(self, pieces: list[str]) -> np.ndarray:
         got = list(map(self.table.get, pieces))
         if None in got:
             new = [x for x, slot in zip(pieces, got, strict=True) if slot is None]
-            for i in range(0, len(new), 5000):
-                self._learn(new[i : i + 5000])
+            for i in range(0, len(new), 20_000):
+                self._learn(new[i : i + 20_000])
             got = list(map(self.table.__getitem__, pieces))
         return np.asarray(got, np.int64)
 
