@@ -9,6 +9,7 @@ two spaces in a row or with a special token's string are encoded whole by the li
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut into pieces at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 _WORKER: dict[tuple, PieceEncoder] = {}
 
 
@@ -80,6 +81,9 @@ class PieceEncoder:
     def __init__(self, path: str, keep: int = 1_000_000):
         self.library, self.keep = load_tokenizer(path), keep
         self.specials = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        self.spaced = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab().items():
+            self.spaced[i] = token.startswith("Ġ")
         self._clear()
 
     @staticmethod
@@ -89,6 +93,12 @@ class PieceEncoder:
             _WORKER[path] = PieceEncoder(path)
         return _WORKER[path]
 
+    def release(self) -> None:
+        """At a task's end: an idle worker keeps the library, but no pieces."""
+        self._clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
     def _clear(self) -> None:
         self.table: dict[str, int] = {}
         self.flat = np.zeros(1 << 20, np.int32)
@@ -96,9 +106,6 @@ class PieceEncoder:
         self.slots = self.used = 0
         self._learn_apart(["", " ", "\n"])
         self.newline = self.flat[self.starts[2] : self.used].copy()
-        self.spaced = np.zeros(self.library.get_vocab_size(), bool)
-        for token, i in self.library.get_vocab().items():
-            self.spaced[i] = token.startswith("Ġ")
 
     def _put(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n, k = len(ids), len(pieces)

@@ -170,6 +170,7 @@ def _pack_rows(batches, tokenizer_path: str, end_id: int, window: int, block: in
                         yield out(rows)
     if waiting.size:
         yield out(_pack(waiting, sentence_end, window, True, sequence)[0])
+    encoder.release()
 
 
 def pack_documents(

@@ -76,6 +76,7 @@ def _counts(batches, path: str, table):
             n[at : at + len(part)] = encoder.count_slice(part, frequent)
         size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), size, pa.array(n)], ["id", "n_bytes", "n_tokens"])
+    encoder.release()
 
 
 def _other_counts(batches, path: str):

@@ -141,6 +141,7 @@ def _write_shards(batches, folder: str, tokenizer_path: str, end_id: int, width:
             for k, part in enumerate(np.split(flat, ends[:-1])):
                 writer.add(ids[at + k], np.append(part, end_id))
                 tokens += len(part) + 1
+    encoder.release()
     if writer is not None:
         writer.finish()
         stream.close()
