@@ -548,12 +548,34 @@ FROM lineitem WHERE l_suppkey % 10 = 1
 """)
 def html_report_rows(spark, d):
     line = table(spark, d, "lineitem").filter("l_suppkey % 10 = 1")
+    html = F.concat(F.lit(_REPORT_HEAD), _report_row(), F.lit(_REPORT_END))
+    rows = landed.report_rows(line.select(F.col("l_orderkey").alias("filing_id"), html.alias("html")))
+    return rows.select("filing_id", "row_index", "owner", "ticker", "tx_type", "amount_min", "amount_max", "tx_date")
+
+
+_REPORT_HEAD, _REPORT_END = "<table><thead><tr><th>#</th></tr></thead><tbody>", "<tr><td>short</td></tr></tbody></table>"
+
+
+def _report_row():
+    """The HTML row of a line."""
     q = F.col("l_quantity").cast("int")
     cells = ["1", F.date_format("l_shipdate", "MM/dd/yyyy"), F.translate("l_returnflag", "A", "S"), F.when(F.col("l_linenumber") == 1, "--").otherwise(F.concat(F.lit("T"), F.col("l_partkey").cast("string"))), "Asset Option Type: x", "Stock",
              F.when(F.col("l_linestatus") == "O", "Purchase").otherwise("Sale (Partial)"), F.concat(F.lit("$"), q.cast("string"), F.lit(" - $"), (q + 1).cast("string")), "--"]
     cells[2] = F.when(F.col("l_returnflag") == "A", "Spouse").when(F.col("l_returnflag") == "R", "Dependent Child").otherwise("Child")
-    html = F.concat(F.lit("<table><thead><tr><th>#</th></tr></thead><tbody><tr>"), *(F.concat(F.lit("<td> "), F.lit(c) if isinstance(c, str) else c, F.lit("</td>")) for c in cells), F.lit("</tr><tr><td>short</td></tr></tbody></table>"))
-    rows = landed.report_rows(line.select(F.col("l_orderkey").alias("filing_id"), html.alias("html")))
+    return F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td> "), F.lit(c) if isinstance(c, str) else c, F.lit("</td>")) for c in cells), F.lit("</tr>"))
+
+
+@query("""
+SELECT l_orderkey AS filing_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS INTEGER) AS row_index, CASE l_returnflag WHEN 'A' THEN 'spouse' WHEN 'R' THEN 'child' END AS owner, CASE WHEN l_linenumber <> 1 THEN 'T' || l_partkey END AS ticker,
+ CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_quantity AS DOUBLE) AS amount_min, CAST(l_quantity + 1 AS DOUBLE) AS amount_max, CAST(l_shipdate AS DATE) AS tx_date
+FROM lineitem
+""")
+def html_report_rows_whole(spark, d):
+    """A report per order, with a row per line of the order; the other reads a report per line of every tenth supplier, as its SQL does."""
+    placed = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice", _report_row().alias("html"))
+    reports_ = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("filing_id")).agg(F.sort_array(F.collect_list(placed)).alias("x"))
+    html = F.concat(F.lit(_REPORT_HEAD), F.array_join("x.html", ""), F.lit(_REPORT_END))
+    rows = landed.report_rows(reports_.select("filing_id", html.alias("html")))
     return rows.select("filing_id", "row_index", "owner", "ticker", "tx_type", "amount_min", "amount_max", "tx_date")
 
 
@@ -575,14 +597,14 @@ def transcribed_rows(spark, d):
 # ---------------------------------------------------------------- forms
 
 
-def _form_words(spark, d):
+def _form_words(lines):
     """A page of positioned words per order: a header row and a row per line of the order."""
     header = [("Owner", 60.0), ("Asset", 105.0), ("Transaction", 262.0), ("Date", 330.0), ("Notification", 385.0), ("Amount", 450.0), ("Cap.", 527.0)]
     heads = F.array(*(F.struct(F.lit(t).alias("text"), F.lit(x).alias("x0"), F.lit(10.0).alias("top")) for t, x in header))
     from pyspark.sql import Window
 
     w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
-    rows = table(spark, d, "lineitem").filter("l_suppkey % 5 = 0").withColumn("i", F.row_number().over(w))
+    rows = lines.withColumn("i", F.row_number().over(w))
     y = F.col("i") * 20.0 + 10.0
     q = F.col("l_quantity").cast("int").cast("string")
     word = lambda t, x, dy=0.0: F.struct((t if not isinstance(t, str) else F.lit(t)).alias("text"), F.lit(x).alias("x0"), (y + dy).alias("top"))
@@ -598,14 +620,38 @@ SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_number() OVER (PARTITION BY
  CAST(l_shipdate AS DATE) AS notification_date, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, 100.0::DOUBLE AS amount_max FROM lineitem WHERE l_suppkey % 5 = 0
 """)
 def trade_form(spark, d):
-    return forms.trade_form(_form_words(spark, d)).select("filing_id", "row_index", "owner", "asset_description_raw", "ticker", "asset_type", "tx_type", "tx_date", "notification_date", "amount_min", "amount_max")
+    return _trades(table(spark, d, "lineitem").filter("l_suppkey % 5 = 0"))
+
+
+@query("""
+SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS row_index, CASE WHEN l_returnflag = 'A' THEN 'spouse' ELSE 'self' END AS owner,
+ 'Part ' || l_partkey || ' (ABC) [ST]' AS asset_description_raw, 'ABC' AS ticker, 'ST' AS asset_type, CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_shipdate AS DATE) AS tx_date,
+ CAST(l_shipdate AS DATE) AS notification_date, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, 100.0::DOUBLE AS amount_max FROM lineitem
+""")
+def trade_form_whole(spark, d):
+    """A form per order of all its lines; the other reads every fifth supplier's, as its SQL does."""
+    return _trades(table(spark, d, "lineitem"))
+
+
+def _trades(lines):
+    return forms.trade_form(_form_words(lines)).select("filing_id", "row_index", "owner", "asset_description_raw", "ticker", "asset_type", "tx_type", "tx_date", "notification_date", "amount_min", "amount_max")
 
 
 @query("""
 SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, 2 * count(*) + 1 AS n_lines, 12 * count(*) + 7 AS n_words, true AS electronic FROM lineitem WHERE l_suppkey % 5 = 0 GROUP BY 1
 """)
 def word_lines(spark, d):
-    words = _form_words(spark, d)
+    return _lines_per_form(table(spark, d, "lineitem").filter("l_suppkey % 5 = 0"))
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, 2 * count(*) + 1 AS n_lines, 12 * count(*) + 7 AS n_words, true AS electronic FROM lineitem GROUP BY 1")
+def word_lines_whole(spark, d):
+    """The lines of a form per order of all its lines; the other reads every fifth supplier's, as its SQL does."""
+    return _lines_per_form(table(spark, d, "lineitem"))
+
+
+def _lines_per_form(line):
+    words = _form_words(line)
     lines = forms.lines_of(words).groupBy("filing_id").agg(F.count("*").alias("n_lines"), F.sum(F.size("words")).alias("n_words"))
     return lines.join(forms.is_electronic(words), "filing_id")
 
