@@ -6,7 +6,9 @@ The cross-document rule: each line with a word is normalised (case, white space)
 together with its host. A line's frequency is the number of *different* texts of that host
 that hold it, so plain copies of one text count once and are left for the near-duplicate
 stage. Lines above the limit are removed; a document that keeps less than ``min_left`` of
-its words is depleted and is rejected.
+its words is depleted and is rejected. The limit is ``max_texts``, or with ``max_percent``
+the larger of ``max_texts`` and that share of all different texts of the host, so that it
+means the same on hosts of any size and ``max_texts`` is only a floor for tiny ones.
 
 Defined results: a null or empty text has no words and fails the base rules. A null host is
 a host of its own. Rows may repeat, and ids may be null: every input row gives one output
@@ -23,6 +25,8 @@ from .shared import materialize
 
 #: The six characters that part words.
 BLANKS = " \t\n\x0b\x0c\r"
+#: The pipeline's limit: a line is frequent in more than this share of a host's texts, and in more than so many.
+HOST_PERCENT, HOST_FLOOR = 5, 10
 _PART = r"[\x20\x09-\x0D]+"
 
 
@@ -62,15 +66,16 @@ def _lines(text: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Per row: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and content_key."""
+    """Per row: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, content_key and host_key."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
-    rows = docs.select(F.col(id_col), text.alias("t"), F.xxhash64(host, text).alias("content_key"))
+    rows = docs.select(F.col(id_col), text.alias("t"), F.xxhash64(host, text).alias("content_key"), F.xxhash64(host).alias("host_key"))
     rows = rows.withColumn("w", words_of(F.col("t")))
     lines = F.get(F.transform(F.array(_lines(F.col("t"))), lambda x: F.size(x) - F.size(F.array_distinct(x))), F.lit(0))
     rows = rows.select(
         id_col,
         "content_key",
+        "host_key",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.translate("t", BLANKS, "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
@@ -82,21 +87,31 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def line_rows(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(line_key, content_key, words): the words that each line takes up in each text of a host, copies of the text summed."""
+    """(line_key, content_key, words, host_key): the words that each line takes up in each text of a host, copies of the text summed."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
     rows = docs.select(host.alias("host"), text.alias("t"), F.xxhash64(host, text).alias("content_key"))
     rows = rows.select("host", "content_key", F.explode(_lines(F.col("t"))).alias("line"))
     w = words_of(F.lower("line"))
     rows = rows.select("content_key", "host", w.alias("w"))
-    rows = rows.select(F.xxhash64("host", F.array_join("w", " ")).alias("line_key"), "content_key", F.size("w").cast("long").alias("n"))
-    return rows.groupBy("line_key", "content_key").agg(F.sum("n").alias("words"))
+    rows = rows.select(F.xxhash64("host", F.array_join("w", " ")).alias("line_key"), "content_key", F.size("w").cast("long").alias("n"), F.xxhash64("host").alias("host_key"))
+    return rows.groupBy("line_key", "content_key").agg(F.sum("n").alias("words"), F.min("host_key").alias("host_key"))
 
 
-def frequent_lines(lines: DataFrame, max_texts: int) -> DataFrame:
-    """(line_key, texts) of the lines that more than ``max_texts`` different texts of a host hold."""
-    counts = lines.groupBy("line_key").agg(F.count("*").alias("texts"), F.max("words").alias("most"))
-    return counts.filter((F.col("texts") > max_texts) & (F.col("most") > 0)).select("line_key", "texts")
+def _above(counts: DataFrame, base: DataFrame, max_texts: int, max_percent: int | None) -> DataFrame:
+    """The rows of ``counts`` (line_key, texts, host_key) above the limit; only hosts large enough to raise it are joined."""
+    counts = counts.filter(F.col("texts") > max_texts)
+    if max_percent is None:
+        return counts
+    hosts = base.select("host_key", "content_key").distinct().groupBy("host_key").agg(F.count("*").alias("host_texts"))
+    large = hosts.filter(F.col("host_texts") * max_percent > 100 * max_texts)
+    return counts.join(large, "host_key", "left").filter(100 * F.col("texts") > max_percent * F.coalesce("host_texts", F.lit(0)))
+
+
+def frequent_lines(lines: DataFrame, base: DataFrame, max_texts: int, max_percent: int | None = None) -> DataFrame:
+    """(line_key, texts) of the lines that more different texts of a host hold than the limit."""
+    counts = lines.groupBy("line_key").agg(F.count("*").alias("texts"), F.max("words").alias("most"), F.min("host_key").alias("host_key"))
+    return _above(counts.filter(F.col("most") > 0), base, max_texts, max_percent).select("line_key", "texts")
 
 
 def quality_rules(
@@ -106,6 +121,7 @@ def quality_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
+    max_percent: int | None = None,
 ) -> DataFrame:
     """Base counts and verdict of every row: kept is false if the base rules fail or the document is depleted.
 
@@ -115,7 +131,7 @@ def quality_rules(
     """
     base = materialize(base_counts(docs, id_col, text_col, host_col), "line-rules-base")
     lines = line_rows(docs, text_col, host_col)
-    removed = lines.join(frequent_lines(lines, max_texts), "line_key").groupBy("content_key").agg(F.sum("words").alias("gone"))
+    removed = lines.join(frequent_lines(lines, base, max_texts, max_percent), "line_key").groupBy("content_key").agg(F.sum("words").alias("gone"))
     totals = base.groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
     left = totals.join(removed, "content_key").select("content_key", (1 - F.col("gone") / F.col("all_words")).alias("left"))
     judged = base.join(left, "content_key", "left").withColumn("left_share", F.coalesce("left", F.lit(1.0)))
@@ -133,6 +149,7 @@ def apply_quality_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
+    max_percent: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, without their lines above the limit.
 
@@ -143,7 +160,7 @@ def apply_quality_rules(
     host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
     base = materialize(base_counts(docs, id_col, text_col, host_col), "line-rules-base")
     lines = line_rows(docs, text_col, host_col)
-    gone = lines.join(frequent_lines(lines, max_texts), "line_key").groupBy("content_key").agg(F.sum("words").alias("n"), F.collect_set("line_key").alias("_gone"))
+    gone = lines.join(frequent_lines(lines, base, max_texts, max_percent), "line_key").groupBy("content_key").agg(F.sum("words").alias("n"), F.collect_set("line_key").alias("_gone"))
     totals = base.filter(~F.col("base_failed")).groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
     kept = totals.join(gone, "content_key", "left").filter(1 - F.coalesce("n", F.lit(0)) / F.col("all_words") >= min_left).select(F.col("content_key").alias("_content_key"), "_gone")
     rows = docs.withColumns({"_content_key": F.xxhash64(host, text), "_host": host}).join(kept, "_content_key")

@@ -46,3 +46,17 @@ def test_odd_documents_pass_the_stages(spark, sf):
         for _, stage in corpus_pipeline.STAGES:
             docs = materialize(stage(spark, docs, sf), "stage")
         assert docs.count() >= 0
+
+
+def test_quality_stage_limits_lines_by_share_of_the_host(spark, sf):
+    """Boilerplate of a small host goes; a line in 150 of a large host's 4000 texts stays, and one in 300 goes; a tiny host keeps all."""
+    own = lambda h, k: " ".join(f"{h}{k}_{i}" for i in range(60))
+    lines = {"small": [("banner of the small host", 12)], "large": [("an ordinary short line", 150), ("banner of the large host", 300)], "tiny": [("banner of the tiny host", 8)]}
+    rows, want = [], {}
+    for host, n in (("small", 60), ("large", 4000), ("tiny", 8)):
+        for k in range(n):
+            having = [x for x, m in lines[host] if k < m]
+            want[len(rows)] = "\n".join([own(host, k), *(x for x in having if "small" not in x and "large" not in x)])
+            rows.append((len(rows), "\n".join([own(host, k), *having]), "en", host, 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id: r.text for r in corpus_pipeline.quality(spark, docs, sf).collect()} == want
