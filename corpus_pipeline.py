@@ -24,7 +24,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; so do lines that too large a share of their host's different texts have."""
-    return _with_length(apply_quality_rules(docs, max_texts=HOST_FLOOR, max_percent=HOST_PERCENT))
+    return _with_length(apply_quality_rules(docs, max_texts=HOST_FLOOR, max_percent=HOST_PERCENT, families=True))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,12 @@ its words is depleted and is rejected. The limit is ``max_texts``, or with ``max
 the larger of ``max_texts`` and that share of all different texts of the host, so that it
 means the same on hosts of any size and ``max_texts`` is only a floor for tiny ones.
 
+With ``families`` near copies count once too, as they are the near-duplicate stage's work: a
+text of whose words more than half lie in frequent lines is counted with the texts that
+have the same least key among those lines. Copies that share most of their lines have few
+different least keys, however many the copies are, so a family's own lines stay, while
+boilerplate is still counted in the texts of which it is the smaller part.
+
 Defined results: a null or empty text has no words and fails the base rules. A null host is
 a host of its own. Rows may repeat, and ids may be null: every input row gives one output
 row, as verdicts are joined by host and text and not by id. An empty table gives an empty
@@ -114,6 +120,20 @@ def frequent_lines(lines: DataFrame, base: DataFrame, max_texts: int, max_percen
     return _above(counts.filter(F.col("most") > 0), base, max_texts, max_percent).select("line_key", "texts")
 
 
+def lines_to_remove(lines: DataFrame, base: DataFrame, max_texts: int, max_percent: int | None = None, families: bool = False) -> DataFrame:
+    """(line_key, content_key, words) of the lines above the limit in each text."""
+    hits = lines.join(frequent_lines(lines, base, max_texts, max_percent), "line_key").select("line_key", "content_key", "words", "host_key")
+    if not families:
+        return hits.drop("host_key")
+    hits = materialize(hits, "line-rules-hits")
+    totals = base.groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
+    texts = hits.groupBy("content_key").agg(F.sum("words").alias("n"), F.min("line_key").alias("family"))
+    mostly = texts.join(totals, "content_key").filter(2 * F.col("n") > F.col("all_words")).select("content_key", "family")
+    counted = hits.join(mostly, "content_key", "left").select("line_key", "host_key", F.coalesce("family", "content_key").alias("family")).distinct()
+    counts = counted.groupBy("line_key").agg(F.count("*").alias("texts"), F.min("host_key").alias("host_key"))
+    return hits.join(_above(counts, base, max_texts, max_percent).select("line_key"), "line_key").select("line_key", "content_key", "words")
+
+
 def quality_rules(
     docs: DataFrame,
     max_texts: int = 100,
@@ -122,6 +142,7 @@ def quality_rules(
     text_col: str = "text",
     host_col: str = "source",
     max_percent: int | None = None,
+    families: bool = False,
 ) -> DataFrame:
     """Base counts and verdict of every row: kept is false if the base rules fail or the document is depleted.
 
@@ -131,7 +152,7 @@ def quality_rules(
     """
     base = materialize(base_counts(docs, id_col, text_col, host_col), "line-rules-base")
     lines = line_rows(docs, text_col, host_col)
-    removed = lines.join(frequent_lines(lines, base, max_texts, max_percent), "line_key").groupBy("content_key").agg(F.sum("words").alias("gone"))
+    removed = lines_to_remove(lines, base, max_texts, max_percent, families).groupBy("content_key").agg(F.sum("words").alias("gone"))
     totals = base.groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
     left = totals.join(removed, "content_key").select("content_key", (1 - F.col("gone") / F.col("all_words")).alias("left"))
     judged = base.join(left, "content_key", "left").withColumn("left_share", F.coalesce("left", F.lit(1.0)))
@@ -150,6 +171,7 @@ def apply_quality_rules(
     text_col: str = "text",
     host_col: str = "source",
     max_percent: int | None = None,
+    families: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, without their lines above the limit.
 
@@ -160,7 +182,7 @@ def apply_quality_rules(
     host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
     base = materialize(base_counts(docs, id_col, text_col, host_col), "line-rules-base")
     lines = line_rows(docs, text_col, host_col)
-    gone = lines.join(frequent_lines(lines, base, max_texts, max_percent), "line_key").groupBy("content_key").agg(F.sum("words").alias("n"), F.collect_set("line_key").alias("_gone"))
+    gone = lines_to_remove(lines, base, max_texts, max_percent, families).groupBy("content_key").agg(F.sum("words").alias("n"), F.collect_set("line_key").alias("_gone"))
     totals = base.filter(~F.col("base_failed")).groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
     kept = totals.join(gone, "content_key", "left").filter(1 - F.coalesce("n", F.lit(0)) / F.col("all_words") >= min_left).select(F.col("content_key").alias("_content_key"), "_gone")
     rows = docs.withColumns({"_content_key": F.xxhash64(host, text), "_host": host}).join(kept, "_content_key")

@@ -60,3 +60,17 @@ def test_quality_stage_limits_lines_by_share_of_the_host(spark, sf):
             rows.append((len(rows), "\n".join([own(host, k), *having]), "en", host, 0))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id: r.text for r in corpus_pipeline.quality(spark, docs, sf).collect()} == want
+
+
+def test_quality_stage_leaves_families_of_near_copies(spark, sf):
+    """An original and 150 copies with two of ten lines changed stay whole for the next stage; a banner on them and on other texts goes."""
+    page = [" ".join(f"p{i}_{j}" for j in range(12)) for i in range(10)]
+    texts = ["\n".join(page)]
+    for k in range(150):
+        changed = {k % 10: f"only {k} here", (k // 10 + 1 + k) % 10: f"and {k} there"}
+        texts.append("\n".join(f"{x} {changed[i]}" if i in changed else x for i, x in enumerate(page)))
+    texts += ["\n".join(" ".join(f"o{k}_{i}_{j}" for j in range(12)) for i in range(6)) for k in range(100)]
+    banner = "read more about this host"
+    rows = [(k, f"{t}\n{banner}", "en", "h", 0) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id: r.text for r in corpus_pipeline.quality(spark, docs, sf).collect()} == dict(enumerate(texts))
