@@ -1,10 +1,12 @@
 """Token ids of whole texts by the tokenizers library, with each distinct piece encoded once per worker.
 
-A byte-level pre-tokenizer attaches one space to what follows it, so a text may be cut before
-every single space without changing its tokens; also around a line end between other
-characters, and between a letter and a full stop or comma. These pieces repeat; their ids are
-kept in the worker, and the library encodes the others, as the lines of one text. Texts with
-two spaces in a row or with a special token's string are encoded whole by the library.
+A byte-level pre-tokenizer attaches one space to what follows it, and looks past a run of white
+space only to decide whether its last character belongs to it. So a text may be cut before a
+space that follows a character other than white space without changing its tokens, but not
+inside a run of white space of whatever kinds; also around a line end between other characters,
+and between a letter and a full stop or comma. These pieces repeat; their ids are kept in the
+worker, and the library encodes the others, as the lines of one text. Texts with a special
+token's string or a NUL are encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are cut into pieces at a time.
 SLICE_BYTES = 4 << 20
+#: What a piece that is kept takes besides its characters and ids: its string, its place in the table.
+PIECE_BYTES = 180
 _WORKER: dict[tuple, PieceEncoder] = {}
 
 
@@ -41,7 +45,10 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-_SPACE = r"\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{1c}-\x{1f}"
+#: All that any pre-tokenizer may take for white space; taking more for it only means fewer cuts.
+_SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+_RUN = f"[{_SPACE}] "
+_BEFORE_SPACE = f"([^{_SPACE}]) "
 _LINE_END = f"([^{_SPACE}])\n([^{_SPACE}])"
 _STOP = r"([0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([.,])"
 _CUT = "\x00"
@@ -57,7 +64,7 @@ class Pieces:
     """
 
     def __init__(self, texts: pa.Array, specials: list[str]):
-        odd = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, _CUT))
+        odd = pc.match_substring(texts, _CUT)
         for special in specials:
             odd = pc.or_(odd, pc.match_substring(texts, special))
         self.whole: dict[int, str] = {}
@@ -67,7 +74,12 @@ class Pieces:
             texts = pc.if_else(odd, pa.scalar("", pa.large_string()), texts)
         texts = pc.replace_substring_regex(texts, _STOP, rf"\1{_CUT}\2")
         texts = pc.replace_substring_regex(texts, _LINE_END, f"\\1{_CUT}\n{_CUT}\\2")
-        cut = pc.split_pattern(pc.replace_substring(texts, " ", _CUT + " "), _CUT)
+        runs = pc.match_substring_regex(texts, _RUN)
+        spaced = pc.replace_substring(texts, " ", _CUT + " ")
+        if pc.any(runs).as_py():
+            careful = pc.replace_substring_regex(texts.filter(runs), _BEFORE_SPACE, f"\\1{_CUT} ")
+            spaced = pc.replace_with_mask(spaced, runs, careful)
+        cut = pc.split_pattern(spaced, _CUT)
         offsets = np.asarray(cut.offsets, dtype=np.int64)
         self.ends = offsets[1:] - offsets[0]
         found = cut.flatten().dictionary_encode()
@@ -76,9 +88,9 @@ class Pieces:
 
 
 class PieceEncoder:
-    """Encodes texts with the tokenizer at ``path``; at most about ``keep`` pieces stay in memory."""
+    """Encodes texts with the tokenizer at ``path``; pieces of at most about ``keep`` bytes stay in memory."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 96 << 20):
         self.library, self.keep = load_tokenizer(path), keep
         self.specials = [x.content for x in self.library.get_added_tokens_decoder().values()]
         self.spaced = np.zeros(self.library.get_vocab_size(), bool)
@@ -103,7 +115,7 @@ class PieceEncoder:
         self.table: dict[str, int] = {}
         self.flat = np.zeros(1 << 20, np.int32)
         self.starts, self.lengths = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int32)
-        self.slots = self.used = 0
+        self.slots = self.used = self.held = 0
         self._learn_apart(["", " ", "\n"])
         self.newline = self.flat[self.starts[2] : self.used].copy()
 
@@ -119,6 +131,7 @@ class PieceEncoder:
         self.table.update(zip(pieces, range(self.slots, self.slots + k), strict=True))
         self.used += n
         self.slots += k
+        self.held += 4 * n + PIECE_BYTES * k + sum(map(len, pieces))
 
     def _learn_apart(self, pieces: list[str]) -> None:
         found = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -165,7 +178,7 @@ class PieceEncoder:
 
     def encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
-        if self.slots > self.keep:
+        if self.held > self.keep:
             self._clear()
         p = Pieces(texts, self.specials)
         slots = self.slots_of(p.distinct)[p.codes]
@@ -182,7 +195,7 @@ class PieceEncoder:
 
     def count_slice(self, texts: pa.Array, frequent: dict[str, int]) -> np.ndarray:
         """Tokens of each text: pieces in ``frequent`` by that table, others by this worker's pieces."""
-        if self.slots > self.keep:
+        if self.held > self.keep:
             self._clear()
         p = Pieces(texts, self.specials)
         n = np.asarray([frequent.get(x, -1) for x in p.distinct], np.int64)

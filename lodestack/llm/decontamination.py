@@ -7,27 +7,35 @@ through it, and at each word the length of the longest match that ends there is
 window of its own, found on the chain of suffix links. Words that no item has reset the
 match, so only stretches of known words long enough for a window are walked.
 
-The automaton is built from items streamed to the driver and broadcast. It holds at most
-``max_words`` words; a larger benchmark is split over several automata, which pass over the
-documents one after another, their findings added up, so memory is bounded at any size.
-
-Defined results: null texts have no words. Null item ids hit but are not listed; repeated
-items count once. Every input row gives one row, also with null or repeated ids.
+Automata are built in tasks, from items dealt to about ``max_words`` words each, written to the
+shared folder and broadcast one at a time, so an automaton's size depends on that parameter
+alone. A larger benchmark has several automata, which pass over the documents one after another,
+their findings added up. An item longer than ``max_words`` is cut into parts that overlap by a
+window less a word, so that no window is lost.
+
+Defined results: null and empty texts have no words. Null item ids hit but are not listed;
+repeated items, and items whose ids have the same text, count once. Every document row gives one
+row, also with null or repeated ids of any type. Empty tables give an empty result, or no hits.
+Texts of any length are streamed whole, about two MB of texts at a time. Other columns of either
+table are ignored, or come back as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+import gc
+import pickle
 import re
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .bpe import text_slices
-from .shared import materialize
+from .shared import as_struct, fields_of, materialize, quoted
 from .shingles import word_hashes
 
 _WORD_BYTES = {*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -160,40 +168,71 @@ class ItemMatcher:
                 t = self.short_state[link[t]] if link[t] >= 0 else -1
 
 
-def _scan(batches, broadcast, columns: list[str]):
+def _matches(texts: pa.Array, matcher: ItemMatcher) -> tuple[list[int], list[list[list[int]]], list[set[int]]]:
+    """Of each text the number of words, the spans of hit words and the places of the items that occur."""
+    hashes, ends = word_hashes(texts, _NOT_WORD)
+    begins = np.concatenate([[0], ends[:-1]])
+    words = matcher.known(hashes)
+    # stretches of known words within one text
+    inside = np.concatenate([[False], words >= 0, [False]])
+    stops = np.zeros(len(words) + 1, bool)
+    stops[ends] = True
+    first = np.flatnonzero(inside[1:-1] & (~inside[:-2] | stops[:-1]))
+    last = np.flatnonzero(inside[1:-1] & (~inside[2:] | stops[1:])) + 1
+    long = last - first >= matcher.least
+    text_of = np.searchsorted(ends, first[long], side="right")
+    spans: list[list[list[int]]] = [[] for _ in range(len(texts))]
+    items: list[set[int]] = [set() for _ in range(len(texts))]
+    for a, b, k in zip(first[long].tolist(), last[long].tolist(), text_of.tolist(), strict=True):
+        matcher.walk(words[a:b].tolist(), a - int(begins[k]), spans[k], items[k])
+    return (ends - begins).tolist(), spans, items
+
+
+_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+
+
+def _scan(batches, broadcast, text_col: str | None, earlier: bool, max_coverage: float | None):
+    """Batches of (text or row, further columns); after an ``earlier`` automaton the last two columns have its findings.
+
+    Appends n_words, spans and items; with ``max_coverage`` instead returns the rows below it without their spans.
+    """
     matcher: ItemMatcher = broadcast.value
     for batch in batches:
+        column = batch.column(0)
+        whole = column if text_col is None else pc.struct_field(column, [column.type.get_field_index(text_col)])
         n_words: list[int] = []
         all_spans: list[list[list[int]]] = []
         all_items: list[list[str]] = []
-        for _, texts in text_slices(batch.column(0), 2 << 20):
-            hashes, ends = word_hashes(texts, _NOT_WORD)
-            begins = np.concatenate([[0], ends[:-1]])
-            words = matcher.known(hashes)
-            # stretches of known words within one text
-            inside = np.concatenate([[False], words >= 0, [False]])
-            stops = np.zeros(len(words) + 1, bool)
-            stops[ends] = True
-            first = np.flatnonzero(inside[1:-1] & (~inside[:-2] | stops[:-1]))
-            last = np.flatnonzero(inside[1:-1] & (~inside[2:] | stops[1:])) + 1
-            long = last - first >= matcher.least
-            text_of = np.searchsorted(ends, first[long], side="right")
-            spans: list[list[list[int]]] = [[] for _ in range(len(texts))]
-            items: list[set[int]] = [set() for _ in range(len(texts))]
-            for a, b, k in zip(first[long].tolist(), last[long].tolist(), text_of.tolist(), strict=True):
-                matcher.walk(words[a:b].tolist(), a - int(begins[k]), spans[k], items[k])
-            n_words += (ends - begins).tolist()
+        for _, texts in text_slices(whole, 2 << 20):
+            n, spans, items = _matches(texts, matcher)
+            n_words += n
             all_spans += spans
             all_items += [sorted({str(matcher.ids[k]) for k in x if matcher.ids[k] is not None}) for x in items]
-        if "spans" in columns:  # what earlier automata have found
-            at = columns.index("spans")
-            for k, (spans, items) in enumerate(zip(batch.column(at).to_pylist(), batch.column(at + 1).to_pylist(), strict=True)):
-                all_spans[k] = _merged([[x["first"], x["end"]] for x in spans] + all_spans[k])
-                all_items[k] = sorted({*items, *all_items[k]})
-        kept = [k for k, c in enumerate(columns) if c not in ("n_words", "spans", "items")]
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-        found = [pa.array(n_words, pa.int64()), pa.array([[{"first": a, "end": b} for a, b in x] for x in all_spans], kind), pa.array(all_items, pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *found], [*(columns[k] for k in kept), "n_words", "spans", "items"])
+        kept = list(batch.columns)
+        if earlier:
+            before, items_before = kept[-2:]
+            kept = kept[:-3]
+            for k in np.flatnonzero(np.asarray(pc.list_value_length(before))).tolist():
+                all_spans[k] = _merged([[x["first"], x["end"]] for x in before[k].as_py()] + all_spans[k])
+                all_items[k] = sorted({*items_before[k].as_py(), *all_items[k]})
+        if max_coverage is None:
+            found = [pa.array(n_words, pa.int64()), pa.array([[{"first": a, "end": b} for a, b in x] for x in all_spans], _SPANS), pa.array(all_items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*kept, *found], [*batch.schema.names[: len(kept)], "n_words", "spans", "items"])
+            continue
+        hit = [k for k, x in enumerate(all_spans) if x]
+        clean = [without_spans(whole[k].as_py(), all_spans[k]) for k in hit]
+        keep = np.ones(len(n_words), bool)
+        keep[hit] = [sum(b - a for a, b in all_spans[k]) <= max_coverage * n_words[k] for k in hit]
+        if hit:
+            change = np.zeros(len(n_words), bool)
+            change[hit] = True
+            whole = pc.replace_with_mask(whole, pa.array(change), pa.array(clean, whole.type))
+        fields = column.type
+        column = pa.StructArray.from_arrays([whole if f.name == text_col else pc.struct_field(column, [k]) for k, f in enumerate(fields)], fields=list(fields))
+        yield pa.RecordBatch.from_arrays([column], ["row"]).filter(pa.array(keep))
+        del whole, column, fields
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -206,36 +245,71 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def matchers(benchmark: DataFrame, window: int, max_words: int, item_col: str = "item_id", text_col: str = "text"):
-    """Automata over the items, each of at most about ``max_words`` words, from items streamed to the driver."""
+def _build(batches, window: int, max_words: int):
+    """Pickled matchers of the items of a task, each of at most about ``max_words`` words."""
     current = ItemMatcher(window)
-    for row in benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        hashes, _ = word_hashes(pa.array([row["t"] or ""], pa.large_string()), _NOT_WORD)
-        if current.words and current.words + len(hashes) > max_words:
-            yield current.finish()
-            current = ItemMatcher(window)
-        current.add(row["i"], hashes.tolist())
-    yield current.finish()
+    for batch in batches:
+        for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            hashes, _ = word_hashes(pa.array([text or ""], pa.large_string()), _NOT_WORD)
+            size = max(max_words, window)
+            for at in range(0, max(1, len(hashes) - window + 1), size):
+                part = hashes[at : at + size + window - 1].tolist()
+                if current.words and current.words + len(part) > max_words:
+                    yield pa.RecordBatch.from_pydict({"matcher": [pickle.dumps(current.finish())]}, schema=pa.schema([("matcher", pa.binary())]))
+                    current = ItemMatcher(window)
+                current.add(item_id, part)
+    if current.words:
+        yield pa.RecordBatch.from_pydict({"matcher": [pickle.dumps(current.finish())]}, schema=pa.schema([("matcher", pa.binary())]))
+
+
+def matchers(benchmark: DataFrame, window: int, max_words: int, item_col: str = "item_id", text_col: str = "text"):
+    """Automata over the items, one after another on the driver, each of at most about ``max_words`` words."""
+    items = benchmark.select(F.col(quoted(item_col)).alias("i"), F.col(quoted(text_col)).alias("t"))
+    words = F.size(F.split(F.coalesce("t", F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    tasks = max(1, -(-(items.agg(F.sum(words)).first()[0] or 0) // max_words))
+    dealt = items.coalesce(1) if tasks == 1 else items.repartition(tasks, F.xxhash64("i", "t"))
+    built = materialize(dealt.mapInArrow(partial(_build, window=window, max_words=max_words), "matcher binary"), "decontamination-automata")
+    some = False
+    for row in built.toLocalIterator():
+        some = True
+        yield pickle.loads(row["matcher"])
+    if not some:
+        yield ItemMatcher(window).finish()
+
+
+_FOUND = [
+    StructField("n_words", LongType()),
+    StructField("spans", ArrayType(StructType([StructField("first", LongType()), StructField("end", LongType())]))),
+    StructField("items", ArrayType(StringType())),
+]
+
+
+def _passes(rows: DataFrame, benchmark: DataFrame, window: int, max_words: int, item_col: str, text_col: str | None, max_coverage: float | None) -> DataFrame:
+    """All automata over ``rows``, one pass each; the last one removes spans if there is a ``max_coverage``."""
+    spark = rows.sparkSession
+    fields, found, last = rows.schema.fields, rows, None
+    automata = matchers(benchmark, window, max_words, item_col)
+    matcher = next(automata)
+    while matcher is not None:
+        following = next(automata, None)
+        shared, earlier = spark.sparkContext.broadcast(matcher), last is not None
+        final = following is None and max_coverage is not None
+        work = partial(_scan, broadcast=shared, text_col=text_col, earlier=earlier, max_coverage=max_coverage if final else None)
+        found = found.mapInArrow(work, StructType(fields if final else [*fields, *_FOUND]))
+        if following is not None:
+            found = materialize(found, "decontamination")
+            shared.destroy()
+        last, matcher = shared, following
+    return found
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", with_rows: bool = False
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
 ) -> DataFrame:
-    """(id, n_words, spans, items) of every row: hit stretches of words [first, end), and the ids of items with occurring windows.
-
-    ``with_rows`` keeps the document's whole row, as a struct ``row``, and its ``text``.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), *([F.struct(*docs.columns).alias("row")] if with_rows else []), F.col(id_col).alias("id"))
-    found = rows
-    for k, matcher in enumerate(matchers(benchmark, window, max_words, item_col)):
-        if k:
-            found = materialize(found, "decontamination")
-        columns = found.columns
-        kept = [c for c in rows.columns]
-        schema = ", ".join([*(f"`{c}` {found.schema[c].dataType.simpleString()}" for c in kept), "n_words long, spans array<struct<first:long,end:long>>, items array<string>"])
-        found = found.mapInArrow(partial(_scan, broadcast=spark.sparkContext.broadcast(matcher), columns=columns), schema)
-    return found if with_rows else found.select(F.col("id").alias(id_col), "n_words", "spans", "items")
+    """(id, n_words, spans, items) of every row: hit stretches of words [first, end), and the ids of items with occurring windows."""
+    rows = docs.select(F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"), F.col(quoted(id_col)).alias("id"))
+    found = _passes(rows, benchmark, window, max_words, item_col, None, None)
+    return found.select(F.col("id").alias(id_col), "n_words", "spans", "items")
 
 
 def hit_words(spans="spans"):
@@ -243,29 +317,24 @@ def hit_words(spans="spans"):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
 
 
-def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    out = []
-    for text, found in zip(texts, spans, strict=True):
-        if found is None or not len(found):
-            out.append(text)
-            continue
-        words = [m.span() for m in _WORD.finditer(text)]
-        parts, at = [], 0
-        for x in found:
-            parts.append(text[at : words[x["first"]][0]])
-            at = words[x["end"] - 1][1]
-        parts.append(text[at:])
-        out.append(re.sub(r"[ \t]{2,}", " ", "".join(parts)).strip())
-    return pd.Series(out)
+def without_spans(text: str, spans: list[list[int]]) -> str:
+    """``text`` without the stretches of words, and with one blank where several then meet."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    parts, at = [], 0
+    for first, end in spans:
+        parts.append(text[at : words[first][0]])
+        at = words[end - 1][1]
+    parts.append(text[at:])
+    return re.sub(r"[ \t]{2,}", " ", "".join(parts)).strip()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, **names) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, max_words: int = 200_000, text_col: str = "text", item_col: str = "item_id"
+) -> DataFrame:
     """The documents with hit spans removed; those of which more than ``max_coverage`` of the words are hit are dropped.
 
-    Documents without a hit come back as they are, with their own columns.
+    Documents without a hit come back as they are, with their own columns. Rows pass through
+    Python once per automaton, as one struct with one copy of the text.
     """
-    text_col = names.get("text_col", "text")
-    found = contamination(docs, benchmark, window, with_rows=True, **names)
-    found = found.filter(hit_words() <= max_coverage * F.greatest("n_words", F.lit(1)))
-    clean = F.when(F.size("spans") == 0, F.col(f"row.{text_col}")).otherwise(F.pandas_udf(_without, "string")("text", "spans"))
-    return found.select(*(clean.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    rows = docs.select(as_struct(docs.columns, "row"))
+    return _passes(rows, benchmark, window, max_words, item_col, text_col, max_coverage).select(*fields_of("row", docs.columns))

@@ -12,7 +12,7 @@ BLOCKS = frozenset(
 )
 #: Elements whose content is not text of the page.
 SKIPPED = frozenset("script style noscript template iframe object svg math head title textarea select canvas audio video noframes".split())
-SECTIONS = frozenset("article aside footer form header main nav section body table".split())
+SECTIONS = frozenset("article aside footer form header main nav section table".split())
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
     "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
@@ -30,6 +30,7 @@ class Block:
     tags: frozenset[str]
     names: frozenset[str]
     sections: tuple[str, ...]
+    outer: frozenset[str]  # the names around the innermost article
     linked: int
 
 
@@ -38,20 +39,31 @@ def _tokens(attributes: str) -> frozenset[str]:
     return frozenset(x.lower() for names in found for x in _TOKEN.findall(names))
 
 
-def leaf_blocks(html: str) -> list[Block]:
-    """The page's runs of text between block elements, white space folded and references decoded; empty ones are left out."""
+def leaf_blocks(html: str, known: frozenset[str] | None = None) -> list[Block]:
+    """The page's runs of text between block elements, white space folded and references decoded; empty ones are left out.
+
+    Elements may be nested to any depth. With ``known`` only those names are told, so that what
+    an open element holds does not grow with the names around it.
+    """
     blocks: list[Block] = []
-    # open elements: name, tags around and with it, names around and with it, sections
-    stack: list[tuple[str, frozenset[str], frozenset[str], tuple[str, ...]]] = [("", frozenset(), frozenset(), ())]
+    # open elements: name, tags around and with it, names around and with it, sections, names around the innermost article
+    stack: list[tuple[str, frozenset[str], frozenset[str], tuple[str, ...], frozenset[str]]] = [("", frozenset(), frozenset(), (), frozenset())]
+    count: dict[str, int] = {}  # open elements by name
     parts: list[str] = []
     links = linked = 0
 
+    def close(k: int) -> None:
+        """Close the open elements from number k on."""
+        for name, *_ in stack[k:]:
+            count[name] -= 1
+        del stack[k:]
+
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            tag, tags, names, sections = stack[-1]
-            blocks.append(Block(text, tag, tags, names, sections, linked))
+            tag, tags, names, sections, outer = stack[-1]
+            blocks.append(Block(text, tag, tags, names, sections, outer, linked))
         parts.clear()
         linked = 0
 
@@ -94,25 +106,26 @@ def leaf_blocks(html: str) -> list[Block]:
         elif closing:
             flush()
             links = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if count.get(name):
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
         else:
             flush()
             links = 0
             if stack[-1][0] == "p":
-                stack.pop()
-            if name in _CLOSES:
+                close(len(stack) - 1)
+            if any(map(count.get, _CLOSES.get(name, ()))):
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] in _SCOPE.get(name, ()):
                         break
                     if stack[k][0] in _CLOSES[name]:
-                        del stack[k:]
+                        close(k)
                         break
-            if name != "hr" and len(stack) < 512:
-                _, tags, names, sections = stack[-1]
+            if name != "hr":
+                _, tags, names, sections, outer = stack[-1]
                 own = _tokens(m[3] or m[6] or "")
-                stack.append((name, tags | {name}, names | own if own else names, (*sections[-1:], name) if name in SECTIONS else sections))
+                if known is not None:
+                    own &= known
+                count[name] = count.get(name, 0) + 1
+                stack.append((name, tags if name in tags else tags | {name}, names if own <= names else names | own, (*sections[-1:], name) if name in SECTIONS else sections, names if name == "article" else outer))
     flush()
     return blocks

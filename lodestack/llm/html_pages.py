@@ -78,11 +78,12 @@ class PageMaker:
         return self.part(["div", "section"], FORM_NAMES, inner)
 
     def comments(self):
-        each = lambda: self.r.choice([f"<p>{self.sentences(self.r.randint(1, 5))}</p>", f"<div><b>{self.words(1, 2)}</b> {self.sentences(2)}</div>", f"<h4>{self.words(1, 2)}</h4><p>{self.sentences(3)}</p>"])
-        inner = self.r.choice(["<h2>Comments</h2>", f"<h3>{self.words(1, 3)}</h3>", ""])
-        for _ in range(self.r.randint(1, 5)):
-            inner += self.r.choice([f'<div class="comment">{each()}</div>', f"<li>{each()}</li>", each(), f'<article class="comment">{each()}</article>'])
-        return self.part(["section", "div", "ol", "ul", "aside"], COMMENT_NAMES, inner)
+        each = lambda: self.r.choice([f"<p>{self.sentences(self.r.randint(1, 5))}</p>", f"<div><b>{self.words(1, 2)}</b> {self.sentences(2)}</div>", f"<h4>{self.words(1, 2)}</h4><p>{self.sentences(3)}</p>", f"<header><h1>{self.words(1, 2)}</h1></header><p>{self.sentences(4)}</p>"])
+        inner = self.r.choice(["<h2>Comments</h2>", f"<h3>{self.words(1, 3)}</h3>", "", ""])
+        # one kind of element for all comments of a page, often such as articles have
+        begin, end = self.r.choice([('<div class="comment">', "</div>"), ("<li>", "</li>"), ("", ""), ('<article class="comment">', "</article>"), ("<article>", "</article>"), ("<article>", "</article>"), ("<article><div>", "</div></article>"), ("<section>", "</section>"), ('<div class="comment-body"><article>', "</article></div>")])
+        inner += "".join(begin + each() + end for _ in range(self.r.choice([1, 1, 1, 2, 3, 5])))
+        return self.part(["section", "div", "div", "ol", "ul", "aside"], COMMENT_NAMES, inner)
 
     def paragraph(self) -> str:
         text = self.sentences(self.r.choice([1, 1, 2, 3, 5, 8]))
@@ -105,16 +106,54 @@ class PageMaker:
         for _ in range(self.r.choice([0, 0, 0, 1, 2])):
             body.insert(self.r.randint(1, len(body)), self.r.choice([self.advert, self.notice, self.form, self.side, self.comments])())
         begin, end = self.r.choice([("<article>", "</article>")] * 4 + [("<main>", "</main>"), ("<main><article>", "</article></main>"), ("", "")] + [(self.named(t, ARTICLE_NAMES), f"</{t}>") for t in ("div", "div", "div", "section", "article")])
+        if self.r.random() < 0.2:
+            begin, end = self.named("div", ARTICLE_NAMES) + begin, end + "</div>"
         return [(begin, -1), *body, (end, -1)]
 
-    def page(self) -> list[tuple[str, int]]:
+    def sectioned(self) -> list[tuple[str, int]]:
+        """A page whose parts have names or section elements."""
         before = [f() for f in (self.notice, self.header, self.menu, self.advert, self.side, self.form) if self.r.random() < 0.4]
-        after = [f() for f in (self.side, self.comments, self.form, self.advert, self.notice, self.menu, self.footer) if self.r.random() < 0.4]
+        after = [f() for f in (self.side, self.comments, self.comments, self.form, self.advert, self.notice, self.menu, self.footer) if self.r.random() < 0.4]
         self.r.shuffle(before)
         return [*before, *self.article(), *after]
 
+    def prose(self) -> list[tuple[str, int]]:
+        """An article of a heading and paragraphs, where no name tells it from the rest."""
+        body = [(f"<h{self.r.randint(1, 3)}>{self.words(2, 10)}</h{self.r.randint(1, 3)}>", 1)] if self.r.random() < 0.8 else []
+        texts = [self.sentences(self.r.randint(1, 8)) for _ in range(self.r.randint(1, 10))]
+        return body + [(self.r.choice([f"<p>{x}</p>"] * 4 + [f"<div>{x}</div>", f"<blockquote>{x}</blockquote>", f"<div><p>{x}</p></div>"]), 1) for x in texts]
+
+    def row_of_links(self) -> str:
+        return self.r.choice([" | ", " ", "</p><p>", "<br>"]).join(self.link() for _ in range(self.r.randint(1, 8)))
+
+    def plain(self) -> list[tuple[str, int]]:
+        """A page of nothing but div, p and headings: rows of links and a last line around the article."""
+        wrap = lambda x, label: (self.r.choice(["<div>{}</div>", "<div><p>{}</p></div>", "<p>{}</p>", "<div><div>{}</div></div>"]).format(x), label)
+        before = [wrap(self.row_of_links(), 0) for _ in range(self.r.choice([0, 1, 1, 2]))]
+        after = [wrap(self.row_of_links(), 0) for _ in range(self.r.choice([0, 0, 1, 2]))]
+        if self.r.random() < 0.5:
+            after.append(wrap(self.r.choice([f"&copy; 2024 {self.words(1, 4)}", f"&copy; {self.words(1, 3)} {self.link()}"]), 0))
+        depth = self.r.choice([0, 1, 1, 2])
+        return [*before, ("<div>" * depth, -1), *self.prose(), ("</div>" * depth, -1), *after]
+
+    def tabled(self) -> list[tuple[str, int]]:
+        """A page laid out as a table: links in a row above or a cell beside, the article in another cell."""
+        attributes = self.r.choice(["", " width=100%", ' border="0" cellpadding="0"'])
+        links, side = (f"<td>{self.row_of_links()}</td>", 0), self.r.random() < 0.7
+        rows = [("<table" + attributes + ">", -1)]
+        if self.r.random() < 0.5:
+            rows += [("<tr>", -1), (f"<td colspan=2>{self.r.choice([self.row_of_links(), self.row_of_links(), self.words(1, 3)])}</td>", 0), ("</tr>", -1)]
+        first = self.r.random() < 0.7
+        rows += [("<tr>", -1), *([links] if side and first else []), ("<td>", -1), *self.prose(), ("</td>", -1), *([links] if side and not first else []), ("</tr>", -1)]
+        if self.r.random() < 0.5:
+            rows += [("<tr>", -1), (f"<td colspan=2>&copy; {self.words(1, 4)}</td>", 0), ("</tr>", -1)]
+        return [*rows, ("</table>", -1)]
+
+    def page(self) -> list[tuple[str, int]]:
+        return self.r.choices([self.sectioned, self.plain, self.tabled], [6, 1, 1])[0]()
+
 
-def labelled_pages(n: int = 600, seed: int = 5) -> list[tuple[str, list[int]]]:
+def labelled_pages(n: int = 1200, seed: int = 5) -> list[tuple[str, list[int]]]:
     """(html, label of each leaf block) of ``n`` pages."""
     from .html_blocks import leaf_blocks
 

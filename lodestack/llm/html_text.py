@@ -8,7 +8,10 @@ best sequence, found by Viterbi. The model is small and fixed in size, and trave
 task; pages are independent rows, so there is no shuffle.
 
 Defined results: null and empty pages, and pages without article blocks, give an empty text.
-Every row gives one row, whatever its id.
+Every row gives one row, whatever its id; repeated rows give equal texts. Of two labellings that
+are equally probable the one with "other" earlier is taken. Pages of any length, and elements
+nested to any depth, are read whole, one page at a time. An empty table gives an empty result.
+Other input columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,19 +26,28 @@ from pyspark.sql import functions as F
 from .html_blocks import Block, leaf_blocks
 
 
+_NAMED_SECTIONS = frozenset("article aside footer form header main nav section".split())
+
+
 def features(block: Block) -> list[str]:
     text, n = block.text, block.text.count(" ") + 1
     last = text[-1]
+    link = 3 * block.linked // max(1, len(text)) if block.linked else -1
+    bare = not block.names and not _NAMED_SECTIONS.intersection(block.tags)
     return [
         "all",
         f"tag:{block.tag}",
         f"words:{min(6, n.bit_length())}",
-        f"link:{3 * block.linked // max(1, len(text)) if block.linked else -1}",
+        f"link:{link}",
         f"end:{'stop' if last in '.!?' else 'other'}",
         f"sections:{'/'.join(block.sections)}",
         *(["copyright"] if "©" in text else []),
+        # where neither names nor sections tell anything, the text alone must
+        *([f"bare:{link}:{min(4, n.bit_length())}", f"bare:{block.tag}", f"bare:{'©' in text}"] if bare else []),
         *(f"in:{x}" for x in block.tags),
         *(f"name:{x}" for x in block.names),
+        *(f"outer:{x}" for x in block.outer),
+        *(["outer"] if block.outer else []),
     ]
 
 
@@ -63,6 +75,7 @@ class BlockField:
     def finish(self) -> BlockField:
         self._rows = {f: tuple(self.weights[k].tolist()) for f, k in self.names.items()}
         self._pairs = self.pairs.tolist()
+        self.known = frozenset(f.removeprefix("name:") for f in self.names if f.startswith("name:"))
         return self
 
     def decode(self, blocks: list[Block]) -> list[int]:
@@ -87,7 +100,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def train_field(pages: list[tuple[str, list[int]]], epochs: int = 120, rate: float = 0.1, decay: float = 2e-3, min_pages: int = 3) -> BlockField:
+def train_field(pages: list[tuple[str, list[int]]], epochs: int = 120, rate: float = 0.1, decay: float = 5e-4, min_pages: int = 3) -> BlockField:
     """Fit a field on (html, labels of its leaf blocks)."""
     data = [([features(b) for b in leaf_blocks(html)], labels) for html, labels in pages]
     data = [(x, y) for x, y in data if x]
@@ -131,7 +144,7 @@ def train_field(pages: list[tuple[str, list[int]]], epochs: int = 120, rate: flo
 
 
 def main_text(html: str, field: BlockField) -> str:
-    blocks = leaf_blocks(html)
+    blocks = leaf_blocks(html, field.known)
     return "\n".join(b.text for b, label in zip(blocks, field.decode(blocks), strict=True) if label)
 
 

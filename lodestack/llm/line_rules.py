@@ -3,23 +3,26 @@
 Everything here is DataFrame expressions; no Python runs on executors.
 
 The cross-document rule: each line with a word is normalised (case, white space) and hashed
-together with its host. A line's frequency is the number of *different* texts of that host
-that hold it, so plain copies of one text count once and are left for the near-duplicate
-stage. Lines above the limit are removed; a document that keeps less than ``min_left`` of
-its words is depleted and is rejected. The limit is ``max_texts``, or with ``max_percent``
-the larger of ``max_texts`` and that share of all different texts of the host, so that it
-means the same on hosts of any size and ``max_texts`` is only a floor for tiny ones.
-
-With ``families`` near copies count once too, as they are the near-duplicate stage's work: a
-text of whose words more than half lie in frequent lines is counted with the texts that
-have the same least key among those lines. Copies that share most of their lines have few
-different least keys, however many the copies are, so a family's own lines stay, while
+together with its host. A line's frequency is the number of documents of that host that hold
+it, however often each does. Lines above the limit are removed; a document that keeps less than
+``min_left`` of its words is depleted and is rejected. The limit is ``max_documents``, or with
+``max_percent`` the larger of ``max_documents`` and that share of all documents of the host, so
+that it means the same on hosts of any size and ``max_documents`` is only a floor for tiny ones.
+
+Equal texts of a host are gathered to one row with the number of their documents before
+anything is joined, so a text of which there are many copies makes no key hot.
+
+With ``families`` copies and near copies count once, for pipelines in which a near-duplicate
+stage follows: a text of whose words more than half lie in frequent lines is counted with the
+texts that have the same least key among those lines. Copies that share most of their lines
+have few different least keys, however many the copies are, so a family's own lines stay, while
 boilerplate is still counted in the texts of which it is the smaller part.
 
 Defined results: a null or empty text has no words and fails the base rules. A null host is
-a host of its own. Rows may repeat, and ids may be null: every input row gives one output
-row, as verdicts are joined by host and text and not by id. An empty table gives an empty
-result. Other input columns are ignored, whatever their names.
+a host of its own. Rows may repeat, and ids may be null and of any type: every input row is a
+document and gives one output row, as verdicts are joined by host and text and not by id. An
+empty table gives an empty result. Texts of any length are counted whole. Other input columns
+are ignored, or come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,15 +30,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import as_struct, fields_of, materialize, quoted
 
 #: The six characters that part words.
 BLANKS = " \t\n\x0b\x0c\r"
-#: The pipeline's limit: a line is frequent in more than this share of a host's texts, and in more than so many.
+#: The limit in use: a line is frequent in more than this share of a host's documents, and in more than so many.
 HOST_PERCENT, HOST_FLOOR = 5, 10
 _PART = r"[\x20\x09-\x0D]+"
 
 
+def _text_and_host(text_col: str, host_col: str) -> tuple[Column, Column]:
+    return F.coalesce(F.col(quoted(text_col)), F.lit("")), F.coalesce(F.concat(F.lit("h"), F.col(quoted(host_col))), F.lit("-"))
+
+
 def words_of(text: Column) -> Column:
     """The words of ``text``, an empty array if there are none."""
     bare = F.btrim(text, F.lit(BLANKS))
@@ -72,14 +79,13 @@ def _lines(text: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Per row: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, content_key and host_key."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
-    rows = docs.select(F.col(id_col), text.alias("t"), F.xxhash64(host, text).alias("content_key"), F.xxhash64(host).alias("host_key"))
+    """Per row: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, content_key and host_key."""
+    text, host = _text_and_host(text_col, host_col)
+    rows = docs.select(F.col(quoted(id_col)).alias("id"), text.alias("t"), F.xxhash64(host, text).alias("content_key"), F.xxhash64(host).alias("host_key"))
     rows = rows.withColumn("w", words_of(F.col("t")))
     lines = F.get(F.transform(F.array(_lines(F.col("t"))), lambda x: F.size(x) - F.size(F.array_distinct(x))), F.lit(0))
     rows = rows.select(
-        id_col,
+        "id",
         "content_key",
         "host_key",
         F.size("w").cast("long").alias("n_words"),
@@ -94,8 +100,7 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def line_rows(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(line_key, content_key, words, host_key): the words that each line takes up in each text of a host, copies of the text summed."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
+    text, host = _text_and_host(text_col, host_col)
     rows = docs.select(host.alias("host"), text.alias("t"), F.xxhash64(host, text).alias("content_key"))
     rows = rows.select("host", "content_key", F.explode(_lines(F.col("t"))).alias("line"))
     w = words_of(F.lower("line"))
@@ -104,25 +109,26 @@ def line_rows(docs: DataFrame, text_col: str = "text", host_col: str = "source")
     return rows.groupBy("line_key", "content_key").agg(F.sum("n").alias("words"), F.min("host_key").alias("host_key"))
 
 
-def _above(counts: DataFrame, base: DataFrame, max_texts: int, max_percent: int | None) -> DataFrame:
-    """The rows of ``counts`` (line_key, texts, host_key) above the limit; only hosts large enough to raise it are joined."""
-    counts = counts.filter(F.col("texts") > max_texts)
+def _above(counts: DataFrame, hosts: DataFrame, max_documents: int, max_percent: int | None) -> DataFrame:
+    """The rows of ``counts`` (line_key, n, host_key) above the limit, with ``hosts`` (host_key, size); only hosts large enough to raise it are joined."""
+    counts = counts.filter(F.col("n") > max_documents)
     if max_percent is None:
         return counts
-    hosts = base.select("host_key", "content_key").distinct().groupBy("host_key").agg(F.count("*").alias("host_texts"))
-    large = hosts.filter(F.col("host_texts") * max_percent > 100 * max_texts)
-    return counts.join(large, "host_key", "left").filter(100 * F.col("texts") > max_percent * F.coalesce("host_texts", F.lit(0)))
+    large = hosts.filter(F.col("size") * max_percent > 100 * max_documents)
+    return counts.join(large, "host_key", "left").filter(100 * F.col("n") > max_percent * F.coalesce("size", F.lit(0)))
 
 
-def frequent_lines(lines: DataFrame, base: DataFrame, max_texts: int, max_percent: int | None = None) -> DataFrame:
-    """(line_key, texts) of the lines that more different texts of a host hold than the limit."""
-    counts = lines.groupBy("line_key").agg(F.count("*").alias("texts"), F.max("words").alias("most"), F.min("host_key").alias("host_key"))
-    return _above(counts.filter(F.col("most") > 0), base, max_texts, max_percent).select("line_key", "texts")
+def frequent_lines(lines: DataFrame, base: DataFrame, max_documents: int, max_percent: int | None = None) -> DataFrame:
+    """(line_key, n) of the lines that more documents of a host hold than the limit."""
+    copies = base.groupBy("content_key").agg(F.count("*").alias("copies")).filter("copies > 1")
+    counts = lines.join(copies, "content_key", "left").groupBy("line_key").agg(F.sum(F.coalesce("copies", F.lit(1))).alias("n"), F.max("words").alias("most"), F.min("host_key").alias("host_key"))
+    hosts = base.groupBy("host_key").agg(F.count("*").alias("size"))
+    return _above(counts.filter(F.col("most") > 0), hosts, max_documents, max_percent).select("line_key", "n")
 
 
-def lines_to_remove(lines: DataFrame, base: DataFrame, max_texts: int, max_percent: int | None = None, families: bool = False) -> DataFrame:
+def lines_to_remove(lines: DataFrame, base: DataFrame, max_documents: int, max_percent: int | None = None, families: bool = False) -> DataFrame:
     """(line_key, content_key, words) of the lines above the limit in each text."""
-    hits = lines.join(frequent_lines(lines, base, max_texts, max_percent), "line_key").select("line_key", "content_key", "words", "host_key")
+    hits = lines.join(frequent_lines(lines, base, max_documents, None if families else max_percent), "line_key").select("line_key", "content_key", "words", "host_key")
     if not families:
         return hits.drop("host_key")
     hits = materialize(hits, "line-rules-hits")
@@ -130,34 +136,35 @@ def lines_to_remove(lines: DataFrame, base: DataFrame, max_texts: int, max_perce
     texts = hits.groupBy("content_key").agg(F.sum("words").alias("n"), F.min("line_key").alias("family"))
     mostly = texts.join(totals, "content_key").filter(2 * F.col("n") > F.col("all_words")).select("content_key", "family")
     counted = hits.join(mostly, "content_key", "left").select("line_key", "host_key", F.coalesce("family", "content_key").alias("family")).distinct()
-    counts = counted.groupBy("line_key").agg(F.count("*").alias("texts"), F.min("host_key").alias("host_key"))
-    return hits.join(_above(counts, base, max_texts, max_percent).select("line_key"), "line_key").select("line_key", "content_key", "words")
+    counts = counted.groupBy("line_key").agg(F.count("*").alias("n"), F.min("host_key").alias("host_key"))
+    hosts = base.select("host_key", "content_key").distinct().groupBy("host_key").agg(F.count("*").alias("size"))
+    return hits.join(_above(counts, hosts, max_documents, max_percent).select("line_key"), "line_key").select("line_key", "content_key", "words")
 
 
 def quality_rules(
     docs: DataFrame,
-    max_texts: int = 100,
+    max_documents: int = HOST_FLOOR,
     min_left: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    max_percent: int | None = None,
+    max_percent: int | None = HOST_PERCENT,
     families: bool = False,
 ) -> DataFrame:
     """Base counts and verdict of every row: kept is false if the base rules fail or the document is depleted.
 
-    Hot lines and hot texts are counted before they are shuffled, and the two joins are on
+    Hot lines and hot texts are counted before they are shuffled, and the joins are on
     keys with counts on one side, which adaptive execution may split or broadcast by
     measured size.
     """
     base = materialize(base_counts(docs, id_col, text_col, host_col), "line-rules-base")
     lines = line_rows(docs, text_col, host_col)
-    removed = lines_to_remove(lines, base, max_texts, max_percent, families).groupBy("content_key").agg(F.sum("words").alias("gone"))
+    removed = lines_to_remove(lines, base, max_documents, max_percent, families).groupBy("content_key").agg(F.sum("words").alias("gone"))
     totals = base.groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
     left = totals.join(removed, "content_key").select("content_key", (1 - F.col("gone") / F.col("all_words")).alias("left"))
     judged = base.join(left, "content_key", "left").withColumn("left_share", F.coalesce("left", F.lit(1.0)))
     return judged.select(
-        id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("left_share") >= min_left)).alias("kept"),
         "left_share",
     )
@@ -165,27 +172,28 @@ def quality_rules(
 
 def apply_quality_rules(
     docs: DataFrame,
-    max_texts: int = 100,
+    max_documents: int = HOST_FLOOR,
     min_left: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    max_percent: int | None = None,
+    max_percent: int | None = HOST_PERCENT,
     families: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, without their lines above the limit.
 
     A text without such lines is returned as it is. The lines to take out are gathered per
-    text, at most as many as the text has; texts move once, to meet their verdicts.
+    text, at most as many as the text has; rows move once, to meet their verdicts.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit("-"))
+    text, host = _text_and_host(text_col, host_col)
     base = materialize(base_counts(docs, id_col, text_col, host_col), "line-rules-base")
     lines = line_rows(docs, text_col, host_col)
-    gone = lines_to_remove(lines, base, max_texts, max_percent, families).groupBy("content_key").agg(F.sum("words").alias("n"), F.collect_set("line_key").alias("_gone"))
+    gone = lines_to_remove(lines, base, max_documents, max_percent, families).groupBy("content_key").agg(F.sum("words").alias("n"), F.collect_set("line_key").alias("gone"))
     totals = base.filter(~F.col("base_failed")).groupBy("content_key").agg(F.sum("n_words").alias("all_words"))
-    kept = totals.join(gone, "content_key", "left").filter(1 - F.coalesce("n", F.lit(0)) / F.col("all_words") >= min_left).select(F.col("content_key").alias("_content_key"), "_gone")
-    rows = docs.withColumns({"_content_key": F.xxhash64(host, text), "_host": host}).join(kept, "_content_key")
-    key = lambda line: F.xxhash64(F.col("_host"), F.array_join(words_of(F.lower(line)), " "))
-    left = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda line: ~F.array_contains("_gone", key(line))), "\n")
-    return rows.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)).select(*docs.columns)
+    kept = totals.join(gone, "content_key", "left").filter(1 - F.coalesce("n", F.lit(0)) / F.col("all_words") >= min_left).select("content_key", "gone")
+    rows = docs.select(as_struct(docs.columns, "row"), F.xxhash64(host, text).alias("content_key"), host.alias("host")).join(kept, "content_key")
+    old = F.col("row").getField(text_col)
+    key = lambda line: F.xxhash64(F.col("host"), F.array_join(words_of(F.lower(line)), " "))
+    left = F.array_join(F.filter(F.split(old, "\n", -1), lambda line: ~F.array_contains("gone", key(line))), "\n")
+    new = F.when(F.col("gone").isNull(), old).otherwise(left).alias(text_col)
+    return rows.select(*(new if c == text_col else field for c, field in zip(docs.columns, fields_of("row", docs.columns), strict=True)))

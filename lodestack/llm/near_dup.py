@@ -11,19 +11,27 @@ need. With 20 bands of 4 a pair of similarity s shares a table with probability
    values of both collections are paired into table keys.
 3. Every node is compared with the most popular node that it shares a table with, which for a
    group of copies is near their original: a row per node, however large the tables. Links
-   are confirmed on full shingle sets of the texts.
-4. Where nodes that share a table are still apart, the groups they are in so far meet in full:
-   groups that shared tables connect are dealt to blocks of about ``BLOCK_SHINGLES`` shingles,
-   and each pair of blocks is compared exactly by an inverted index over its shingles. A task
-   holds two blocks and returns a spanning set of links, never all pairs.
+   are confirmed on full shingle sets of the texts. An original that very many nodes are compared
+   with is dealt to several tasks.
+4. Where nodes that share a table are still apart, the nodes of such tables meet in full: the
+   groups that these tables connect form a family, which is dealt to blocks of about
+   ``BLOCK_SHINGLES`` shingles, and each pair of blocks is compared exactly by an inverted index
+   over its shingles. A task holds two blocks and returns a spanning set of links, never all
+   pairs. Of a family of more than one block only nodes take part that can have a link to
+   another group at all: at least the threshold's share of their shingles must occur in another
+   group of the family. This is counted per shingle, in rows that grow with the texts and not
+   with their pairs, and leaves out texts that share no more than boilerplate.
 
 A group that step 3 has joined needs no further rows, so copies cost rows in proportion to
-their number; step 4 costs a row per node and block of an open group. Components come from
-alternating stars. Nothing but counts reaches the driver.
+their number; step 4 costs a row per block for each node that is left in an open family.
+Components come from alternating stars. Nothing but counts reaches the driver.
 
 Defined results: null and empty texts have no shingles, link with nothing and are kept. A row
-without id links with nothing: its component is null and it is kept. Rows with equal ids and
-texts give equal rows; of equal ids all have the component of their own text.
+without id links with nothing: its component is null and it is kept. Ids may be of any type that
+has an order. Rows with equal ids and texts give equal rows; of equal ids with several texts each
+row has the component of its own text, and filtering keeps a row for each. An empty table gives
+an empty result. Texts of any length are compared whole; memory grows with the longest text and
+its shingles. Other input columns are ignored, or come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,14 +42,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .bpe import text_slices
 from .components import connected_components
-from .shared import materialize
+from .shared import as_struct, fields_of, materialize, quoted
 from .shingles import coefficients, mixed, shingle_sets
 
 SIDE, ROWS = 20, 4
 BLOCK_SHINGLES = 600_000
+FOLLOWERS = 256
 
 
 def minhashes(sets: list[np.ndarray], count: int) -> np.ndarray:
@@ -88,10 +98,8 @@ def _signatures(batches, width: int, side: int, rows: int):
 
 def shingle_signatures(docs: DataFrame, width: int = 5, side: int = SIDE, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, node, bands) of every row; ``node`` is the hash of the whole set."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        partial(_signatures, width=width, side=side, rows=rows), f"id {kind}, n_shingles long, node long, bands array<long>"
-    )
+    schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("n_shingles", LongType()), StructField("node", LongType()), StructField("bands", ArrayType(LongType()))])
+    return docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("t")).mapInArrow(partial(_signatures, width=width, side=side, rows=rows), schema)
 
 
 def shared_tables(nodes: DataFrame, side: int = SIDE) -> DataFrame:
@@ -103,6 +111,7 @@ def shared_tables(nodes: DataFrame, side: int = SIDE) -> DataFrame:
         F.collect_list(F.when(F.col("place") >= side, F.col("value"))).alias("right"),
         F.sum("n").alias("popular"),
     )
+    sides = materialize(sides, "near-dup-bands")
     rows = sides.select("node", "popular", F.explode("left").alias("l"), "right").select("node", "popular", "l", F.explode("right").alias("r"))
     return rows.select(F.xxhash64("l", "r").alias("key"), "node", "popular")
 
@@ -130,9 +139,14 @@ def _confirmed(batches, width: int, percent: int):
 
 
 def confirm_links(pairs: DataFrame, texts: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts' full sets have a similarity of ``percent`` or more."""
-    right = pairs.join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-    both = right.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
+    """The pairs (a, b) of nodes whose texts' full sets have a similarity of ``percent`` or more.
+
+    A node ``a`` with more than ``FOLLOWERS`` partners is dealt to as many tasks as that takes.
+    """
+    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / FOLLOWERS).cast("int").alias("tasks"))
+    left = texts.select(F.col("node").alias("a"), F.col("t").alias("ta")).join(counts, "a").select("a", "ta", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
+    right = pairs.join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b").join(counts, "a").select("a", "b", "tb", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int").alias("task"))
+    both = right.join(left, ["a", "task"])
     return both.select("a", "b", "ta", "tb").sortWithinPartitions("a").mapInArrow(partial(_confirmed, width=width, percent=percent), "a long, b long")
 
 
@@ -178,6 +192,25 @@ def _block_links(table: pa.Table, width: int, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def _shingles(batches, width: int):
+    """(node, shingle) of rows (node, text)."""
+    for batch in batches:
+        for at, texts in text_slices(batch.column(1), 1 << 20):
+            sets = shingle_sets(texts, width)
+            sizes = np.asarray([len(x) for x in sets], np.int64)
+            node = np.repeat(np.asarray(batch.column(0).slice(at, len(texts))), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(_signed(np.concatenate(sets)))], ["node", "shingle"])
+
+
+def able_to_link(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The rows of ``groups`` of whose shingles ``percent`` or more occur in another root of their family; no other row can have a link there."""
+    rows = texts.join(groups.select("node"), "node", "left_semi").select("node", "t").mapInArrow(partial(_shingles, width=width), "node long, shingle long")
+    rows = rows.join(groups.select("node", "root", "family"), "node")
+    across = rows.groupBy("family", "shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("family", "shingle")
+    shared = rows.join(across, ["family", "shingle"]).groupBy("node").agg(F.count("*").alias("shared"))
+    return groups.join(shared, "node").filter(100 * F.col("shared") >= percent * F.col("n_shingles")).select(*groups.columns)
+
+
 def links_across(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between nodes of different roots within each set of groups that may belong together.
 
@@ -185,6 +218,10 @@ def links_across(groups: DataFrame, texts: DataFrame, width: int, percent: int)
     is dealt to blocks by the hash of its nodes, and every pair of its blocks to a task.
     """
     sizes = groups.groupBy("family").agg(F.sum("n_shingles").alias("size"))
+    large = groups.join(sizes.filter(F.col("size") > BLOCK_SHINGLES), "family", "left_semi")
+    small = groups.join(sizes.filter(F.col("size") <= BLOCK_SHINGLES), "family", "left_semi")
+    groups = materialize(small.unionByName(able_to_link(large, texts, width, percent)), "near-dup-open")
+    sizes = groups.groupBy("family").agg(F.sum("n_shingles").alias("size"))
     total = sizes.agg(F.sum("size")).first()[0] or 0
     bins = max(1, total // BLOCK_SHINGLES)
     sizes = sizes.select("family", F.ceil(F.col("size") / BLOCK_SHINGLES).cast("long").alias("blocks"))
@@ -204,6 +241,12 @@ def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 75, side: int = SIDE, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: the least id of its component, and whether it is that one."""
+    found = _components(docs, width, percent, side, rows, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _components(docs: DataFrame, width: int, percent: int, side: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_shingles, component_id, kept, node) of every row."""
     signs = materialize(shingle_signatures(docs, width, side, rows, id_col, text_col), "near-dup-signs")
     some = signs.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     firsts = materialize(some.groupBy("node").agg(F.min("id").alias("id")), "near-dup-nodes")
@@ -212,7 +255,7 @@ def near_duplicates(
     shared = tables.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("popular", "node")).alias("lead")).filter("n > 1").select("key", "lead")
     tables = materialize(tables.join(shared, "key").select("key", "node", "lead"), "near-dup-tables")
 
-    text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    text = docs.select(F.col(quoted(id_col)).alias("id"), F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("t"))
     wanted = firsts.join(tables.select("node").distinct(), "node", "left_semi")
     # a repeated id may have several texts: the row whose set is the node's is the one wanted
     twice = some.select("id", "node").distinct().groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
@@ -225,14 +268,14 @@ def near_duplicates(
     links = materialize(confirm_links(leads, texts, width, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "near-dup-links")
     roots = connected_components(links)
 
-    labels = tables.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    labels = tables.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     apart = labels.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a < z").select("key", "a")
-    near = labels.join(apart, "key").filter("a < root").select("a", F.col("root").alias("b"))
-    families = connected_components(near)
+    still = materialize(labels.join(apart, "key").select("node", "root", "a"), "near-dup-apart")
+    families = connected_components(still.filter("a < root").select("a", F.col("root").alias("b")))
     open_roots = families.select(F.col("node").alias("root"), F.col("root").alias("family"))
     open_roots = open_roots.unionByName(open_roots.select(F.col("family").alias("root"), "family").distinct())
-    facts = nodes.select("node", "n_shingles").join(tables.select("node").distinct(), "node", "left_semi").join(roots, "node", "left").select("node", "n_shingles", F.coalesce("root", "node").alias("root"))
-    groups = materialize(facts.join(open_roots, "root").select("node", "root", "family", "n_shingles"), "near-dup-open")
+    meeting = still.select("node", "root").distinct().join(open_roots, "root").join(nodes.select("node", "n_shingles"), "node")
+    groups = materialize(meeting.select("node", "root", "family", "n_shingles"), "near-dup-open")
     more = materialize(links_across(groups, texts, width, percent), "near-dup-links")
     roots = connected_components(links.unionByName(more))
 
@@ -241,23 +284,32 @@ def near_duplicates(
     named = placed.join(least, "root").select("node", "component_id")
     rows_ = signs.select("id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.col("component_id")).otherwise(F.col("id"))
-    out = rows_.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+    out = rows_.select("id", "n_shingles", component.alias("component_id"), "node")
+    return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75, side: int = SIDE, rows: int = ROWS) -> DataFrame:
+    """One row of each component, that with the least id, with its own columns; rows without id stay.
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row of each component, that with the least id, with its own columns; rows without id stay."""
-    kept = near_duplicates(docs, id_col=id_col, **options).filter("kept").select(id_col)
-    ids = kept.filter(F.col(id_col).isNotNull())
-    count, different = ids.agg(F.count("*"), F.count_distinct(id_col)).first()
-    named = docs.join(ids.distinct(), id_col, "left_semi").select(*docs.columns)
-    if count != different:
-        named = named.dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    Only where an id has several texts is a text looked at again, to tell which of its rows is meant.
+    """
+    found = materialize(_components(docs, width, percent, side, rows, id_col, text_col).filter("id is not null"), "near-dup-result")
+    several = found.select("id", "node").distinct().groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
+    repeated = found.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
+    kept = found.filter("kept").select("id", "node").distinct()
+    whole = docs.select(as_struct(docs.columns, "row"), F.col(quoted(id_col)).alias("id"), F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("t"))
+    out = whole.filter("id is null").select("row")
+    if not repeated.take(1):
+        return out.unionByName(whole.join(kept, "id", "left_semi").select("row")).select(*fields_of("row", docs.columns))
+    once = whole.join(repeated, "id", "left_anti").join(kept, "id", "left_semi").select("row")
+    copies = whole.join(repeated, "id", "left_semi").join(several, "id", "left_anti").join(kept, "id", "left_semi").dropDuplicates(["id"]).select("row")
+    texts = _with_node(whole.join(several, "id", "left_semi").select("id", "t").distinct(), width).join(kept, ["id", "node"], "left_semi").dropDuplicates(["id", "node"])
+    mixed_ = whole.join(texts.select("id", "t"), ["id", "t"], "left_semi").dropDuplicates(["id", "t"]).select("row")
+    return out.unionByName(once).unionByName(copies).unionByName(mixed_).select(*fields_of("row", docs.columns))
 
 
 def _with_node(text: DataFrame, width: int) -> DataFrame:
-    return text.mapInArrow(partial(_node_of, width=width), f"id {text.schema['id'].dataType.simpleString()}, t string, node long")
+    return text.mapInArrow(partial(_node_of, width=width), StructType([text.schema["id"], StructField("t", StringType()), StructField("node", LongType())]))
 
 
 def _node_of(batches, width: int):

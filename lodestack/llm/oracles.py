@@ -32,9 +32,10 @@ QUALITY_RULES = rf"""
 WITH d AS (SELECT doc_id, coalesce('h' || source, '-') AS host, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_BLANK}') AS w FROM documents),
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 2), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2))),
 rep AS (SELECT doc_id, count(DISTINCT p) AS k FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1) GROUP BY doc_id),
-l AS (SELECT doc_id, host, t, line, regexp_extract_all(lower(line), '{_BLANK}') AS lw FROM (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_BLANK}')),
+l AS (SELECT doc_id, host, line, regexp_extract_all(lower(line), '{_BLANK}') AS lw FROM (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_BLANK}')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS k FROM l GROUP BY doc_id),
-f AS (SELECT host, array_to_string(lw, ' ') AS line FROM l GROUP BY 1, 2 HAVING count(DISTINCT t) > 100),
+hn AS (SELECT host, count(*) AS size FROM d GROUP BY host),
+f AS (SELECT x.host, line FROM (SELECT host, array_to_string(lw, ' ') AS line, count(DISTINCT doc_id) AS n FROM l GROUP BY 1, 2) x JOIN hn ON x.host = hn.host WHERE n > 10 AND 100 * n > 5 * size),
 gone AS (SELECT doc_id, sum(len(lw)) AS k FROM l JOIN f ON l.host = f.host AND array_to_string(l.lw, ' ') = f.line GROUP BY doc_id),
 a AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   coalesce(dup.k, 0) AS n_dup_lines, coalesce(rep.k, 0) AS n_repeat_words, 1 - coalesce(gone.k / nullif(len(w), 0), 0) AS left_share

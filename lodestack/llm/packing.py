@@ -16,7 +16,9 @@ last sequence is carried into the next block, so memory is bounded and only a ta
 leave a short sequence. No shuffle is needed.
 
 Defined results: a null or empty text is the end id alone. Rows may repeat and ids may be
-null (these come first); each row is a document of its own. An empty table gives no pieces.
+null (these come first) and of any type; each row is a document of its own. An empty table
+gives no pieces. A text of any length is packed whole, over as many sequences as it takes; in
+memory are one batch of rows and one block. Other input columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .bpe import PieceEncoder, text_slices
+from .shared import quoted
 
 SENTENCE_PENALTY, FORCED_PENALTY, WINDOW_COST = 8, 64, 4
 
@@ -182,10 +187,8 @@ def pack_documents(
     offset (ids of the sequence before the piece), sequence_tokens, padding (of the sequence),
     ids (little-endian unsigned 32-bit integers).
     """
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).sortWithinPartitions(F.col("i").asc_nulls_first(), "t")
-    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(quoted(id_col)).alias("i"), F.col(quoted(text_col)).alias("t")).sortWithinPartitions(F.col("i").asc_nulls_first(), "t")
     longs = "start", "length", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padding"
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    schema = pa.schema([(id_col, arrow), *((x, pa.int64()) for x in longs), ("ids", pa.binary())])
-    work = partial(_pack_rows, tokenizer_path=tokenizer_path, end_id=end_id, window=window, block=max(block, 2 * window), schema=schema)
-    return rows.mapInArrow(work, f"`{id_col}` {kind}, {', '.join(f'{x} long' for x in longs)}, ids binary")
+    schema = StructType([StructField(id_col, docs.schema[id_col].dataType), *(StructField(x, LongType()) for x in longs), StructField("ids", BinaryType())])
+    work = partial(_pack_rows, tokenizer_path=tokenizer_path, end_id=end_id, window=window, block=max(block, 2 * window), schema=to_arrow_schema(schema))
+    return rows.mapInArrow(work, schema)

@@ -1,15 +1,17 @@
 """Token counts by a two-tier table of piece lengths, without a shuffle of pieces.
 
 First pass: every task counts the pieces of all its texts in a bounded summary (the lighter
-half goes when it is full), and one row per task leaves it. Summaries are merged in bounded
-groups and then on the driver into one table of at most ``table_size`` pieces with their
-token counts, which is broadcast: its size depends on that parameter alone. Second pass: each
-task looks up the distinct pieces of its texts in that table; those that miss it go to the
-worker's own cache, and from there to the tokenizer library. Counts are exact whatever the
-table holds.
+half goes when it is full), and one row of at most ``per_task`` pieces leaves it. Summaries are
+merged ``FAN_IN`` at a time, in as many rounds as it takes, into one table of at most
+``table_size`` pieces with their token counts, which is broadcast: its size, and what any task
+holds, depends on these parameters alone, however many tasks there are. Second pass: each task
+looks up the distinct pieces of its texts in that table; those that miss it go to the worker's
+own cache, and from there to the tokenizer library. Counts are exact whatever the table holds.
 
 Defined results: a null text counts as empty, with no tokens. Rows may repeat and ids may be
-null; every row gives one row. A summary of an empty table is empty, and every piece misses.
+null and of any type; every row gives one row. A summary of an empty table is empty, and every
+piece misses. Texts of any length are counted whole, about four MB of texts at a time. Other
+input columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,8 +25,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .bpe import PieceEncoder, Pieces, load_tokenizer, text_slices
+from .shared import materialize, quoted
+
+#: How many summaries meet in one task.
+FAN_IN = 64
 
 
 def _summaries(batches, path: str, size: int):
@@ -47,19 +54,23 @@ def _merged(frame: pd.DataFrame, size: int) -> pd.DataFrame:
         for x, n in zip(pieces, counts, strict=True):
             seen[x] += int(n)
     top = seen.most_common(size)
-    return pd.DataFrame({"pieces": [[x for x, _ in top]], "counts": [[n for _, n in top]]})
+    return pd.DataFrame({"part": [int(frame["part"].iloc[0]) // FAN_IN], "pieces": [[x for x, _ in top]], "counts": [[n for _, n in top]]})
 
 
-def frequent_pieces(docs: DataFrame, tokenizer_path: str, table_size: int = 16_384, per_task: int = 4_096, groups: int = 32, text_col: str = "text") -> dict[str, int]:
+def frequent_pieces(docs: DataFrame, tokenizer_path: str, table_size: int = 16_384, per_task: int = 4_096, text_col: str = "text") -> dict[str, int]:
     """The token count of each of at most ``table_size`` frequent pieces."""
-    parts = docs.select(text_col).mapInArrow(partial(_summaries, path=tokenizer_path, size=per_task), "part long, pieces array<string>, counts array<long>")
+    parts = docs.select(F.col(quoted(text_col))).mapInArrow(partial(_summaries, path=tokenizer_path, size=per_task), "part long, pieces array<string>, counts array<long>")
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         return _merged(frame, table_size)
 
-    merged = parts.groupBy((F.col("part") % groups).alias("part")).applyInPandas(merge, "pieces array<string>, counts array<long>")
+    parts = materialize(parts, "piece-summaries")
+    last = parts.agg(F.max("part")).first()[0] or 0
+    while last:
+        last //= FAN_IN
+        parts = materialize(parts.groupBy(F.floor(F.col("part") / FAN_IN)).applyInPandas(merge, "part long, pieces array<string>, counts array<long>"), "piece-summaries")
     total = Counter()
-    for row in merged.toLocalIterator():
+    for row in parts.toLocalIterator():
         for x, n in zip(row["pieces"], row["counts"], strict=True):
             total[x] += n
     encoder = PieceEncoder(tokenizer_path)
@@ -98,8 +109,8 @@ def _other_counts(batches, path: str):
 
 def token_counts(docs: DataFrame, tokenizer_path: str, table_size: int = 16_384, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens) of every row."""
-    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long"
-    rows = docs.select(F.col(id_col), F.col(text_col))
+    schema = StructType([StructField(id_col, docs.schema[id_col].dataType), StructField("n_bytes", LongType()), StructField("n_tokens", LongType())])
+    rows = docs.select(F.col(quoted(id_col)), F.col(quoted(text_col)))
     if tokenizer_path.endswith(".json") and type(load_tokenizer(tokenizer_path).pre_tokenizer).__name__ == "ByteLevel":
         table = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, tokenizer_path, table_size, text_col=text_col))
         work = partial(_counts, path=tokenizer_path, table=table)

@@ -12,7 +12,9 @@ Shards hold ranges of the sort column in ascending order; a task writes its shar
 name of its attempt and renames it, so a task that runs again replaces the same bytes.
 
 Defined results: a null text is empty, with the end id alone. Null ids come first. Rows may
-repeat; each is a document of its own. An empty table gives no shards.
+repeat; each is a document of its own, ties in order of text. An empty table gives no shards. A
+text of any length is one frame. The format keeps ids as 64-bit integers; ids of a type that
+does not fit are an error before anything is written. Other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import PieceEncoder, text_slices
-from .shared import materialize, shared_folder
+from .shared import integral_id, materialize, quoted, shared_folder
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -158,7 +160,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     from .bpe import load_tokenizer
 
     width = 2 if max(load_tokenizer(tokenizer_path).get_vocab_size() - 1, end_id) < 1 << 16 else 4
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
+    integral_id(docs, id_col, "token files")
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("i"), F.col(quoted(text_col)).alias("t"))
     rows = rows.repartitionByRange(F.col("i").asc_nulls_first()).sortWithinPartitions(F.col("i").asc_nulls_first(), "t")
     work = partial(_write_shards, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id, width=width)
     return materialize(rows.mapInArrow(work, _MANIFEST), "token-manifest")

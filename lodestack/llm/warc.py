@@ -1,8 +1,8 @@
 """WARC archives of pages, and their capture index by an external merge of sorted runs.
 
 Writing: pages with equal payloads are found by digest; the one with the largest id is a
-response, the others revisit it. Each task writes one archive of gzip members, one per record,
-and a run: its index lines sorted by URL key, time and id, with a sparse table of every
+response, the others revisit it. Each task writes archives of gzip members, one per record,
+and to each a run: its index lines sorted by URL key, time and id, with a sparse table of every
 ``SPARSE``-th key and its place in the file at the end.
 
 Merging: runs are merged k ways by a tree of losers, one comparison per level for each line.
@@ -18,6 +18,8 @@ executors must share.
 Defined results: a null html is an empty payload, a null URL an empty one. A null id is never
 a response that others revisit, and its record is a response. Rows with equal ids and payloads
 give a record each, of the same type. An empty table gives no archives and an empty index.
+Ids are 64-bit integers; other types are an error before anything is written. Pages of any
+length are one record each, whole. Other input columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,8 +37,9 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .shared import materialize, shared_folder
+from .shared import integral_id, materialize, quoted, shared_folder
 from .token_files import open_store
 
 SPARSE = 256
@@ -205,14 +208,20 @@ def merge_by_losers(sources: list[Iterator[str]]) -> Iterator[str]:
         losers[0] = winner
 
 
-def _write_archives(batches, folder: str):
+def _write_archives(batches, folder: str, archive_bytes: int, run_lines: int):
     from pyspark import TaskContext
 
-    number = TaskContext.get().partitionId()
+    number = first = TaskContext.get().partitionId() << 20
     file, lines = None, []
+
+    def run() -> pa.RecordBatch:
+        path, n = write_run(f"{folder}/runs", f"run-{number:012d}", iter(sorted(lines)))
+        lines.clear()
+        return pa.RecordBatch.from_pylist([{"number": number, "path": path, "lines": n}], schema=_RUN_SCHEMA)
+
     for batch in batches:
         for page_id, url, html, refers_to, seconds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            file = file or SharedFile(folder, f"pages-{number:06d}.warc.gz")
+            file = file or SharedFile(folder, archive_name(number))
             payload, url = (html or "").encode(), url or ""
             digest = base32_sha1(payload)
             when = FIRST_CAPTURE + timedelta(seconds=seconds)
@@ -220,27 +229,41 @@ def _write_archives(batches, folder: str):
             entry = {"id": page_id, "url": url, "digest": digest, "type": "response" if refers_to is None else "revisit", "file": number, "offset": file.size, "length": len(record)}
             lines.append(f"{url_key(url)} {when:%Y%m%d%H%M%S} {json.dumps(entry)}")
             file.write(record)
+            if file.size >= archive_bytes or len(lines) >= run_lines:
+                file.finish()
+                yield run()
+                file, number = None, number + 1
     if file:
         file.finish()
-        path, n = write_run(f"{folder}/runs", f"run-{number:06d}", iter(sorted(lines)))
-        yield pa.RecordBatch.from_pylist([{"number": number, "path": path, "lines": n}], schema=_RUN_SCHEMA)
+        yield run()
+    assert number < first + (1 << 20)
+
+
+def archive_name(number: int) -> str:
+    return f"pages-{number:012d}.warc.gz"
 
 
-def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", seconds_col: str | None = None) -> DataFrame:
+def write_archives(
+    pages: DataFrame, folder: str, min_revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", seconds_col: str | None = None,
+    archive_bytes: int = 1 << 30, run_lines: int = 500_000,
+) -> DataFrame:
     """Write the pages' records and sorted index runs; returns the runs' manifest.
 
     A capture's time is ``seconds_col`` after the first capture, or the id modulo a year.
-    Ids and digests are shuffled to find equal payloads; html moves once, by id.
+    Ids and digests are written once to find equal payloads; html moves once, by id. A task
+    begins another archive and run at ``archive_bytes`` or ``run_lines``.
     """
-    html = F.coalesce(F.col(html_col), F.lit(""))
-    seconds = F.col(seconds_col) if seconds_col else F.pmod(F.coalesce(F.col(id_col), F.lit(0)), F.lit(31_536_000))
-    rows = pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).alias("u"), F.col(html_col).alias("h"), F.sha1(F.encode(html, "UTF-8")).alias("d"), seconds.cast("long").alias("s"))
-    large = pages.select(F.col(id_col).cast("long").alias("i"), F.sha1(F.encode(html, "UTF-8")).alias("d"), F.octet_length(html).alias("n")).filter(F.col("i").isNotNull() & (F.col("n") >= min_revisit_bytes))
-    facts = large.select("i", "d").distinct()
+    integral_id(pages, id_col, "archives")
+    html = F.coalesce(F.col(quoted(html_col)), F.lit(""))
+    page = F.col(quoted(id_col)).cast("long")
+    seconds = F.col(quoted(seconds_col)) if seconds_col else F.pmod(F.coalesce(page, F.lit(0)), F.lit(31_536_000))
+    digest = F.sha1(F.encode(html, "UTF-8")).alias("d")
+    rows = pages.select(page.alias("i"), F.col(quoted(url_col)).alias("u"), F.col(quoted(html_col)).alias("h"), digest, seconds.cast("long").alias("s"))
+    facts = materialize(pages.filter(page.isNotNull() & (F.octet_length(html) >= min_revisit_bytes)).select(page.alias("i"), digest), "warc-digests").distinct()
     kept = facts.groupBy("d").agg(F.max("i").alias("r"))
     revisits = facts.join(kept, "d").filter("i <> r")
     marked = rows.join(revisits, ["i", "d"], "left").select("i", "u", "h", "r", "s")
-    return materialize(marked.mapInArrow(partial(_write_archives, folder=folder), _RUN), "warc-runs")
+    return materialize(marked.mapInArrow(partial(_write_archives, folder=folder, archive_bytes=archive_bytes, run_lines=run_lines), _RUN), "warc-runs")
 
 
 def _merge_groups(batches, folder: str, level: int):
@@ -272,7 +295,8 @@ def merge_index(spark: SparkSession, runs: DataFrame, folder: str, fan_in: int =
     level = 0
     while count > fan_in:
         groups = -(-count // fan_in)
-        grouped = runs.groupBy((F.col("number") % groups).alias("g")).agg(F.collect_list("path").alias("paths")).repartitionByRange(groups, "g")
+        placed = runs.withColumn("g", F.row_number().over(Window.orderBy("number")) % groups)  # a row per run
+        grouped = placed.groupBy("g").agg(F.collect_list("path").alias("paths")).repartitionByRange(groups, "g")
         runs = materialize(grouped.mapInArrow(partial(_merge_groups, folder=f"{folder}/merged", level=level), _RUN), "warc-runs")
         count, level = runs.count(), level + 1
     paths = [r["path"] for r in runs.orderBy("number").collect()]
@@ -321,7 +345,7 @@ def _read_records(batches, folder: str, with_payload: bool):
         for file, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if file != opened:
                 store, root = open_store(folder)
-                source, opened = store.open_input_file(f"{root}/pages-{file:06d}.warc.gz"), file
+                source, opened = store.open_input_file(f"{root}/{archive_name(file)}"), file
             r = parse_record(source.read_at(length, offset))
             rows.append((r["page_id"], r["url"], r["record_type"], r["refers_to"], r["digest"], r["payload_bytes"], r["payload"] if with_payload else None))
             size += len(rows[-1][-1] or b"") + 200

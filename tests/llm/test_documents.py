@@ -3,14 +3,16 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import helpers
 from lodestack.llm import decontamination, line_rules, near_dup, packing, shared, token_counts, token_files, toxicity
-from lodestack.llm.bpe import load_tokenizer
+from lodestack.llm.bpe import PieceEncoder, load_tokenizer
 from lodestack.llm.queries import QUERIES, tokenizer
 
 
@@ -201,10 +203,26 @@ def test_line_rules_frequent_lines(spark):
     rows += [(10, "\n".join([common.lower()] * 20 + [own(10, 12)]), "h"), (11, f"{own(11, 60)}\n{common}", "other"), (12, own(12, 60) + "\nunique", "h")]
     rows += [(20 + k, f"{own(99, 60)}\nonly copies have this line", "h") for k in range(9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r for r in line_rules.quality_rules(df, max_texts=5).collect()}
-    assert not got[10].kept and all(r.kept for k, r in got.items() if k != 10)
-    kept = {r.doc_id: r.text for r in line_rules.apply_quality_rules(df, max_texts=5).collect()}
-    assert 10 not in kept and kept[0] == own(0, 60) and kept[11] == rows[7][1] and kept[20] == rows[9][1] and kept[12] == rows[8][1]
+    limit = {"max_documents": 5, "max_percent": None}
+    got = {r.doc_id: r for r in line_rules.quality_rules(df, **limit).collect()}
+    copies = set(range(20, 29))
+    assert {k for k, r in got.items() if not r.kept} == {10} | copies
+    kept = {r.doc_id: r.text for r in line_rules.apply_quality_rules(df, **limit).collect()}
+    assert kept.keys() == got.keys() - copies - {10} and kept[0] == own(0, 60) and kept[11] == rows[7][1] and kept[12] == rows[8][1]
+    kept = {r.doc_id: r.text for r in line_rules.apply_quality_rules(df, families=True, **limit).collect()}
+    assert kept.keys() == got.keys() - {10} and kept[0] == own(0, 60) and kept[20] == rows[9][1]
+
+
+def test_line_rules_share_of_documents(spark):
+    """With the limit as a share, equal documents count one by one, and each document once however often it has the line."""
+    own = lambda k: " ".join(f"o{k}_{i}" for i in range(60))
+    rows = [(k, own(k), "h") for k in range(300)]
+    rows += [(1000 + k, own("copy") + "\nin sixteen equal documents", "h") for k in range(16)] + [(2000, own(2000) + "\noften in one" * 14, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.kept for r in line_rules.quality_rules(df, max_percent=6).collect()}
+    assert all(got.values())
+    got = {r.doc_id: r.kept for r in line_rules.quality_rules(df, max_percent=4).collect()}
+    assert {k for k, x in got.items() if not x} == set(range(1000, 1016))
 
 
 def test_line_rules_odd_rows(spark):
@@ -283,6 +301,154 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.toxicity_scores(helpers.empty_documents(spark), model).count() == 0
 
 
+def test_machine_adds_up_all_pairs():
+    """The pair term against its definition, and the fit's steps against finite differences of the loss."""
+    rng = np.random.default_rng(2)
+    n, factors = 7, 3
+    model = toxicity.FactorizationMachine(4, np.arange(16) % n, 0.3, rng.normal(size=n), rng.normal(size=(n, factors)))
+    sets = [[0, 2, 3, 6], [], [4], [1, 2, 3, 4, 5]]
+    text, place = np.repeat(np.arange(4), [len(x) for x in sets]), np.asarray([p for x in sets for p in x])
+    plain = [0.3 + sum(model.w[i] for i in x) + sum(model.v[i] @ model.v[j] for i in x for j in x if i < j) for x in sets]
+    assert np.allclose(model.logits(4, text, place), plain)
+
+    rows = [(1, np.asarray(sets[0])), (0, np.asarray(sets[3])), (1, np.asarray(sets[2]))]
+    y, counts = np.asarray([r[0] for r in rows], float), [len(r[1]) for r in rows]
+    text, place, decay = np.repeat(np.arange(3), counts), np.concatenate([r[1] for r in rows]), 1e-4
+
+    def loss():
+        z = model.logits(3, text, place)
+        return float(np.mean(np.log1p(np.exp(z)) - y * z) + decay / 2 * ((model.w**2).sum() + (model.v**2).sum()))
+
+    g0, gw, gv = toxicity.gradients(model, y, text, place, decay)
+    for x, g in ((model.w, gw), (model.v, gv)):
+        for at in np.ndindex(x.shape):
+            old = x[at]
+            x[at] = old + 1e-6
+            up = loss()
+            x[at] = old - 1e-6
+            down = loss()
+            x[at] = old
+            assert abs((up - down) / 2e-6 - g[at]) < 1e-6
+    model.w0 += 1e-6
+    up = loss()
+    model.w0 -= 2e-6
+    assert abs((up - loss()) / 2e-6 - g0) < 1e-6
+
+
+def test_toxicity_learns_pairs_of_weak_terms(spark):
+    """A group's name is nearly harmless alone, and toxic beside a word that is as harmless alone."""
+    r = random.Random(5)
+    rows = []
+    for k in range(4000):
+        a, b = r.random() < 0.12, r.random() < 0.12
+        toxic = (a and b) or r.random() < 0.02
+        words = [f"n{r.randint(0, 300)}" for _ in range(12)] + ["shut"] * a + ["martians"] * b + (["vile"] if toxic and not (a and b) else [])
+        r.shuffle(words)
+        rows.append((k, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train_toxicity(docs, spark.createDataFrame([(k, y) for k, _, y in rows if k < 3200], "doc_id long, toxic int"))
+    got = {x.doc_id: x.score for x in toxicity.toxicity_scores(docs, model).collect()}
+    wrong = [k for k, _, y in rows if k >= 3200 and (got[k] >= 0.5) != bool(y)]
+    assert len(wrong) <= 8
+
+
+def test_training_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(k % 5, f"word{k} text") for k in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5)], "doc_id long, toxic int")
+    assert toxicity.train_toxicity(docs, labels, max_rows=250).w0 in (float(np.log(101 / 101)), float(np.log(201 / 1)), float(np.log(1 / 201)))
+    assert toxicity.train_toxicity(docs, labels, max_rows=99).w0 == 0.0
+
+
+IDS = {"smallint": lambda k: k, "string": lambda k: f"d{k}", "decimal(12,2)": lambda k: Decimal(k), "bigint": lambda k: k}
+OWN = "row h k t id i text_ content_key gone host _host _gone _content_key words line_key score toxicity_score spans items n_words node bands key root component_id kept ids start length".split()
+
+
+@pytest.mark.parametrize("kind", IDS)
+def test_clashing_columns_and_id_types(spark, kind, tmp_path):
+    """Every operator on a table whose other columns have the names that operators use inside, with ids of several types."""
+    base = " ".join(f"w{i}" for i in range(80))
+    texts = [base, base, None, "", " ".join(f"x{i}" for i in range(70)), "foul words here " + base]
+    schema = f"doc_id {kind}, text string, source string, " + ", ".join(f"`{x}` string" for x in [*OWN, "toxicity score", "a.b"])
+    rows = [(IDS[kind](k), t, "s", *["keepme"] * (len(OWN) + 2)) for k, t in enumerate(texts)] + [(None, base, None, *[None] * (len(OWN) + 2))]
+    docs = spark.createDataFrame(rows, schema)
+    bench = spark.createDataFrame([("q", " ".join(f"x{i}" for i in range(12)), "z")], "item_id string, text string, row string")
+    model = toxicity.train_toxicity(docs, spark.createDataFrame([], f"doc_id {kind}, toxic int"))
+    same = {
+        "quality": line_rules.apply_quality_rules(docs), "toxic": toxicity.drop_toxic(docs, model, 1.1), "clean": decontamination.decontaminate(docs, bench),
+    }
+    if kind == "string":
+        same["near"] = near_dup.drop_near_duplicates(docs)
+    for out in same.values():
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        got = out.collect()
+        assert got and all(set(r[3:]) in ({"keepme"}, {None}) for r in got)
+    assert same["toxic"].count() == 7 and (kind != "string" or same["near"].count() == 5)
+    clean = {r.doc_id: r.text for r in same["clean"].collect()}
+    assert clean[IDS[kind](4)] == " ".join(f"x{i}" for i in range(12, 70))
+    for out in (packing.pack_documents(docs, tokenizer()), token_counts.token_counts(docs, tokenizer()), toxicity.toxicity_scores(docs, model), near_dup.shingle_signatures(docs).withColumnRenamed("id", "doc_id"), line_rules.quality_rules(docs), decontamination.contamination(docs, bench)):
+        assert dict(out.dtypes)["doc_id"] == kind and {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
+    if kind in ("smallint", "bigint"):
+        back = token_files.read_token_files(spark, token_files.write_token_files(docs, f"file://{tmp_path}/t", tokenizer()))
+        assert {r.id for r in back.collect()} == {None, *range(6)}
+    else:
+        with pytest.raises(TypeError):
+            token_files.write_token_files(docs, f"file://{tmp_path}/t", tokenizer())
+
+
+def test_filtering_keeps_both_texts_of_an_id(spark):
+    """An id with two unrelated texts is two documents; one with a copy of another document's text loses that row only."""
+    long = {x: " ".join(f"{x}{i}" for i in range(60)) for x in "abc"}
+    rows = [(1, long["a"]), (1, long["b"]), (2, long["c"]), (3, long["c"]), (3, "another text of the third"), (2, long["c"]), (5, None), (5, None)]
+    got = near_dup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[1], rows[2], rows[4], rows[6]], key=str)
+
+
+def test_family_with_shared_boilerplate_needs_no_blocks(spark):
+    """Thousands of texts that share a template but differ in more than the threshold allows; a few of them are near copies."""
+    template = [f"t{i}" for i in range(90)]
+    docs = {k: " ".join([*template, *(f"y{k}_{i}" for i in range(60))]) for k in range(3000)}
+    for k in range(0, 3000, 100):
+        docs[5000 + k] = docs[k] + " more"
+    root, _ = helpers.components({k: docs[k] for k in [*range(0, 3000, 100), *range(5000, 8000, 100)]})
+    small = near_dup.BLOCK_SHINGLES
+    try:
+        near_dup.BLOCK_SHINGLES = 20_000
+        got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)).collect()}
+    finally:
+        near_dup.BLOCK_SHINGLES = small
+    assert got == {k: root.get(k, k) for k in docs}
+
+
+WHITE = [" "] * 6 + ["\xa0", "\u2009", "\u3000", "\t", "\r\n", "\n", "\x0b", "\x0c", "\x1c", "\x85", "\u200b", "\u180e", "\ufeff"]
+
+
+def test_ids_of_texts_with_all_kinds_of_white_space():
+    r = random.Random(8)
+    letters = [*WHITE, *"abcXé1.,!'-", "'s", "don't", "日本"]
+    texts = ["ab. \xa0 \xa0", " &nbsp; \xa0 &nbsp;", *("".join(r.choice(letters) for _ in range(r.randint(0, 14))) for _ in range(100_000))]
+    encoder = PieceEncoder(tokenizer())
+    want = [x.ids for x in encoder.library.encode_batch_fast(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 5000):
+        part = pa.array(texts[at : at + 5000], pa.large_string())
+        flat, ends = encoder.encode_slice(part)
+        assert [x.tolist() for x in np.split(flat, ends)[:-1]] == want[at : at + 5000]
+        assert encoder.count_slice(part, {}).tolist() == [len(x) for x in want[at : at + 5000]]
+
+
+def test_kept_pieces_are_bounded_in_bytes():
+    encoder = PieceEncoder(tokenizer(), keep=200_000)
+    for k in range(20):
+        encoder.encode_slice(pa.array([" ".join(f"w{k}x{i}" for i in range(500))], pa.large_string()))
+        assert encoder.held < 500_000
+
+
+def test_long_items_are_cut_without_losing_windows(spark):
+    item = " ".join(f"t{i}" for i in range(500))
+    docs = spark.createDataFrame([(k, " ".join(f"t{i}" for i in range(k, k + 10))) for k in range(491)], "doc_id long, text string")
+    found = decontamination.contamination(docs, spark.createDataFrame([("q", item)], "item_id string, text string"), max_words=60)
+    assert all(r.spans[0].end == 10 and r["items"] == ["q"] for r in found.collect())
+
+
 def test_shared_tables_keep_their_schema(spark):
     df = spark.range(3).withColumn("x", F.lit("a"))
-    assert shared.materialize(df, "t").collect() == df.collect()
+    assert sorted(shared.materialize(df, "t").collect()) == df.collect()

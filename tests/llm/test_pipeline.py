@@ -7,13 +7,14 @@ import helpers
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 from lodestack.llm.queries import tokenizer  # noqa: E402
 from lodestack.llm.shared import materialize  # noqa: E402
+from lodestack.llm.toxicity import held_out, toxicity_scores, train_toxicity  # noqa: E402
 
 
 def test_stages_keep_columns_and_decide_on_their_input(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     for name, stage in corpus_pipeline.STAGES:
-        before = {r.doc_id: r.text for r in docs.collect()}
+        before_rows, before = docs, {r.doc_id: r.text for r in docs.collect()}
         columns, docs = docs.columns, materialize(stage(spark, docs, sf), "stage")
         if name == "packing":
             break
@@ -22,6 +23,10 @@ def test_stages_keep_columns_and_decide_on_their_input(spark, sf):
         assert all(r.n_chars == len(r.text) for r in after.values())
         if name == "quality rules":
             assert after.keys() == {k for k, t in before.items() if not helpers.base_counts(t)[-1]}
+        if name == "toxicity":
+            labels = spark.read.parquet(f"{sf}/labels.parquet").filter(~held_out())
+            scores = toxicity_scores(before_rows, train_toxicity(before_rows, labels))
+            assert after.keys() == {r.doc_id for r in scores.collect() if r.score < 0.5} and all(after[k].text == before[k] for k in after)
         if name == "near duplicates":
             root, _ = helpers.components(before)
             assert after.keys() == {k for k in before if root[k] == k}
