@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestack.llm.decontamination import decontaminate
-from lodestack.llm.line_rules import HOST_FLOOR, HOST_PERCENT, apply_quality_rules
+from lodestack.llm.line_rules import apply_quality_rules
 from lodestack.llm.near_dup import drop_near_duplicates
 from lodestack.llm.packing import pack_documents
 from lodestack.llm.queries import packed_digest, tokenizer
@@ -24,7 +24,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; so do lines that too large a share of their host's different texts have."""
-    return _with_length(apply_quality_rules(docs, max_texts=HOST_FLOOR, max_percent=HOST_PERCENT, families=True))
+    return _with_length(apply_quality_rules(docs, families=True))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
