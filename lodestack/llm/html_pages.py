@@ -153,7 +153,7 @@ class PageMaker:
         return self.r.choices([self.sectioned, self.plain, self.tabled], [6, 1, 1])[0]()
 
 
-def labelled_pages(n: int = 1200, seed: int = 5) -> list[tuple[str, list[int]]]:
+def labelled_pages(n: int = 1000, seed: int = 5) -> list[tuple[str, list[int]]]:
     """(html, label of each leaf block) of ``n`` pages."""
     from .html_blocks import leaf_blocks
 

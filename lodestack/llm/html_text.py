@@ -100,7 +100,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def train_field(pages: list[tuple[str, list[int]]], epochs: int = 120, rate: float = 0.1, decay: float = 5e-4, min_pages: int = 3) -> BlockField:
+def train_field(pages: list[tuple[str, list[int]]], epochs: int = 50, rate: float = 0.2, decay: float = 5e-4, min_pages: int = 3) -> BlockField:
     """Fit a field on (html, labels of its leaf blocks)."""
     data = [([features(b) for b in leaf_blocks(html)], labels) for html, labels in pages]
     data = [(x, y) for x, y in data if x]
