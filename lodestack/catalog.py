@@ -6,14 +6,19 @@ events for a feed, customers for known people. What a query computes is the oper
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import dates, money, similarity, text
 from .operators import forms, ingest, linking, quality, reports, versions
+from .plans import jobs
 from .sources import landed
+from .streaming import first_seen
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,24 +49,24 @@ def _lit_ts(x: str):
 WITH t AS (SELECT l.*, CAST(l_shipdate AS DATE) AS shipped, CAST(o_orderdate AS DATE) AS ordered FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey),
 a AS (SELECT count(*) AS total_transactions, count(*) FILTER (WHERE l_returnflag <> 'N') AS ticker_linked, count(*) FILTER (WHERE date_diff('day', ordered, shipped) > 45) AS late_filings,
   count(date_diff('day', ordered, shipped)) AS late_filing_eligible,
-  count(*) FILTER (WHERE l_extendedprice * l_discount > l_extendedprice * l_tax OR shipped < ordered OR shipped > DATE '2000-01-01' OR l_quantity - 10 <= 0) AS implausible_values FROM t),
-d AS (SELECT count(*) AS duplicate_groups FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)),
-b AS (SELECT count(*) AS broken_amendment_groups FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) <> 1))
-SELECT * FROM a, d, b
+  count(*) FILTER (WHERE l_extendedprice * l_discount > l_extendedprice * l_tax OR shipped < ordered OR ordered > DATE '2000-06-01' OR l_quantity - 10 <= 0) AS implausible_values FROM t),
+d AS (SELECT count(*) AS duplicate_groups FROM (SELECT 1 FROM t GROUP BY l_orderkey, l_linenumber, l_returnflag, l_linestatus, ordered, l_extendedprice * l_discount, l_extendedprice * l_tax HAVING count(*) > 1)),
+b AS (SELECT count(*) AS broken_amendment_groups FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) <> 1)),
+f AS (SELECT count(*) FILTER (WHERE o_orderstatus = 'O') AS scanned_or_paper_filings, count(*) FILTER (WHERE o_orderstatus <> 'P') AS classified_filings, count(*) FILTER (WHERE o_orderkey % 3 = 0 AND o_orderstatus <> 'F') AS open_dq_issues FROM orders)
+SELECT * FROM a, d, b, f
 """)
 def dq_metrics(spark, d):
-    line = table(spark, d, "lineitem")
-    t = line.join(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), line.l_orderkey == F.col("o_orderkey"))
-    shipped, ordered = F.to_date("l_shipdate"), F.to_date("o_orderdate")
-    days = F.datediff(shipped, ordered)
-    odd = quality.implausible(F.col("l_extendedprice") * F.col("l_discount"), F.col("l_extendedprice") * F.col("l_tax"), ordered, shipped, F.col("l_quantity") - 10, F.lit("9999-01-01").cast("date"))
-    totals = t.agg(
-        F.count("*").alias("total_transactions"), F.count_if(F.col("l_returnflag") != "N").alias("ticker_linked"), F.count_if(days > dates.LATE_AFTER_DAYS).alias("late_filings"),
-        F.count(days).alias("late_filing_eligible"), F.count_if(odd | (shipped > F.lit("2000-01-01").cast("date"))).alias("implausible_values"),
+    line, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    traded = line.join(o.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    transactions = traded.select(
+        F.col("l_orderkey").alias("filing_id"), F.col("l_linenumber").alias("owner"), F.col("l_returnflag").alias("asset_description_raw"), F.col("l_linestatus").alias("tx_type"), F.to_date("o_orderdate").alias("tx_date"), F.to_date("l_shipdate").alias("notification_date"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("amount_min"), (F.col("l_extendedprice") * F.col("l_tax")).alias("amount_max"), (F.col("l_quantity") - 10).alias("strike"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("ticker"),
+        F.col("l_partkey").alias("source_transaction_id"), (F.col("l_linestatus") == "O").alias("is_current"),
     )
-    twins = quality.duplicate_groups(line, ["l_orderkey", "l_linenumber"]).agg(F.count("*").alias("duplicate_groups"))
-    broken = quality.broken_groups(line.withColumn("cur", F.col("l_linestatus") == "O"), ["l_partkey"], "cur").agg(F.count("*").alias("broken_amendment_groups"))
-    return totals.join(F.broadcast(twins), F.lit(True)).join(F.broadcast(broken), F.lit(True))
+    form = F.when(F.col("o_orderstatus") == "O", "paper").when(F.col("o_orderstatus") == "P", "unknown").otherwise("electronic")
+    filings = o.select(F.col("o_orderkey").alias("filing_id"), F.to_date("o_orderdate").alias("filed_date"), form.alias("format"))
+    issues = o.filter("o_orderkey % 3 = 0").select(F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")).alias("resolved_at"))
+    return quality.metrics(transactions, filings, issues, F.lit("2000-06-01").cast("date"))
 
 
 @query("SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1")
@@ -97,8 +102,6 @@ SELECT CAST(t.fid AS VARCHAR) AS filing_id, CAST(t.row_index AS INTEGER) AS row_
 FROM t LEFT JOIN p ON t.fid = p.fid AND t.row_index = p.row_index LEFT JOIN h ON t.fid = h.fid
 """)
 def link_amendments(spark, d):
-    from pyspark.sql import Window
-
     orders, line = table(spark, d, "orders"), table(spark, d, "lineitem")
     filings = orders.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.to_date("o_orderdate").alias("filed_date"), F.lit(None).cast("timestamp").alias("first_seen_at"), F.lit(None).cast("string").alias("supersedes_filing_id"))
     w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
@@ -178,7 +181,7 @@ def rematch_unmatched(spark, d):
 
 
 @query("""
-SELECT event_id, sha256(concat_ws('|', CAST(user_id AS VARCHAR), event_type, CAST(CAST(ts AS DATE) AS VARCHAR), CASE WHEN event_id % 4 = 0 THEN '' ELSE CAST(CAST(value AS DECIMAL(18,1)) AS VARCHAR) END)) AS dedup_key FROM events
+SELECT event_id, sha256(concat_ws('|', CAST(user_id AS VARCHAR), event_type, CAST(CAST(ts AS DATE) AS VARCHAR), CASE WHEN event_id % 4 = 0 THEN '' ELSE CAST(CAST(value AS DOUBLE) AS VARCHAR) END)) AS dedup_key FROM events
 """)
 def dedup_hash(spark, d):
     value = versions.float_text(F.col("value"))
@@ -343,19 +346,20 @@ def active_term_join(spark, d):
 
 @query("""
 WITH r AS (SELECT p_partkey AS row_id, CASE WHEN p_size % 4 = 0 THEN NULL ELSE upper(p_brand) END AS tick, p_type AS descr FROM part),
-co AS (SELECT upper(p_brand) AS tick, lpad(CAST(max(p_size) AS VARCHAR), 10, '0') AS cik FROM part WHERE p_brand < 'Brand#2' GROUP BY 1)
-SELECT row_id,
- CASE WHEN r.tick = 'BRAND#3' THEN NULL WHEN co.tick IS NOT NULL THEN r.tick WHEN descr = 'ECONOMY' THEN 'ECON' END AS ticker,
- CASE WHEN r.tick = 'BRAND#3' THEN NULL WHEN co.tick IS NOT NULL THEN co.cik WHEN descr = 'ECONOMY' THEN '0000000001' END AS cik,
- CASE WHEN r.tick = 'BRAND#3' THEN 'override' WHEN co.tick IS NOT NULL THEN 'ticker' WHEN descr = 'ECONOMY' THEN 'override' ELSE 'unmatched' END AS method
-FROM r LEFT JOIN co ON r.tick = co.tick
+co AS (SELECT upper(p_brand) AS tick, CASE WHEN p_brand = 'Brand#1' THEN '0000000000' ELSE lpad(CAST(max(p_size) AS VARCHAR), 10, '0') END AS cik FROM part WHERE p_brand < 'Brand#2' GROUP BY p_brand),
+m AS (SELECT row_id, r.tick, co.cik, CASE WHEN r.tick IN ('BRAND#3', 'BRAND#4', 'BRAND#5') THEN r.tick WHEN co.tick IS NOT NULL THEN 'exact' WHEN descr IN ('ECONOMY', 'PROMO') THEN descr END AS how FROM r LEFT JOIN co ON r.tick = co.tick)
+SELECT row_id, CASE how WHEN 'BRAND#4' THEN 'BRAND#1' WHEN 'BRAND#5' THEN 'NEW' WHEN 'exact' THEN tick WHEN 'ECONOMY' THEN 'ECON' WHEN 'PROMO' THEN 'PRMX' END AS ticker,
+ CASE how WHEN 'BRAND#4' THEN '0000000000' WHEN 'BRAND#5' THEN '0000000012' WHEN 'exact' THEN cik WHEN 'ECONOMY' THEN '0000000001' WHEN 'PROMO' THEN '0000009999' END AS cik,
+ CASE WHEN how = 'exact' THEN 'ticker' WHEN how = 'PROMO' THEN 'fuzzy' WHEN how IS NOT NULL THEN 'override' ELSE 'unmatched' END AS method FROM m
 """)
 def override_cascade(spark, d):
+    """Overrides without company, with a company's ticker only, and with a number of their own; a ticker that two companies have; a title one letter off."""
     p = table(spark, d, "part")
     rows = p.select(F.col("p_partkey").alias("row_id"), F.when(F.col("p_size") % 4 != 0, F.col("p_brand")).alias("ticker"), F.col("p_type").alias("description"))
-    companies = p.filter("p_brand < 'Brand#2'").groupBy(F.col("p_brand").alias("ticker")).agg(text.zero_padded(F.max("p_size").cast("string")).alias("cik")).withColumn("title", F.concat(F.lit("zzqx "), "ticker"))
-    fixed = spark.createDataFrame([("ticker", "BRAND#3", None, None), ("description", "ECONOMY", "ECON", "0000000001")], "match_type string, match_value string, ticker string, cik string")
-    return linking.link_securities(rows, companies, fixed)
+    companies = p.filter("p_brand < 'Brand#2'").groupBy(F.col("p_brand").alias("ticker")).agg(text.zero_padded(F.max("p_size").cast("string")).alias("cik")).select("ticker", "cik", F.concat(F.lit("zzqx "), "ticker").alias("title"), F.lit(0).alias("position"))
+    companies = companies.unionByName(spark.createDataFrame([("Brand#1", "0000000000", "zzqx last", 1), ("PRMX", "0000009999", "PROMOX", 2)], "ticker string, cik string, title string, position int"))
+    fixed = [("ticker", "BRAND#3", None, "5"), ("ticker", "BRAND#4", "brand#1", None), ("ticker", "BRAND#5", "NEW", "12"), ("description", "ECONOMY", "ECON", "1")]
+    return linking.link_securities(rows, companies, spark.createDataFrame(fixed, "match_type string, match_value string, ticker string, cik string"))
 
 
 @query("""
@@ -372,7 +376,8 @@ def members_list(spark, d):
 _LCS = """
 WITH RECURSIVE p AS (SELECT DISTINCT p_name AS full_name FROM part),
 v AS (SELECT full_name AS raw, array_to_string(list_reverse(string_split(full_name, ' ')), ' ') || 'x' AS variant FROM p),
-s AS (SELECT DISTINCT variant, array_to_string(list_sort(string_split(variant, ' ')), ' ') AS a, full_name, array_to_string(list_sort(string_split(full_name, ' ')), ' ') AS b FROM v, p),
+s AS (SELECT * FROM (SELECT DISTINCT variant, array_to_string(list_sort(string_split(variant, ' ')), ' ') AS a, full_name, array_to_string(list_sort(string_split(full_name, ' ')), ' ') AS b FROM v, p)
+ WHERE list_has_any(list_transform(range(1, length(a) - 1), lambda z: substr(a, z, 3)), list_transform(range(1, length(b) - 1), lambda z: substr(b, z, 3)))),
 g AS (SELECT variant, full_name, a, b, 0 AS i, list_transform(range(length(b) + 1), lambda z: 0::bigint) AS prev FROM s
  UNION ALL SELECT variant, full_name, a, b, i + 1, list_reduce(list_transform(range(1, length(b) + 1), lambda j: [CASE WHEN substr(a, i + 1, 1) = substr(b, j, 1) THEN prev[j] + 1 ELSE prev[j + 1] END]), lambda acc, x: list_append(acc, greatest(acc[-1], x[1])), [0::bigint]) FROM g WHERE i < length(a)),
 r AS (SELECT variant, full_name, round(200.0 * max(prev[-1]) / (length(a) + length(b)), 4) AS score FROM g GROUP BY variant, full_name, a, b),
@@ -384,8 +389,9 @@ SELECT variant, full_name, score, second, CASE WHEN score < 80 THEN 'unmatched'
 def _variants(spark, d):
     names = table(spark, d, "part").select(F.col("p_name").alias("full_name")).distinct()
     variants = names.select(F.concat(F.array_join(F.reverse(F.split("full_name", " ")), " "), F.lit("x")).alias("variant")).distinct()
-    # both sides are the few different names of a dictionary, not rows
-    return variants.join(names, F.lit(True))
+    # only names that share three letters in a row meet
+    grams = lambda c: F.explode(F.array_distinct(linking.trigrams(similarity.sorted_tokens(c))))
+    return variants.withColumn("g", grams("variant")).join(names.withColumn("g", grams("full_name")), "g").select("variant", "full_name").distinct()
 
 
 @query(_LCS)
@@ -512,7 +518,7 @@ def json_map_values(spark, d):
 def company_json(spark, d):
     entry = F.struct(F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") + 1).alias("cik_str"), F.lower("c_mktsegment").alias("ticker"), F.col("c_name").alias("title"))
     texts = table(spark, d, "customer").select(F.concat(F.lit('{"0": '), F.to_json(entry), F.lit("}")).alias("value"))
-    return landed.company_rows(texts)
+    return landed.company_rows(texts).drop("position")
 
 
 @query("SELECT 'house:' || o_orderkey AS filing_id, CAST(o_orderkey AS VARCHAR) AS doc_id, 'Hon. ' || c_name AS filer_name, o_orderstatus AS filing_type, year(o_orderdate)::INT AS year, CAST(o_orderdate AS DATE) AS filed_date FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 <> 0")
@@ -524,33 +530,112 @@ def xml_members(spark, d):
     return landed.index_rows(members).drop("state_district")
 
 
-@query(r"""
-SELECT 'senate:' || u AS filing_id, c_name AS filer_name, o_orderkey % 2 = 0 AS is_electronic, CASE WHEN o_orderkey % 3 = 0 THEN 'Amendment 1' ELSE '' END AS amendment, CAST(o_orderdate AS DATE) AS filed_date
-FROM (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '-0000-0000-0000-000000000000' AS u FROM orders JOIN customer ON o_custkey = c_custkey) WHERE o_orderkey % 5 <> 0
-""")
-def search_rows(spark, d):
+_SEARCH_SQL = r"""
+SELECT 'senate:' || u AS filing_id, c_name AS filer_name, o_orderkey % 2 = 0 AS is_electronic, CASE WHEN o_orderkey % 3 = 0 THEN 'Amendment 1' ELSE '' END AS amendment, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS filed_date
+FROM (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '-0000-0000-0000-000000000000' AS u FROM orders JOIN customer ON o_custkey = c_custkey) WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0
+"""
+
+
+def _search_results(spark, d):
+    """(o_orderkey, r): a search result per order; some links lead elsewhere, some have another report's title."""
     rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     uuid = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit("-0000-0000-0000-000000000000"))
     kind = F.when(F.col("o_orderkey") % 5 == 0, "other").when(F.col("o_orderkey") % 2 == 0, "ptr").otherwise("paper")
-    link = F.concat(F.lit('<a href="/search/view/'), kind, F.lit("/"), uuid, F.lit('/">Report</a>'), F.when(F.col("o_orderkey") % 3 == 0, " (Amendment 1)").otherwise(""))
-    return landed.search_rows(rows.select(F.array(F.concat("c_name", F.lit(" ")), F.lit(""), F.lit("office"), link, F.date_format("o_orderdate", "MM/dd/yyyy")).alias("r")))
+    title = F.when(F.col("o_orderkey") % 7 == 0, "Annual Report for CY 2020").otherwise("Periodic Transaction Report for 01/02/2020")
+    link = F.concat(F.lit('<a href="/search/view/'), kind, F.lit("/"), uuid, F.lit('/" target="_blank">'), title, F.when(F.col("o_orderkey") % 3 == 0, " (Amendment 1)").otherwise(""), F.lit("</a>"))
+    filed = F.when(F.col("o_orderkey") % 11 == 0, " ").otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
+    return rows.select("o_orderkey", F.array(F.concat("c_name", F.lit(" ")), F.lit(""), F.lit("office"), link, filed).alias("r"))
 
 
-@query("SELECT page_id, unnest(list_distinct(regexp_extract_all(html, '<li><a href=\"([^\"]*)\">', 1))) AS target FROM pages")
-def html_rows(spark, d):
-    return table(spark, d, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)">'), 1))).alias("target"))
+@query(_SEARCH_SQL)
+def search_rows(spark, d):
+    return landed.search_rows(_search_results(spark, d))
+
+
+def _landing(spark, name: str) -> str:
+    """A new folder that all machines share: below spark.checkpoint.dir, or a temporary one in a local session."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\\[.*\\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lodestack-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _landed_texts(texts: DataFrame, name: str) -> str:
+    """Write each row of ``texts`` (value) to a file of its own; returns the folder."""
+    folder = _landing(texts.sparkSession, name)
+    texts.write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
+
+
+@query(_SEARCH_SQL)
+def search_pages(spark, d):
+    """Landed pages of search results, some 500 on each, read back."""
+    pages = _search_results(spark, d).groupBy(F.pmod(F.xxhash64("o_orderkey"), F.greatest(F.lit(1), F.lit(16)))).agg(F.to_json(F.struct(F.lit("ok").alias("result"), F.collect_list("r").alias("data"))).alias("value"))
+    return landed.search_results(spark, _landed_texts(pages.select("value"), "search-pages"))
 
 
 @query("""
-SELECT l_orderkey AS filing_id, CAST(0 AS INTEGER) AS row_index, CASE l_returnflag WHEN 'A' THEN 'spouse' WHEN 'R' THEN 'child' END AS owner, CASE WHEN l_linenumber <> 1 THEN 'T' || l_partkey END AS ticker,
- CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_quantity AS DOUBLE) AS amount_min, CAST(l_quantity + 1 AS DOUBLE) AS amount_max, CAST(l_shipdate AS DATE) AS tx_date
-FROM lineitem WHERE l_suppkey % 10 = 1
+SELECT 'house_feed' AS source, 'house' AS chamber, 'house:' || l_orderkey AS external_filing_id, c_name AS filer_name, CASE WHEN l_linenumber <> 1 THEN 'T' || l_partkey END AS ticker, CAST(l_shipdate AS DATE) AS tx_date, CAST(o_orderdate AS DATE) AS disclosure_date,
+ CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, CAST(CAST(l_quantity AS INTEGER) + 1 AS DOUBLE) AS amount_max FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 """)
-def html_report_rows(spark, d):
-    line = table(spark, d, "lineitem").filter("l_suppkey % 10 = 1")
-    html = F.concat(F.lit(_REPORT_HEAD), _report_row(), F.lit(_REPORT_END))
-    rows = landed.report_rows(line.select(F.col("l_orderkey").alias("filing_id"), html.alias("html")))
-    return rows.select("filing_id", "row_index", "owner", "ticker", "tx_type", "amount_min", "amount_max", "tx_date")
+def house_feed_file(spark, d):
+    """A community feed landed as JSON arrays, a file per ship mode and day of the month, read back."""
+    line = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    q = F.col("l_quantity").cast("int")
+    entry = F.struct(
+        F.date_format("l_shipdate", "MM/dd/yyyy").alias("transaction_date"), F.date_format("o_orderdate", "M/d/yyyy").alias("disclosure_date"), F.when(F.col("l_linenumber") == 1, "--").otherwise(F.concat(F.lit("T"), F.col("l_partkey").cast("string"))).alias("ticker"),
+        F.lit("An asset").alias("asset_description"), F.concat(F.lit("$"), q.cast("string"), F.lit(" - $"), (q + 1).cast("string")).alias("amount"), F.col("c_name").alias("representative"), F.col("l_orderkey").cast("string").alias("filing_id"),
+    )
+    files = line.groupBy(F.pmod(F.xxhash64("l_orderkey"), F.lit(32))).agg(F.to_json(F.collect_list(entry)).alias("value"))
+    rows = landed.house_feed(spark, _landed_texts(files.select("value"), "house-feed"))
+    return rows.select("source", "chamber", "external_filing_id", "filer_name", "ticker", "tx_date", "disclosure_date", "amount_min", "amount_max")
+
+
+@query("""
+SELECT 'P' || c_custkey AS bioguide_id, c_name AS full_name, CASE WHEN c_custkey % 3 = 0 THEN 'house' ELSE 'senate' END AS chamber, DATE '2015-01-03' AS start_date, CASE WHEN c_custkey % 5 <> 0 THEN DATE '2017-01-03' END AS end_date, c_mktsegment AS party FROM customer
+UNION ALL SELECT 'P' || c_custkey, c_name, 'house', DATE '2017-01-03', DATE '2019-01-03', 'Other' FROM customer WHERE c_custkey % 4 = 0
+""")
+def people_file(spark, d):
+    """People and their terms landed as YAML, read back; terms without a chamber that counts, and those over before the first day kept, are dropped."""
+    key = F.col("c_custkey")
+    term = lambda kind, start, end, party: F.concat(F.lit("\n  - {type: "), kind, F.lit(f", start: '{start}'"), end, F.lit(", state: XX, party: '"), party, F.lit("'}"))
+    first = term(F.when(key % 3 == 0, "rep").otherwise("sen"), "2015-01-03", F.when(key % 5 != 0, ", end: '2017-01-03'").otherwise(""), F.col("c_mktsegment"))
+    more = F.when(key % 4 == 0, term(F.lit("rep"), "2017-01-03", F.lit(", end: '2019-01-03'"), F.lit("Other"))).otherwise("")
+    gone = F.concat(term(F.lit("rep"), "1801-01-03", F.lit(", end: '1803-01-03'"), F.lit("Old")), term(F.lit("mayor"), "2015-01-03", F.lit(""), F.lit("None")))
+    entry = F.concat(F.lit("- id: {bioguide: P"), key.cast("string"), F.lit("}\n  name: {official_full: '"), "c_name", F.lit("'}\n  terms:"), first, more, gone)
+    folder = _landing(spark, "people")
+    table(spark, d, "customer").select(entry.alias("value")).write.text(folder)
+    return landed.people_terms(spark, folder).select("bioguide_id", "full_name", "chamber", "start_date", "end_date", "party")
+
+
+@query("""
+SELECT match_type, match_value, ticker, cik FROM (SELECT 'ticker' AS match_type, 'T' || p_partkey AS match_value, CASE WHEN p_size % 3 <> 0 THEN 'X' || p_size END AS ticker, CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS cik FROM part)
+UNION ALL SELECT 'description', 'same', 'LAST', NULL
+""")
+def overrides_file(spark, d):
+    """Overrides landed as CSV with blanks, read back; of repeated keys the last line counts."""
+    p = table(spark, d, "part")
+    rows = p.select(F.lit("ticker ").alias("match_type"), F.concat(F.lit(" T"), F.col("p_partkey").cast("string")).alias("match_value"), F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("X"), F.col("p_size").cast("string"))).otherwise(" ").alias("ticker"), F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")).alias("cik"), F.lit("why").alias("reason"))
+    same = spark.createDataFrame([("description", "same", "FIRST", "1", "a"), ("description", "same", "LAST", None, "b")], rows.schema)
+    folder = _landing(spark, "overrides")
+    rows.unionByName(same).coalesce(1).write.option("header", True).csv(folder)
+    return landed.overrides(spark, folder)
+
+
+@query("""
+SELECT o_orderkey, t.tier FROM (SELECT *, CASE WHEN o_orderstatus = 'P' THEN 0 WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS tier FROM orders) t
+""")
+def archive_tiers(spark, d):
+    """Trade reports, then annual reports of the electronic series, then the rest."""
+    number = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("house:100"), F.col("o_orderkey").cast("string"))).otherwise(F.concat(F.lit("house:9100"), F.col("o_orderkey").cast("string")))
+    return table(spark, d, "orders").select("o_orderkey", jobs.archive_tier(F.col("o_orderstatus"), number).alias("tier"))
+
+
+@query("SELECT page_id, unnest(list_distinct(regexp_extract_all(html, '<li><a href=\"([^\"]*)\">', 1))) AS target FROM pages")
+def html_rows(spark, d):
+    return table(spark, d, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)">'), 1))).alias("target"))
 
 
 _REPORT_HEAD, _REPORT_END = "<table><thead><tr><th>#</th></tr></thead><tbody>", "<tr><td>short</td></tr></tbody></table>"
@@ -570,8 +655,8 @@ SELECT l_orderkey AS filing_id, CAST(row_number() OVER (PARTITION BY l_orderkey
  CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_quantity AS DOUBLE) AS amount_min, CAST(l_quantity + 1 AS DOUBLE) AS amount_max, CAST(l_shipdate AS DATE) AS tx_date
 FROM lineitem
 """)
-def html_report_rows_whole(spark, d):
-    """A report per order, with a row per line of the order; the other reads a report per line of every tenth supplier, as its SQL does."""
+def html_report_rows(spark, d):
+    """A report per order, with a row per line of the order."""
     placed = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice", _report_row().alias("html"))
     reports_ = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("filing_id")).agg(F.sort_array(F.collect_list(placed)).alias("x"))
     html = F.concat(F.lit(_REPORT_HEAD), F.array_join("x.html", ""), F.lit(_REPORT_END))
@@ -601,8 +686,6 @@ def _form_words(lines):
     """A page of positioned words per order: a header row and a row per line of the order."""
     header = [("Owner", 60.0), ("Asset", 105.0), ("Transaction", 262.0), ("Date", 330.0), ("Notification", 385.0), ("Amount", 450.0), ("Cap.", 527.0)]
     heads = F.array(*(F.struct(F.lit(t).alias("text"), F.lit(x).alias("x0"), F.lit(10.0).alias("top")) for t, x in header))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
     rows = lines.withColumn("i", F.row_number().over(w))
     y = F.col("i") * 20.0 + 10.0
@@ -614,22 +697,13 @@ def _form_words(lines):
     return words.select(F.col("l_orderkey").cast("string").alias("filing_id"), F.lit(0).alias("page"), "w.text", "w.x0", "w.top")
 
 
-@query("""
-SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS row_index, CASE WHEN l_returnflag = 'A' THEN 'spouse' ELSE 'self' END AS owner,
- 'Part ' || l_partkey || ' (ABC) [ST]' AS asset_description_raw, 'ABC' AS ticker, 'ST' AS asset_type, CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_shipdate AS DATE) AS tx_date,
- CAST(l_shipdate AS DATE) AS notification_date, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, 100.0::DOUBLE AS amount_max FROM lineitem WHERE l_suppkey % 5 = 0
-""")
-def trade_form(spark, d):
-    return _trades(table(spark, d, "lineitem").filter("l_suppkey % 5 = 0"))
-
-
 @query("""
 SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS row_index, CASE WHEN l_returnflag = 'A' THEN 'spouse' ELSE 'self' END AS owner,
  'Part ' || l_partkey || ' (ABC) [ST]' AS asset_description_raw, 'ABC' AS ticker, 'ST' AS asset_type, CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_shipdate AS DATE) AS tx_date,
  CAST(l_shipdate AS DATE) AS notification_date, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, 100.0::DOUBLE AS amount_max FROM lineitem
 """)
-def trade_form_whole(spark, d):
-    """A form per order of all its lines; the other reads every fifth supplier's, as its SQL does."""
+def trade_form(spark, d):
+    """A form per order of all its lines."""
     return _trades(table(spark, d, "lineitem"))
 
 
@@ -637,16 +711,9 @@ def _trades(lines):
     return forms.trade_form(_form_words(lines)).select("filing_id", "row_index", "owner", "asset_description_raw", "ticker", "asset_type", "tx_type", "tx_date", "notification_date", "amount_min", "amount_max")
 
 
-@query("""
-SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, 2 * count(*) + 1 AS n_lines, 12 * count(*) + 7 AS n_words, true AS electronic FROM lineitem WHERE l_suppkey % 5 = 0 GROUP BY 1
-""")
-def word_lines(spark, d):
-    return _lines_per_form(table(spark, d, "lineitem").filter("l_suppkey % 5 = 0"))
-
-
 @query("SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, 2 * count(*) + 1 AS n_lines, 12 * count(*) + 7 AS n_words, true AS electronic FROM lineitem GROUP BY 1")
-def word_lines_whole(spark, d):
-    """The lines of a form per order of all its lines; the other reads every fifth supplier's, as its SQL does."""
+def word_lines(spark, d):
+    """The lines of a form per order of all its lines."""
     return _lines_per_form(table(spark, d, "lineitem"))
 
 
@@ -712,17 +779,14 @@ def message_lines(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", line.alias("line"))
 
 
-@query("SELECT user_id, min(event_id) AS event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rk FROM events) WHERE rk = 1 GROUP BY 1")
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rk FROM events) WHERE rk = 1")
 def stream_first_seen(spark, d):
-    """The stream's micro-batches append to a state table; the result is that table's keys with the batch's first row."""
-    import tempfile
-    import uuid
-
-    from .streaming import first_seen
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    folder = f"{base.rstrip('/')}/first-seen-{uuid.uuid4().hex}"
-    table(spark, d, "events").groupBy("user_id").agg(F.min("event_id").alias("event_id")).write.parquet(f"{folder}/landing")
-    events = first_seen.read_events(spark, f"{folder}/landing", "user_id long, event_id long")
-    first_seen.ingest_available(events, f"{folder}/state", f"{folder}/checkpoint", "user_id")
+    """Raw events land in three parts of several files each; the micro-batches append the first sight of each user to a state table."""
+    folder = _landing(spark, "first-seen")
+    events = table(spark, d, "events").select("user_id", "event_id", "event_type")
+    for part in range(3):  # each user's events are spread over all parts, in order
+        share = F.floor(F.percent_rank().over(Window.partitionBy(F.col("user_id") % 64).orderBy("event_id")) * 2.999)
+        events.withColumn("part", share).filter(F.col("part") == part).drop("part").repartition(4).write.mode("append").parquet(f"{folder}/landing")
+    stream = first_seen.read_events(spark, f"{folder}/landing", "user_id long, event_id long, event_type string", files=4)
+    first_seen.ingest_available(stream, f"{folder}/state", f"{folder}/checkpoint", "user_id", "event_id")
     return spark.read.parquet(f"{folder}/state")

@@ -16,8 +16,8 @@ def form_date(x: Column | str) -> Column:
 
 
 def strict_form_date(x: Column | str) -> Column:
-    """As ``form_date``, but a text that is no date stops the job."""
-    return F.to_date(x, "M/d/yyyy")
+    """As ``form_date`` for a blank, but a text that is no date stops the job."""
+    return F.to_date(F.nullif(F.trim(x), F.lit("")), "M/d/yyyy")
 
 
 def iso_date(x: Column | str) -> Column:
@@ -25,10 +25,6 @@ def iso_date(x: Column | str) -> Column:
     return F.try_to_timestamp(F.nullif(F.trim(x), F.lit("")), F.lit("yyyy-MM-dd")).cast("date")
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    return F.datediff(later, earlier)
-
-
 def first_seen(filed: Column, now: Column, live: Column) -> Column:
     """struct(first_seen_at, precision_s): now for a live sight, else the start of the filing day, else now with no precision."""
     at = F.when(live | filed.isNull(), now).otherwise(filed.cast("timestamp"))

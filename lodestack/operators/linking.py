@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
@@ -36,20 +36,27 @@ def link_people(filings: DataFrame, terms: DataFrame, people: DataFrame, overrid
     named = filings.withColumn("_name", person_name("filer_name"))
     fixed = overrides.select("chamber", person_name("filer_name").alias("_name"), F.col("bioguide_id").alias("_fixed")).dropDuplicates(["chamber", "_name"])
     named = named.join(fixed, ["chamber", "_name"], "left")
-    candidates = active_terms(named.filter(F.col("_fixed").isNull()).select("filing_id", "chamber", "_name", "as_of"), terms.select("chamber", "bioguide_id", "start_date", "end_date"), "chamber", "as_of")
-    pairs = candidates.select("filing_id", "_name", "bioguide_id").distinct()
+    # filings of a day and chamber have the same candidates, and many filings the same name: neither is joined per filing
+    asked = named.filter(F.col("_fixed").isNull()).select("chamber", "_name", "as_of").distinct()
+    candidates = active_terms(asked.select("chamber", "as_of").distinct(), terms.select("chamber", "bioguide_id", "start_date", "end_date"), "chamber", "as_of").select("chamber", "as_of", "bioguide_id").distinct()
+    pairs = asked.join(candidates, ["chamber", "as_of"])
     known = people.select("bioguide_id", person_name("full_name").alias("_full"))
     names = pairs.select("_name", "bioguide_id").distinct().join(known, "bioguide_id")
     scores = names.withColumn("score", sim.score(sim.sorted_tokens("_name"), sim.sorted_tokens("_full"))).select("_name", "bioguide_id", "score")
-    best = two_best(pairs.join(scores, ["_name", "bioguide_id"]), "filing_id", "score", "bioguide_id")
-    best = best.select("filing_id", F.col("bioguide_id").alias("_found"), "score", "second")
-    out = named.join(best, "filing_id", "left")
+    best = two_best(pairs.join(scores, ["_name", "bioguide_id"]), ["chamber", "_name", "as_of"], "score", "bioguide_id")
+    best = best.select("chamber", "_name", "as_of", F.col("bioguide_id").alias("_found"), "score", "second")
+    out = named.join(best, ["chamber", "_name", "as_of"], "left")
     method = F.when(F.col("_fixed").isNotNull(), "override").otherwise(sim.person_decision(F.col("score"), F.col("second")))
     out = out.withColumn("method", method)
     chosen = F.when(F.col("method") == "override", F.col("_fixed")).when(F.col("method") == "fuzzy", F.col("_found"))
     return out.select("filing_id", chosen.alias("bioguide_id"), "method", F.when(F.col("method") == "override", F.lit(100.0)).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"))
 
 
+def trigrams(x: Column) -> Column:
+    """The different runs of three letters of a text; a shorter text is one."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 2, F.lit(1))), lambda i: F.substring(x, i, F.lit(3))))
+
+
 def similar_companies(descriptions: DataFrame, companies: DataFrame, threshold: float = sim.SECURITY_REVIEW) -> DataFrame:
     """(description, cik, score): the best company at or above ``threshold`` for every different description.
 
@@ -61,9 +68,8 @@ def similar_companies(descriptions: DataFrame, companies: DataFrame, threshold:
     c = companies.select("cik", sim.sorted_tokens(company_name("title")).alias("_c")).filter("_c <> ''").dropDuplicates(["cik", "_c"])
     # A score of t or more leaves at most (1 - t / 100) of both lengths unmatched, so cut into one
     # piece more than that many characters, one piece of the shorter text survives whole.
-    grams = lambda x: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 2, F.lit(1))), lambda i: F.substring(x, i, F.lit(3))))
-    left = d.select("description", "_d", F.explode(grams(F.col("_d"))).alias("_g"))
-    right = c.select("cik", "_c", F.explode(grams(F.col("_c"))).alias("_g"))
+    left = d.select("description", "_d", F.explode(trigrams(F.col("_d"))).alias("_g"))
+    right = c.select("cik", "_c", F.explode(trigrams(F.col("_c"))).alias("_g"))
     near = left.join(right, "_g").filter(sim.lengths_allow(F.col("_d"), F.col("_c"), threshold)).select("description", "_d", "cik", "_c").distinct()
     scored = near.withColumn("score", sim.score(F.col("_d"), F.col("_c"))).filter(F.col("score") >= threshold)
     return two_best(scored, "description", "score", "cik").select("description", "cik", "score")
@@ -73,21 +79,29 @@ def link_securities(rows: DataFrame, companies: DataFrame, overrides: DataFrame)
     """(row_id, ticker, cik, method) of every row of (row_id, ticker, description).
 
     In order: an override of the ticker, the company with the ticker, an override of the
-    description, the most similar company. An override without ticker and number stops the
-    search and leaves the row unlinked.
+    description, the most similar company. An override names a company by its ticker; where no
+    company has it, the override's own number counts, padded. One without ticker stops the search
+    and leaves the row unlinked. Of companies with the same ticker the last by ``position`` counts.
     """
-    by_ticker = overrides.filter("match_type = 'ticker'").select(F.col("match_value").alias("_t"), F.col("ticker").alias("_ot"), F.col("cik").alias("_oc"), F.lit(True).alias("_o")).dropDuplicates(["_t"])
-    by_text = overrides.filter("match_type = 'description'").select(F.col("match_value").alias("description"), F.col("ticker").alias("_dt"), F.col("cik").alias("_dc"), F.lit(True).alias("_do")).dropDuplicates(["description"])
-    exact = companies.groupBy(ticker("ticker").alias("_t")).agg(F.max("cik").alias("_xc"))
-    r = rows.withColumn("_t", ticker("ticker")).join(by_ticker, "_t", "left").join(exact, "_t", "left").join(by_text, "description", "left")
-    open_rows = r.filter("_o is null and _xc is null and _do is null")
+
+    def fixed(kind: str, key: str, mark: str) -> DataFrame:
+        """(key, mark_t, mark_c) of one kind of override, its company looked up."""
+        o = overrides.filter(F.col("match_type") == kind).select(F.col("match_value").alias(key), ticker("ticker").alias("_t"), "cik").dropDuplicates([key])
+        return o.join(exact, "_t", "left").select(key, F.col("_t").alias(f"{mark}t"), F.when(F.col("_t").isNotNull(), F.coalesce("_xc", F.lpad(F.coalesce("cik", F.lit("")), 10, "0"))).alias(f"{mark}c"), F.lit(True).alias(mark))
+
+    last = F.max_by("cik", "position") if "position" in companies.columns else F.max("cik")
+    exact = companies.groupBy(ticker("ticker").alias("_t")).agg(last.alias("_xc"))
+    by_ticker, by_text = fixed("ticker", "_own", "_o"), fixed("description", "_text", "_d")
+    r = rows.withColumns({"_t": ticker("ticker"), "_own": ticker("ticker"), "_text": F.trim("description")})
+    r = r.join(by_ticker, "_own", "left").join(exact, "_t", "left").join(by_text, "_text", "left")
+    open_rows = r.filter("_o is null and _xc is null and _d is null")
     fuzzy = similar_companies(open_rows, companies).withColumnsRenamed({"cik": "_fc"}).drop("score")
     names = companies.groupBy(F.col("cik").alias("_fc")).agg(F.min("ticker").alias("_ft"))
     r = r.join(fuzzy, "description", "left").join(names, "_fc", "left")
-    method = F.when(F.col("_o"), "override").when(F.col("_xc").isNotNull(), "ticker").when(F.col("_do"), "override").when(F.col("_fc").isNotNull(), "fuzzy").otherwise("unmatched")
+    method = F.when(F.col("_o"), "override").when(F.col("_xc").isNotNull(), "ticker").when(F.col("_d"), "override").when(F.col("_fc").isNotNull(), "fuzzy").otherwise("unmatched")
     return r.select(
         "row_id",
-        F.when(F.col("_o"), F.col("_ot")).when(F.col("_xc").isNotNull(), F.col("_t")).when(F.col("_do"), F.col("_dt")).otherwise(F.col("_ft")).alias("ticker"),
-        F.when(F.col("_o"), F.col("_oc")).when(F.col("_xc").isNotNull(), F.col("_xc")).when(F.col("_do"), F.col("_dc")).otherwise(F.col("_fc")).alias("cik"),
+        F.when(F.col("_o"), F.col("_ot")).when(F.col("_xc").isNotNull(), F.col("_t")).when(F.col("_d"), F.col("_dt")).otherwise(F.col("_ft")).alias("ticker"),
+        F.when(F.col("_o"), F.col("_oc")).when(F.col("_xc").isNotNull(), F.col("_xc")).when(F.col("_d"), F.col("_dc")).otherwise(F.col("_fc")).alias("cik"),
         method.alias("method"),
     )

@@ -48,8 +48,15 @@ def content_key(*parts: Column) -> Column:
 
 
 def float_text(x: Column) -> Column:
-    """A whole or half amount as "1001.0", at any size."""
-    return x.cast("decimal(18,1)").cast("string")
+    """The shortest text that reads back as the same double: "1001.0", "1001.21", "12345678.5", "1e+16"."""
+    x = x.cast("double")
+    short = x.cast("string")
+    digits = F.regexp_replace(short.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    power = F.split_part(short, F.lit("E"), F.lit(2))
+    signed = F.concat(F.when(F.startswith(power, F.lit("-")), "-").otherwise("+"), F.lpad(F.replace(power, F.lit("-"), F.lit("")), 2, "0"))
+    scientific = F.concat(F.regexp_replace(F.split_part(short, F.lit("E"), F.lit(1)), r"\.0$", ""), F.lit("e"), signed)
+    return F.when(~F.contains(short, F.lit("E")), short).when((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16), plain).otherwise(scientific)
 
 
 def coverage(external: DataFrame, known: DataFrame, external_id: str, known_id: str) -> DataFrame:

@@ -91,11 +91,14 @@ def ingest_search(state: State, results: DataFrame, now: Column, live: bool = Tr
 
 
 def pending_reports(state: State, limit: int) -> DataFrame:
-    """The next filings to archive: those that failed before go last, trade reports come first."""
-    f = state.read("filings").filter("raw_object_key is null and parse_status = 'pending'")
+    """The next House filings to archive: those that failed before go last; trade reports come first, then annual reports of the electronic series."""
+    f = state.read("filings").filter("chamber = 'house' and raw_object_key is null")
     failed = state.read("dq_issues").filter("issue_type = 'pdf_fetch_failed' and resolved_at is null").select("filing_id")
-    tier = F.when(F.col("filing_type") == "P", 0).when((F.col("filing_type") == "O"), 1).otherwise(2)
-    return ingest.flagged_first(f, failed, "filing_id", limit, tier, "filing_id")
+    return ingest.flagged_first(f, failed, "filing_id", limit, archive_tier(F.col("filing_type"), F.col("filing_id")), "filing_id")
+
+
+def archive_tier(filing_type: Column, filing_id: Column) -> Column:
+    return F.when(filing_type == "P", 0).when((filing_type == "O") & filing_id.like("house:100%"), 1).otherwise(2)
 
 
 def archive(state: State, objects: DataFrame, now: Column) -> None:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import form_date, iso_date
+from ..functions.dates import form_date, iso_date, strict_form_date
 from ..functions.money import amount_range, band_range
 from ..functions.text import (
     OWNER_NAMES, TERM_CHAMBERS, TRADE_NAMES, bare, before_option_details, clean_text, code_name, dash_to_null, filer_name, option_cell, report_uuid, ticker_in_name, zero_padded,
@@ -57,7 +57,7 @@ def index_rows(rows: DataFrame) -> DataFrame:
     t = {c: bare(F.coalesce(c, F.lit(""))) for c in ("Prefix", "Last", "First", "Suffix", "FilingType", "StateDst", "Year", "FilingDate", "DocID")}
     return rows.select(
         F.concat(F.lit("house:"), t["DocID"]).alias("filing_id"), t["DocID"].alias("doc_id"), filer_name(t["Prefix"], t["First"], t["Last"], t["Suffix"]).alias("filer_name"),
-        t["FilingType"].alias("filing_type"), t["StateDst"].alias("state_district"), F.coalesce(t["Year"].try_cast("int"), F.lit(0)).alias("year"), form_date(t["FilingDate"]).alias("filed_date"),
+        t["FilingType"].alias("filing_type"), t["StateDst"].alias("state_district"), F.coalesce(t["Year"].try_cast("int"), F.lit(0)).alias("year"), strict_form_date(t["FilingDate"]).alias("filed_date"),
     ).filter("doc_id <> ''")
 
 
@@ -78,14 +78,18 @@ def search_results(spark: SparkSession, path: str) -> DataFrame:
     return search_rows(checked.select(F.explode("data").alias("r")))
 
 
+# Fixed value: the links that name a trade report.
+REPORT_LINK = r'<a href="/search/view/(ptr|paper)/([0-9a-f-]{36})/"[^>]*>Periodic Transaction Report for \d{2}/\d{2}/\d{4}(?:\s*\((Amendment \d+)\))?</a>'
+
+
 def search_rows(rows: DataFrame) -> DataFrame:
-    """Rows whose link names a report; others are dropped."""
+    """Rows whose link has a trade report's title; others are dropped. A date that is none stops the job."""
     link = F.get("r", F.lit(3))
-    kind = F.regexp_extract(link, r"/search/view/(ptr|paper)/", 1)
-    return rows.select(
-        F.concat(F.lit("senate:"), F.lower(report_uuid(link))).alias("filing_id"), filer_name(F.get("r", F.lit(0)), F.get("r", F.lit(1))).alias("filer_name"), (kind == "ptr").alias("is_electronic"),
-        F.regexp_extract(link, r"\((Amendment \d+)\)", 1).alias("amendment"), form_date(bare(F.get("r", F.lit(4)))).alias("filed_date"), kind.alias("_kind"),
-    ).filter("_kind <> '' and filing_id is not null").drop("_kind")
+    kind = F.regexp_extract(link, REPORT_LINK, 1)
+    return rows.filter(F.coalesce(kind, F.lit("")) != "").select(
+        F.concat(F.lit("senate:"), F.regexp_extract(link, REPORT_LINK, 2)).alias("filing_id"), filer_name(F.get("r", F.lit(0)), F.get("r", F.lit(1))).alias("filer_name"), (kind == "ptr").alias("is_electronic"),
+        F.regexp_extract(link, REPORT_LINK, 3).alias("amendment"), strict_form_date(bare(F.get("r", F.lit(4)))).alias("filed_date"),
+    )
 
 
 # --- people, committees
@@ -151,9 +155,10 @@ def companies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def company_rows(texts: DataFrame) -> DataFrame:
-    rows = texts.select(F.explode(F.map_values(F.from_json("value", "map<string,struct<cik_str:bigint,ticker:string,title:string>>"))).alias("c"))
-    rows = rows.filter("c.cik_str is not null and coalesce(c.ticker, '') <> '' and coalesce(c.title, '') <> ''")
-    return rows.select(zero_padded(F.col("c.cik_str").cast("string")).alias("cik"), F.upper("c.ticker").alias("ticker"), F.col("c.title").alias("title"))
+    """(cik, ticker, title, position): the last of several companies with a ticker is the one that counts."""
+    rows = texts.select(F.posexplode(F.map_entries(F.from_json("value", "map<string,struct<cik_str:bigint,ticker:string,title:string>>"))).alias("position", "e")).select("position", "e.value.*")
+    rows = rows.filter("cik_str is not null and coalesce(ticker, '') <> '' and coalesce(title, '') <> ''")
+    return rows.select(zero_padded(F.col("cik_str").cast("string")).alias("cik"), F.upper("ticker").alias("ticker"), "title", "position")
 
 
 def industry_codes(spark: SparkSession, path: str) -> DataFrame:

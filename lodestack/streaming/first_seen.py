@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ingest import first_per_key
+
 
 def first_sights(events: DataFrame, key: list[str], time: str, look_back: str = "14 days") -> DataFrame:
     """The first row of each key; a key seen again within the look-back of late data is dropped.
@@ -14,8 +16,8 @@ def first_sights(events: DataFrame, key: list[str], time: str, look_back: str =
     return events.withWatermark(time, look_back).dropDuplicatesWithinWatermark(key)
 
 
-def ingest_available(events: DataFrame, state_path: str, checkpoint: str, key: str) -> None:
-    """Append the rows of keys that the state has not seen, for all input available now.
+def ingest_available(events: DataFrame, state_path: str, checkpoint: str, key: str, *order: str) -> None:
+    """Append the rows of keys that the state has not seen, for all input available now; of a batch's rows with a key the first by ``order``.
 
     Each micro-batch is anti-joined with the state and appended; a batch that runs again after
     a failure finds its own keys there and adds nothing.
@@ -23,7 +25,7 @@ def ingest_available(events: DataFrame, state_path: str, checkpoint: str, key: s
 
     def append(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key])
+        fresh = first_per_key(batch, [key], *order)
         try:
             known = spark.read.parquet(state_path).select(key)
         except Exception as error:  # the first batch finds no state yet
@@ -42,5 +44,6 @@ def running_bytes(events: DataFrame, bucket: str, size: str) -> DataFrame:
     return events.groupBy(bucket).agg(F.sum(size).alias("total_bytes"), F.count("*").alias("object_count"))
 
 
-def read_events(spark: SparkSession, folder: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(folder)
+def read_events(spark: SparkSession, folder: str, schema, files: int = 16) -> DataFrame:
+    """Landed files as a stream, the oldest first, ``files`` in a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)

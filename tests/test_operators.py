@@ -133,11 +133,11 @@ def test_landed_files(spark, tmp_path):
     known = landed.committees(spark, str(tmp_path / "c.yaml"))
     assert [r.bioguide_id for r in landed.memberships(spark, str(tmp_path / "m.yaml"), known).collect()] == ["R1"]
     (tmp_path / "sec.json").write_text('{"0": {"cik_str": 320193, "ticker": "aapl", "title": "Apple Inc."}, "1": {"cik_str": null, "ticker": "X", "title": "Y"}}')
-    assert [tuple(r) for r in landed.companies(spark, str(tmp_path / "sec.json")).collect()] == [("0000320193", "AAPL", "Apple Inc.")]
+    assert [tuple(r) for r in landed.companies(spark, str(tmp_path / "sec.json")).collect()] == [("0000320193", "AAPL", "Apple Inc.", 0)]
     (tmp_path / "o.csv").write_text("match_type,match_value,ticker,cik,reason\nticker,ZZZZ,AAPL,1,a\nticker,ZZZZ,MSFT,2,b\ndescription,Fund,,,none\n")
     assert {r.match_value: (r.ticker, r.cik) for r in landed.overrides(spark, str(tmp_path / "o.csv")).collect()} == {"ZZZZ": ("MSFT", "2"), "Fund": (None, None)}
-    (tmp_path / "page.json").write_text('{"result": "ok", "data": [["RICHARD ", "B", "o", "<a href=\\"/search/view/paper/0632f542-7ac2-46e4-bd9c-603e3673f0cd/\\">x</a>", "09/17/2026"], ["a", "b", "c", "no link", "x"]]}')
-    assert [(r.filer_name, r.is_electronic) for r in landed.search_results(spark, str(tmp_path / "page.json")).collect()] == [("RICHARD B", False)]
+    (tmp_path / "page.json").write_text('{"result": "ok", "data": [["RICHARD ", "B", "o", "<a href=\\"/search/view/paper/0632f542-7ac2-46e4-bd9c-603e3673f0cd/\\">Periodic Transaction Report for 09/16/2026 (Amendment 2)</a>", "09/17/2026"], ["A", "C", "o", "<a href=\\"/search/view/ptr/0632f542-7ac2-46e4-bd9c-603e3673f0ce/\\">Annual Report for CY 2020</a>", "09/17/2026"], ["a", "b", "c", "no link", "x"]]}')
+    assert [(r.filer_name, r.is_electronic, r.amendment) for r in landed.search_results(spark, str(tmp_path / "page.json")).collect()] == [("RICHARD B", False, "Amendment 2")]
     (tmp_path / "house.json").write_text('[{"transaction_date": "09/08/2026", "disclosure_date": "9/17/2026", "ticker": "--", "asset_description": "F\\u0000 S", "amount": "$1,001 - $15,000", "representative": "R", "filing_id": "20035471"}]')
     r = landed.house_feed(spark, str(tmp_path / "house.json")).first()
     assert (r.external_filing_id, str(r.disclosure_date), r.ticker, r.asset_description, r.amount_max) == ("house:20035471", "2026-09-17", None, "F S", 15000.0)
@@ -156,13 +156,28 @@ def test_xml_index_in_archives(spark, tmp_path):
 
 def test_stream_ingests_each_key_once(spark, tmp_path):
     src, state, mark = (str(tmp_path / x) for x in ("in", "state", "mark"))
-    for part in ([("a", 1), ("b", 2)], [("a", 3), ("c", 4)]):
+    for part in ([("b", 3), ("a", 1), ("b", 2)], [("a", 0), ("c", 4)]):
         spark.createDataFrame(part, "k string, n int").coalesce(1).write.mode("append").parquet(src)
-        first_seen.ingest_available(first_seen.read_events(spark, src, "k string, n int"), state, mark, "k")
-    assert sorted(r.k for r in spark.read.parquet(state).collect()) == ["a", "b", "c"]
+        first_seen.ingest_available(first_seen.read_events(spark, src, "k string, n int"), state, mark, "k", "n")
+    assert sorted((r.k, r.n) for r in spark.read.parquet(state).collect()) == [("a", 1), ("b", 2), ("c", 4)]
 
 
 def test_rules_of_tables(spark):
     bad = spark.createDataFrame([("p", "x", "moon")], "bioguide_id string, full_name string, chamber string")
     got = schemas.violations({"politicians": bad}).collect()
     assert [(r.table, r.n) for r in got] == [("politicians", 1)]
+
+
+def test_float_text_is_the_shortest(spark):
+    values = [0.0, 1001.0, 1001.21, 1001.24, 12345678.0, 12345678.5, 123456789.125, 9999999999999998.0, 1e16, 1.5e18, 0.0001, 1.5e-7, -50000000.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(versions.float_text(F.col("x"))).collect()] == [repr(v) for v in values]
+
+
+def test_overrides_look_companies_up(spark):
+    companies = spark.createDataFrame([("0000000009", "AA", "Alpha", 0), ("0000000001", "AA", "Alpha again", 1), ("0000000005", "BB", "Beta", 2)], "cik string, ticker string, title string, position int")
+    rows = spark.createDataFrame([(1, "AA", "x"), (2, "ZZ", "x"), (3, None, " some fund "), (4, "QQ", "x"), (5, "NO", "Beta"), (6, None, None)], "row_id int, ticker string, description string")
+    fixed = spark.createDataFrame([("ticker", "ZZ", "bb", None), ("description", "some fund", "NEW", "77"), ("ticker", "QQ", "OLD", None), ("ticker", "NO", None, "5")], "match_type string, match_value string, ticker string, cik string")
+    got = {r.row_id: (r.ticker, r.cik, r.method) for r in linking.link_securities(rows, companies, fixed).collect()}
+    assert got[1] == ("AA", "0000000001", "ticker") and got[2] == ("BB", "0000000005", "override") and got[3] == ("NEW", "0000000077", "override")
+    assert got[4] == ("OLD", "0000000000", "override") and got[5] == (None, None, "override") and got[6][2] == "unmatched"
