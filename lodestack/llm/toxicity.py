@@ -138,7 +138,7 @@ def _fit(model: FactorizationMachine, rows: list[tuple[int, np.ndarray]], factor
 
 
 def train_toxicity(
-    docs: DataFrame, labels: DataFrame, bits: int = 18, max_terms: int = 4096, pair_terms: int = 1024, max_rows: int = 20_000, factors: int = 4, epochs: int = 8, seed: int = 7,
+    docs: DataFrame, labels: DataFrame, bits: int = 18, max_terms: int = 4096, pair_terms: int = 512, max_rows: int = 20_000, factors: int = 4, epochs: int = 8, seed: int = 7,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> FactorizationMachine:
     """Fit a machine on at most ``max_rows`` labelled documents."""
@@ -166,9 +166,11 @@ def train_toxicity(
         return model
     model.slot[buckets] = np.arange(len(buckets))
     model.w = np.zeros(len(buckets))
-    table = rows.mapInArrow(partial(_selected_terms, model=model), "label int, places array<int>").toArrow().to_pydict()
-    data = sorted(((y, tuple(p)) for y, p in zip(table["label"], table["places"], strict=True)), key=lambda x: (x[0], x[1]))
-    data = [(y, np.asarray(p, np.int64)) for y, p in data]
+    table = rows.mapInArrow(partial(_selected_terms, model=model), "label int, places array<int>").toArrow().combine_chunks()
+    label, places = np.asarray(table["label"].combine_chunks()), table["places"].combine_chunks()
+    parts = np.split(np.asarray(places.flatten()), np.cumsum(np.asarray(places.value_lengths()))[:-1])
+    # rows arrive in any order; the fit takes them in one
+    data = [(int(label[i]), parts[i]) for i in sorted(range(len(label)), key=lambda i: (label[i], parts[i].tobytes()))]
     kept = np.concatenate([np.arange(len(strong)), len(strong) + paired_terms([(y, p[p >= len(strong)] - len(strong)) for y, p in data], len(weak))])
     place = np.full(len(buckets), -1)
     place[kept] = np.arange(len(kept))
