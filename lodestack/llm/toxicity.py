@@ -38,7 +38,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .bpe import text_slices
 from .decontamination import _NOT_WORD
-from .shared import as_struct, fields_of, quoted
+from .shared import as_struct, fields_of, materialize, quoted
 from .shingles import prefix_hashes
 
 PREFIXES = (4, 5, 6)
@@ -158,7 +158,7 @@ def train_toxicity(
         return model
     share = positive / total
     chi = (F.col("k") - F.col("n") * share) ** 2 / (F.col("n") * share * (1 - share) * (1 - F.col("n") / (total + 1)) + 1e-9)
-    ranked = counts.filter("n >= 3").select("bucket", "n", chi.alias("chi"))
+    ranked = materialize(counts.filter("n >= 3").select("bucket", "n", chi.alias("chi")), "toxicity-terms")
     strong = [x["bucket"] for x in ranked.filter("chi > 16").orderBy(F.desc("chi"), "bucket").limit(max_terms).collect()]
     weak = [x["bucket"] for x in ranked.filter("chi <= 16").orderBy(F.desc("n"), "bucket").limit(pair_terms).collect()]
     buckets = np.asarray(strong + weak, np.int64)
