@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .functions import dates, money, similarity, text
 from .operators import forms, ingest, linking, quality, reports, versions
 from .plans import jobs
+from .plans.state import State
 from .sources import landed
 from .streaming import first_seen
 
@@ -556,7 +557,7 @@ def _landing(spark, name: str) -> str:
     """A new folder that all machines share: below spark.checkpoint.dir, or a temporary one in a local session."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not re.fullmatch(r"local(\\[.*\\])?", spark.sparkContext.master):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lodestack-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -650,6 +651,13 @@ def _report_row():
     return F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td> "), F.lit(c) if isinstance(c, str) else c, F.lit("</td>")) for c in cells), F.lit("</tr>"))
 
 
+def _report_pages(spark, d):
+    """(filing_id, html): a report per order, with a row per line of the order."""
+    placed = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice", _report_row().alias("html"))
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("filing_id")).agg(F.sort_array(F.collect_list(placed)).alias("x"))
+    return lines.select("filing_id", F.concat(F.lit(_REPORT_HEAD), F.array_join("x.html", ""), F.lit(_REPORT_END)).alias("html"))
+
+
 @query("""
 SELECT l_orderkey AS filing_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS INTEGER) AS row_index, CASE l_returnflag WHEN 'A' THEN 'spouse' WHEN 'R' THEN 'child' END AS owner, CASE WHEN l_linenumber <> 1 THEN 'T' || l_partkey END AS ticker,
  CASE WHEN l_linestatus = 'O' THEN 'purchase' ELSE 'sale_partial' END AS tx_type, CAST(l_quantity AS DOUBLE) AS amount_min, CAST(l_quantity + 1 AS DOUBLE) AS amount_max, CAST(l_shipdate AS DATE) AS tx_date
@@ -657,10 +665,7 @@ FROM lineitem
 """)
 def html_report_rows(spark, d):
     """A report per order, with a row per line of the order."""
-    placed = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice", _report_row().alias("html"))
-    reports_ = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("filing_id")).agg(F.sort_array(F.collect_list(placed)).alias("x"))
-    html = F.concat(F.lit(_REPORT_HEAD), F.array_join("x.html", ""), F.lit(_REPORT_END))
-    rows = landed.report_rows(reports_.select("filing_id", html.alias("html")))
+    rows = landed.report_rows(_report_pages(spark, d))
     return rows.select("filing_id", "row_index", "owner", "ticker", "tx_type", "amount_min", "amount_max", "tx_date")
 
 
@@ -790,3 +795,114 @@ def stream_first_seen(spark, d):
     stream = first_seen.read_events(spark, f"{folder}/landing", "user_id long, event_id long, event_type string", files=4)
     first_seen.ingest_available(stream, f"{folder}/state", f"{folder}/checkpoint", "user_id", "event_id")
     return spark.read.parquet(f"{folder}/state")
+
+
+# ---------------------------------------------------------------- jobs over the engine's tables
+
+
+def _state(spark) -> State:
+    return State(spark, _landing(spark, "state"))
+
+
+def _now():
+    return _lit_ts("2024-02-01 12:00:00")
+
+
+def _filings(o: DataFrame, chamber: str, status) -> DataFrame:
+    """A trade report per order."""
+    return o.select(
+        F.concat(F.lit(f"{chamber}:"), F.col("o_orderkey").cast("string")).alias("filing_id"), F.lit(chamber).alias("chamber"), F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("filer_name"), F.lit("P").alias("filing_type"),
+        F.to_date("o_orderdate").alias("filed_date"), _now().alias("first_seen_at"), F.lit(86_400).alias("first_seen_precision_s"), F.lit("unknown").alias("format"), status.alias("parse_status"), F.lit("official").alias("source"),
+    )
+
+
+def _tally(state: State) -> DataFrame:
+    """(filing_id, parse_status, format, n_rows, n_issues) of the state's filings."""
+    stored = state.read("transactions").groupBy("filing_id").agg(F.count("*").alias("n_rows"))
+    issues = state.read("dq_issues").groupBy("filing_id").agg(F.count("*").alias("n_issues"))
+    f = state.read("filings").select("filing_id", "parse_status", "format").join(stored, "filing_id", "left").join(issues, "filing_id", "left")
+    return f.na.fill(0, ["n_rows", "n_issues"])
+
+
+@query("""
+SELECT 'house:' || o_orderkey AS filing_id, 'house' AS chamber, o_orderstatus AS filing_type, CAST(o_orderdate AS DATE) AS filed_date, 86400 AS first_seen_precision_s, 'unknown' AS format, 'pending' AS parse_status FROM orders
+UNION ALL SELECT 'senate:' || o_orderkey, 'senate', 'P', CAST(o_orderdate AS DATE), 86400, CASE WHEN o_orderkey % 2 = 0 THEN 'electronic' ELSE 'paper' END, CASE WHEN o_orderkey % 2 = 0 THEN 'pending' ELSE 'paper_deferred' END FROM orders
+""")
+def filings_ingested(spark, d):
+    """Two backfills of an index, the second with the rows of the first again, and one of search results."""
+    state, o = _state(spark), table(spark, d, "orders")
+    index = _filings(o, "house", F.lit("pending")).select("filing_id", "filer_name", "filed_date").join(o.select(F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), F.col("o_orderstatus").alias("filing_type"), (F.col("o_orderkey") % 2).alias("half")), "filing_id")
+    jobs.ingest_index(state, index.filter("half = 0").drop("half"), _now(), live=False)
+    jobs.ingest_index(state, index.drop("half"), _now(), live=False)
+    results = _filings(o, "senate", F.lit("pending")).select("filing_id", "filer_name", "filed_date", (F.substring_index("filing_id", ":", -1).cast("long") % 2 == 0).alias("is_electronic"))
+    jobs.ingest_search(state, results, _now(), live=False)
+    return state.read("filings").select("filing_id", "chamber", "filing_type", "filed_date", "first_seen_precision_s", "format", "parse_status")
+
+
+@query("""
+SELECT 'house:' || o_orderkey AS filing_id, CASE WHEN o_orderkey % 3 = 0 THEN 'pending' WHEN n > 0 THEN 'parsed' ELSE 'paper_deferred' END AS parse_status, CASE WHEN o_orderkey % 3 <> 0 AND n > 0 THEN 'scanned' ELSE 'unknown' END AS format,
+ CASE WHEN o_orderkey % 3 <> 0 THEN coalesce(good, 0) ELSE 0 END AS n_rows, CASE WHEN o_orderkey % 3 <> 0 AND n > good THEN 1 ELSE 0 END AS n_issues
+FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_linestatus = 'O') AS good FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
+""")
+def transcribed_imported(spark, d):
+    """Transcribed rows of deferred reports, imported twice; rows without a trade open one issue a filing."""
+    state, o = _state(spark), table(spark, d, "orders")
+    state.append("filings", _filings(o, "house", F.when(F.col("o_orderkey") % 3 == 0, "pending").otherwise("paper_deferred")))
+    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
+    rows = table(spark, d, "lineitem").select(
+        F.concat(F.lit("house:"), F.col("l_orderkey").cast("string")).alias("filing_id"), (F.row_number().over(w) - 1).alias("row_index"), F.lit("An asset").alias("asset_description_raw"),
+        F.when(F.col("l_linestatus") == "O", "purchase").alias("tx_type"), F.col("l_returnflag").alias("confidence"), *(F.lit(None).cast("string").alias(c) for c in ("review", "note")),
+    )
+    jobs.import_transcribed(state, rows, "batch.csv", _now())
+    jobs.import_transcribed(state, rows, "batch.csv", _now())
+    return _tally(state)
+
+
+@query("""
+SELECT 'senate:' || l_orderkey AS filing_id, CASE WHEN l_orderkey % 5 = 0 THEN 'failed' ELSE 'parsed' END AS parse_status, 'electronic' AS format, CASE WHEN l_orderkey % 5 = 0 THEN 0 ELSE count(*) END AS n_rows, CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 0 END AS n_issues FROM lineitem GROUP BY l_orderkey
+""")
+def reports_parsed(spark, d):
+    """Pending reports parsed from their pages; those of every fifth filing have no table and open an issue."""
+    state, pages = _state(spark), _report_pages(spark, d)
+    keys = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.lit(0).alias("o_custkey"), F.lit("2020-01-01").alias("o_orderdate")).dropDuplicates(["o_orderkey"])
+    state.append("filings", _filings(keys, "senate", F.lit("pending")))
+    html = F.when(F.col("filing_id") % 5 == 0, "<p>no table</p>").otherwise(F.col("html"))
+    jobs.parse_html_reports(state, pages.select(F.concat(F.lit("senate:"), F.col("filing_id").cast("string")).alias("filing_id"), html.alias("html")), _now())
+    return _tally(state)
+
+
+@query("SELECT event_type AS bucket, CAST(sum(round(value, 0)) AS BIGINT) AS total_bytes, CAST(count(*) AS INTEGER) AS object_count FROM events GROUP BY 1")
+def reconcile_usage(spark, d):
+    """Stored objects counted anew into the table of storage in use."""
+    state = _state(spark)
+    jobs.check_storage(state, table(spark, d, "events").select(F.col("event_type").alias("bucket"), F.round("value").cast("long").alias("bytes")), _now())
+    return state.read("storage_usage").select("bucket", "total_bytes", "object_count")
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CASE WHEN o_orderkey % 2 = 0 THEN 'OLD' ELSE 'NEW' END AS ticker, 'OP' AS asset_type, CASE WHEN o_orderkey % 3 = 0 THEN 'put' WHEN o_orderkey % 5 <> 0 THEN 'call' END AS option_type,
+ CASE WHEN o_orderkey % 3 = 0 THEN 1.0::DOUBLE WHEN o_orderkey % 5 <> 0 THEN 5.0::DOUBLE END AS strike, CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0 THEN DATE '2026-01-16' END AS expiry FROM orders
+""")
+def fields_backfilled(spark, d):
+    """Fields of stored trades filled from a new parse: single ones where null, those of an option only together."""
+    state, key = _state(spark), F.col("o_orderkey")
+    o = table(spark, d, "orders").select("o_orderkey", key.cast("string").alias("filing_id"), F.lit(0).alias("row_index"))
+    put = F.when(key % 3 == 0, "put")
+    state.append("transactions", o.select(F.col("filing_id").alias("transaction_id"), "filing_id", "row_index", F.lit("An asset").alias("asset_description_raw"), F.lit("purchase").alias("tx_type"), F.lit(True).alias("is_current"), F.when(key % 2 == 0, "OLD").alias("ticker"), put.alias("option_type"), F.when(key % 3 == 0, 1.0).alias("strike")))
+    parsed = o.select("filing_id", "row_index", F.lit("NEW").alias("ticker"), F.lit("OP").alias("asset_type"), F.lit("i").alias("source_transaction_id"), F.when(key % 5 != 0, "call").alias("option_type"), F.lit(5.0).alias("strike"), F.lit("2026-01-16").cast("date").alias("expiry"))
+    jobs.backfill_fields(state, parsed)
+    return state.read("transactions").select("filing_id", "ticker", "asset_type", "option_type", "strike", "expiry")
+
+
+@query("""
+SELECT instrument_id, CASE WHEN rk <= 200 AND c_custkey % 2 = 0 THEN 'S' || c_nationkey END AS sic, rk <= 200 AS tried FROM (SELECT *, row_number() OVER (ORDER BY instrument_id) AS rk FROM (SELECT *, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS instrument_id FROM customer))
+""")
+def industries_tried(spark, d):
+    """Two batches of instruments never tried get their industry, and all of them the mark that they were tried."""
+    state, c = _state(spark), table(spark, d, "customer")
+    cik = F.lpad(F.col("c_custkey").cast("string"), 10, "0")
+    state.append("instruments", c.select(cik.alias("instrument_id"), cik.alias("cik")))
+    codes = c.filter("c_custkey % 2 = 0").select(cik.alias("cik"), F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("sic"), F.lit("An industry").alias("sic_description"))
+    for _ in range(2):
+        jobs.sync_industries(state, codes, _now(), batch=100)
+    return state.read("instruments").select("instrument_id", "sic", F.col("sic_synced_at").isNotNull().alias("tried"))

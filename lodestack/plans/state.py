@@ -1,8 +1,9 @@
-"""The engine's own tables as snapshots that are replaced whole.
+"""The engine's own tables: Parquet folders that jobs append to or replace.
 
-A table's versions lie side by side. A version counts once a row of the log names it, so
-readers see the old version or the new one, and a job that dies between leaves only files
-that nobody names. One writer at a time is assumed.
+A replaced table's versions lie side by side. A version counts once a row of the log names it,
+so readers see the old version or the new one, and a job that dies between leaves only files
+that nobody names. An append adds files to the current version; frames read before it keep the
+files they listed. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -34,14 +35,23 @@ class State:
         n = self.version(table)
         return self.spark.read.schema(TABLES[table]).parquet(f"{self.folder}/{table}/version={n}") if n else empty(self.spark, table)
 
+    def _shaped(self, table: str, rows: DataFrame) -> DataFrame:
+        """``rows`` with the table's columns; those that are missing are null."""
+        wanted = empty(self.spark, table).schema
+        return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted))
+
     def replace(self, table: str, rows: DataFrame) -> DataFrame:
-        """Write ``rows`` as the table's next version; returns it as read back. Columns that are missing are null."""
-        n, wanted = self.version(table) + 1, empty(self.spark, table).schema
-        shaped = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted))
-        shaped.write.mode("overwrite").parquet(f"{self.folder}/{table}/version={n}")
+        """Write ``rows`` as the table's next version; returns it as read back."""
+        n = self.version(table) + 1
+        self._shaped(table, rows).write.mode("overwrite").parquet(f"{self.folder}/{table}/version={n}")
         mark = self.spark.range(1).select(F.lit(table).alias("table"), F.lit(n).cast("long").alias("version"), F.current_timestamp().alias("written_at"))
         mark.coalesce(1).write.mode("append").parquet(f"{self.folder}/_log")
         return self.read(table)
 
     def append(self, table: str, rows: DataFrame) -> DataFrame:
-        return self.replace(table, self.read(table).unionByName(rows.select(*(c for c in self.read(table).columns if c in rows.columns)), allowMissingColumns=True))
+        """Add ``rows`` to the files of the table's version, which stay as they are; returns the table as read back."""
+        n = self.version(table)
+        if not n:
+            return self.replace(table, rows)
+        self._shaped(table, rows).write.mode("append").parquet(f"{self.folder}/{table}/version={n}")
+        return self.read(table)
