@@ -10,6 +10,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -733,14 +734,17 @@ SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CAST(0 AS INTEGER) AS row_index
 UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, 'self', 'Second', NULL, NULL, 'None', NULL, NULL, NULL, NULL FROM orders
 """)
 def holdings_form(spark, d):
-    o = table(spark, d, "orders")
+    return forms.holdings_form(_holding_words(table(spark, d, "orders")))
+
+
+def _holding_words(o):
+    """A page of positioned words per order: Schedule A with two assets, and another schedule."""
     word = lambda t, x, y: F.struct((F.lit(t) if isinstance(t, str) else t).alias("text"), F.lit(x).alias("x0"), F.lit(y).alias("top"))
     page = [word("ScHeDule", 20.0, 5.0), word("a:", 80.0, 5.0), *(word(t, x, 20.0) for t, x in (("Asset", 20.0), ("owner", 200.0), ("Value", 260.0), ("Income", 340.0), ("Type", 360.0), ("Income", 420.0), ("tx.", 500.0)))]
     page += [word("Fund", 20.0, 40.0), word(F.col("o_custkey").cast("string"), 50.0, 40.0), word("JT", 200.0, 40.0), word("$1,001", 260.0, 40.0), word("-", 300.0, 40.0), word("Dividends", 340.0, 40.0), word("$1", 420.0, 40.0), word("-", 430.0, 40.0), word("$200", 440.0, 40.0)]
     page += [word("rest", 20.0, 50.0), word("(FND)", 50.0, 50.0), word("[MF]", 80.0, 50.0), word("$15,000", 260.0, 50.0), word("DESCRIPTION:", 20.0, 60.0), word("words", 90.0, 60.0), word("more", 20.0, 70.0)]
     page += [word("Second", 20.0, 80.0), word("None", 260.0, 80.0), word("Schedule", 20.0, 95.0), word("B:", 80.0, 95.0), word("Ignored", 20.0, 110.0), word("None", 260.0, 110.0)]
-    words = o.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.explode(F.array(*page)).alias("w")).select("filing_id", F.lit(0).alias("page"), "w.text", "w.x0", "w.top")
-    return forms.holdings_form(words)
+    return o.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.explode(F.array(*page)).alias("w")).select("filing_id", F.lit(0).alias("page"), "w.text", "w.x0", "w.top")
 
 
 # ---------------------------------------------------------------- reports and operations
@@ -906,3 +910,196 @@ def industries_tried(spark, d):
     for _ in range(2):
         jobs.sync_industries(state, codes, _now(), batch=100)
     return state.read("instruments").select("instrument_id", "sic", F.col("sic_synced_at").isNotNull().alias("tried"))
+
+
+@query("""
+SELECT 'P' || c_custkey AS bioguide_id, c_name AS full_name, CASE WHEN c_custkey % 2 = 0 THEN 'senate' ELSE 'house' END AS chamber, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'First' END AS party,
+ CASE WHEN c_custkey % 2 = 0 THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END AS created_on, CASE WHEN c_custkey % 2 = 0 THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END AS updated_on, 2 - c_custkey % 2 AS n_terms, 1 AS n_seats FROM customer
+""")
+def people_synced(spark, d):
+    """People, terms, committees and seats synced twice, the second time with more people; both times of a row are those of its insert, and seats of unknown people are dropped."""
+    state, c = _state(spark), table(spark, d, "customer")
+    key, who = F.col("c_custkey"), F.concat(F.lit("P"), F.col("c_custkey").cast("string"))
+    term = lambda chamber, party, start: c.select(key, who.alias("bioguide_id"), F.col("c_name").alias("full_name"), F.lit(chamber).alias("chamber"), F.lit(None).cast("string").alias("state"), F.lit(None).cast("string").alias("district"), party.alias("party"), F.lit(start).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date"))
+    terms = term("house", F.lit("First"), "2015-01-03").unionByName(term("senate", F.col("c_mktsegment"), "2017-01-03").filter(key % 2 == 0))
+    jobs.sync_people(state, terms.filter(key % 2 == 0).drop("c_custkey").withColumn("full_name", F.lit("Before")), _lit_ts("2024-01-01 12:00:00"))
+    jobs.sync_people(state, terms.drop("c_custkey"), _now())
+    committee = F.concat(F.lit("C"), F.col("c_nationkey").cast("string")).alias("thomas_id")
+    groups = table(spark, d, "nation").select(F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("thomas_id"), F.lit("house").alias("chamber"), F.col("n_name").alias("name"))
+    seats = c.select(committee, who.alias("bioguide_id")).unionByName(c.select(committee, F.concat(F.lit("X"), key.cast("string")).alias("bioguide_id")))
+    for _ in range(2):
+        jobs.sync_committees(state, groups, seats, _now())
+    n_terms = state.read("politician_terms").groupBy("bioguide_id").agg(F.count("*").alias("n_terms"))
+    n_seats = state.read("committee_memberships").groupBy("bioguide_id").agg(F.count("*").alias("n_seats"))
+    people = state.read("politicians").join(n_terms, "bioguide_id", "left").join(n_seats, "bioguide_id", "left")
+    return people.select("bioguide_id", "full_name", "chamber", "party", F.to_date("created_at").alias("created_on"), F.to_date("updated_at").alias("updated_on"), "n_terms", "n_seats")
+
+
+@query("""
+SELECT 'house' AS chamber, 'success' AS status, count(*) AS new_filings_count, NULL::VARCHAR AS error_message FROM orders
+UNION ALL SELECT 'house', 'success', 0, NULL UNION ALL SELECT 'senate', 'failed', 0, 'no index'
+""")
+def runs_logged(spark, d):
+    """Runs of a job in the log: one that finds filings, one that finds none anew, one that fails."""
+    state, index = _state(spark), _filings(table(spark, d, "orders"), "house", F.lit("pending")).select("filing_id", "filer_name", "filed_date", "filing_type")
+
+    def fail() -> int:
+        raise ValueError("no index")
+
+    for day in (1, 2):
+        jobs.logged(state, "house", lambda: jobs.ingest_index(state, index, _now(), live=False), datetime(2024, 2, day))
+    try:
+        jobs.logged(state, "senate", fail, datetime(2024, 2, 3))
+    except ValueError:
+        pass  # the log has it
+    return state.read("scrape_runs").select("chamber", "status", "new_filings_count", "error_message")
+
+
+@query("""
+WITH f AS (SELECT 'house:' || o_orderkey AS filing_id, o_orderkey % 4 = 0 AS failed, row_number() OVER (ORDER BY o_orderkey % 4 = 0, CASE WHEN o_orderstatus = 'P' THEN 0 WHEN o_orderstatus = 'O' AND ('house:' || o_orderkey) LIKE 'house:100%' THEN 1 ELSE 2 END, 'house:' || o_orderkey) AS rk, o_orderkey % 8 = 0 AS late FROM orders)
+SELECT filing_id, CASE WHEN rk <= 200 OR late THEN 'k/' || filing_id END AS raw_object_key, CAST(failed AND NOT (rk <= 200 OR late) AS INTEGER) AS n_open FROM f
+""")
+def reports_archived(spark, d):
+    """Two batches of the archive queue, then objects of reports whose fetch had failed; those resolve their issues."""
+    state, o = _state(spark), table(spark, d, "orders")
+    kinds = o.select(F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), F.col("o_orderstatus").alias("filing_type"), "o_orderkey")
+    state.append("filings", _filings(o, "house", F.lit("pending")).drop("filing_type").join(kinds.drop("o_orderkey"), "filing_id"))
+    state.append("dq_issues", kinds.filter("o_orderkey % 4 = 0").select("filing_id", F.lit("pdf_fetch_failed").alias("issue_type"), F.col("filing_id").alias("issue_id"), _now().alias("created_at")))
+    stored = lambda f: f.select("filing_id", F.concat(F.lit("k/"), "filing_id").alias("key"), F.sha2("filing_id", 256).alias("sha256"))
+    for _ in range(2):
+        jobs.archive(state, stored(jobs.pending_reports(state, 100)), _now())
+    jobs.archive(state, stored(kinds.filter("o_orderkey % 8 = 0")), _now())
+    left = state.read("dq_issues").filter("resolved_at is null").groupBy("filing_id").agg(F.count("*").alias("n_open"))
+    return state.read("filings").select("filing_id", "raw_object_key").join(left, "filing_id", "left").na.fill(0, ["n_open"])
+
+
+@query("""
+WITH f AS (SELECT 'house:' || o_orderkey AS filing_id, o_custkey % 30 AS k, CAST(o_orderdate AS DATE) AS filed FROM orders),
+b AS (SELECT filing_id, CASE WHEN k BETWEEN 25 AND 27 THEN 'N0' WHEN k < 25 AND (k % 2 = 1 OR filed <= DATE '1996-01-01') THEN 'N' || k END AS bioguide_id FROM f)
+SELECT filing_id, bioguide_id, CAST(bioguide_id IS NULL AS INTEGER) AS n_issues FROM b
+""")
+def filers_linked(spark, d):
+    """Filers linked by override, by name (a letter repeated) among those who sat on the day, or not at all; a second run opens no second issue."""
+    state, n = _state(spark), table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.repeat(F.char(F.col("n_nationkey") + 97), 8).alias("name"))
+    o = table(spark, d, "orders").withColumn("k", F.col("o_custkey") % 30)
+    names = o.join(F.broadcast(n), "k", "left").select(F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), F.coalesce("name", F.when(F.col("k") < 28, "zx zx").otherwise("1 2 3")).alias("filer_name"))
+    state.append("filings", _filings(o, "house", F.lit("pending")).drop("filer_name").join(names, "filing_id"))
+    who = F.concat(F.lit("N"), F.col("k").cast("string")).alias("bioguide_id")
+    state.append("politicians", n.select(who, F.col("name").alias("full_name"), F.lit("house").alias("chamber")))
+    state.append("politician_terms", n.select(F.col("name").alias("term_id"), who, F.lit("house").alias("chamber"), F.lit("1990-01-01").cast("date").alias("start_date"), F.when(F.col("k") % 2 == 0, F.lit("1996-01-01").cast("date")).alias("end_date")))
+    state.append("politician_overrides", spark.createDataFrame([("o", "house", "zx zx", "N0")], "override_id string, chamber string, filer_name string, bioguide_id string"))
+    for _ in range(2):
+        jobs.link_filers(state, _now())
+    issues = state.read("dq_issues").groupBy("filing_id").agg(F.count("*").alias("n_issues"))
+    return state.read("filings").select("filing_id", "bioguide_id").join(issues, "filing_id", "left").na.fill(0, ["n_issues"])
+
+
+def _trade_rows(spark, d) -> DataFrame:
+    """A stored trade per line, numbered within its order."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
+    rows = table(spark, d, "lineitem").withColumn("row_index", F.row_number().over(w) - 1)
+    return rows.select(
+        F.concat_ws("-", "l_orderkey", "row_index").alias("transaction_id"), F.col("l_orderkey").cast("string").alias("filing_id"), "row_index", F.lit("An asset").alias("asset_description_raw"),
+        F.when(F.col("l_linestatus") == "O", "purchase").otherwise("sale_full").alias("tx_type"), F.lit(True).alias("is_current"), F.col("l_partkey").cast("string").alias("source_transaction_id"), "l_partkey", "l_linenumber",
+    )
+
+
+_NUMBERED = "SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice) - 1 AS row_index FROM lineitem"
+
+
+@query(f"""
+SELECT l_orderkey || '-' || row_index AS transaction_id, CASE WHEN l_linenumber % 3 <> 0 THEN 'T' || l_partkey END AS ticker,
+ CASE WHEN l_linenumber % 3 <> 0 AND l_partkey % 4 = 0 THEN 'I' || l_partkey WHEN l_linenumber % 3 <> 0 AND l_partkey % 2 = 0 THEN sha256(lpad(CAST(l_partkey AS VARCHAR), 10, '0')) END AS instrument_id,
+ CASE WHEN l_linenumber % 3 <> 0 AND l_partkey % 2 = 0 THEN lpad(CAST(l_partkey AS VARCHAR), 10, '0') END AS cik, CASE WHEN l_linenumber % 3 <> 0 AND l_partkey % 2 = 0 THEN 1 ELSE 0 END AS n_maps FROM ({_NUMBERED})
+""")
+def trades_linked(spark, d):
+    """Trades linked to instruments by ticker, to known ones and to ones made once for a company; a second run changes nothing."""
+    state, p = _state(spark), table(spark, d, "part").filter("p_partkey % 2 = 0")
+    name, cik = F.concat(F.lit("T"), F.col("p_partkey").cast("string")), F.lpad(F.col("p_partkey").cast("string"), 10, "0")
+    companies = p.select(cik.alias("cik"), name.alias("ticker"), F.concat(F.lit("Zzqx "), "p_partkey").alias("title"))
+    state.append("instruments", p.filter("p_partkey % 4 = 0").select(F.concat(F.lit("I"), F.col("p_partkey").cast("string")).alias("instrument_id"), cik.alias("cik")))
+    state.append("transactions", _trade_rows(spark, d).withColumn("ticker", F.when(F.col("l_linenumber") % 3 != 0, F.concat(F.lit("T"), F.col("l_partkey").cast("string")))))
+    none = spark.createDataFrame([], "match_type string, match_value string, ticker string, cik string")
+    for _ in range(2):
+        jobs.link_trades(state, companies, none)
+    maps = state.read("ticker_map").groupBy("instrument_id").agg(F.count("*").alias("n_maps"))
+    t = state.read("transactions").select("transaction_id", "ticker", "instrument_id").join(state.read("instruments").select("instrument_id", "cik"), "instrument_id", "left")
+    return t.join(maps, "instrument_id", "left").na.fill(0, ["n_maps"])
+
+
+@query(ORACLES["link_amendments"])
+def amendments_followed(spark, d):
+    """The rule of link_amendments as a job over stored filings and trades, run twice."""
+    state = _state(spark)
+    state.append("filings", _filings(table(spark, d, "orders"), "house", F.lit("parsed")).withColumn("filing_id", F.substring_index("filing_id", ":", -1)))
+    state.append("transactions", _trade_rows(spark, d))
+    for _ in range(2):
+        jobs.follow_amendments(state)
+    heirs = state.read("filings").select("filing_id", "supersedes_filing_id")
+    return state.read("transactions").join(heirs, "filing_id").select("filing_id", "row_index", "is_current", "supersedes_filing_id")
+
+
+@query("""
+SELECT l_returnflag AS source, 'house:' || l_orderkey AS external_filing_id, CASE WHEN l_orderkey % 2 = 0 OR l_orderkey % 3 = 0 THEN 'house:' || l_orderkey END AS matched_filing_id,
+ count(DISTINCT (l_partkey, l_suppkey, l_shipdate, l_quantity)) AS n_rows FROM lineitem GROUP BY 1, 2, 3
+""")
+def community_imported(spark, d):
+    """A community feed imported twice, each content once; rows of filings that arrive later meet them in a rematch."""
+    state, o = _state(spark), table(spark, d, "orders")
+    known = _filings(o, "house", F.lit("parsed")).withColumn("k", F.substring_index("filing_id", ":", -1).cast("long"))
+    state.append("filings", known.filter("k % 2 = 0"))
+    rows = table(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("source"), F.lit("house").alias("chamber"), F.concat(F.lit("house:"), F.col("l_orderkey").cast("string")).alias("external_filing_id"), F.lit("A filer").alias("filer_name"), F.to_date("l_shipdate").alias("tx_date"),
+        F.col("l_partkey").cast("string").alias("ticker"), F.col("l_suppkey").cast("string").alias("asset_description"), F.lit("purchase").alias("tx_type"), F.lit("self").alias("owner"), F.col("l_quantity").cast("double").alias("amount_min"), F.lit(None).cast("double").alias("amount_max"),
+    )
+    for _ in range(2):
+        jobs.import_community(state, rows)
+    state.append("filings", known.filter("k % 2 <> 0 and k % 3 = 0"))
+    jobs.rematch_community(state)
+    return state.read("community_transactions").groupBy("source", "external_filing_id", "matched_filing_id").agg(F.count("*").alias("n_rows"))
+
+
+@query(f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, row_index, CASE WHEN l_orderkey % 4 = 0 THEN 'Jane Doe (D-CA) [Art, Roads (Chair)]' ELSE 'Customer ' || o_custkey END || CASE WHEN l_linestatus = 'O' THEN ': BUY' ELSE ': SELL' END || ' An asset' AS line,
+ row_index + 1 AS rank, 0 AS remainder FROM ({_NUMBERED}) JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 2 = 0
+""")
+def live_messages(spark, d):
+    """Message lines of live filings alone, with the linked person and committees or the filer's own name."""
+    state, o = _state(spark), table(spark, d, "orders")
+    f = _filings(o, "house", F.lit("parsed")).withColumn("filing_id", F.substring_index("filing_id", ":", -1)).withColumn("k", F.col("filing_id").cast("long"))
+    state.append("filings", f.withColumns({"first_seen_precision_s": F.when(F.col("k") % 2 == 0, dates.LIVE_PRECISION).otherwise(F.col("first_seen_precision_s")), "bioguide_id": F.when(F.col("k") % 4 == 0, "J1")}))
+    state.append("politicians", spark.createDataFrame([("J1", "Jane Doe", "house", "D", "CA")], "bioguide_id string, full_name string, chamber string, party string, state string"))
+    state.append("committees", spark.createDataFrame([("A", "house", "Art"), ("R", "house", "Roads")], "thomas_id string, chamber string, name string"))
+    state.append("committee_memberships", spark.createDataFrame([("1", "A", "J1", None), ("2", "R", "J1", "Chair")], "membership_id string, thomas_id string, bioguide_id string, title string"))
+    state.append("transactions", _trade_rows(spark, d))
+    return jobs.message_lines(state, state.read("filings")).select("filing_id", "row_index", "line", "rank", "remainder")
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CASE WHEN o_orderkey % 5 = 0 THEN 'failed' ELSE 'parsed' END AS parse_status, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE 2 END AS n_rows, CASE WHEN o_orderkey % 5 <> 0 THEN 2020 END AS report_year, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS n_issues FROM orders
+""")
+def holdings_parsed(spark, d):
+    """Annual reports parsed from their words, twice; those of every fifth filing have no schedule and open one issue."""
+    state, o = _state(spark), table(spark, d, "orders")
+    state.append("filings", _filings(o, "house", F.lit("pending")).withColumns({"filing_id": F.substring_index("filing_id", ":", -1), "filing_type": F.lit("O")}))
+    year = F.array(*(F.struct(F.lit(t).alias("text"), F.lit(x).alias("x0"), F.lit(1.0).alias("top")) for t, x in (("Filing", 20.0), ("Year:", 60.0), ("2020", 90.0))))
+    first = o.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.explode(year).alias("w")).select("filing_id", F.lit(0).alias("page"), "w.text", "w.x0", "w.top")
+    words = first.unionByName(_holding_words(o.filter("o_orderkey % 5 <> 0")).withColumn("top", F.col("top") + 10))
+    for _ in range(2):
+        jobs.parse_holdings(state, words, _now())
+    held = state.read("holdings").groupBy("filing_id").agg(F.count("*").alias("n_rows"), F.max("report_year").alias("report_year"))
+    issues = state.read("dq_issues").groupBy("filing_id").agg(F.count("*").alias("n_issues"))
+    return state.read("filings").select("filing_id", "parse_status").join(held, "filing_id", "left").join(issues, "filing_id", "left").na.fill(0, ["n_rows", "n_issues"])
+
+
+@query("""
+SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, CASE WHEN l_orderkey % 5 = 0 THEN 'paper_deferred' ELSE 'parsed' END AS parse_status, CASE WHEN l_orderkey % 5 = 0 THEN 'scanned' ELSE 'electronic' END AS format, CASE WHEN l_orderkey % 5 = 0 THEN 0 ELSE count(*) END AS n_rows, 0 AS n_issues FROM lineitem GROUP BY l_orderkey
+""")
+def forms_parsed(spark, d):
+    """Pending trade reports parsed from their words; those of every fifth filing lack the header row and are deferred as scans."""
+    state, line = _state(spark), table(spark, d, "lineitem")
+    keys = line.select(F.col("l_orderkey").alias("o_orderkey"), F.lit(0).alias("o_custkey"), F.lit("2020-01-01").alias("o_orderdate")).dropDuplicates(["o_orderkey"])
+    state.append("filings", _filings(keys, "house", F.lit("pending")).withColumn("filing_id", F.substring_index("filing_id", ":", -1)))
+    words = _form_words(line).filter((F.col("filing_id").cast("long") % 5 != 0) | (F.col("top") > 10))
+    jobs.parse_trade_forms(state, words, _now())
+    return _tally(state)

@@ -24,19 +24,21 @@ WORD_SCHEMA = "filing_id string, page int, text string, x0 double, top double"
 
 
 def lines_of(words: DataFrame) -> DataFrame:
-    """(filing_id, page, line, words): lines are bands of words no lower than a tolerance below the band's first word."""
-    pages = words.groupBy("filing_id", "page").agg(F.sort_array(F.collect_list(F.struct("top", "x0", "text"))).alias("w"))
-    kind = "struct<top:double,line:int,out:array<struct<line:int,x0:double,text:string>>>"
+    """(filing_id, page, line, words): lines are bands of words no lower than a tolerance below the band's first word.
 
-    def step(acc: Column, w: Column) -> Column:
-        new = acc["top"].isNull() | (w["top"] - acc["top"] > LINE_TOLERANCE)
-        line = acc["line"] + new.cast("int")
-        word = F.struct(line.alias("line"), w["x0"].alias("x0"), w["text"].alias("text"))
-        return F.struct(F.when(new, w["top"]).otherwise(acc["top"]).alias("top"), line.alias("line"), F.concat(acc["out"], F.array(word)).alias("out"))
+    A fold over the page keeps only the places where lines begin; a word's line is the last one that begins
+    at or above it. Words without a place are in line -1. One shuffle by filing serves all that follows.
+    """
+    pages = words.repartition("filing_id").groupBy("filing_id", "page").agg(F.sort_array(F.collect_list(F.struct("top", "x0", "text"))).alias("w"))
+
+    def step(begins: Column, w: Column) -> Column:
+        new = w["top"].isNotNull() & ((F.size(begins) == 0) | F.coalesce(w["top"] - F.get(begins, F.size(begins) - 1) > LINE_TOLERANCE, F.lit(False)))
+        return F.when(new, F.concat(begins, F.array(w["top"]))).otherwise(begins)
 
-    start = F.struct(F.lit(None).alias("top"), F.lit(-1).alias("line"), F.array().alias("out")).cast(kind)
-    placed = pages.select("filing_id", "page", F.explode(F.aggregate("w", start, step)["out"]).alias("w"))
-    return placed.groupBy("filing_id", "page", F.col("w.line").alias("line")).agg(F.sort_array(F.collect_list(F.struct("w.x0", "w.text"))).alias("words"))
+    begins = pages.withColumn("b", F.aggregate("w", F.array().cast("array<double>"), step))
+    placed = begins.select("filing_id", "page", "b", F.explode("w").alias("w"))
+    line = F.size(F.filter("b", lambda t: t <= F.col("w.top"))) - 1
+    return placed.groupBy("filing_id", "page", line.alias("line")).agg(F.sort_array(F.collect_list(F.struct("w.x0", "w.text"))).alias("words"))
 
 
 def _text(words: Column) -> Column:
@@ -48,19 +50,15 @@ def _x(words: Column, name: str, last: bool = True) -> Column:
     return F.get(F.reverse(found) if last else found, F.lit(0))
 
 
-def form_columns(lines: DataFrame) -> DataFrame:
-    """Per filing with a header row, the right ends of its columns, from the first such row."""
-    w = F.col("words")
+def _header(w: Column) -> Column:
+    """The right ends of a form's columns if the words are its header row, else null."""
     x = {n: _x(w, n) for n in ("owner", "asset", "transaction", "notification", "amount", "cap.")}
     dates = F.filter(w, lambda v: (F.lower(v["text"]) == "date") & (v["x0"] > x["transaction"]) & (v["x0"] < x["notification"]))
-    rows = lines.select("filing_id", "page", "line", x["owner"].alias("o"), x["asset"].alias("a"), x["transaction"].alias("t"), F.get(dates, F.lit(0))["x0"].alias("d"), x["notification"].alias("n"), x["amount"].alias("m"), x["cap."].alias("c"))
-    rows = rows.filter("o is not null and a is not null and t is not null and d is not null and n is not null and m is not null")
-    first = rows.groupBy("filing_id").agg(F.min_by(F.struct("a", "t", "d", "n", "m", "c"), F.struct("page", "line")).alias("h"))
+    date = F.get(dates, F.lit(0))["x0"]
     m = COLUMN_MARGIN
-    return first.select(
-        "filing_id", F.lit(DEFAULT_COLUMNS["id"]).alias("id"), (F.col("h.a") - m).alias("owner"), (F.col("h.t") - m).alias("asset"), (F.col("h.d") - m).alias("kind"),
-        (F.col("h.n") - m).alias("traded"), (F.col("h.m") - m).alias("notified"), F.coalesce(F.col("h.c") - m, F.col("h.m") + AMOUNT_WIDTH).alias("amount"),
-    )
+    ends = {"id": F.lit(DEFAULT_COLUMNS["id"]), "owner": x["asset"] - m, "asset": x["transaction"] - m, "kind": date - m, "traded": x["notification"] - m, "notified": x["amount"] - m, "amount": F.coalesce(x["cap."] - m, x["amount"] + AMOUNT_WIDTH)}
+    found = x["owner"].isNotNull() & x["asset"].isNotNull() & x["transaction"].isNotNull() & date.isNotNull() & x["notification"].isNotNull() & x["amount"].isNotNull()
+    return F.when(found, F.struct(*(e.alias(k) for k, e in ends.items())))
 
 
 def _zone(words: Column, low: Column | None, high: Column) -> Column:
@@ -80,10 +78,10 @@ def trade_form(words: DataFrame) -> DataFrame:
     description and amount until a label line; a description label collects option text, other
     labels are skipped. Header lines repeat and are dropped, and so is a page from its footer on.
     """
-    lines = lines_of(words)
-    found = form_columns(lines)
-    bounds = lines.select("filing_id").distinct().join(found, "filing_id", "left").select("filing_id", *(F.coalesce(k, F.lit(v)).alias(k) for k, v in DEFAULT_COLUMNS.items()))
-    rows = lines.join(bounds, "filing_id").withColumn("line_text", _text(F.col("words")))
+    whole = Window.partitionBy("filing_id").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = lines_of(words).withColumn("_head", _header(F.col("words")))
+    rows = rows.withColumn("_head", F.first("_head", ignorenulls=True).over(whole))
+    rows = rows.select("filing_id", "page", "line", "words", _text(F.col("words")).alias("line_text"), *(F.coalesce(f"_head.{k}", F.lit(v)).alias(k) for k, v in DEFAULT_COLUMNS.items()))
     low = F.lower("line_text")
     has = lambda *xs: F.contains(low, F.lit(xs[0])) & F.contains(low, F.lit(xs[-1]))
     rows = rows.filter(~(has("owner", "asset") | has("notification", "amount") | has("cap.", "gains") | has("$200?")))
@@ -128,9 +126,7 @@ def trade_form(words: DataFrame) -> DataFrame:
 
 def is_electronic(words: DataFrame) -> DataFrame:
     """(filing_id, electronic): whether the filing has the form's header row."""
-    lines = lines_of(words)
-    known = form_columns(lines).select("filing_id", F.lit(True).alias("_h"))
-    return lines.select("filing_id").distinct().join(known, "filing_id", "left").select("filing_id", F.coalesce("_h", F.lit(False)).alias("electronic"))
+    return lines_of(words).groupBy("filing_id").agg(F.max(_header(F.col("words")).isNotNull()).alias("electronic"))
 
 
 def _schedule(words: Column) -> Column:

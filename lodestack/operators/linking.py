@@ -53,26 +53,40 @@ def link_people(filings: DataFrame, terms: DataFrame, people: DataFrame, overrid
 
 
 def trigrams(x: Column) -> Column:
-    """The different runs of three letters of a text; a shorter text is one."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 2, F.lit(1))), lambda i: F.substring(x, i, F.lit(3))))
+    """The runs of three letters of a text, repeated ones numbered; a shorter text is one."""
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 2, F.lit(1))), lambda i: F.substring(x, i, F.lit(3)))
+    return F.transform(runs, lambda g, k: F.struct(g.alias("gram"), F.size(F.filter(F.slice(runs, F.lit(1), k), lambda h: h == g)).alias("nth")))
+
+
+def _needed(x: Column, threshold: float) -> Column:
+    """How many trigrams of a text, whichever they are, include one of every text that scores ``threshold`` or more.
+
+    Each letter that only this text has spoils three of its trigrams, one that only the other has two. A score
+    of t allows r = 2 (100 - t) / t such letters per common one, so at most 3 r / (1 + r) trigrams per letter are spoiled.
+    """
+    r = 2 * (100 - threshold) / threshold
+    return F.floor(F.length(x) * (3 * r / (1 + r)) + 1e-6) + 1
 
 
 def similar_companies(descriptions: DataFrame, companies: DataFrame, threshold: float = sim.SECURITY_REVIEW) -> DataFrame:
-    """(description, cik, score): the best company at or above ``threshold`` for every different description.
+    """(description, cik, score): the best company at or above ``threshold``, 90 at least, for every different description.
 
-    Candidates share a length window that the threshold implies and, since texts so alike have
-    most of their letters in common, at least one word or word beginning; both are equalities
-    or bounds that Spark can join on, so not every description meets every company.
+    A description meets the companies that have one of its rarest trigrams, as many as leave no pair at the
+    threshold out, and a length that allows it. Trigrams that most companies have join nothing but short texts.
     """
+    if threshold < 90:
+        raise ValueError("below 90 texts may match without a common trigram")
     d = descriptions.select("description").distinct().withColumn("_d", sim.sorted_tokens(company_name("description"))).filter("_d <> ''")
     c = companies.select("cik", sim.sorted_tokens(company_name("title")).alias("_c")).filter("_c <> ''").dropDuplicates(["cik", "_c"])
-    # A score of t or more leaves at most (1 - t / 100) of both lengths unmatched, so cut into one
-    # piece more than that many characters, one piece of the shorter text survives whole.
-    left = d.select("description", "_d", F.explode(trigrams(F.col("_d"))).alias("_g"))
     right = c.select("cik", "_c", F.explode(trigrams(F.col("_c"))).alias("_g"))
-    near = left.join(right, "_g").filter(sim.lengths_allow(F.col("_d"), F.col("_c"), threshold)).select("description", "_d", "cik", "_c").distinct()
+    left = d.select("_d").distinct().select("_d", F.explode(trigrams(F.col("_d"))).alias("_g"))
+    left = left.join(right.groupBy("_g").agg(F.count("*").alias("_n")), "_g", "left")
+    rarest = Window.partitionBy("_d").orderBy(F.col("_n").asc_nulls_first(), "_g")
+    left = left.withColumn("_rank", F.row_number().over(rarest)).filter((F.col("_rank") <= _needed(F.col("_d"), threshold)) & F.col("_n").isNotNull())
+    near = left.join(right, "_g").filter(sim.lengths_allow(F.col("_d"), F.col("_c"), threshold)).select("_d", "cik", "_c").distinct()
     scored = near.withColumn("score", sim.score(F.col("_d"), F.col("_c"))).filter(F.col("score") >= threshold)
-    return two_best(scored, "description", "score", "cik").select("description", "cik", "score")
+    best = two_best(scored, "_d", "score", "cik").select("_d", "cik", "score")
+    return d.join(best, "_d").select("description", "cik", "score")
 
 
 def link_securities(rows: DataFrame, companies: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -117,12 +117,13 @@ def _open_issues(state: State, subjects: DataFrame, kind: str, now: Column) -> N
 
 def _save(state: State, parsed: DataFrame, tried: DataFrame, form: str, now: Column) -> None:
     """Rows with a trade are stored, others and filings without rows open issues; every tried filing gets its status."""
+    parsed, tried = state.staged("parsed", parsed), state.staged("tried", tried.distinct())
     good, rejected = ingest.split_rejected(parsed, "tx_type")
     rows = good.withColumns({"transaction_id": _id(F.col("filing_id"), F.col("row_index")), "is_current": F.lit(True)})
     kept = state.read("transactions").join(tried.select("filing_id"), "filing_id", "left_anti")
     state.replace("transactions", kept.unionByName(rows.select(*(c for c in kept.columns if c in rows.columns)), allowMissingColumns=True))
     f = ingest.outcomes(state.read("filings"), parsed, tried, "filing_id")
-    marks = tried.select("filing_id").distinct().withColumn("_tried", F.lit(True))
+    marks = tried.withColumn("_tried", F.lit(True))
     state.replace("filings", f.join(marks, "filing_id", "left").withColumn("format", F.when(F.col("_tried"), form).otherwise(F.col("format"))).select(*f.columns))
     _open_issues(state, rejected, "unknown_tx_type", now)
     _open_issues(state, tried.select("filing_id").join(parsed.select("filing_id"), "filing_id", "left_anti"), "ptr_parse_failed", now)
@@ -132,7 +133,7 @@ def parse_trade_forms(state: State, words: DataFrame, now: Column) -> None:
     """Parse pending trade reports from their words. Those without the form's header are scans and are deferred."""
     todo = state.read("filings").filter("chamber = 'house' and filing_type = 'P' and parse_status in ('pending', 'failed')").select("filing_id")
     w = words.join(todo, "filing_id", "left_semi")
-    kinds = forms.is_electronic(w)
+    kinds = state.staged("kinds", forms.is_electronic(w))
     electronic = kinds.filter("electronic").select("filing_id")
     scans = kinds.filter("not electronic").select("filing_id", F.lit(True).alias("_scan"))
     _save(state, forms.trade_form(w.join(electronic, "filing_id", "left_semi")), electronic, "electronic", now)
@@ -152,7 +153,7 @@ def parse_holdings(state: State, words: DataFrame, now: Column) -> None:
     """Holdings of pending annual reports; the year comes from the first page."""
     todo = state.read("filings").filter("chamber = 'house' and filing_type = 'O' and parse_status = 'pending'").select("filing_id")
     w = words.join(todo, "filing_id", "left_semi")
-    facts = forms.report_facts(w)
+    facts = state.staged("facts", forms.report_facts(w))
     rows = forms.holdings_form(w).join(facts.select("filing_id", "report_year"), "filing_id", "left").withColumn("holding_id", _id(F.col("filing_id"), F.col("row_index")))
     kept = state.read("holdings").join(todo, "filing_id", "left_anti")
     state.replace("holdings", kept.unionByName(rows.select(*(c for c in kept.columns if c in rows.columns)), allowMissingColumns=True))

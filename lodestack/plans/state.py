@@ -55,3 +55,9 @@ class State:
             return self.replace(table, rows)
         self._shaped(table, rows).write.mode("append").parquet(f"{self.folder}/{table}/version={n}")
         return self.read(table)
+
+    def staged(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` written once for the several steps of a job that read them; the next job's take their place."""
+        path = f"{self.folder}/_staged/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)

@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 from pyspark.sql import Row
@@ -181,3 +182,34 @@ def test_overrides_look_companies_up(spark):
     got = {r.row_id: (r.ticker, r.cik, r.method) for r in linking.link_securities(rows, companies, fixed).collect()}
     assert got[1] == ("AA", "0000000001", "ticker") and got[2] == ("BB", "0000000005", "override") and got[3] == ("NEW", "0000000077", "override")
     assert got[4] == ("OLD", "0000000000", "override") and got[5] == (None, None, "override") and got[6][2] == "unmatched"
+
+
+def test_similar_companies_lose_no_pair(spark):
+    """The rarest trigrams find every best match that comparing all with all finds, of texts with many repeated runs."""
+    from lodestack.functions.similarity import common_length
+
+    random.seed(5)
+    titles = ["".join(random.choice("aab ") for _ in range(random.randint(1, 24))).strip() or "a" for _ in range(150)]
+    texts = []
+    for t in titles + titles:
+        letters = list(t)
+        for _ in range(random.randint(0, 4)):
+            k = random.randrange(len(letters) + 1)
+            letters[k : k + random.randint(0, 1)] = random.choice(["", "a", "b"])
+        texts.append("".join(letters))
+    companies = spark.createDataFrame([(f"{k:03}", t) for k, t in enumerate(titles)], "cik string, title string")
+    descriptions = spark.createDataFrame([(t,) for t in texts], "description string")
+    got = {r.description: r.score for r in linking.similar_companies(descriptions, companies).collect()}
+    prepared = spark.createDataFrame([(t,) for t in {*titles, *texts}], "t string").select("t", linking.sim.sorted_tokens(linking.company_name("t")))
+    plain = dict(map(tuple, prepared.collect()))
+    score = lambda a, b: round(200 * common_length(a, b) / (len(a) + len(b)), 4) if a and b else 0.0
+    want = {t: max(score(plain[t], plain[c]) for c in titles) for t in set(texts)}
+    assert got == {t: s for t, s in want.items() if s >= 90}
+    assert 20 < sum(s < 100 for s in got.values())
+
+
+def test_lines_of_words(spark):
+    """Bands begin at their first word; words without a place are apart."""
+    data = [("f", 0, "b", 2.0, 1.0), ("f", 0, "a", 1.0, 4.0), ("f", 0, "c", 0.0, 4.5), ("f", 0, "d", 0.0, 7.5), ("f", 0, "e", 0.0, 7.6), ("f", 0, "x", 0.0, None), ("g", 1, "y", 0.0, None)]
+    rows = forms.lines_of(spark.createDataFrame(data, forms.WORD_SCHEMA)).collect()
+    assert sorted((r.filing_id, r.line, "".join(w.text for w in r.words)) for r in rows) == [("f", -1, "x"), ("f", 0, "ab"), ("f", 1, "cd"), ("f", 2, "e"), ("g", -1, "y")]
