@@ -53,3 +53,48 @@ WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages), k AS (SELEC
 a AS (SELECT page_id, url, strlen(p.h) AS n, sha1(p.h) AS x, r FROM p JOIN k ON p.h = k.h)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_GROUPS} AS payload_digest, CASE WHEN page_id = r THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> r THEN r END AS refers_to, url FROM a
 """
+
+_CRC_TABLE = "(SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i)))"
+# one code point taken out at each place, the gap marked or not
+_CUT = "substr(word, 1, i - 1) || {gap} || substr(word, i + 1)"
+
+SPELLING = rf"""
+WITH RECURSIVE crc AS {_CRC_TABLE},
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS w FROM documents),
+o AS (SELECT d, w, count(*) AS n, hex(encode(d || ':' || w)) AS x FROM r WHERE length(w) >= 5 GROUP BY d, w),
+h AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2), lambda i: CAST(CAST('0x' || substr(x, 2 * i + 1, 2) AS INT) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c % 256, b) + 1])), 4294967295) AS h FROM o, crc),
+c AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM c WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+s AS (SELECT word, n, {_CUT.format(gap="'_'")} AS k FROM p),
+x AS (SELECT DISTINCT word, n, {_CUT.format(gap="''")} AS k FROM p),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS m FROM s a JOIN s b ON a.k = b.k AND a.word <> b.word
+  UNION ALL SELECT x.word, x.n, v.word, v.n FROM x JOIN v ON x.k = v.word UNION ALL SELECT v.word, v.n, x.word, x.n FROM x JOIN v ON x.k = v.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * v.n THEN other END AS form, CASE WHEN m >= 2 * v.n THEN m END AS form_n FROM v LEFT JOIN best ON v.word = best.word),
+walk AS (SELECT word, word AS at FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON walk.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, walk.at AS root FROM f JOIN walk ON f.word = walk.word JOIN f e ON e.word = walk.at WHERE e.form IS NULL
+"""
+
+_KEPT = "SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings WHERE len(embedding) {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"
+
+NEIGHBOURS = f"""
+WITH e AS (SELECT * FROM ({_KEPT.format(size="> 0")}) WHERE vec_id IS NOT NULL AND list_max(list_transform(v, lambda x: abs(x))) > 0),
+d AS (SELECT q.vec_id AS query_id, e.vec_id, sqrt(list_sum(list_transform(list_zip(q.v, e.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score FROM e q JOIN e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+_NEAREST = """a{r} AS (SELECT o, c FROM (SELECT o, c, row_number() OVER (PARTITION BY o ORDER BY d, c) AS r FROM (SELECT x.o, m.c, sum((x.x - m.x) * (x.x - m.x)) AS d FROM x JOIN m{r} m ON x.i = m.i GROUP BY x.o, m.c)) WHERE r = 1),
+m{s} AS (SELECT m.c, m.i, coalesce(s.x, m.x) AS x FROM m{r} m LEFT JOIN (SELECT c, i, (s - ((s % n) + n) % n) // n AS x FROM (SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM a{r} JOIN x ON a{r}.o = x.o GROUP BY c, i)) s ON m.c = s.c AND m.i = s.i)"""
+
+CLUSTERS = f"""
+WITH e AS (SELECT vec_id, row_number() OVER () AS o, list_transform(v, lambda z: CAST(floor(256 * z) AS BIGINT)) AS v FROM ({_KEPT.format(size="= 64")})),
+x AS (SELECT o, unnest(range(1, 65)) AS i, unnest(v) AS x FROM e),
+m0 AS (SELECT c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM (SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM e) WHERE c < 40),
+{", ".join(_NEAREST.format(r=r, s=r + 1) for r in range(5))},
+l AS (SELECT o, c, d FROM (SELECT o, c, d, row_number() OVER (PARTITION BY o ORDER BY d, c) AS r FROM (SELECT x.o, m.c, sum((x.x - m.x) * (x.x - m.x)) AS d FROM x JOIN m5 m ON x.i = m.i GROUP BY x.o, m.c)) WHERE r = 1),
+h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS k FROM m5 GROUP BY c)
+SELECT vec_id, CAST(l.c AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY l.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, k AS centroid_sha256
+FROM l JOIN e ON e.o = l.o JOIN h ON h.c = l.c
+"""

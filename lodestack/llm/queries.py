@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles, warc
+from .centroids import cluster_vectors
 from .chat import VIEWS_SQL, perspective_views
 from .decontamination import contamination, hit_words
 from .html_pages import labelled_pages
 from .html_text import extract_main_text, train_field
 from .line_rules import quality_rules
 from .near_dup import near_duplicates
+from .neighbours import nearest_neighbours
 from .packing import pack_documents
+from .spelling import spelling_variants
 from .token_counts import token_counts
 from .token_files import new_folder, read_token_files, write_token_files
 from .toxicity import held_out, toxicity_scores, train_toxicity
@@ -86,6 +89,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_annulus_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_views": op1_chat_views,
     "op2_packing": op2_packing,
@@ -97,6 +113,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_annulus_clusters": op13_annulus_clusters,
 }
 
 ORACLES: dict[str, str] = {
@@ -105,4 +124,8 @@ ORACLES: dict[str, str] = {
     "op8_near_duplicates": oracles.NEAR_DUPLICATES,
     "op9_quality_rules": oracles.QUALITY_RULES,
     "op10_warc": oracles.WARC,
+    # the search is approximate on large tables; this is the exact answer, which it reaches on the small ones
+    "op11_nearest_neighbours": oracles.NEIGHBOURS,
+    "op12_spelling_variants": oracles.SPELLING,
+    "op13_annulus_clusters": oracles.CLUSTERS,
 }
