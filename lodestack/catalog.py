@@ -1103,3 +1103,6 @@ def forms_parsed(spark, d):
     words = _form_words(line).filter((F.col("filing_id").cast("long") % 5 != 0) | (F.col("top") > 10))
     jobs.parse_trade_forms(state, words, _now())
     return _tally(state)
+
+
+from . import catalog_landed  # noqa: E402, F401  (registers its queries)

@@ -37,5 +37,10 @@ def silent(last: Column, now: Column, hours: int = SILENT_AFTER_HOURS) -> Column
     return F.coalesce(now.cast("timestamp").cast("long") - last.cast("timestamp").cast("long") > hours * 3600, F.lit(True))
 
 
+def look_back_start(day: Column) -> Column:
+    """The first filing day that a poll on ``day`` asks for: polls overlap, so that one that failed loses nothing."""
+    return F.date_sub(day, LOOK_BACK_DAYS)
+
+
 def backup_key(day: Column) -> Column:
     return F.concat(F.lit("backup_"), F.date_format(day, "yyyyMMdd"), F.lit(".json.gz"))

@@ -9,14 +9,41 @@ from ..functions import similarity as sim
 from ..functions.text import company_name, person_name, ticker
 
 
-def active_terms(facts: DataFrame, terms: DataFrame, key: str, as_of: str, begin: str = "start_date", end: str = "end_date") -> DataFrame:
+def _bucket(day: Column, days: int) -> Column:
+    return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / days).cast("int")
+
+
+def active_terms(facts: DataFrame, terms: DataFrame, key: str, as_of: str, begin: str = "start_date", end: str = "end_date", days: int = 180) -> DataFrame:
     """Facts with the terms of their key that hold on their day; both ends count, an open end always holds.
 
-    The equality is hashed; the interval is a condition on each meeting pair.
+    Time is cut into buckets of ``days``. A fact is in the bucket of its day and a term in each that it
+    touches, so they meet by an equality on (key, bucket) and at most once; a key with most facts is spread over
+    its buckets. Open ends are taken to the last day of any fact, which one aggregate gives.
+    """
+    last = facts.agg(F.max(as_of)).first()[0]
+    other = [c for c in terms.columns if c != key]
+    held = terms.select(key, *(F.col(c).alias(f"_t_{c}") for c in other))
+    first, over = F.col(f"_t_{begin}"), F.least(F.coalesce(f"_t_{end}", F.lit(last).cast("date")), F.lit(last).cast("date"))
+    held = held.filter(first <= over).withColumn("_bucket", F.explode(F.sequence(_bucket(first, days), _bucket(over, days))))
+    met = facts.withColumn("_bucket", _bucket(F.col(as_of), days)).join(held, [key, "_bucket"])
+    holds = (first <= F.col(as_of)) & (F.col(f"_t_{end}").isNull() | (F.col(f"_t_{end}") >= F.col(as_of)))
+    return met.filter(holds).select(*facts.columns, *(F.col(f"_t_{c}").alias(c) for c in other))
+
+
+def overlapping_terms(left: DataFrame, right: DataFrame, key: str, begin: str = "start_date", end: str = "end_date", days: int = 180) -> DataFrame:
+    """Pairs of intervals of a key that share a day, the columns of ``right`` with the prefix ``other_``.
+
+    Both sides are cut into buckets. A pair meets in each bucket that both touch; it counts in the one where the later of the two begins.
+    Intervals must have both ends.
     """
-    f, t = facts.alias("f"), terms.alias("t")
-    holds = (F.col(f"f.{key}") == F.col(f"t.{key}")) & (F.col(f"t.{begin}") <= F.col(f"f.{as_of}")) & (F.col(f"t.{end}").isNull() | (F.col(f"t.{end}") >= F.col(f"f.{as_of}")))
-    return f.join(t, holds).select("f.*", *(F.col(f"t.{c}") for c in terms.columns if c != key))
+
+    def cut(df: DataFrame) -> DataFrame:
+        return df.filter(F.col(begin) <= F.col(end)).withColumn("_bucket", F.explode(F.sequence(_bucket(F.col(begin), days), _bucket(F.col(end), days))))
+
+    other = cut(right).select(key, "_bucket", *(F.col(c).alias(f"other_{c}") for c in right.columns if c != key))
+    later = F.greatest(F.col(begin), F.col(f"other_{begin}"))
+    met = cut(left).join(other, [key, "_bucket"]).filter((later <= F.least(F.col(end), F.col(f"other_{end}"))) & (F.col("_bucket") == _bucket(later, days)))
+    return met.drop("_bucket")
 
 
 def two_best(scored: DataFrame, key: str | list[str], score_col: str, *ties: str) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +19,8 @@ from ..functions.money import amount_range, band_range
 from ..functions.text import (
     OWNER_NAMES, TERM_CHAMBERS, TRADE_NAMES, bare, before_option_details, clean_text, code_name, dash_to_null, filer_name, option_cell, report_uuid, ticker_in_name, zero_padded,
 )
+from .entries import keyed_entries, list_entries, parsed_entries
+from .html_tables import table_cells
 
 MEMBER = "Prefix string, Last string, First string, Suffix string, FilingType string, StateDst string, Year string, FilingDate string, DocID string"
 #: Terms that ended before this day are left out.
@@ -95,30 +96,18 @@ def search_rows(rows: DataFrame) -> DataFrame:
 # --- people, committees
 
 
-def _yaml_rows(spark: SparkSession, path: str, parse, schema: str) -> DataFrame:
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import yaml
-
-        names = [x.split()[0] for x in schema.split(", ")]
-        for batch in batches:
-            for text in batch["value"]:
-                yield pd.DataFrame([*parse(yaml.safe_load(text) or [])], columns=names, dtype=object)
-
-    return spark.read.text(path, wholetext=True).mapInPandas(rows, schema)
-
-
-def _people(data):
-    for entry in data:
-        name, key = entry.get("name") or {}, (entry.get("id") or {}).get("bioguide")
-        full = name.get("official_full") or " ".join(x for x in (name.get("first"), name.get("last")) if x)
-        for term in entry.get("terms") or []:
-            text = lambda k: None if term.get(k) is None else str(term[k])  # noqa: B023, E731
-            yield key, full, text("type"), text("start"), text("end"), text("state"), text("district"), text("party")
+def _person(entry):
+    name, key = entry.get("name") or {}, (entry.get("id") or {}).get("bioguide")
+    full = name.get("official_full") or " ".join(x for x in (name.get("first"), name.get("last")) if x)
+    for term in entry.get("terms") or []:
+        text = lambda k: None if term.get(k) is None else str(term[k])  # noqa: B023, E731
+        yield key, full, text("type"), text("start"), text("end"), text("state"), text("district"), text("party")
 
 
 def people_terms(spark: SparkSession, path: str) -> DataFrame:
     """One row per term that was not over before the first day kept."""
-    rows = _yaml_rows(spark, path, _people, "bioguide_id string, full_name string, kind string, start_text string, end_text string, state string, district string, party string")
+    schema = "bioguide_id string, full_name string, kind string, start_text string, end_text string, state string, district string, party string"
+    rows = parsed_entries(list_entries(spark, path), _person, schema)
     terms = rows.select("bioguide_id", "full_name", code_name(F.col("kind"), TERM_CHAMBERS).alias("chamber"), iso_date("start_text").alias("start_date"), iso_date("end_text").alias("end_date"), "state", "district", "party")
     return terms.filter(F.col("bioguide_id").isNotNull() & F.col("chamber").isNotNull() & (F.col("end_date").isNull() | (F.col("end_date") >= F.lit(FIRST_TERM_END).cast("date"))))
 
@@ -130,19 +119,14 @@ def people(terms: DataFrame) -> DataFrame:
 
 
 def committees(spark: SparkSession, path: str) -> DataFrame:
-    rows = _yaml_rows(spark, path, lambda data: [(x.get("type"), x.get("thomas_id"), x.get("name")) for x in data], "chamber string, thomas_id string, name string")
+    rows = parsed_entries(list_entries(spark, path), lambda x: [(x.get("type"), x.get("thomas_id"), x.get("name"))], "chamber string, thomas_id string, name string")
     return rows.filter(F.col("chamber").isin("house", "senate", "joint") & F.col("thomas_id").isNotNull() & F.col("name").isNotNull())
 
 
 def memberships(spark: SparkSession, path: str, known: DataFrame) -> DataFrame:
     """Members of known committees; members without id are dropped."""
-
-    def parse(data):
-        for committee, members in (data or {}).items():
-            for m in members or []:
-                yield committee, m.get("bioguide"), m.get("party"), m.get("rank"), m.get("title")
-
-    rows = _yaml_rows(spark, path, parse, "thomas_id string, bioguide_id string, party string, rank int, title string")
+    schema = "thomas_id string, bioguide_id string, party string, rank int, title string"
+    rows = parsed_entries(keyed_entries(spark, path), lambda m, key: [(key, m.get("bioguide"), m.get("party"), m.get("rank"), m.get("title"))], schema)
     return rows.filter(F.col("bioguide_id").isNotNull()).join(known.select("thomas_id").distinct(), "thomas_id", "left_semi")
 
 
@@ -161,9 +145,9 @@ def company_rows(texts: DataFrame) -> DataFrame:
     return rows.select(zero_padded(F.col("cik_str").cast("string")).alias("cik"), F.upper("ticker").alias("ticker"), "title", "position")
 
 
-def industry_codes(spark: SparkSession, path: str) -> DataFrame:
-    """(cik, sic, sic_description) of landed submission documents; empty codes are null."""
-    rows = spark.read.schema("cik string, sic string, sicDescription string").option("multiLine", True).json(path)
+def industry_codes(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(cik, sic, sic_description) of landed submission documents, a file each or a line each; empty codes are null."""
+    rows = spark.read.schema("cik string, sic string, sicDescription string").option("multiLine", not lines).json(path)
     return rows.select(zero_padded(F.col("cik")).alias("cik"), F.nullif("sic", F.lit("")).alias("sic"), F.nullif("sicDescription", F.lit("")).alias("sic_description"))
 
 
@@ -192,13 +176,25 @@ def _feed(rows: DataFrame, source: str, chamber: str, filing: Column, filer: str
 
 
 def house_feed(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(HOUSE_FEED).option("multiLine", True).json(path)
+    return _house_rows(spark.read.schema(HOUSE_FEED).option("multiLine", True).json(path))
+
+
+def senate_feed(spark: SparkSession, path: str) -> DataFrame:
+    return _senate_rows(spark.read.schema(SENATE_FEED).option("multiLine", True).json(path))
+
+
+def feed_of(pages: DataFrame, chamber: str) -> DataFrame:
+    """A community feed landed as lines (value), each a JSON array of entries: as splittable as any text."""
+    entry, rows = (HOUSE_FEED, _house_rows) if chamber == "house" else (SENATE_FEED, _senate_rows)
+    return rows(pages.select(F.explode(F.from_json("value", f"array<struct<{entry.replace(' string', ':string')}>>")).alias("e")).select("e.*"))
+
+
+def _house_rows(rows: DataFrame) -> DataFrame:
     filing = F.concat(F.lit("house:"), clean_text("filing_id"))
     return _feed(rows, "house_feed", "house", filing, "representative", form_date(clean_text("disclosure_date")))
 
 
-def senate_feed(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(SENATE_FEED).option("multiLine", True).json(path)
+def _senate_rows(rows: DataFrame) -> DataFrame:
     filing = F.concat(F.lit("senate:"), F.lower(report_uuid("ptr_link")))
     return _feed(rows, "senate_feed", "senate", filing, "senator", F.lit(None).cast("date"))
 
@@ -240,53 +236,6 @@ def transcribed_rows(rows: DataFrame) -> DataFrame:
 # --- HTML reports
 
 
-class _Rows(HTMLParser):
-    """The cells of the body rows of a page's first table."""
-
-    def __init__(self):
-        super().__init__()
-        self.rows: list[list[str]] = []
-        self.state = ""  # "", then table, body, over
-        self.cell: list[str] | None = None
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table" and not self.state:
-            self.state = "table"
-        elif tag == "tbody" and self.state == "table":
-            self.state = "body"
-        elif self.state == "body" and tag == "tr":
-            self.rows.append([])
-        elif self.state == "body" and tag == "td" and self.rows:
-            self.cell = []
-
-    def handle_endtag(self, tag):
-        if tag == "td" and self.cell is not None:
-            self.rows[-1].append(" ".join(self.cell))
-            self.cell = None
-        elif tag == "table" and self.state:
-            self.state = "over"
-
-    def handle_data(self, data):
-        if self.cell is not None and data.strip():
-            self.cell.append(" ".join(data.split()))
-
-
-def table_cells(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, row_index, cells) of the first table's body rows of each page."""
-    kind = pages.schema[key].dataType.simpleString()
-
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k, text in zip(batch[key], batch[html], strict=True):
-                parser = _Rows()
-                parser.feed(text or "")
-                out += [(k, i, row) for i, row in enumerate(parser.rows)]
-            yield pd.DataFrame(out, columns=[key, "row_index", "cells"])
-
-    return pages.select(key, html).mapInPandas(cells, f"`{key}` {kind}, row_index int, cells array<string>")
-
-
 def report_rows(pages: DataFrame, key: str = "filing_id", html: str = "html") -> DataFrame:
     """Trades of HTML reports. Rows of fewer than nine cells are dropped, but count for row_index."""
     rows = table_cells(pages, key, html).filter(F.size("cells") >= 9)
@@ -297,19 +246,3 @@ def report_rows(pages: DataFrame, key: str = "filing_id", html: str = "html") ->
         dash_to_null(c[5]).alias("asset_type"), code_name(F.lower(bare(c[6])), TRADE_NAMES).alias("tx_type"), bounds["low"].alias("amount_min"), bounds["high"].alias("amount_max"),
         option["option_type"].alias("option_type"), option["strike"].alias("strike"), option["expiry"].alias("expiry"), F.lit(None).cast("date").alias("notification_date"),
     )
-
-
-# --- stored objects
-
-
-def objects(spark: SparkSession, path: str) -> DataFrame:
-    """(key, bytes, sha256, modified) of stored files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("path").alias("key"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))
-
-
-def dump(df: DataFrame, folder: str, day: str, name: str) -> str:
-    """A dated, compressed copy of a table as JSON lines; returns where it lies."""
-    path = f"{folder}/date={day}/{name}"
-    df.write.mode("overwrite").option("compression", "gzip").json(path)
-    return path

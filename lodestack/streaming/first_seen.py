@@ -11,7 +11,8 @@ from ..operators.ingest import first_per_key
 def first_sights(events: DataFrame, key: list[str], time: str, look_back: str = "14 days") -> DataFrame:
     """The first row of each key; a key seen again within the look-back of late data is dropped.
 
-    State older than the look-back is forgotten, so it is bounded by the feed's rate.
+    State older than the look-back is forgotten, so it is bounded by the feed's rate. A row counts as too late by the watermark that
+    the micro-batch before it began with, as Spark's late filter does.
     """
     return events.withWatermark(time, look_back).dropDuplicatesWithinWatermark(key)
 
@@ -39,11 +40,6 @@ def ingest_available(events: DataFrame, state_path: str, checkpoint: str, key: s
     query.awaitTermination()
 
 
-def running_bytes(events: DataFrame, bucket: str, size: str) -> DataFrame:
-    """Bytes and objects per bucket so far, for an update or complete sink."""
-    return events.groupBy(bucket).agg(F.sum(size).alias("total_bytes"), F.count("*").alias("object_count"))
-
-
 def read_events(spark: SparkSession, folder: str, schema, files: int = 16) -> DataFrame:
     """Landed files as a stream, the oldest first, ``files`` in a micro-batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
