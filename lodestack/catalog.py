@@ -564,18 +564,13 @@ def _landing(spark, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _landed_texts(texts: DataFrame, name: str) -> str:
-    """Write each row of ``texts`` (value) to a file of its own; returns the folder."""
-    folder = _landing(texts.sparkSession, name)
-    texts.write.option("maxRecordsPerFile", 1).text(folder)
-    return folder
-
-
 @query(_SEARCH_SQL)
 def search_pages(spark, d):
-    """Landed pages of search results, some 500 on each, read back."""
-    pages = _search_results(spark, d).groupBy(F.pmod(F.xxhash64("o_orderkey"), F.greatest(F.lit(1), F.lit(16)))).agg(F.to_json(F.struct(F.lit("ok").alias("result"), F.collect_list("r").alias("data"))).alias("value"))
-    return landed.search_results(spark, _landed_texts(pages.select("value"), "search-pages"))
+    """Landed pages of search results, those of 500 order keys on each and a page a line, read back."""
+    pages = _search_results(spark, d).groupBy(F.floor(F.col("o_orderkey") / 500)).agg(F.to_json(F.struct(F.lit("ok").alias("result"), F.collect_list("r").alias("data"))).alias("value"))
+    folder = _landing(spark, "search-pages")
+    pages.select("value").write.text(folder)
+    return landed.search_results(spark, folder, lines=True)
 
 
 @query("""
@@ -583,15 +578,16 @@ SELECT 'house_feed' AS source, 'house' AS chamber, 'house:' || l_orderkey AS ext
  CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS amount_min, CAST(CAST(l_quantity AS INTEGER) + 1 AS DOUBLE) AS amount_max FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 """)
 def house_feed_file(spark, d):
-    """A community feed landed as JSON arrays, a file per ship mode and day of the month, read back."""
+    """A community feed landed as JSON arrays, those of 100 order keys on a line, read back."""
     line = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     q = F.col("l_quantity").cast("int")
     entry = F.struct(
         F.date_format("l_shipdate", "MM/dd/yyyy").alias("transaction_date"), F.date_format("o_orderdate", "M/d/yyyy").alias("disclosure_date"), F.when(F.col("l_linenumber") == 1, "--").otherwise(F.concat(F.lit("T"), F.col("l_partkey").cast("string"))).alias("ticker"),
         F.lit("An asset").alias("asset_description"), F.concat(F.lit("$"), q.cast("string"), F.lit(" - $"), (q + 1).cast("string")).alias("amount"), F.col("c_name").alias("representative"), F.col("l_orderkey").cast("string").alias("filing_id"),
     )
-    files = line.groupBy(F.pmod(F.xxhash64("l_orderkey"), F.lit(32))).agg(F.to_json(F.collect_list(entry)).alias("value"))
-    rows = landed.house_feed(spark, _landed_texts(files.select("value"), "house-feed"))
+    folder = _landing(spark, "house-feed")
+    line.groupBy(F.floor(F.col("l_orderkey") / 100)).agg(F.to_json(F.collect_list(entry)).alias("value")).select("value").write.text(folder)
+    rows = landed.feed_of(spark.read.text(folder), "house")
     return rows.select("source", "chamber", "external_filing_id", "filer_name", "ticker", "tx_date", "disclosure_date", "amount_min", "amount_max")
 
 
@@ -622,7 +618,8 @@ def overrides_file(spark, d):
     rows = p.select(F.lit("ticker ").alias("match_type"), F.concat(F.lit(" T"), F.col("p_partkey").cast("string")).alias("match_value"), F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("X"), F.col("p_size").cast("string"))).otherwise(" ").alias("ticker"), F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")).alias("cik"), F.lit("why").alias("reason"))
     same = spark.createDataFrame([("description", "same", "FIRST", "1", "a"), ("description", "same", "LAST", None, "b")], rows.schema)
     folder = _landing(spark, "overrides")
-    rows.unionByName(same).coalesce(1).write.option("header", True).csv(folder)
+    rows.write.option("header", True).csv(folder)
+    same.coalesce(1).write.option("header", True).mode("append").csv(folder)  # two lines, whose order counts
     return landed.overrides(spark, folder)
 
 
@@ -975,22 +972,29 @@ def reports_archived(spark, d):
 
 @query("""
 WITH f AS (SELECT 'house:' || o_orderkey AS filing_id, o_custkey % 30 AS k, CAST(o_orderdate AS DATE) AS filed FROM orders),
-b AS (SELECT filing_id, CASE WHEN k BETWEEN 25 AND 27 THEN 'N0' WHEN k < 25 AND (k % 2 = 1 OR filed <= DATE '1996-01-01') THEN 'N' || k END AS bioguide_id FROM f)
-SELECT filing_id, bioguide_id, CAST(bioguide_id IS NULL AS INTEGER) AS n_issues FROM b
+b AS (SELECT *, CASE WHEN k BETWEEN 25 AND 27 THEN 'N0' WHEN k < 25 AND k <> 5 AND (k % 2 = 1 OR filed <= DATE '1996-01-01') THEN 'N' || k END AS bioguide_id FROM f)
+SELECT filing_id, bioguide_id, CAST(bioguide_id IS NULL AS INTEGER) AS n_issues, CASE WHEN bioguide_id IS NULL THEN CASE WHEN k = 5 THEN 'politician_match_ambiguous' ELSE 'politician_match_unmatched' END END AS issue_type,
+ CASE WHEN bioguide_id IS NULL THEN 'filer_name=' || CASE WHEN k = 5 THEN '''fffffffq''' WHEN k < 25 THEN '''' || repeat(chr(CAST(97 + k AS INTEGER)), 8) || '''' ELSE '"1 ''2'' 3"' END || ' chamber=house as_of=' || filed || ' best_score=' || CASE WHEN k = 5 THEN '87.5' ELSE '0.0' END END AS details FROM b
 """)
 def filers_linked(spark, d):
-    """Filers linked by override, by name (a letter repeated) among those who sat on the day, or not at all; a second run opens no second issue."""
+    """Filers linked by override, by name (a letter repeated) among those who sat on the day, or not at all, as two are as close or none is.
+
+    Three runs of half the filings each: the second takes the half that was never tried, the third opens no second issue.
+    """
     state, n = _state(spark), table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.repeat(F.char(F.col("n_nationkey") + 97), 8).alias("name"))
     o = table(spark, d, "orders").withColumn("k", F.col("o_custkey") % 30)
-    names = o.join(F.broadcast(n), "k", "left").select(F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), F.coalesce("name", F.when(F.col("k") < 28, "zx zx").otherwise("1 2 3")).alias("filer_name"))
+    filer = F.when(F.col("k") == 5, "fffffffq").otherwise(F.coalesce("name", F.when(F.col("k") < 28, "zx zx").otherwise("1 '2' 3")))
+    names = o.join(F.broadcast(n), "k", "left").select(F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), filer.alias("filer_name"))
     state.append("filings", _filings(o, "house", F.lit("pending")).drop("filer_name").join(names, "filing_id"))
+    twice = n.filter("k = 5").withColumn("k", F.lit(105).cast("long")).unionByName(n)
     who = F.concat(F.lit("N"), F.col("k").cast("string")).alias("bioguide_id")
-    state.append("politicians", n.select(who, F.col("name").alias("full_name"), F.lit("house").alias("chamber")))
-    state.append("politician_terms", n.select(F.col("name").alias("term_id"), who, F.lit("house").alias("chamber"), F.lit("1990-01-01").cast("date").alias("start_date"), F.when(F.col("k") % 2 == 0, F.lit("1996-01-01").cast("date")).alias("end_date")))
+    state.append("politicians", twice.select(who, F.col("name").alias("full_name"), F.lit("house").alias("chamber")))
+    state.append("politician_terms", twice.select(who.alias("term_id"), who, F.lit("house").alias("chamber"), F.lit("1990-01-01").cast("date").alias("start_date"), F.when(F.col("k") % 2 == 0, F.lit("1996-01-01").cast("date")).alias("end_date")))
     state.append("politician_overrides", spark.createDataFrame([("o", "house", "zx zx", "N0")], "override_id string, chamber string, filer_name string, bioguide_id string"))
-    for _ in range(2):
-        jobs.link_filers(state, _now())
-    issues = state.read("dq_issues").groupBy("filing_id").agg(F.count("*").alias("n_issues"))
+    half = o.count() // 2 + 1
+    for _ in range(3):
+        jobs.link_filers(state, _now(), half)
+    issues = state.read("dq_issues").groupBy("filing_id").agg(F.count("*").alias("n_issues"), F.max("issue_type").alias("issue_type"), F.max("details").alias("details"))
     return state.read("filings").select("filing_id", "bioguide_id").join(issues, "filing_id", "left").na.fill(0, ["n_issues"])
 
 
@@ -1008,23 +1012,33 @@ _NUMBERED = "SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_par
 
 
 @query(f"""
-SELECT l_orderkey || '-' || row_index AS transaction_id, CASE WHEN l_linenumber % 3 <> 0 THEN 'T' || l_partkey END AS ticker,
- CASE WHEN l_linenumber % 3 <> 0 AND l_partkey % 4 = 0 THEN 'I' || l_partkey WHEN l_linenumber % 3 <> 0 AND l_partkey % 2 = 0 THEN sha256(lpad(CAST(l_partkey AS VARCHAR), 10, '0')) END AS instrument_id,
- CASE WHEN l_linenumber % 3 <> 0 AND l_partkey % 2 = 0 THEN lpad(CAST(l_partkey AS VARCHAR), 10, '0') END AS cik, CASE WHEN l_linenumber % 3 <> 0 AND l_partkey % 2 = 0 THEN 1 ELSE 0 END AS n_maps FROM ({_NUMBERED})
+WITH r AS (SELECT l_orderkey || '-' || row_index AS transaction_id, l_partkey, l_linenumber % 3 <> 0 AS tick, l_linenumber % 3 <> 0 AND l_partkey % 2 = 0 AS exact, l_linenumber % 3 = 0 AND l_partkey % 5 = 0 AS alike FROM ({_NUMBERED}))
+SELECT transaction_id, CASE WHEN tick THEN 'T' || l_partkey WHEN alike THEN 'GOOGL' END AS ticker, CASE WHEN exact AND l_partkey % 4 = 0 THEN 'I' || l_partkey WHEN exact THEN sha256(lpad(CAST(l_partkey AS VARCHAR), 10, '0')) WHEN alike THEN sha256('0009999999') END AS instrument_id,
+ CASE WHEN exact THEN lpad(CAST(l_partkey AS VARCHAR), 10, '0') WHEN alike THEN '0009999999' END AS cik, CASE WHEN exact OR alike THEN 1 ELSE 0 END AS n_maps, CASE WHEN exact OR alike THEN 0 ELSE 1 END AS n_issues,
+ CASE WHEN NOT (exact OR alike) THEN 'ticker=' || CASE WHEN tick THEN '''T' || l_partkey || '''' ELSE 'None' END || ' description=''An asset''' END AS details FROM r
 """)
 def trades_linked(spark, d):
-    """Trades linked to instruments by ticker, to known ones and to ones made once for a company; a second run changes nothing."""
+    """Trades linked to instruments by ticker, or by a name that two classes of one company and another company have, of which the first counts; others open an issue.
+
+    Three runs of half the trades each: the second takes the half that was never tried, the third changes nothing.
+    """
     state, p = _state(spark), table(spark, d, "part").filter("p_partkey % 2 = 0")
     name, cik = F.concat(F.lit("T"), F.col("p_partkey").cast("string")), F.lpad(F.col("p_partkey").cast("string"), 10, "0")
-    companies = p.select(cik.alias("cik"), name.alias("ticker"), F.concat(F.lit("Zzqx "), "p_partkey").alias("title"))
+    companies = p.select(cik.alias("cik"), name.alias("ticker"), F.concat(F.lit("Zzqx "), "p_partkey").alias("title"), (F.col("p_partkey") + 10).cast("long").alias("position"))
+    alike = [("0000000000", "AAA", "Alphabet Corp", 4), ("0009999999", "GOOG", "Alphabet Inc", 3), ("0009999999", "GOOGL", "Alphabet Inc.", 2)]
+    companies = companies.unionByName(spark.createDataFrame(alike, "cik string, ticker string, title string, position long"))
     state.append("instruments", p.filter("p_partkey % 4 = 0").select(F.concat(F.lit("I"), F.col("p_partkey").cast("string")).alias("instrument_id"), cik.alias("cik")))
-    state.append("transactions", _trade_rows(spark, d).withColumn("ticker", F.when(F.col("l_linenumber") % 3 != 0, F.concat(F.lit("T"), F.col("l_partkey").cast("string")))))
+    rows = _trade_rows(spark, d).withColumn("ticker", F.when(F.col("l_linenumber") % 3 != 0, F.concat(F.lit("T"), F.col("l_partkey").cast("string"))))
+    rows = rows.withColumn("asset_description_raw", F.when(F.col("ticker").isNull() & (F.col("l_partkey") % 5 == 0), "Alphabet, Inc").otherwise("An asset"))
+    state.append("transactions", rows)
     none = spark.createDataFrame([], "match_type string, match_value string, ticker string, cik string")
-    for _ in range(2):
-        jobs.link_trades(state, companies, none)
+    half = rows.count() // 2 + 1
+    for _ in range(3):
+        jobs.link_trades(state, companies, none, _now(), half)
     maps = state.read("ticker_map").groupBy("instrument_id").agg(F.count("*").alias("n_maps"))
+    issues = state.read("dq_issues").filter("issue_type = 'ticker_match_unmatched'").groupBy("transaction_id").agg(F.count("*").alias("n_issues"), F.max("details").alias("details"))
     t = state.read("transactions").select("transaction_id", "ticker", "instrument_id").join(state.read("instruments").select("instrument_id", "cik"), "instrument_id", "left")
-    return t.join(maps, "instrument_id", "left").na.fill(0, ["n_maps"])
+    return t.join(maps, "instrument_id", "left").join(issues, "transaction_id", "left").na.fill(0, ["n_maps", "n_issues"])
 
 
 @query(ORACLES["link_amendments"])
@@ -1076,33 +1090,68 @@ def live_messages(spark, d):
 
 
 @query("""
-SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CASE WHEN o_orderkey % 5 = 0 THEN 'failed' ELSE 'parsed' END AS parse_status, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE 2 END AS n_rows, CASE WHEN o_orderkey % 5 <> 0 THEN 2020 END AS report_year, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS n_issues FROM orders
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'scan' ELSE 'waits' END WHEN o_orderkey % 5 = 0 THEN 'none' ELSE 'good' END AS kind FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CASE kind WHEN 'scan' THEN 'paper_deferred' WHEN 'waits' THEN 'pending' WHEN 'none' THEN 'failed' ELSE 'parsed' END AS parse_status, CASE kind WHEN 'scan' THEN 'scanned' WHEN 'waits' THEN 'unknown' ELSE 'electronic' END AS format,
+ CASE WHEN kind = 'good' THEN 2 ELSE 0 END AS n_rows, CASE WHEN kind = 'good' THEN 2020 END AS report_year, CASE WHEN kind = 'none' THEN 1 ELSE 0 END AS n_issues FROM o
 """)
 def holdings_parsed(spark, d):
-    """Annual reports parsed from their words, twice; those of every fifth filing have no schedule and open one issue."""
+    """Annual reports parsed from their words, twice; some have no schedule and open one issue, some are archived without a word and deferred, some wait for their file."""
     state, o = _state(spark), table(spark, d, "orders")
-    state.append("filings", _filings(o, "house", F.lit("pending")).withColumns({"filing_id": F.substring_index("filing_id", ":", -1), "filing_type": F.lit("O")}))
+    key = F.col("filing_id").cast("long")
+    f = _filings(o, "house", F.lit("pending")).withColumns({"filing_id": F.substring_index("filing_id", ":", -1), "filing_type": F.lit("O")})
+    state.append("filings", f.withColumn("raw_object_key", F.when((key % 7 != 0) | (key % 2 == 0), F.concat(F.lit("k/"), "filing_id"))))
     year = F.array(*(F.struct(F.lit(t).alias("text"), F.lit(x).alias("x0"), F.lit(1.0).alias("top")) for t, x in (("Filing", 20.0), ("Year:", 60.0), ("2020", 90.0))))
+    o = o.filter("o_orderkey % 7 <> 0")
     first = o.select(F.col("o_orderkey").cast("string").alias("filing_id"), F.explode(year).alias("w")).select("filing_id", F.lit(0).alias("page"), "w.text", "w.x0", "w.top")
     words = first.unionByName(_holding_words(o.filter("o_orderkey % 5 <> 0")).withColumn("top", F.col("top") + 10))
     for _ in range(2):
         jobs.parse_holdings(state, words, _now())
     held = state.read("holdings").groupBy("filing_id").agg(F.count("*").alias("n_rows"), F.max("report_year").alias("report_year"))
     issues = state.read("dq_issues").groupBy("filing_id").agg(F.count("*").alias("n_issues"))
-    return state.read("filings").select("filing_id", "parse_status").join(held, "filing_id", "left").join(issues, "filing_id", "left").na.fill(0, ["n_rows", "n_issues"])
+    return state.read("filings").select("filing_id", "parse_status", "format").join(held, "filing_id", "left").join(issues, "filing_id", "left").na.fill(0, ["n_rows", "n_issues"])
 
 
 @query("""
-SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, CASE WHEN l_orderkey % 5 = 0 THEN 'paper_deferred' ELSE 'parsed' END AS parse_status, CASE WHEN l_orderkey % 5 = 0 THEN 'scanned' ELSE 'electronic' END AS format, CASE WHEN l_orderkey % 5 = 0 THEN 0 ELSE count(*) END AS n_rows, 0 AS n_issues FROM lineitem GROUP BY l_orderkey
+WITH o AS (SELECT l_orderkey, count(*) AS n, CASE WHEN l_orderkey % 7 = 0 THEN CASE WHEN l_orderkey % 2 = 0 THEN 'scan' ELSE 'waits' END WHEN l_orderkey % 5 = 0 THEN 'scan' ELSE 'good' END AS kind FROM lineitem GROUP BY l_orderkey)
+SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, CASE kind WHEN 'scan' THEN 'paper_deferred' WHEN 'waits' THEN 'pending' ELSE 'parsed' END AS parse_status, CASE kind WHEN 'scan' THEN 'scanned' WHEN 'waits' THEN 'unknown' ELSE 'electronic' END AS format,
+ CASE WHEN kind = 'good' THEN n ELSE 0 END AS n_rows, CASE WHEN kind = 'good' AND l_orderkey % 11 = 0 THEN 1 ELSE 0 END AS n_issues FROM o
 """)
 def forms_parsed(spark, d):
-    """Pending trade reports parsed from their words; those of every fifth filing lack the header row and are deferred as scans."""
+    """Pending trade reports parsed from their words; some lack the header row, or have no word though they are archived, and are deferred as scans, some wait for their file, and a date that is none opens an issue."""
     state, line = _state(spark), table(spark, d, "lineitem")
     keys = line.select(F.col("l_orderkey").alias("o_orderkey"), F.lit(0).alias("o_custkey"), F.lit("2020-01-01").alias("o_orderdate")).dropDuplicates(["o_orderkey"])
-    state.append("filings", _filings(keys, "house", F.lit("pending")).withColumn("filing_id", F.substring_index("filing_id", ":", -1)))
-    words = _form_words(line).filter((F.col("filing_id").cast("long") % 5 != 0) | (F.col("top") > 10))
+    key = F.col("filing_id").cast("long")
+    f = _filings(keys, "house", F.lit("pending")).withColumn("filing_id", F.substring_index("filing_id", ":", -1))
+    state.append("filings", f.withColumn("raw_object_key", F.when((key % 7 != 0) | (key % 2 == 0), F.concat(F.lit("k/"), "filing_id"))))
+    words = _form_words(line).filter((key % 7 != 0) & ((key % 5 != 0) | (F.col("top") > 10)))
+    words = words.withColumn("text", F.when((key % 11 == 0) & (F.col("x0") == 331.0), "13/45/2020").otherwise(F.col("text")))
     jobs.parse_trade_forms(state, words, _now())
     return _tally(state)
 
 
+@query("""
+WITH RECURSIVE o AS (SELECT 'house:' || o_orderkey AS filing_id, o_orderkey, CAST(round(o_totalprice) AS BIGINT) AS bytes, row_number() OVER (ORDER BY CASE WHEN o_orderstatus = 'P' THEN 0 WHEN o_orderstatus = 'O' AND ('house:' || o_orderkey) LIKE 'house:100%' THEN 1 ELSE 2 END, 'house:' || o_orderkey) AS place FROM orders),
+q AS (SELECT *, row_number() OVER (ORDER BY place) AS i FROM o WHERE place <= 800 AND o_orderkey % 9 <> 0), c AS (SELECT max(bytes) * 100 AS ceiling FROM o),
+g AS (SELECT 0::BIGINT AS i, 5000::BIGINT AS used, false AS admitted UNION ALL SELECT q.i, g.used + CASE WHEN g.used + q.bytes <= ceiling THEN q.bytes ELSE 0 END, g.used + q.bytes <= ceiling FROM g JOIN q ON q.i = g.i + 1, c)
+SELECT o.filing_id, CASE WHEN g.admitted THEN 'k/' || o.filing_id END AS raw_object_key, CASE WHEN o.place <= 800 AND o.o_orderkey % 9 = 0 THEN 'no answer' WHEN o.place <= 800 AND NOT g.admitted THEN o.bytes || ' bytes would pass the ' || ceiling || '-byte budget of raw' END AS details,
+ (SELECT max(used) FROM g) AS total_bytes, (SELECT count(*) + 1 FROM g WHERE admitted) AS object_count FROM c, o LEFT JOIN q ON o.filing_id = q.filing_id LEFT JOIN g ON g.i = q.i
+""")
+def reports_budgeted(spark, d):
+    """The next 800 reports of the archive queue fetched and archived under a budget: what does not fit, or could not be fetched, opens an issue, and the rest counts as storage in use."""
+    state, o = _state(spark), table(spark, d, "orders")
+    kinds = o.select(F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), F.col("o_orderstatus").alias("filing_type"), F.round("o_totalprice").cast("long").alias("bytes"), "o_orderkey")
+    state.append("filings", _filings(o, "house", F.lit("pending")).drop("filing_type").join(kinds.select("filing_id", "filing_type"), "filing_id"))
+    state.append("storage_usage", spark.createDataFrame([("raw", 5000, 1)], "bucket string, total_bytes long, object_count int").withColumn("updated_at", _now()))
+    queue = jobs.pending_reports(state, 800).select("filing_id", jobs.archive_tier(F.col("filing_type"), F.col("filing_id")).alias("tier"))
+    fetched = queue.join(kinds, "filing_id").select(
+        "filing_id", F.concat(F.lit("k/"), "filing_id").alias("key"), "bytes", F.sha2("filing_id", 256).alias("sha256"), F.when(F.col("o_orderkey") % 9 == 0, "no answer").alias("error"), F.col("tier").cast("long").alias("place"),
+    )
+    ceiling = kinds.agg(F.max("bytes")).first()[0] * 100
+    jobs.archive_batch(state, fetched, "raw", ceiling, _now())
+    issues = state.read("dq_issues").select("filing_id", "details")
+    usage = state.read("storage_usage").filter("bucket = 'raw'").select(F.lit("house").alias("chamber"), "total_bytes", F.col("object_count").cast("long").alias("object_count"))
+    filings = state.read("filings").select("filing_id", "chamber", "raw_object_key").join(issues, "filing_id", "left").join(F.broadcast(usage), "chamber")
+    return filings.drop("chamber")
+
+
 from . import catalog_landed  # noqa: E402, F401  (registers its queries)

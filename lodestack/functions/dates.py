@@ -15,6 +15,11 @@ def form_date(x: Column | str) -> Column:
     return F.try_to_timestamp(x, F.lit("M/d/yyyy")).cast("date")
 
 
+def unread_date(*texts: Column | str) -> Column:
+    """The first of several texts that is neither blank nor a date; null if there is none."""
+    return F.coalesce(*(F.when((F.trim(x) != "") & form_date(F.trim(x)).isNull(), F.trim(x)) for x in texts))
+
+
 def strict_form_date(x: Column | str) -> Column:
     """As ``form_date`` for a blank, but a text that is no date stops the job."""
     return F.to_date(F.nullif(F.trim(x), F.lit("")), "M/d/yyyy")

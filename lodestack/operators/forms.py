@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import form_date
+from ..functions.dates import form_date, unread_date
 from ..functions.money import amount_range
 from ..functions.text import OWNER_CODES, TRADE_CODES, code_name, option_details, suffix_ticker, suffix_type
 
@@ -41,6 +41,11 @@ def lines_of(words: DataFrame) -> DataFrame:
     return placed.groupBy("filing_id", "page", line.alias("line")).agg(F.sort_array(F.collect_list(F.struct("w.x0", "w.text"))).alias("words"))
 
 
+def _lines(given: DataFrame) -> DataFrame:
+    """Lines of words, or what ``lines_of`` gave already: a job that reads lines more than once writes them first."""
+    return given if "line" in given.columns else lines_of(given)
+
+
 def _text(words: Column) -> Column:
     return F.array_join(F.transform(words, lambda w: w["text"]), " ")
 
@@ -72,14 +77,14 @@ def _label(first: Column) -> Column:
 
 
 def trade_form(words: DataFrame) -> DataFrame:
-    """One row per trade of every filing: filing_id, row_index, owner, description, ticker, type, option, trade, dates, amounts, id.
+    """One row per trade of every filing: filing_id, row_index, owner, description, ticker, type, option, trade, dates, amounts, id, and a date that is none.
 
     A line with a trade code in the code column opens a record. After it, lines extend its
     description and amount until a label line; a description label collects option text, other
     labels are skipped. Header lines repeat and are dropped, and so is a page from its footer on.
     """
     whole = Window.partitionBy("filing_id").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = lines_of(words).withColumn("_head", _header(F.col("words")))
+    rows = _lines(words).withColumn("_head", _header(F.col("words")))
     rows = rows.withColumn("_head", F.first("_head", ignorenulls=True).over(whole))
     rows = rows.select("filing_id", "page", "line", "words", _text(F.col("words")).alias("line_text"), *(F.coalesce(f"_head.{k}", F.lit(v)).alias(k) for k, v in DEFAULT_COLUMNS.items()))
     low = F.lower("line_text")
@@ -120,13 +125,13 @@ def trade_form(words: DataFrame) -> DataFrame:
         "filing_id", "row_index", F.coalesce(code_name(F.col("o"), OWNER_CODES), F.lit("self")).alias("owner"), F.trim("a").alias("asset_description_raw"), suffix_ticker("a").alias("ticker"), kind.alias("asset_type"),
         option["option_type"].alias("option_type"), option["strike"].alias("strike"), option["expiry"].alias("expiry"),
         F.when((trade == "sale_full") & F.col("p"), "sale_partial").otherwise(trade).alias("tx_type"), form_date("d").alias("tx_date"), form_date("n").alias("notification_date"),
-        amount_range("m")["low"].alias("amount_min"), amount_range("m")["high"].alias("amount_max"), F.col("i").alias("source_transaction_id"),
+        amount_range("m")["low"].alias("amount_min"), amount_range("m")["high"].alias("amount_max"), F.col("i").alias("source_transaction_id"), unread_date("d", "n").alias("unread_date"),
     )
 
 
 def is_electronic(words: DataFrame) -> DataFrame:
     """(filing_id, electronic): whether the filing has the form's header row."""
-    return lines_of(words).groupBy("filing_id").agg(F.max(_header(F.col("words")).isNotNull()).alias("electronic"))
+    return _lines(words).groupBy("filing_id").agg(F.max(_header(F.col("words")).isNotNull()).alias("electronic"))
 
 
 def _schedule(words: Column) -> Column:
@@ -141,7 +146,7 @@ def holdings_form(words: DataFrame) -> DataFrame:
     doc = Window.partitionBy("filing_id").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("filing_id").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, -1)
     w = F.col("words")
-    rows = lines_of(words).withColumns({"line_text": _text(w), "_heading": _schedule(w)})
+    rows = _lines(words).withColumns({"line_text": _text(w), "_heading": _schedule(w)})
     # from the first heading of Schedule A to the next heading of another schedule
     rows = rows.withColumn("_in", F.last("_heading", ignorenulls=True).over(doc))
     rows = rows.withColumn("_a", F.coalesce(F.max((F.col("_heading") == "a").cast("int")).over(before), F.lit(0)))
@@ -187,6 +192,6 @@ def holdings_form(words: DataFrame) -> DataFrame:
 def report_facts(words: DataFrame) -> DataFrame:
     """(filing_id, report_year, has_schedule_a) of every filing; the year is read from the first page."""
     w = F.col("words")
-    rows = lines_of(words).withColumns({"_t": F.transform(w, lambda v: F.lower(v["text"])), "_s": _schedule(w)})
+    rows = _lines(words).withColumns({"_t": F.transform(w, lambda v: F.lower(v["text"])), "_s": _schedule(w)})
     year = F.when((F.col("page") == 0) & (F.get("_t", F.lit(0)) == "filing") & (F.get("_t", F.lit(1)) == "year:") & F.get("_t", F.lit(2)).rlike(r"^\d+$"), F.get("_t", F.lit(2)).try_cast("int"))
     return rows.groupBy("filing_id").agg(F.min_by(year, F.when(year.isNotNull(), F.struct("page", "line"))).alias("report_year"), F.coalesce(F.max(F.col("_s") == "a"), F.lit(False)).alias("has_schedule_a"))

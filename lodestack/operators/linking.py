@@ -96,24 +96,27 @@ def _needed(x: Column, threshold: float) -> Column:
 
 
 def similar_companies(descriptions: DataFrame, companies: DataFrame, threshold: float = sim.SECURITY_REVIEW) -> DataFrame:
-    """(description, cik, score): the best company at or above ``threshold``, 90 at least, for every different description.
+    """(description, cik, ticker, score): the best company at or above ``threshold``, 90 at least, for every different description.
 
+    Of equal scores the first row of ``companies`` by ``position`` counts, so of a company with several tickers the one listed first.
     A description meets the companies that have one of its rarest trigrams, as many as leave no pair at the
     threshold out, and a length that allows it. Trigrams that most companies have join nothing but short texts.
     """
     if threshold < 90:
         raise ValueError("below 90 texts may match without a common trigram")
+    place = F.col("position").cast("long") if "position" in companies.columns else F.lit(0).cast("long")
     d = descriptions.select("description").distinct().withColumn("_d", sim.sorted_tokens(company_name("description"))).filter("_d <> ''")
-    c = companies.select("cik", sim.sorted_tokens(company_name("title")).alias("_c")).filter("_c <> ''").dropDuplicates(["cik", "_c"])
-    right = c.select("cik", "_c", F.explode(trigrams(F.col("_c"))).alias("_g"))
+    # rows of equal names score alike: the first stands for them
+    c = companies.select(sim.sorted_tokens(company_name("title")).alias("_c"), F.struct(place.alias("position"), "cik", F.upper("ticker").alias("ticker")).alias("row")).filter("_c <> ''").groupBy("_c").agg(F.min("row").alias("row"))
+    right = c.select("_c", F.explode(trigrams(F.col("_c"))).alias("_g"))
     left = d.select("_d").distinct().select("_d", F.explode(trigrams(F.col("_d"))).alias("_g"))
     left = left.join(right.groupBy("_g").agg(F.count("*").alias("_n")), "_g", "left")
     rarest = Window.partitionBy("_d").orderBy(F.col("_n").asc_nulls_first(), "_g")
     left = left.withColumn("_rank", F.row_number().over(rarest)).filter((F.col("_rank") <= _needed(F.col("_d"), threshold)) & F.col("_n").isNotNull())
-    near = left.join(right, "_g").filter(sim.lengths_allow(F.col("_d"), F.col("_c"), threshold)).select("_d", "cik", "_c").distinct()
-    scored = near.withColumn("score", sim.score(F.col("_d"), F.col("_c"))).filter(F.col("score") >= threshold)
-    best = two_best(scored, "_d", "score", "cik").select("_d", "cik", "score")
-    return d.join(best, "_d").select("description", "cik", "score")
+    near = left.join(right, "_g").filter(sim.lengths_allow(F.col("_d"), F.col("_c"), threshold)).select("_d", "_c").distinct()
+    scored = near.withColumn("score", sim.score(F.col("_d"), F.col("_c"))).filter(F.col("score") >= threshold).join(c, "_c")
+    best = two_best(scored, "_d", "score", "row").select("_d", "row.cik", "row.ticker", "score")
+    return d.join(best, "_d").select("description", "cik", "ticker", "score")
 
 
 def link_securities(rows: DataFrame, companies: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -136,9 +139,8 @@ def link_securities(rows: DataFrame, companies: DataFrame, overrides: DataFrame)
     r = rows.withColumns({"_t": ticker("ticker"), "_own": ticker("ticker"), "_text": F.trim("description")})
     r = r.join(by_ticker, "_own", "left").join(exact, "_t", "left").join(by_text, "_text", "left")
     open_rows = r.filter("_o is null and _xc is null and _d is null")
-    fuzzy = similar_companies(open_rows, companies).withColumnsRenamed({"cik": "_fc"}).drop("score")
-    names = companies.groupBy(F.col("cik").alias("_fc")).agg(F.min("ticker").alias("_ft"))
-    r = r.join(fuzzy, "description", "left").join(names, "_fc", "left")
+    fuzzy = similar_companies(open_rows, companies).withColumnsRenamed({"cik": "_fc", "ticker": "_ft"}).drop("score")
+    r = r.join(fuzzy, "description", "left")
     method = F.when(F.col("_o"), "override").when(F.col("_xc").isNotNull(), "ticker").when(F.col("_d"), "override").when(F.col("_fc").isNotNull(), "fuzzy").otherwise("unmatched")
     return r.select(
         "row_id",

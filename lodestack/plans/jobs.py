@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import forms, ingest, linking, quality, reports, versions
+from ..operators import admission, forms, ingest, linking, quality, reports, versions
 from ..sources import landed
 from .state import State
 
@@ -110,9 +110,49 @@ def archive(state: State, objects: DataFrame, now: Column) -> None:
     state.replace("dq_issues", ingest.resolve_issues(state.read("dq_issues"), found, "filing_id", now))
 
 
-def _open_issues(state: State, subjects: DataFrame, kind: str, now: Column) -> None:
-    found = subjects.select("filing_id").distinct().withColumns({"issue_type": F.lit(kind), "issue_id": _id(F.col("filing_id"), F.lit(kind), now), "created_at": now})
-    state.append("dq_issues", ingest.open_issues_once(state.read("dq_issues"), found, "filing_id"))
+def archive_batch(state: State, fetched: DataFrame, bucket: str, ceiling: int, now: Column) -> None:
+    """Archive fetched files (filing_id, key, bytes, sha256, error, place) in the order of ``place``, as long as they fit the bucket's budget.
+
+    A file that would pass the ceiling is refused and takes nothing; it opens an issue, as does one whose fetch failed (``error``).
+    What was admitted is recorded, its open issues are resolved, and its bytes are added to the storage in use.
+    """
+    tried = state.staged("fetched", fetched)
+    queue = tried.filter("error is null").select(F.lit(bucket).alias("bucket"), F.col("filing_id").alias("key"), F.col("bytes").cast("long").alias("bytes"), "place")
+    usage = state.read("storage_usage")
+    decided = state.staged("admitted", admission.admit(queue, usage, ceiling, f"{state.folder}/_staged/admission").select(F.col("key").alias("filing_id"), "bytes", "admitted"))
+    taken = decided.filter("admitted")
+    archive(state, tried.join(taken.select("filing_id"), "filing_id", "left_semi").select("filing_id", "key", "sha256"), now)
+    refused = decided.filter("not admitted").select("filing_id", F.concat("bytes", F.lit(f" bytes would pass the {ceiling}-byte budget of {bucket}")).alias("details"))
+    failed = tried.filter("error is not null").select("filing_id", F.col("error").alias("details"))
+    _open_issues(state, refused.unionByName(failed), "pdf_fetch_failed", now)
+    added = taken.agg(F.sum("bytes").alias("total_bytes"), F.count("*").alias("object_count")).filter("object_count > 0").select(F.lit(bucket).alias("bucket"), "total_bytes", "object_count")
+    state.replace("storage_usage", ingest.accumulate(usage, added, "bucket", "total_bytes", "object_count").withColumn("updated_at", now))
+
+
+def _open_issues(state: State, subjects: DataFrame, kind: str | None, now: Column, subject: str = "filing_id", once: str | None = None) -> None:
+    """An issue for each subject that has none open of its kind; ``kind`` None takes ``issue_type`` of the rows.
+
+    Rows may have details and further columns of the issue. With ``once`` a subject with any open issue whose kind begins so gets none.
+    """
+    rows = subjects.withColumn("issue_type", F.lit(kind)) if kind else subjects
+    stored = state.read("dq_issues")
+    if once:
+        rows = rows.join(flagged(stored, once, subject), subject, "left_anti")
+    found = rows.dropDuplicates([subject, "issue_type"]).withColumns({"issue_id": _id(F.col(subject), F.col("issue_type"), now), "created_at": now})
+    state.append("dq_issues", ingest.open_issues_once(stored, found, subject))
+
+
+def flagged(issues: DataFrame, begins: str, subject: str) -> DataFrame:
+    """(subject) with an open issue whose kind begins with ``begins``; both tests reach the scan."""
+    return issues.filter(F.col("issue_type").startswith(begins) & F.col("resolved_at").isNull() & F.col(subject).isNotNull()).select(subject).distinct()
+
+
+def _shown(x: Column) -> Column:
+    """A text as issues show it: in quotes, or None."""
+    plain = F.replace(x, F.lit("\\"), F.lit("\\\\"))
+    single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    double = F.concat(F.lit('"'), plain, F.lit('"'))
+    return F.when(x.isNull(), "None").when(F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"')), double).otherwise(single)
 
 
 def _save(state: State, parsed: DataFrame, tried: DataFrame, form: str, now: Column) -> None:
@@ -125,21 +165,37 @@ def _save(state: State, parsed: DataFrame, tried: DataFrame, form: str, now: Col
     f = ingest.outcomes(state.read("filings"), parsed, tried, "filing_id")
     marks = tried.withColumn("_tried", F.lit(True))
     state.replace("filings", f.join(marks, "filing_id", "left").withColumn("format", F.when(F.col("_tried"), form).otherwise(F.col("format"))).select(*f.columns))
-    _open_issues(state, rejected, "unknown_tx_type", now)
+    _open_issues(state, rejected.select("filing_id"), "unknown_tx_type", now)
+    unread = parsed.filter("unread_date is not null").groupBy("filing_id").agg(F.min("unread_date").alias("text"))
+    _open_issues(state, unread.select("filing_id", F.concat(F.lit("date="), _shown(F.col("text"))).alias("details")), "unreadable_date", now)
     _open_issues(state, tried.select("filing_id").join(parsed.select("filing_id"), "filing_id", "left_anti"), "ptr_parse_failed", now)
 
 
+def _readable(state: State, todo: DataFrame, words: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(lines of the reports of ``todo`` (filing_id, raw_object_key), reports without any word though their file is archived).
+
+    Lines are written once, for the steps that decide by them and those that parse them.
+    """
+    lines = state.staged(name, forms.lines_of(words.join(todo.select("filing_id"), "filing_id", "left_semi")))
+    bare = todo.filter("raw_object_key is not null").select("filing_id").join(lines.select("filing_id"), "filing_id", "left_anti")
+    return lines, bare
+
+
+def _mark(state: State, marks: DataFrame) -> None:
+    """Set format and parse_status of the filings of ``marks`` (filing_id, _format, _status)."""
+    f = state.read("filings")
+    rows = f.join(marks, "filing_id", "left").withColumns({"format": F.coalesce("_format", "format"), "parse_status": F.coalesce("_status", "parse_status")})
+    state.replace("filings", rows.select(*f.columns))
+
+
 def parse_trade_forms(state: State, words: DataFrame, now: Column) -> None:
-    """Parse pending trade reports from their words. Those without the form's header are scans and are deferred."""
-    todo = state.read("filings").filter("chamber = 'house' and filing_type = 'P' and parse_status in ('pending', 'failed')").select("filing_id")
-    w = words.join(todo, "filing_id", "left_semi")
-    kinds = state.staged("kinds", forms.is_electronic(w))
+    """Parse pending trade reports from their words. Those without the form's header, or archived without any word, are scans and are deferred."""
+    todo = state.read("filings").filter("chamber = 'house' and filing_type = 'P' and parse_status in ('pending', 'failed')").select("filing_id", "raw_object_key")
+    lines, bare = _readable(state, todo, words, "trade-lines")
+    kinds = state.staged("kinds", forms.is_electronic(lines).unionByName(bare.withColumn("electronic", F.lit(False))))
     electronic = kinds.filter("electronic").select("filing_id")
-    scans = kinds.filter("not electronic").select("filing_id", F.lit(True).alias("_scan"))
-    _save(state, forms.trade_form(w.join(electronic, "filing_id", "left_semi")), electronic, "electronic", now)
-    f = state.read("filings").join(scans, "filing_id", "left")
-    f = f.withColumns({"format": F.when(F.col("_scan"), "scanned").otherwise(F.col("format")), "parse_status": F.when(F.col("_scan"), "paper_deferred").otherwise(F.col("parse_status"))})
-    state.replace("filings", f.drop("_scan"))
+    _save(state, forms.trade_form(lines.join(electronic, "filing_id", "left_semi")), electronic, "electronic", now)
+    _mark(state, kinds.filter("not electronic").select("filing_id", F.lit("scanned").alias("_format"), F.lit("paper_deferred").alias("_status")))
 
 
 def parse_html_reports(state: State, pages: DataFrame, now: Column) -> None:
@@ -150,17 +206,20 @@ def parse_html_reports(state: State, pages: DataFrame, now: Column) -> None:
 
 
 def parse_holdings(state: State, words: DataFrame, now: Column) -> None:
-    """Holdings of pending annual reports; the year comes from the first page."""
-    todo = state.read("filings").filter("chamber = 'house' and filing_type = 'O' and parse_status = 'pending'").select("filing_id")
-    w = words.join(todo, "filing_id", "left_semi")
-    facts = state.staged("facts", forms.report_facts(w))
-    rows = forms.holdings_form(w).join(facts.select("filing_id", "report_year"), "filing_id", "left").withColumn("holding_id", _id(F.col("filing_id"), F.col("row_index")))
-    kept = state.read("holdings").join(todo, "filing_id", "left_anti")
+    """Holdings of annual reports whose format is not known yet; the year comes from the first page.
+
+    A report with words is electronic, parsed or failed. One that is archived and has none is a scan and is deferred.
+    """
+    todo = state.read("filings").filter("chamber = 'house' and filing_type = 'O' and format = 'unknown' and parse_status = 'pending'").select("filing_id", "raw_object_key")
+    lines, bare = _readable(state, todo, words, "holding-lines")
+    bare = state.staged("scans", bare)
+    facts = state.staged("facts", forms.report_facts(lines))
+    rows = forms.holdings_form(lines).join(facts.filter("has_schedule_a").select("filing_id", "report_year"), "filing_id").withColumn("holding_id", _id(F.col("filing_id"), F.col("row_index")))
+    kept = state.read("holdings").join(facts.select("filing_id"), "filing_id", "left_anti")
     state.replace("holdings", kept.unionByName(rows.select(*(c for c in kept.columns if c in rows.columns)), allowMissingColumns=True))
-    good = facts.filter("has_schedule_a").select("filing_id")
-    f = ingest.outcomes(state.read("filings"), good, facts, "filing_id")
-    state.replace("filings", f)
-    _open_issues(state, facts.filter("not has_schedule_a"), "fd_parse_failed", now)
+    read = facts.select("filing_id", F.lit("electronic").alias("_format"), F.when(F.col("has_schedule_a"), "parsed").otherwise("failed").alias("_status"))
+    _mark(state, read.unionByName(bare.select("filing_id", F.lit("scanned").alias("_format"), F.lit("paper_deferred").alias("_status"))))
+    _open_issues(state, facts.filter("not has_schedule_a").select("filing_id"), "fd_parse_failed", now)
 
 
 def import_transcribed(state: State, rows: DataFrame, source_file: str, now: Column) -> int:
@@ -175,7 +234,7 @@ def import_transcribed(state: State, rows: DataFrame, source_file: str, now: Col
     state.append("transaction_provenance", provenance)
     f = state.read("filings").join(done.withColumn("_done", F.lit(True)), "filing_id", "left")
     new = f.withColumns({"format": F.when(F.col("_done"), "scanned").otherwise(F.col("format")), "parse_status": F.when(F.col("_done"), "parsed").otherwise(F.col("parse_status"))}).drop("_done")
-    _open_issues(state, rejected, "unknown_tx_type", now)
+    _open_issues(state, rejected.select("filing_id"), "unknown_tx_type", now)
     state.append("transactions", good)
     state.replace("filings", new)
     return count
@@ -194,32 +253,48 @@ def backfill_fields(state: State, parsed: DataFrame) -> None:
 # --- links
 
 
-def link_filers(state: State, now: Column) -> None:
-    """People for filings without one; those that stay open get one issue."""
-    f = state.read("filings")
+#: Rows that a run of a linking job tries; those never tried come first.
+LINK_BATCH = 1_000_000
+
+
+def link_filers(state: State, now: Column, batch: int = LINK_BATCH) -> None:
+    """People for the next filings without one: never tried ones first, then those with an open issue. Those that stay open get one issue, of the match's kind."""
+    f, issues = state.read("filings"), state.read("dq_issues")
     todo = f.filter("bioguide_id is null").select("filing_id", "chamber", "filer_name", F.coalesce("filed_date", F.to_date("first_seen_at")).alias("as_of"))
-    found = linking.link_people(todo, state.read("politician_terms"), state.read("politicians"), state.read("politician_overrides")).select("filing_id", F.col("bioguide_id").alias("_b"), "method")
-    rows = f.join(found, "filing_id", "left").withColumn("bioguide_id", F.coalesce("bioguide_id", "_b"))
-    missed = found.filter("_b is null").select("filing_id")
-    _open_issues(state, missed, "politician_unmatched", now)
+    todo = state.staged("filers", ingest.flagged_first(todo, flagged(issues, "politician_match_", "filing_id"), "filing_id", batch, "filing_id"))
+    found = state.staged("found-filers", linking.link_people(todo, state.read("politician_terms"), state.read("politicians"), state.read("politician_overrides")))
+    shown = F.concat(F.lit("filer_name="), _shown(F.col("filer_name")), F.lit(" chamber="), "chamber", F.lit(" as_of="), F.col("as_of").cast("string"), F.lit(" best_score="), F.format_string("%.1f", "score"))
+    missed = todo.join(found.filter("bioguide_id is null").select("filing_id", "method", "score"), "filing_id")
+    _open_issues(state, missed.select("filing_id", F.concat(F.lit("politician_match_"), "method").alias("issue_type"), shown.alias("details")), None, now, once="politician_match_")
+    rows = f.join(found.select("filing_id", F.col("bioguide_id").alias("_b")), "filing_id", "left").withColumn("bioguide_id", F.coalesce("bioguide_id", "_b"))
     state.replace("filings", rows.select(*f.columns))
 
 
-def link_trades(state: State, companies: DataFrame, overrides: DataFrame) -> None:
-    """Instruments for trades without one, made where a company has none yet."""
-    t = state.read("transactions")
-    todo = t.filter("instrument_id is null").select(F.col("transaction_id").alias("row_id"), "ticker", F.col("asset_description_raw").alias("description"))
-    found = linking.link_securities(todo, companies, overrides).filter("cik is not null").select(F.col("row_id").alias("transaction_id"), F.col("ticker").alias("_t"), F.col("cik").alias("_c"))
+def link_trades(state: State, companies: DataFrame, overrides: DataFrame, now: Column, batch: int = LINK_BATCH) -> None:
+    """Instruments for the next trades without one, made where a company has none yet: never tried trades first, then those with an open issue.
+
+    A trade that no company fits opens an issue once.
+    """
+    t, issues = state.read("transactions"), state.read("dq_issues")
+    todo = t.filter("instrument_id is null").select("transaction_id", "filing_id", "ticker", "asset_description_raw")
+    todo = state.staged("trades", ingest.flagged_first(todo, flagged(issues, "ticker_match_unmatched", "transaction_id"), "transaction_id", batch, "transaction_id"))
+    asked = todo.select(F.col("transaction_id").alias("row_id"), "ticker", F.col("asset_description_raw").alias("description"))
+    tried = state.staged("found-trades", linking.link_securities(asked, companies, overrides).select(F.col("row_id").alias("transaction_id"), F.col("ticker").alias("_t"), F.col("cik").alias("_c")))
+    found = tried.filter("_c is not null")
     known = state.read("instruments").filter("cik is not null").groupBy("cik").agg(F.min("instrument_id").alias("instrument_id"))
-    ids = ingest.lookup_or_create(known, found.select(F.col("_c").alias("cik")), "cik", "instrument_id")
+    ids = state.staged("instruments-met", ingest.lookup_or_create(known, found.select(F.col("_c").alias("cik")), "cik", "instrument_id"))
     first = found.groupBy(F.col("_c").alias("cik")).agg(F.min_by("_t", "transaction_id").alias("primary_ticker"))
-    titles = companies.groupBy("cik").agg(F.min("title").alias("name"))
+    place = F.col("position").cast("long") if "position" in companies.columns else F.lit(0).cast("long")
+    titles = companies.groupBy("cik").agg(F.min(F.struct(place.alias("position"), "title")).alias("x")).select("cik", F.col("x.title").alias("name"))
     new = ids.join(known.select("cik"), "cik", "left_anti").join(first, "cik", "left").join(titles, "cik", "left").withColumn("asset_class", F.lit("equity"))
-    linked = t.join(found.join(ids, found["_c"] == ids["cik"]).select("transaction_id", "_t", "_c", F.col("instrument_id").alias("_i")), "transaction_id", "left")
-    linked = linked.withColumns({"instrument_id": F.coalesce("instrument_id", "_i"), "ticker": F.coalesce("ticker", "_t")})
-    pairs = found.join(ids, found["_c"] == ids["cik"]).select("instrument_id", F.col("_t").alias("ticker")).filter("ticker is not null").distinct()
+    met = found.join(ids, found["_c"] == ids["cik"]).select("transaction_id", "_t", F.col("instrument_id").alias("_i"))
+    linked = t.join(met, "transaction_id", "left").withColumns({"instrument_id": F.coalesce("instrument_id", "_i"), "ticker": F.coalesce("ticker", "_t")})
+    pairs = met.select(F.col("_i").alias("instrument_id"), F.col("_t").alias("ticker")).filter("ticker is not null").distinct()
     maps = pairs.join(state.read("ticker_map").select("instrument_id", "ticker"), ["instrument_id", "ticker"], "left_anti")
     maps = maps.withColumns({"ticker_map_id": _id(F.col("instrument_id"), F.col("ticker")), "valid_from": F.lit("2012-01-01").cast("date"), "source": F.lit("sec")})
+    missed = todo.join(tried.filter("_c is null").select("transaction_id"), "transaction_id", "left_semi")
+    shown = F.concat(F.lit("ticker="), _shown(F.col("ticker")), F.lit(" description="), _shown(F.col("asset_description_raw")))
+    _open_issues(state, missed.select("transaction_id", "filing_id", shown.alias("details")), "ticker_match_unmatched", now, subject="transaction_id")
     state.append("ticker_map", maps)
     state.append("instruments", new)
     state.replace("transactions", linked.select(*t.columns))

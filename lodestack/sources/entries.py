@@ -36,20 +36,29 @@ def keyed_entries(spark: SparkSession, path: str) -> DataFrame:
 
     A file is cut where a key's list begins, so a piece has the list of one key and then, as its last line, the next
     key. The key of a piece is thus in the piece before it: within a split by a window over the split,
-    and for a split's first piece by one over the last pieces of the splits, a row each.
+    and for a split's first piece by one over the last pieces of the splits, a row each. Keys with lists on their
+    own line stand between a list and the next key; they come as one entry, a mapping, without key.
     """
-    pieces = spark.read.option("lineSep", f":{ENTRY}").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"))
-    last = F.regexp_extract("value", r"(?:\A|\n)([^\n]*)\z", 1)
-    pieces = pieces.withColumns({"next": last, "list": F.regexp_replace("value", r"(?:\A|\n)[^\n]*\z", "")})
-    order = Window.partitionBy("file", "split").orderBy("place")
-    inside = pieces.withColumns({"before": F.lag("next").over(order), "first": F.row_number().over(order) == 1})
-    ends = pieces.groupBy("file", "split").agg(F.max_by("next", "place").alias("end"))
-    ends = ends.select("file", "split", F.lag("end").over(Window.partitionBy("file").orderBy("split")).alias("carried"))
-    whole = inside.join(ends, ["file", "split"], "left").withColumn("key", F.when(F.col("first"), F.col("carried")).otherwise(F.col("before")))
-    # a file's last piece ends with its list, which has no next key
-    tails = pieces.groupBy("file").agg(F.max(F.struct("split", "place")).alias("tail"))
-    whole = whole.join(tails, "file").withColumn("list", F.when((F.col("split") == F.col("tail.split")) & (F.col("place") == F.col("tail.place")), F.col("value")).otherwise(F.col("list")))
-    return whole.filter(F.col("key").isNotNull()).select(F.trim("key").alias("key"), F.explode(F.split("list", ENTRY)).alias("entry")).filter(F.trim("entry") != "")
+    place = F.monotonically_increasing_id()
+    pieces = spark.read.option("lineSep", f":{ENTRY}").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("split"), place.alias("row")).alias("place"))
+    ends = pieces.groupBy("file", "place.split").agg(F.max("place").alias("last"), F.min("place").alias("first"), F.max_by(F.substring_index("value", "\n", -1), "place").alias("end"))
+    splits = Window.partitionBy("file").orderBy("split")
+    ends = ends.select("file", "split", "first", F.lag("end").over(splits).alias("carried"), (F.lead("split").over(splits).isNull()).alias("final"), "last")
+    inside = Window.partitionBy("file", "place.split").orderBy("place")
+    rows = pieces.withColumn("before", F.lag(F.substring_index("value", "\n", -1)).over(inside)).withColumn("split", F.col("place.split")).join(ends, ["file", "split"])
+    key = F.when(F.col("place") == F.col("first"), F.col("carried")).otherwise(F.col("before"))
+    # of what follows the list, all but a last piece's is followed by the next key
+    begins = F.when(key.isNull(), F.concat(F.lit("\n"), "value")).otherwise(F.col("value"))
+    rest = F.regexp_extract(begins, r"\n([^\s\-#][\s\S]*)\z", 1)
+    over = F.col("final") & (F.col("place") == F.col("last"))
+    rows = rows.select(
+        F.trim(key).alias("key"), "value", rest.alias("rest"), over.alias("over")
+    )
+    lists = F.when(F.col("rest") == "", F.col("value")).otherwise(F.expr("left(value, length(value) - length(rest) - 1)"))
+    others = F.when(F.col("over"), F.col("rest")).otherwise(F.regexp_replace("rest", r"(?:\A|\n)[^\n]*\z", ""))
+    listed = rows.filter("key is not null").select("key", F.explode(F.split(lists, ENTRY)).alias("entry"))
+    inline = rows.select(F.lit(None).cast("string").alias("key"), F.regexp_replace(others, "\n", "\n  ").alias("entry"))
+    return listed.unionByName(inline).filter(F.trim("entry") != "")
 
 
 def parsed_entries(entries: DataFrame, parse: Callable[..., Iterable[tuple]], schema: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import form_date, iso_date, strict_form_date
+from ..functions.dates import form_date, iso_date, strict_form_date, unread_date
 from ..functions.money import amount_range, band_range
 from ..functions.text import (
     OWNER_NAMES, TERM_CHAMBERS, TRADE_NAMES, bare, before_option_details, clean_text, code_name, dash_to_null, filer_name, option_cell, report_uuid, ticker_in_name, zero_padded,
@@ -72,9 +72,9 @@ def candidate_years(rows: DataFrame, year: str = "year") -> DataFrame:
     return rows.select("*", F.posexplode(F.array(F.col(year), F.col(year) - 1, F.col(year) + 1)).alias("attempt", "try_year"))
 
 
-def search_results(spark: SparkSession, path: str) -> DataFrame:
-    """Reports of landed search pages {"result": "ok", "data": [[first, last, office, link, date], ...]}."""
-    pages = spark.read.schema("result string, data array<array<string>>").option("multiLine", True).json(path)
+def search_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Reports of landed search pages {"result": "ok", "data": [[first, last, office, link, date], ...]}, a file each or a line each."""
+    pages = spark.read.schema("result string, data array<array<string>>").option("multiLine", not lines).json(path)
     checked = pages.select(F.when(F.col("result") == "ok", F.col("data")).otherwise(F.raise_error("a search page without result")).alias("data"))
     return search_rows(checked.select(F.explode("data").alias("r")))
 
@@ -126,7 +126,13 @@ def committees(spark: SparkSession, path: str) -> DataFrame:
 def memberships(spark: SparkSession, path: str, known: DataFrame) -> DataFrame:
     """Members of known committees; members without id are dropped."""
     schema = "thomas_id string, bioguide_id string, party string, rank int, title string"
-    rows = parsed_entries(keyed_entries(spark, path), lambda m, key: [(key, m.get("bioguide"), m.get("party"), m.get("rank"), m.get("title"))], schema)
+
+    def parse(entry, key):
+        for committee, members in ({key: [entry]} if key is not None else entry).items():
+            for m in members or []:
+                yield committee, m.get("bioguide"), m.get("party"), m.get("rank"), m.get("title")
+
+    rows = parsed_entries(keyed_entries(spark, path), parse, schema)
     return rows.filter(F.col("bioguide_id").isNotNull()).join(known.select("thomas_id").distinct(), "thomas_id", "left_semi")
 
 
@@ -244,5 +250,5 @@ def report_rows(pages: DataFrame, key: str = "filing_id", html: str = "html") ->
     return rows.select(
         key, "row_index", form_date(bare(c[1])).alias("tx_date"), code_name(F.lower(bare(c[2])), OWNER_NAMES).alias("owner"), dash_to_null(c[3]).alias("ticker"), before_option_details(c[4]).alias("asset_description_raw"),
         dash_to_null(c[5]).alias("asset_type"), code_name(F.lower(bare(c[6])), TRADE_NAMES).alias("tx_type"), bounds["low"].alias("amount_min"), bounds["high"].alias("amount_max"),
-        option["option_type"].alias("option_type"), option["strike"].alias("strike"), option["expiry"].alias("expiry"), F.lit(None).cast("date").alias("notification_date"),
+        option["option_type"].alias("option_type"), option["strike"].alias("strike"), option["expiry"].alias("expiry"), F.lit(None).cast("date").alias("notification_date"), unread_date(bare(c[1])).alias("unread_date"),
     )

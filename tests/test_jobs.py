@@ -52,8 +52,8 @@ def test_from_index_to_report(spark, state):
     assert {r.filing_id: r.bioguide_id for r in state.read("filings").collect()} == {"house:1": "A1", "house:2": None}
     companies = spark.createDataFrame([("0000000001", "AAPL", "Apple Inc."), ("0000000002", "PFE", "Pfizer Inc.")], "cik string, ticker string, title string")
     none = spark.createDataFrame([], "match_type string, match_value string, ticker string, cik string")
-    jobs.link_trades(state, companies, none)
-    jobs.link_trades(state, companies, none)
+    jobs.link_trades(state, companies, none, NOW())
+    jobs.link_trades(state, companies, none, NOW())
     assert state.read("transactions").filter("instrument_id is null").count() == 0
     assert state.read("instruments").count() == state.read("ticker_map").count() == 2
     jobs.sync_industries(state, spark.createDataFrame([("0000000001", "3571", "Computers")], "cik string, sic string, sic_description string"), NOW())

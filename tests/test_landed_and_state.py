@@ -74,6 +74,9 @@ def test_memberships_of_one_large_file(spark, tmp_path, small_splits):
     rng = random.Random(1)
     want, text = set(), ""
     for c in range(40):
+        if c % 5 == 1:
+            text += f"I{c}: [{{bioguide: B1, rank: 1}}, {{name: x}}]\nJ{c}:\n  [{{bioguide: B2}}]\n"
+            want |= {(f"I{c}", "B1", 1), (f"J{c}", "B2", None)}
         text += f"C{c:02}:\n"
         for m in range(rng.choice([1, 2, 30])):
             text += f"- name: 'A: {m}'\n  rank: {m}\n  bioguide: B{m}\n"
@@ -82,7 +85,7 @@ def test_memberships_of_one_large_file(spark, tmp_path, small_splits):
     (tmp_path / "n.yaml").write_text("D:\n- bioguide: X\n- title: no id\n")
     rows = keyed_entries(spark, str(tmp_path))
     assert rows.rdd.getNumPartitions() >= 1
-    known = spark.createDataFrame([(f"C{c:02}",) for c in range(40)] + [("D",)], "thomas_id string")
+    known = spark.createDataFrame([(k,) for k in {k for k, _, _ in want} | {"D"}], "thomas_id string")
     got = landed.memberships(spark, str(tmp_path), known)
     assert {(r.thomas_id, r.bioguide_id, r["rank"]) for r in got.collect()} == want | {("D", "X", None)}
 
