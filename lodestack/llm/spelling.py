@@ -12,7 +12,9 @@ only, on (bigram, place, length):
 * an inserted one makes the longer word one longer, and its shared bigram stays or moves one on.
 
 The rarest bigrams are what makes the keys' groups small, and place and length cut them further.
-The levenshtein distance is a condition of the join, so pairs that fail it are never rows. Bigrams
+Of what meets, a bit per letter tells most pairs apart: the bits of the letters that a word has an
+odd number of times differ in two at most after a replacement and in one after an insertion. The
+levenshtein distance verifies the rest. Both are conditions of the join, so pairs that fail are never rows. Bigrams
 are two letters of a fixed alphabet of 90, so the table of their frequencies has at most 8,100 rows
 and is broadcast.
 
@@ -27,7 +29,7 @@ no rows. Texts are read whole, and words of any length take part. Other columns
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import materialize, quoted
@@ -64,17 +66,24 @@ def rarest_bigrams(words: DataFrame, most: int = 3) -> DataFrame:
     return grams.join(F.broadcast(often), "gram").withColumn("r", F.row_number().over(rare)).filter(F.col("r") <= most).select("word", "size", "gram", "place")
 
 
+def odd_letters(word: Column) -> Column:
+    """64 bits, of which each letter's is set if the word has an odd number of the letters that share it."""
+    return F.aggregate(F.split(word, ""), F.lit(0).cast("long"), lambda bits, letter: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(letter) % 64)))
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """(a, b): the words exactly one edit apart, each pair once, a shorter than b or as long and before it.
 
     Words must have at least four code points, so that they have three bigrams.
     """
-    grams = materialize(rarest_bigrams(words), "spelling-bigrams")
-    left = grams.select(F.col("word").alias("a"), F.explode(F.array(F.struct(F.col("size").alias("size"), F.col("place").alias("place")), F.struct((F.col("size") + 1).alias("size"), F.col("place").alias("place")), F.struct((F.col("size") + 1).alias("size"), (F.col("place") + 1).alias("place")))).alias("k"), "gram")
-    left = left.select("a", "gram", "k.size", "k.place")
-    right = grams.select(F.col("word").alias("b"), "gram", "size", "place")
-    ordered = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))
-    return left.join(right, ["gram", "size", "place"]).filter(ordered & (F.levenshtein("a", "b", 1) == 1)).select("a", "b").distinct()
+    grams = materialize(rarest_bigrams(words).withColumn("odd", odd_letters(F.col("word"))), "spelling-bigrams")
+    moves = ((0, 0), (1, 0), (1, 1))  # what an edit adds to the word's size and the bigram's place
+    keys = F.explode(F.array(*(F.struct((F.col("size") + i).alias("size"), (F.col("place") + j).alias("place"), F.lit(i).alias("longer")) for i, j in moves)))
+    left = grams.select(F.col("word").alias("a"), F.col("odd").alias("odd_a"), "gram", keys.alias("k")).select("a", "odd_a", "gram", "k.*")
+    right = grams.select(F.col("word").alias("b"), F.col("odd").alias("odd_b"), "gram", "size", "place")
+    few = F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd_b"))) <= F.lit(2) - F.col("longer")
+    ordered = (F.col("longer") == 1) | (F.col("a") < F.col("b"))
+    return left.join(right, ["gram", "size", "place"]).filter(few & ordered & (F.levenshtein("a", "b", 1) == 1)).select("a", "b").distinct()
 
 
 def follow(forms: DataFrame) -> DataFrame:
