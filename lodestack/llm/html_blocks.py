@@ -8,7 +8,7 @@ from html import unescape
 
 #: Elements that begin and end blocks of text; others are part of the line around them.
 BLOCKS = frozenset(
-    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
+    "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements whose content is not text of the page.
 SKIPPED = frozenset("script style noscript template iframe object svg math head title textarea select canvas audio video noframes".split())

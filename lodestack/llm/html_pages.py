@@ -14,6 +14,10 @@ AD_NAMES = ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "pro
 FORM_NAMES = ["newsletter", "subscribe", "signup", "login", "search", "contact", "form", "social", "share", "sharing"]
 COMMENT_NAMES = ["comments", "comment", "comment-list", "respond", "reply", "discussion", "comment-body", "disqus", "reader-comments", "replies", "responses", "feedback"]
 ARTICLE_NAMES = ["content", "post", "entry", "entry-content", "article", "article-body", "story", "main", "main-content", "post-body", "text", "body", "page"]
+POST_NAV_NAMES = ["post-navigation", "entry-navigation", "nav-links", "post-nav", "article-nav", "prev-next", "pager"]
+POST_FOOTER_NAMES = ["entry-footer", "post-footer", "article-footer", "entry-meta", "post-meta", "post-tags", "tag-list"]
+FILED_TEXTS = ["Tagged", "Tags", "Filed under", "Posted in", "Categories", "Category", "Topics", "Labels", "Share this", "Permalink"]
+RIGHTS = "All rights reserved"
 SHORT_TEXTS = ["Home", "About us", "Contact", "Next", "Previous", "Read more", "Log in", "Sign up", "Share", "Menu", "Privacy", "Terms", "Search", "Subscribe", "Reply", "Archive"]
 
 
@@ -47,16 +51,51 @@ class PageMaker:
         return f"{begin}{inner}</{tag}>", label
 
     def menu(self):
+        if self.r.random() < 0.15:
+            return self.unlinked_menu()
         items = "".join(f"<li>{self.link()}</li>" for _ in range(self.r.randint(3, 9)))
         inner = self.r.choice([f"<ul>{items}</ul>", " ".join(self.link() for _ in range(self.r.randint(2, 6))), f"<ol>{items}</ol>"])
         return self.part(["nav", "nav", "div", "ul" if inner[:3] == "<li" else "div"], MENU_NAMES, inner, bare=0.5)
 
+    def unlinked_menu(self):
+        """A menu of plain words, as scripts make them; often nothing names it."""
+        items = [self.r.choice(SHORT_TEXTS) for _ in range(self.r.randint(2, 7))]
+        tag = self.r.choice(["ul", "ul", "ul", "ol"])
+        listed = f"<{tag}>" + "".join(f"<li>{x}</li>" for x in items) + f"</{tag}>"
+        return self.r.choice([(listed, 0), (listed, 0), (f"<nav>{listed}</nav>", 0), self.part(["nav", "div"], MENU_NAMES, listed, bare=0.3)])
+
+    def article_nav(self):
+        """Links to other articles, within or after an article."""
+        inner = self.r.choice([" ".join(self.link() for _ in range(self.r.randint(1, 3))), f"<ul><li>{self.link()}</li><li>{self.link()}</li></ul>", f"<div>{self.link()}</div><div>{self.link()}</div>", self.short()])
+        return self.part(["nav", "nav", "div"], [*MENU_NAMES, *POST_NAV_NAMES, *POST_NAV_NAMES], inner, bare=0.4)
+
+    def article_header(self):
+        inner = self.r.choice([f"<p>{self.words(1, 5)}</p>", self.link(), f"{self.words(1, 3)} {self.link()}"])
+        return self.part(["header", "div"], HEADER_NAMES, inner)
+
+    def article_footer(self):
+        """Where an article was filed, and what may follow it."""
+        text = self.r.choice([f"{self.r.choice(FILED_TEXTS)} {self.link()}", f"{self.r.choice(FILED_TEXTS)}: {self.link()}, {self.link()}", f"{self.r.choice(FILED_TEXTS)} {self.words(1, 4)}", self.link(), self.last_words()])
+        return self.part(["footer", "footer", "div"], [*FOOTER_NAMES, *POST_FOOTER_NAMES, *POST_FOOTER_NAMES], self.r.choice([text, f"<p>{text}</p>", f"<ul><li>{text}</li></ul>"]), bare=0.4)
+
+    def buttons(self):
+        one = lambda: f"<button{self.r.choice(['', ' type=button', ' class=share'])}>{self.short()}</button>"
+        inner = "".join(one() for _ in range(self.r.randint(1, 3)))
+        return self.r.choice([inner, inner, f"<div>{inner}</div>", f"<p>{inner}</p>"]), 0
+
+    def last_words(self) -> str:
+        """What stands below a page, in words or with its sign."""
+        owner = self.r.choice([self.words(1, 4), f"{self.words(1, 3)} {self.link()}"])
+        year = self.r.choice([f"{self.r.randint(1996, 2026)} ", ""])
+        rights = self.r.choice(["", f" {RIGHTS}.", f" {RIGHTS}", f". {RIGHTS}."])
+        return self.r.choice([f"&copy; {year}{owner}{rights}", f"Copyright {year}{owner}{rights}", f"Copyright &copy; {year}{owner}{rights}", f"{year}{owner}. {RIGHTS}."])
+
     def header(self):
         inner = self.r.choice([f"<h1>{self.words(1, 4)}</h1>", f"<p>{self.words(2, 9)}</p>", self.link(), f"<div>{self.words(1, 4)}</div><p>{self.sentences(1)}</p>"])
         return self.part(["header", "div"], HEADER_NAMES, inner, bare=0.5)
 
     def footer(self):
-        text = self.r.choice([f"&copy; {self.words(1, 3)} &middot; {self.sentences(self.r.randint(1, 3))}", f"&copy; 2024 {self.words(2, 5)}", self.sentences(2), f"{self.link()} {self.link()}"])
+        text = self.r.choice([f"&copy; {self.words(1, 3)} &middot; {self.sentences(self.r.randint(1, 3))}", self.last_words(), self.sentences(2), f"{self.link()} {self.link()}"])
         return self.part(["footer", "footer", "div"], FOOTER_NAMES, self.r.choice([text, f"<p>{text}</p>"]), bare=0.6)
 
     def side(self):
@@ -104,10 +143,19 @@ class PageMaker:
         if not body:
             body = [(self.paragraph(), 1)]
         for _ in range(self.r.choice([0, 0, 0, 1, 2])):
-            body.insert(self.r.randint(1, len(body)), self.r.choice([self.advert, self.notice, self.form, self.side, self.comments])())
+            body.insert(self.r.randint(1, len(body)), self.r.choice([self.advert, self.notice, self.form, self.side, self.comments, self.buttons])())
+        for made, chance in ((self.article_nav, 0.12), (self.article_footer, 0.15), (self.buttons, 0.08), (self.unlinked_menu, 0.03)):
+            if self.r.random() < chance:
+                body.append(made())
+        if self.r.random() < 0.08:
+            body.insert(0, self.r.choice([self.article_nav, self.article_header])())
         begin, end = self.r.choice([("<article>", "</article>")] * 4 + [("<main>", "</main>"), ("<main><article>", "</article></main>"), ("", "")] + [(self.named(t, ARTICLE_NAMES), f"</{t}>") for t in ("div", "div", "div", "section", "article")])
-        if self.r.random() < 0.2:
-            begin, end = self.named("div", ARTICLE_NAMES) + begin, end + "</div>"
+        if self.r.random() < 0.25:
+            # an outer part that holds more than the article, at times in a part of its own
+            beside = [self.r.choice([self.article_nav, self.article_nav, self.side, self.menu, self.article_footer, self.comments])()] if self.r.random() < 0.5 else []
+            outer = [self.named(self.r.choice(["div", "div", "main", "section"]), ARTICLE_NAMES) for _ in range(self.r.choice([1, 1, 2]))]
+            close = "".join(f"</{x[1:].split()[0]}>" for x in reversed(outer))
+            return [("".join(outer) + begin, -1), *body, (end, -1), *beside, (close, -1)]
         return [(begin, -1), *body, (end, -1)]
 
     def sectioned(self) -> list[tuple[str, int]]:
@@ -131,8 +179,10 @@ class PageMaker:
         wrap = lambda x, label: (self.r.choice(["<div>{}</div>", "<div><p>{}</p></div>", "<p>{}</p>", "<div><div>{}</div></div>"]).format(x), label)
         before = [wrap(self.row_of_links(), 0) for _ in range(self.r.choice([0, 1, 1, 2]))]
         after = [wrap(self.row_of_links(), 0) for _ in range(self.r.choice([0, 0, 1, 2]))]
-        if self.r.random() < 0.5:
-            after.append(wrap(self.r.choice([f"&copy; 2024 {self.words(1, 4)}", f"&copy; {self.words(1, 3)} {self.link()}"]), 0))
+        if self.r.random() < 0.25:
+            before.append(self.unlinked_menu())
+        if self.r.random() < 0.6:
+            after.append(wrap(self.last_words(), 0))
         depth = self.r.choice([0, 1, 1, 2])
         return [*before, ("<div>" * depth, -1), *self.prose(), ("</div>" * depth, -1), *after]
 
@@ -146,14 +196,14 @@ class PageMaker:
         first = self.r.random() < 0.7
         rows += [("<tr>", -1), *([links] if side and first else []), ("<td>", -1), *self.prose(), ("</td>", -1), *([links] if side and not first else []), ("</tr>", -1)]
         if self.r.random() < 0.5:
-            rows += [("<tr>", -1), (f"<td colspan=2>&copy; {self.words(1, 4)}</td>", 0), ("</tr>", -1)]
+            rows += [("<tr>", -1), (f"<td colspan=2>{self.last_words()}</td>", 0), ("</tr>", -1)]
         return [*rows, ("</table>", -1)]
 
     def page(self) -> list[tuple[str, int]]:
         return self.r.choices([self.sectioned, self.plain, self.tabled], [6, 1, 1])[0]()
 
 
-def labelled_pages(n: int = 1000, seed: int = 5) -> list[tuple[str, list[int]]]:
+def labelled_pages(n: int = 1600, seed: int = 5) -> list[tuple[str, list[int]]]:
     """(html, label of each leaf block) of ``n`` pages."""
     from .html_blocks import leaf_blocks
 

@@ -16,16 +16,22 @@ Other input columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from functools import partial
+import re
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .html_blocks import Block, leaf_blocks
+from .shared import quoted
 
-
+# How a line of rights, of an article's filing, or of a menu begins or reads.
+_RIGHTS = re.compile(r"©|\bcopyright\b|\ball rights reserved\b", re.IGNORECASE)
+_FILED = re.compile(r"(?:tagged|tags|filed under|posted in|categor(?:y|ies)|topics|labels|share this|permalink)\b", re.IGNORECASE)
+_SHORT = frozenset("home|about|about us|contact|contact us|next|prev|previous|read more|more|log in|login|sign up|sign in|share|menu|privacy|terms|search|subscribe|reply|archive|news|blog|help|faq".split("|"))
 _NAMED_SECTIONS = frozenset("article aside footer form header main nav section".split())
 
 
@@ -33,6 +39,7 @@ def features(block: Block) -> list[str]:
     text, n = block.text, block.text.count(" ") + 1
     last = text[-1]
     link = 3 * block.linked // max(1, len(text)) if block.linked else -1
+    rights, filed, short = bool(_RIGHTS.search(text)), bool(_FILED.match(text)), text.lower().rstrip(":") in _SHORT
     bare = not block.names and not _NAMED_SECTIONS.intersection(block.tags)
     return [
         "all",
@@ -41,9 +48,12 @@ def features(block: Block) -> list[str]:
         f"link:{link}",
         f"end:{'stop' if last in '.!?' else 'other'}",
         f"sections:{'/'.join(block.sections)}",
-        *(["copyright"] if "©" in text else []),
+        *([f"rights:{min(4, n.bit_length())}"] if rights else []),
+        *([f"filed:{min(4, n.bit_length())}:{link}"] if filed else []),
+        *([f"short:{block.tag}", "short"] if short else []),
+        *(["button"] if block.tag == "button" else []),
         # where neither names nor sections tell anything, the text alone must
-        *([f"bare:{link}:{min(4, n.bit_length())}", f"bare:{block.tag}", f"bare:{'©' in text}"] if bare else []),
+        *([f"bare:{link}:{min(4, n.bit_length())}", f"bare:{block.tag}", f"bare:{rights}", f"bare:{short}"] if bare else []),
         *(f"in:{x}" for x in block.tags),
         *(f"name:{x}" for x in block.names),
         *(f"outer:{x}" for x in block.outer),
@@ -95,44 +105,57 @@ class BlockField:
         return labels[::-1]
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
+@lru_cache(maxsize=4)
+def fitted_field(pages: int = 1600, seed: int = 5) -> BlockField:
+    """The field fitted on pages made for it; fitted once in a session."""
+    from .html_pages import labelled_pages
+
+    return train_field(labelled_pages(pages, seed))
+
+
+def _step(scores: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """log sum over a of exp(scores[:, a] + pairs[a, b]) for each b."""
+    return np.logaddexp(scores[:, :1] + pairs[0], scores[:, 1:] + pairs[1])
 
 
-def train_field(pages: list[tuple[str, list[int]]], epochs: int = 50, rate: float = 0.2, decay: float = 5e-4, min_pages: int = 3) -> BlockField:
+def train_field(pages: list[tuple[str, list[int]]], epochs: int = 120, rate: float = 0.1, decay: float = 5e-4, min_pages: int = 3) -> BlockField:
     """Fit a field on (html, labels of its leaf blocks)."""
     data = [([features(b) for b in leaf_blocks(html)], labels) for html, labels in pages]
-    data = [(x, y) for x, y in data if x]
+    # longest first, so that the pages that still have a block at a step are the first ones
+    data = sorted(((x, y) for x, y in data if x), key=lambda p: -len(p[0]))
     seen: dict[str, int] = {}
     for x, _ in data:
         for f in {f for b in x for f in b}:
             seen[f] = seen.get(f, 0) + 1
     field = BlockField({f: k for k, f in enumerate(sorted(f for f, n in seen.items() if n >= min_pages))})
-    n, steps = len(data), max(len(x) for x, _ in data)
+    n, steps = len(data), len(data[0][0])
     page, step, feature = (np.asarray(z) for z in zip(*((i, t, field.names[f]) for i, (x, _) in enumerate(data) for t, b in enumerate(x) for f in b if f in field.names), strict=True))
-    mask, gold = np.zeros((n, steps), bool), np.zeros((n, steps), int)
+    lengths = np.asarray([len(x) for x, _ in data])
+    there = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(steps)]  # pages with more than t blocks
+    mask, gold = np.arange(steps) < lengths[:, None], np.zeros((n, steps), int)
     for i, (_, y) in enumerate(data):
-        mask[i, : len(y)], gold[i, : len(y)] = True, y
+        gold[i, : len(y)] = y
     total = mask.sum()
     slot = page * steps + step
     moments = [np.zeros_like(field.weights), np.zeros_like(field.weights), np.zeros_like(field.pairs), np.zeros_like(field.pairs)]
     one_hot = np.eye(2)[gold] * mask[..., None]
     gold_pairs = np.einsum("nta,ntb->ab", one_hot[:, :-1], one_hot[:, 1:])
+    last = (np.arange(n), lengths - 1)
     for epoch in range(1, epochs + 1):
         e = np.stack([np.bincount(slot, field.weights[feature, c], n * steps).reshape(n, steps) for c in (0, 1)], -1)
-        forward, backward = np.zeros_like(e), np.zeros_like(e)
-        forward[:, 0] = e[:, 0]
+        forward, backward = e.copy(), np.zeros_like(e)
         for t in range(1, steps):
-            new = _log_sum(forward[:, t - 1, :, None] + field.pairs, 1) + e[:, t]
-            forward[:, t] = np.where(mask[:, t, None], new, forward[:, t - 1])
-        norm = _log_sum(forward[:, -1], 1)
+            k = there[t]
+            forward[:k, t] += _step(forward[:k, t - 1], field.pairs)
+        norm = np.logaddexp(*forward[last].T)
         for t in range(steps - 2, -1, -1):
-            new = _log_sum(field.pairs + (e[:, t + 1] + backward[:, t + 1])[:, None, :], 2)
-            backward[:, t] = np.where(mask[:, t + 1, None], new, 0.0)
+            k = there[t + 1]
+            backward[:k, t] = _step(e[:k, t + 1] + backward[:k, t + 1], field.pairs.T)
         chance = np.exp(forward + backward - norm[:, None, None]) * mask[..., None]
-        both = forward[:, :-1, :, None] + field.pairs + (e + backward)[:, 1:, None, :] - norm[:, None, None, None]
-        both = np.exp(np.where(mask[:, 1:, None, None], both, -np.inf)).sum((0, 1))
+        onward, both = e + backward, np.zeros((2, 2))
+        for t in range(steps - 1):
+            k = there[t + 1]
+            both += np.exp(forward[:k, t, :, None] + field.pairs + onward[:k, t + 1, None, :] - norm[:k, None, None]).sum(axis=0)
         gap = (chance - one_hot).reshape(-1, 2) / total
         g = np.stack([np.bincount(feature, gap[slot, c], len(field.names)) for c in (0, 1)], -1) + decay * field.weights / 10
         gp = (both - gold_pairs) / total
@@ -162,6 +185,8 @@ def _extract(batches, broadcast, names: list[str]):
 
 def extract_main_text(pages: DataFrame, field: BlockField, keep: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:
     """The columns ``keep`` and ``text`` of every page."""
-    schema = ", ".join([*(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep), "text string"])
+    schema = StructType([*(StructField(c, pages.schema[c].dataType) for c in keep), StructField("text", StringType())])
     work = partial(_extract, broadcast=pages.sparkSession.sparkContext.broadcast(field), names=[*keep, "text"])
-    return pages.select(*(F.col(c) for c in keep), F.col(html_col)).mapInArrow(work, schema)
+    # plain names for the batches, as a name with a dot could not be passed on
+    plain = (F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate([*keep, html_col]))
+    return pages.select(*plain).mapInArrow(work, schema)

@@ -9,8 +9,7 @@ from . import oracles, warc
 from .centroids import cluster_vectors
 from .chat import VIEWS_SQL, perspective_views
 from .decontamination import contamination, hit_words
-from .html_pages import labelled_pages
-from .html_text import extract_main_text, train_field
+from .html_text import extract_main_text, fitted_field
 from .line_rules import quality_rules
 from .near_dup import near_duplicates
 from .neighbours import nearest_neighbours
@@ -64,7 +63,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = extract_main_text(_table(spark, sf_dir, "pages"), train_field(labelled_pages()))
+    texts = extract_main_text(_table(spark, sf_dir, "pages"), fitted_field())
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -11,13 +11,13 @@ import pytest
 from lodestack.llm import chat, warc
 from lodestack.llm.html_blocks import leaf_blocks
 from lodestack.llm.html_pages import labelled_pages
-from lodestack.llm.html_text import extract_main_text, main_text, train_field
+from lodestack.llm.html_text import extract_main_text, fitted_field, main_text
 from lodestack.llm.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
 def field():
-    return train_field(labelled_pages())
+    return fitted_field()
 
 
 def test_chat_views_equal_sql(spark, sf):
@@ -71,7 +71,7 @@ def test_field_on_pages_not_seen(field):
         got = field.decode(leaf_blocks(html))
         right += sum(a == b for a, b in zip(got, labels, strict=True))
         total += len(labels)
-    assert right >= 0.97 * total
+    assert right >= 0.985 * total
 
 
 def test_main_text_of_a_page(field):
@@ -81,6 +81,36 @@ def test_main_text_of_a_page(field):
     assert main_text(html, field) == "A & B\nFirst paragraph, with bold text.\nSecond é one goes on."
 
 
+_TEXTS = "<p>Kara bo lune teri vok sam. Hena duro mik pala sevi norum.</p><p>Another paragraph of some words follows here, with a stop at its end.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div id='content'><main id='main'><article class='post'>{}</article><nav class='post-navigation'><a href=x>Prev</a></nav></main></div>",
+        "<main><article class='post'>{}<footer class='entry-footer'>Tagged: <a href=x>x</a></footer></article></main>",
+        "<article class='post'>{}<button>Share</button></article>",
+        "<div>{}</div><div>Copyright 2020 My Site. All rights reserved.</div>",
+        "<div>{}</div><div><p>2021 My Site Ltd. All Rights Reserved.</p></div>",
+        "<ul><li>Home</li><li>About</li></ul>{}",
+        "<ul><li>Home</li><li>About</li><li>Contact</li></ul><div>{}</div>",
+    ],
+)
+def test_parts_within_and_beside_an_article_stay_out(field, page):
+    assert main_text(page.format(_TEXTS), field) == _TEXTS[3:-4].replace("</p><p>", "\n")
+
+
+def test_a_list_of_an_article_is_no_menu(field):
+    page = f"<article><h1>A title</h1>{_TEXTS}<ul><li>Kara bo lune</li><li>Hena duro mik teri</li></ul><p>Last words of this.</p></article>"
+    assert main_text(page, field).endswith("\nKara bo lune\nHena duro mik teri\nLast words of this.")
+
+
+def test_columns_kept_may_have_dots(spark, field):
+    df = spark.createDataFrame([(1, "<article><p>Some words of a text here.")], "k long, html string").withColumnRenamed("k", "a.b")
+    row = extract_main_text(df, field, keep=("a.b",)).first()
+    assert (row[0], row["text"]) == (1, "Some words of a text here.")
+
+
 def test_viterbi_is_the_best_sequence(field):
     import itertools
 
