@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 #: What a piece that is kept takes besides its characters and ids: its string, its place in the table.
 PIECE_BYTES = 180
+#: What the pieces of a worker without a task may take.
+IDLE_BYTES = 80 << 20
 _WORKER: dict[tuple, PieceEncoder] = {}
 
 
@@ -106,8 +108,9 @@ class PieceEncoder:
         return _WORKER[path]
 
     def release(self) -> None:
-        """At a task's end: an idle worker keeps the library, but no pieces."""
-        self._clear()
+        """At a task's end: an idle worker keeps the library, and pieces for its next task unless they are many."""
+        if self.held > IDLE_BYTES:
+            self._clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
 

@@ -23,7 +23,6 @@ memory are one batch of rows and one block. Other input columns are ignored, wha
 
 from __future__ import annotations
 
-from collections import deque
 from functools import partial
 
 import numpy as np
@@ -53,28 +52,36 @@ def choose_cuts(ends: np.ndarray, penalties: np.ndarray, window: int, window_cos
     at, source = np.concatenate([x for x, _ in hops]), np.concatenate([y for _, y in hops])
     order = np.argsort(at, kind="stable")
     hop_at, hop_from = [*at[order].tolist(), n], source[order].tolist()
-    s, pen = S.tolist(), [0, *penalties.tolist()]
-    cost, back = [0] * n, [0] * n
-    queue: deque[int] = deque([0])
-    key = [0] * n
-    hop = 0
+    s, fixed = S.tolist(), [0, *(penalties + window_cost).tolist()]
+    cost, back, key = [0] * n, [0] * n, [0] * n
+    # the queue as a list, of which ``head`` tells what has left the window
+    queue, head, end = [0], 0, 0
+    hop, next_hop = 0, hop_at[0]
     for i in range(1, n):
         here = s[i]
         low = here - window
-        while s[queue[0]] < low:
-            queue.popleft()
-        j = queue[0]
-        best = key[j] + window - here
-        while hop_at[hop] == i:
+        while s[queue[head]] < low:
+            head += 1
+        j = queue[head]
+        best = key[j] - low
+        while next_hop == i:
             k = hop_from[hop]
             hop += 1
+            next_hop = hop_at[hop]
             if cost[k] < best:
                 best, j = cost[k], k
-        cost[i], back[i] = (c := best + pen[i] + window_cost), j
-        key[i] = g = c + here
-        while queue and key[queue[-1]] >= g:
-            queue.pop()
+        cost[i] = c = best + fixed[i]
+        back[i] = j
+        key[i] = c = c + here
+        while end >= head and key[queue[end]] >= c:
+            del queue[end]
+            end -= 1
         queue.append(i)
+        end += 1
+        if head > 4096:
+            del queue[:head]
+            end -= head
+            head = 0
     cuts, i = [], n - 1
     while i:
         cuts.append(i - 1)
@@ -165,7 +172,7 @@ def _pack_rows(batches, tokenizer_path: str, end_id: int, window: int, block: in
 
     for batch in batches:
         names = batch.column(0).to_pylist()
-        for at, texts in text_slices(batch.column(1), 2 << 20):
+        for at, texts in text_slices(batch.column(1), 4 << 20):
             flat, ends = encoder.encode_slice(texts)
             for k, part in enumerate(np.split(flat, ends[:-1])):
                 waiting.add(names[at + k], np.append(part, end_id).astype(np.int32), len(part) + 1, 0)
