@@ -1,15 +1,16 @@
 """Token counts by a two-tier table of piece lengths, without a shuffle of pieces.
 
-First pass: every task counts the pieces of all its texts in a bounded summary (the lighter
-half goes when it is full), and one row of at most ``per_task`` pieces leaves it. Summaries are
-merged ``FAN_IN`` at a time, in as many rounds as it takes, into one table of at most
-``table_size`` pieces with their token counts, which is broadcast: its size, and what any task
-holds, depends on these parameters alone, however many tasks there are. Second pass: each task
-looks up the distinct pieces of its texts in that table; those that miss it go to the worker's
-own cache, and from there to the tokenizer library. Counts are exact whatever the table holds.
+*Frequent pieces.* The table is fitted on a bounded sample: the whole texts of about ``SAMPLE_ROWS`` rows, drawn
+at random. ``SAMPLE_TASKS`` tasks count their pieces, each in a summary of at most ``per_task`` of them, and the driver
+adds these up. The ``table_size`` most frequent pieces are broadcast with their token counts. Neither the sample,
+nor what the driver receives, nor the table grows with the corpus.
+
+*Counts.* One pass over all texts, whole: a task looks up the distinct pieces of its texts in the
+table; those that miss it go to the worker's own cache, and from there to the tokenizer
+library. Counts are exact whatever the table holds, and no piece leaves its task.
 
 Defined results: a null text counts as empty, with no tokens. Rows may repeat and ids may be
-null and of any type; every row gives one row. A summary of an empty table is empty, and every
+null and of any type; every row gives one row. The sample of an empty table is empty, and every
 piece misses. Texts of any length are counted whole, about four MB of texts at a time. Other
 input columns are ignored, whatever their names.
 """
@@ -20,7 +21,6 @@ from collections import Counter
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -28,49 +28,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .bpe import PieceEncoder, Pieces, load_tokenizer, text_slices
-from .shared import materialize, quoted
+from .shared import quoted
 
-#: How many summaries meet in one task.
-FAN_IN = 64
+#: Rows that the frequent pieces are taken from, and tasks that count them.
+SAMPLE_ROWS, SAMPLE_TASKS = 4_096, 32
 
 
 def _summaries(batches, path: str, size: int):
-    from pyspark import TaskContext
-
     encoder, seen = PieceEncoder.of_worker(path), Counter()
     for batch in batches:
         for _, texts in text_slices(batch.column(0)):
             p = Pieces(texts, encoder.specials)
             seen.update(dict(zip(p.distinct, np.bincount(p.codes, minlength=len(p.distinct)).tolist(), strict=True)))
-            if len(seen) > 16 * size:
-                seen = Counter(dict(seen.most_common(8 * size)))
     top = seen.most_common(size)
-    yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "pieces": [[x for x, _ in top]], "counts": [[n for _, n in top]]})
-
-
-def _merged(frame: pd.DataFrame, size: int) -> pd.DataFrame:
-    seen = Counter()
-    for pieces, counts in zip(frame["pieces"], frame["counts"], strict=True):
-        for x, n in zip(pieces, counts, strict=True):
-            seen[x] += int(n)
-    top = seen.most_common(size)
-    return pd.DataFrame({"part": [int(frame["part"].iloc[0]) // FAN_IN], "pieces": [[x for x, _ in top]], "counts": [[n for _, n in top]]})
-
-
-def frequent_pieces(docs: DataFrame, tokenizer_path: str, table_size: int = 16_384, per_task: int = 4_096, text_col: str = "text") -> dict[str, int]:
-    """The token count of each of at most ``table_size`` frequent pieces."""
-    parts = docs.select(F.col(quoted(text_col))).mapInArrow(partial(_summaries, path=tokenizer_path, size=per_task), "part long, pieces array<string>, counts array<long>")
+    yield pa.RecordBatch.from_pydict({"pieces": [[x for x, _ in top]], "counts": [[n for _, n in top]]})
 
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        return _merged(frame, table_size)
 
-    parts = materialize(parts, "piece-summaries")
-    last = parts.agg(F.max("part")).first()[0] or 0
-    while last:
-        last //= FAN_IN
-        parts = materialize(parts.groupBy(F.floor(F.col("part") / FAN_IN)).applyInPandas(merge, "part long, pieces array<string>, counts array<long>"), "piece-summaries")
+def frequent_pieces(docs: DataFrame, tokenizer_path: str, table_size: int = 16_384, per_task: int = 8_192, text_col: str = "text") -> dict[str, int]:
+    """The token count of each of at most ``table_size`` pieces that are frequent in a bounded sample of ``docs``."""
+    texts = docs.select(F.col(quoted(text_col)))
+    share = SAMPLE_ROWS / max(1, texts.count())
+    drawn = texts if share >= 1 else texts.sample(fraction=share, seed=7)
+    summaries = drawn.repartition(SAMPLE_TASKS).mapInArrow(partial(_summaries, path=tokenizer_path, size=per_task), "pieces array<string>, counts array<long>")
     total = Counter()
-    for row in parts.toLocalIterator():
+    for row in summaries.collect():  # SAMPLE_TASKS rows
         for x, n in zip(row["pieces"], row["counts"], strict=True):
             total[x] += n
     encoder = PieceEncoder(tokenizer_path)
