@@ -138,7 +138,7 @@ def _fit(model: FactorizationMachine, rows: list[tuple[int, np.ndarray]], factor
 
 
 def train_toxicity(
-    docs: DataFrame, labels: DataFrame, bits: int = 18, max_terms: int = 4096, pair_terms: int = 512, max_rows: int = 20_000, factors: int = 4, epochs: int = 8, seed: int = 7,
+    docs: DataFrame, labels: DataFrame, bits: int = 18, max_terms: int = 4096, pair_terms: int = 1024, max_rows: int = 20_000, factors: int = 4, epochs: int = 8, seed: int = 7,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> FactorizationMachine:
     """Fit a machine on at most ``max_rows`` labelled documents."""
@@ -149,7 +149,8 @@ def train_toxicity(
     first = there.orderBy(F.xxhash64("i"), "i").limit(max_rows).toArrow()
     first = first.filter(pc.less_equal(pc.cumulative_sum(first["n"]), max_rows))
     chosen = docs.sparkSession.createDataFrame(first, there.schema)
-    rows = texts.join(F.broadcast(chosen), "i").select("t", "y")
+    # at most ``max_rows`` texts, read from all documents once
+    rows = materialize(texts.join(F.broadcast(chosen), "i").select("t", "y"), "toxicity-rows")
     counts = rows.mapInArrow(partial(_count_terms, bits=bits), "bucket long, seen long, toxic long").groupBy("bucket").agg(F.sum("seen").alias("n"), F.sum("toxic").alias("k"))
     total = pc.sum(first["n"]).as_py() or 0
     positive = pc.sum(first.filter(pc.equal(first["y"], 1))["n"]).as_py() or 0
@@ -239,4 +240,4 @@ def drop_toxic(docs: DataFrame, model: FactorizationMachine, threshold: float =
 
 def held_out(id_col: str = "doc_id"):
     """Whether a row's label is kept from training: crc32 of the id as text is divisible by 5."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(F.col(quoted(id_col)).cast("string").cast("binary")) % 5 == 0, F.lit(False))
