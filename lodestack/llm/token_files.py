@@ -155,14 +155,15 @@ def _write_shards(batches, folder: str, tokenizer_path: str, end_id: int, width:
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write all documents in ascending id order below ``folder``; returns the manifest, one row per shard.
 
-    The one shuffle moves texts by range of id. ``folder`` must be one that all executors share.
+    The one shuffle moves texts by range of id, and of the text's hash where ids are equal. ``folder`` must be one that all executors share.
     """
     from .bpe import load_tokenizer
 
     width = 2 if max(load_tokenizer(tokenizer_path).get_vocab_size() - 1, end_id) < 1 << 16 else 4
     integral_id(docs, id_col, "token files")
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("i"), F.col(quoted(text_col)).alias("t"))
-    rows = rows.repartitionByRange(F.col("i").asc_nulls_first()).sortWithinPartitions(F.col("i").asc_nulls_first(), "t")
+    # rows without id, or of one id, are dealt by their text's hash
+    rows = rows.withColumn("h", F.xxhash64("t")).repartitionByRange(F.col("i").asc_nulls_first(), "h").sortWithinPartitions(F.col("i").asc_nulls_first(), "h", "t").select("i", "t")
     work = partial(_write_shards, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id, width=width)
     return materialize(rows.mapInArrow(work, _MANIFEST), "token-manifest")
 

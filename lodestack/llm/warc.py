@@ -30,6 +30,7 @@ import json
 import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
 from functools import partial
@@ -146,10 +147,7 @@ def read_run(path: str, low: str | None = None, high: str | None = None, block:
     """The run's lines from ``low`` on, below ``high``; only the blocks that may have them are read."""
     store, name = open_store(path)
     with store.open_input_file(name) as source:
-        size = source.size()
-        end, tail = struct.unpack("<QQ", source.read_at(16, size - 16))
-        table = json.loads(source.read_at(tail, end))
-        at = max([0, *(offset for line, offset in table if low is not None and line < low)])
+        at, end = _place(source, low)
         rest = b""
         while at < end or rest:
             data = rest + source.read_at(min(block, end - at), at)
@@ -164,6 +162,16 @@ def read_run(path: str, low: str | None = None, high: str | None = None, block:
                     yield line
 
 
+def _place(source, low: str | None) -> tuple[int, int]:
+    """Where reading of a run begins for lines from ``low`` on, and where its lines end. The sparse table goes when this returns: a merge has many runs open."""
+    end, tail = struct.unpack("<QQ", source.read_at(16, source.size() - 16))
+    if low is None:
+        return 0, end
+    table = json.loads(source.read_at(tail, end))
+    k = bisect_left(table, low, key=lambda entry: entry[0])
+    return (table[k - 1][1] if k else 0), end
+
+
 def sparse_keys(path: str) -> list[str]:
     store, name = open_store(path)
     with store.open_input_file(name) as source:
