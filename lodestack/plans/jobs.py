@@ -103,7 +103,8 @@ def archive_tier(filing_type: Column, filing_id: Column) -> Column:
 
 def archive(state: State, objects: DataFrame, now: Column) -> None:
     """Record which filings have a stored object (filing_id, key, sha256) and resolve their fetch issues."""
-    found = objects.dropDuplicates(["filing_id"]).select("filing_id", F.col("key").alias("_k"), F.col("sha256").alias("_h"))
+    # the objects may come from the queue of filings, which is rewritten here
+    found = state.staged("archived", objects.dropDuplicates(["filing_id"]).select("filing_id", F.col("key").alias("_k"), F.col("sha256").alias("_h")))
     f = state.read("filings")
     rows = f.join(found, "filing_id", "left").withColumns({"raw_object_key": F.coalesce("_k", "raw_object_key"), "raw_sha256": F.coalesce("_h", "raw_sha256")})
     state.replace("filings", rows.select(*f.columns))
@@ -302,6 +303,7 @@ def link_trades(state: State, companies: DataFrame, overrides: DataFrame, now: C
 
 def follow_amendments(state: State) -> None:
     rows, filings = versions.link_amendments(state.read("filings"), state.read("transactions"))
+    filings = state.staged("superseded", filings)  # both results come from both tables
     state.replace("transactions", rows)
     state.replace("filings", filings)
 

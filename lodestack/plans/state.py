@@ -1,9 +1,9 @@
-"""The engine's own tables: Parquet folders that jobs append to or replace.
+"""The engine's own tables: partitioned Parquet folders that jobs append to or rewrite.
 
-A replaced table's versions lie side by side. A version counts once a row of the log names it,
-so readers see the old version or the new one, and a job that dies between leaves only files
-that nobody names. An append adds files to the current version; frames read before it keep the
-files they listed. One writer at a time is assumed.
+A job that changes rows rewrites the table's partitions by dynamic overwrite, which stages their files and puts
+them in place when the job commits; what it reads of the table itself it has read by then. Partitions that the rows do not have stay
+as they are, so jobs of the two chambers may rewrite their filings at the same time. An append adds files.
+Frames read before a rewrite are not to be used after it; steps that need rows twice stage them.
 """
 
 from __future__ import annotations
@@ -13,47 +13,42 @@ from pyspark.sql import functions as F
 
 from .schemas import TABLES, empty
 
-_LOG = "table string, version bigint, written_at timestamp"
+#: What a table is partitioned by; the others have one partition.
+PARTITIONS = {"filings": "chamber"}
 
 
 class State:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _log(self) -> DataFrame:
+    def read(self, table: str) -> DataFrame:
         try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.folder}/_log")
-        except Exception as error:
+            rows = self.spark.read.schema(f"{TABLES[table]}, part string").parquet(f"{self.folder}/{table}")
+        except Exception as error:  # the table has not been written yet
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], _LOG)
-
-    def version(self, table: str) -> int:
-        return self._log().filter(F.col("table") == table).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-
-    def read(self, table: str) -> DataFrame:
-        n = self.version(table)
-        return self.spark.read.schema(TABLES[table]).parquet(f"{self.folder}/{table}/version={n}") if n else empty(self.spark, table)
+            return empty(self.spark, table)
+        return rows.drop("part")
 
     def _shaped(self, table: str, rows: DataFrame) -> DataFrame:
-        """``rows`` with the table's columns; those that are missing are null."""
+        """``rows`` with the table's columns and its partition; columns that are missing are null."""
         wanted = empty(self.spark, table).schema
-        return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted))
+        shaped = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted))
+        return shaped.withColumn("part", F.col(PARTITIONS[table]) if table in PARTITIONS else F.lit("all"))
 
     def replace(self, table: str, rows: DataFrame) -> DataFrame:
-        """Write ``rows`` as the table's next version; returns it as read back."""
-        n = self.version(table) + 1
-        self._shaped(table, rows).write.mode("overwrite").parquet(f"{self.folder}/{table}/version={n}")
-        mark = self.spark.range(1).select(F.lit(table).alias("table"), F.lit(n).cast("long").alias("version"), F.current_timestamp().alias("written_at"))
-        mark.coalesce(1).write.mode("append").parquet(f"{self.folder}/_log")
+        """Put ``rows`` in the place of the table's; returns it as read back."""
+        shaped, path = self._shaped(table, rows), f"{self.folder}/{table}"
+        if shaped.isEmpty():  # no partition would be named, so nothing be overwritten
+            shaped.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.folder}/_staged/{table}-empty")
+            self.spark.read.schema(shaped.schema).parquet(f"{self.folder}/_staged/{table}-empty").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
+        else:
+            shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
         return self.read(table)
 
     def append(self, table: str, rows: DataFrame) -> DataFrame:
-        """Add ``rows`` to the files of the table's version, which stay as they are; returns the table as read back."""
-        n = self.version(table)
-        if not n:
-            return self.replace(table, rows)
-        self._shaped(table, rows).write.mode("append").parquet(f"{self.folder}/{table}/version={n}")
+        """Add ``rows`` to the table's files, which stay as they are; returns the table as read back."""
+        self._shaped(table, rows).write.mode("append").partitionBy("part").parquet(f"{self.folder}/{table}")
         return self.read(table)
 
     def staged(self, name: str, rows: DataFrame) -> DataFrame:
