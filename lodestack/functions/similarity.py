@@ -68,7 +68,3 @@ def person_decision(best: Column, second: Column) -> Column:
     """unmatched, ambiguous or fuzzy, from the two best scores."""
     close = (best < PERSON_SURE) & (best - F.coalesce(second, F.lit(0.0)) < PERSON_MARGIN)
     return F.when(best.isNull() | (best < PERSON_REVIEW), "unmatched").when(close, "ambiguous").otherwise("fuzzy")
-
-
-def security_decision(best: Column) -> Column:
-    return F.when(best.isNull() | (best < SECURITY_REVIEW), "unmatched").otherwise("fuzzy")

@@ -61,13 +61,20 @@ def clean_text(x: Column | str) -> Column:
     return dash_to_null(F.replace(x.cast("string"), F.lit("\x00"), F.lit("")))
 
 
-def before_option_details(x: Column | str) -> Column:
-    return bare(F.substring_index(x, "Option Type:", 1))
-
-
+# The marks and patterns of the sources' texts.
+_OPTION_MARK = "Option Type:"
 _TICKER_AND_TYPE = r"\(([A-Za-z0-9.\-/]{1,15})\)\s*\[([A-Za-z]{1,4})\]\s*$"
 _TYPE_ALONE = r"\[([A-Za-z]{1,4})\]\s*$"
 _TICKER_ALONE = r"\(([A-Za-z0-9.\-/]{1,15})\)\s*$"
+_TICKER_IN_NAME = r"\(([A-Z][A-Z.\-]{0,5})\)\s*$"
+_REPORT_ID = r"([0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12})"
+_OPTION_TEXT = r"(?is)(call|put)s?\s+options?.*?strike\s+price\s*\$([\d,]+(?:\.\d+)?).*?expires?\s*(\d{2}/\d{2}/\d{4})"
+_OPTION_LOOSE = r"(?i)\b(calls?|puts?)\b"
+_OPTION_CELL = r"(?i)Option Type:\s*(Call|Put)\s*Strike price:\s*\$([\d,.]+)\s*Expires:\s*(\d{4}-\d{2}-\d{2})"
+
+
+def before_option_details(x: Column | str) -> Column:
+    return bare(F.substring_index(x, _OPTION_MARK, 1))
 
 
 def _found(x, pattern: str, group: int = 1) -> Column:
@@ -85,21 +92,17 @@ def suffix_type(x: Column | str) -> Column:
 
 
 def ticker_in_name(x: Column | str) -> Column:
-    return _found(F.upper(x), r"\(([A-Z][A-Z.\-]{0,5})\)\s*$")
+    return _found(F.upper(x), _TICKER_IN_NAME)
 
 
 def report_uuid(link: Column | str) -> Column:
-    return _found(link, r"([0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12})")
-
-
-_OPTION_TEXT = r"(?is)(call|put)s?\s+options?.*?strike\s+price\s*\$([\d,]+(?:\.\d+)?).*?expires?\s*(\d{2}/\d{2}/\d{4})"
-_OPTION_CELL = r"(?i)Option Type:\s*(Call|Put)\s*Strike price:\s*\$([\d,.]+)\s*Expires:\s*(\d{4}-\d{2}-\d{2})"
+    return _found(link, _REPORT_ID)
 
 
 def option_details(x: Column | str) -> Column:
     """struct(option_type, strike, expiry) from a description; of an informal one only the type."""
     full = _found(x, _OPTION_TEXT)
-    loose = F.regexp_replace(F.lower(_found(x, r"(?i)\b(calls?|puts?)\b")), "s$", "")
+    loose = F.regexp_replace(F.lower(_found(x, _OPTION_LOOSE)), "s$", "")
     strike = F.replace(_found(x, _OPTION_TEXT, 2), F.lit(","), F.lit("")).cast("double")
     expiry = F.to_date(_found(x, _OPTION_TEXT, 3), "MM/dd/yyyy")
     return F.struct(F.coalesce(F.lower(full), loose).alias("option_type"), strike.alias("strike"), expiry.alias("expiry"))

@@ -48,6 +48,12 @@ def cap_and_remainder(rows: DataFrame, by: str, n: int, *order: Column | str) ->
     return ranked.filter(F.col("rank") <= n)
 
 
+# The titles of the daily report's lines, with the metrics that they show.
+REPORT_TITLE = "Daily data-quality report"
+SHARE_TITLES = (("Paper/scanned filings", "scanned_or_paper_filings", "classified_filings"), ("Ticker-linked", "ticker_linked", "total_transactions"), ("Late filings (>45d)", "late_filings", "late_filing_eligible"))
+COUNT_TITLES = (("Duplicate transaction groups", "duplicate_groups"), ("Broken amendment links", "broken_amendment_groups"), ("Implausible values", "implausible_values"), ("Open dq_issues", "open_dq_issues"))
+
+
 def quality_report(metrics: Row, chambers: list[Row]) -> str:
     """The daily report of one row of metrics and a row per chamber; lines with nothing to divide by are left out."""
     m = metrics.asDict()
@@ -55,15 +61,15 @@ def quality_report(metrics: Row, chambers: list[Row]) -> str:
     def share(a: str, b: str) -> str:
         return f"{m[a]}/{m[b]} ({m[a] / m[b]:.1%})"
 
-    lines = ["Daily data-quality report", "", f"Transactions: {m['total_transactions']}"]
+    lines = [REPORT_TITLE, "", f"Transactions: {m['total_transactions']}"]
     for c in chambers:
         done = c["parsed"] + c["failed"]
         rate = f"{c['parsed'] / done:.1%}" if done else "n/a"
         lines.append(f"  {c['chamber']}: parse success {rate} ({c['parsed']}/{done}, {c['pending']} pending)")
-    for title, a, b in (("Paper/scanned filings", "scanned_or_paper_filings", "classified_filings"), ("Ticker-linked", "ticker_linked", "total_transactions"), ("Late filings (>45d)", "late_filings", "late_filing_eligible")):
+    for title, a, b in SHARE_TITLES:
         if m[b]:
             lines.append(f"{title}: {share(a, b)}")
-    lines += ["", *(f"{title}: {m[k]}" for title, k in (("Duplicate transaction groups", "duplicate_groups"), ("Broken amendment links", "broken_amendment_groups"), ("Implausible values", "implausible_values"), ("Open dq_issues", "open_dq_issues")))]
+    lines += ["", *(f"{title}: {m[k]}" for title, k in COUNT_TITLES)]
     return "\n".join(lines)
 
 

@@ -52,10 +52,6 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[table])
 
 
-def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.schema(TABLES[table]).parquet(f"{folder}/{table}")
-
-
 def violations(tables: dict[str, DataFrame]) -> DataFrame | None:
     """(table, rule, n) of every broken rule among the given tables; None if there is no rule to check."""
     found: list[DataFrame] = []
