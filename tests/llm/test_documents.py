@@ -225,6 +225,30 @@ def test_line_rules_share_of_documents(spark):
     assert {k for k, x in got.items() if not x} == set(range(1000, 1016))
 
 
+def test_line_rules_deplete_with_their_own_limits(spark, tmp_path):
+    """The limits of the query (5 %, 10 documents) on a small and a large host, as its SQL has them: documents of mostly frequent lines are depleted."""
+    import duckdb
+
+    from lodestack.llm.oracles import QUALITY_RULES
+
+    own = lambda k, n: " ".join(f"o{k}_{i}" for i in range(n))
+    page = [f"line {j} " + " ".join(f"p{j}w{i}" for i in range(11)) for j in range(8)]
+    rows = [(k, f"{own(k, 70)}\n{page[k % 8]}", "small") for k in range(40)]
+    rows += [(100 + k, "\n".join(page) + "\n" + own(100 + k, 30), "small") for k in range(11)]  # eleven documents: above ten
+    rows += [(200 + k, "\n".join(x.replace("line", "row") for x in page) + "\n" + own(200 + k, 30), "small") for k in range(10)]  # ten: at the limit
+    rows += [(1000 + k, own(1000 + k, 60), "large") for k in range(400)]
+    rows += [(2000 + k, "\n".join(page) + "\n" + own(2000 + k, 30), "large") for k in range(20)]  # 20 of 440: below 5 %
+    rows += [(3000 + k, "\n".join(x.replace("line", "item") for x in page) + "\n" + own(3000 + k, 20), "large") for k in range(30)]  # above 5 %
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op9_quality_rules"](spark, str(tmp_path))
+    want = duckdb.sql(QUALITY_RULES.replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'"))
+    pick = [want.columns.index(c) for c in got.columns]
+    number = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+    assert sorted(number(r) for r in got.collect()) == sorted(number([r[i] for i in pick]) for r in want.fetchall())
+    assert {r.doc_id for r in got.collect() if not r.kept and not r.base_failed} == {*range(100, 111), *range(3000, 3030)}
+    assert not any(r.base_failed for r in got.collect())
+
+
 def test_line_rules_odd_rows(spark):
     docs = helpers.odd_documents(spark)
     rows = line_rules.quality_rules(docs).collect()
