@@ -106,8 +106,9 @@ def similar_companies(descriptions: DataFrame, companies: DataFrame, threshold:
         raise ValueError("below 90 texts may match without a common trigram")
     place = F.col("position").cast("long") if "position" in companies.columns else F.lit(0).cast("long")
     d = descriptions.select("description").distinct().withColumn("_d", sim.sorted_tokens(company_name("description"))).filter("_d <> ''")
+    named = F.upper("ticker") if "ticker" in companies.columns else F.lit(None).cast("string")
     # rows of equal names score alike: the first stands for them
-    c = companies.select(sim.sorted_tokens(company_name("title")).alias("_c"), F.struct(place.alias("position"), "cik", F.upper("ticker").alias("ticker")).alias("row")).filter("_c <> ''").groupBy("_c").agg(F.min("row").alias("row"))
+    c = companies.select(sim.sorted_tokens(company_name("title")).alias("_c"), F.struct(place.alias("position"), "cik", named.alias("ticker")).alias("row")).filter("_c <> ''").groupBy("_c").agg(F.min("row").alias("row"))
     right = c.select("_c", F.explode(trigrams(F.col("_c"))).alias("_g"))
     left = d.select("_d").distinct().select("_d", F.explode(trigrams(F.col("_d"))).alias("_g"))
     left = left.join(right.groupBy("_g").agg(F.count("*").alias("_n")), "_g", "left")
