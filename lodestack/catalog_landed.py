@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from .catalog import _landing, _lit_ts, _report_row, query, table
 from .functions import dates
-from .operators import admission, linking
-from .plans import partitions
+from .operators import admission, ingest, linking
+from .plans import jobs, partitions
+from .plans.state import State
 from .sources import landed, objects
 from .streaming import first_seen, keyed
 
@@ -314,3 +315,63 @@ def overlapping_terms(spark, d):
     t = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("start_date"), F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 400).cast("int")).alias("end_date"))
     return linking.overlapping_terms(t, t, "o_custkey").filter("o_orderkey < other_o_orderkey").select("o_orderkey", "other_o_orderkey")
 
+
+
+# ---------------------------------------------------------------- reports and backlogs
+
+
+@query("""
+WITH f AS (SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CAST(o_orderdate AS DATE) AS filed, o_orderkey % 3 AS k, o_orderkey % 5 = 0 AS scan, o_orderkey % 7 = 0 AS open FROM orders),
+t AS (SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS traded, CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_shipdate AS DATE) + 50 END AS told FROM lineitem),
+a AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_linenumber = 1) AS linked, count(*) FILTER (WHERE date_diff('day', traded, coalesce(told, filed)) > 45) AS late, count(*) FILTER (WHERE traded > DATE '2000-01-01') AS odd FROM t JOIN f ON t.filing_id = f.filing_id),
+g AS (SELECT count(*) AS twins FROM (SELECT 1 FROM t GROUP BY filing_id, traded, l_quantity HAVING count(*) > 1)),
+s AS (SELECT count(*) AS files, count(*) FILTER (WHERE k = 1) AS parsed, count(*) FILTER (WHERE k = 0) AS failed, count(*) FILTER (WHERE k = 2) AS pending, count(*) FILTER (WHERE scan) AS scans, count(*) FILTER (WHERE open) AS open FROM f)
+SELECT unnest(range(1, 13)) AS place, unnest(['Daily data-quality report', '', 'Transactions: ' || n, '  house: parse success ' || format('{:.1f}', 100.0 * parsed / (parsed + failed)) || '% (' || parsed || '/' || (parsed + failed) || ', ' || pending || ' pending)',
+ 'Paper/scanned filings: ' || scans || '/' || files || ' (' || format('{:.1f}', 100.0 * scans / files) || '%)', 'Ticker-linked: ' || linked || '/' || n || ' (' || format('{:.1f}', 100.0 * linked / n) || '%)', 'Late filings (>45d): ' || late || '/' || n || ' (' || format('{:.1f}', 100.0 * late / n) || '%)',
+ '', 'Duplicate transaction groups: ' || twins, 'Broken amendment links: 0', 'Implausible values: ' || odd, 'Open dq_issues: ' || open]) AS line FROM a, g, s
+""")
+def quality_report_text(spark, d):
+    """The daily report over stored trades, a row per line; trades without a notification date are late by their filing's day."""
+    state, o, line = State(spark, _landing(spark, "state")), table(spark, d, "orders"), table(spark, d, "lineitem")
+    key = F.col("o_orderkey")
+    state.append("filings", o.select(
+        key.cast("string").alias("filing_id"), F.lit("house").alias("chamber"), F.lit("A filer").alias("filer_name"), F.lit("P").alias("filing_type"), F.to_date("o_orderdate").alias("filed_date"), _lit_ts("2024-01-01 00:00:00").alias("first_seen_at"), F.lit(300).alias("first_seen_precision_s"),
+        F.when(key % 5 == 0, "scanned").otherwise("electronic").alias("format"), F.when(key % 3 == 0, "failed").when(key % 3 == 1, "parsed").otherwise("pending").alias("parse_status"), F.lit("official").alias("source"),
+    ))
+    traded = F.to_date("l_shipdate")
+    state.append("transactions", line.select(
+        F.monotonically_increasing_id().cast("string").alias("transaction_id"), F.col("l_orderkey").cast("string").alias("filing_id"), F.col("l_linenumber").alias("row_index"), F.lit("An asset").alias("asset_description_raw"), F.when(F.col("l_linenumber") == 1, "T").alias("ticker"), F.lit("purchase").alias("tx_type"),
+        traded.alias("tx_date"), F.when(F.col("l_linenumber") % 2 == 1, F.date_add(traded, 50)).alias("notification_date"), F.col("l_quantity").cast("double").alias("amount_min"), F.lit(True).alias("is_current"),
+    ))
+    state.append("dq_issues", o.filter(key % 7 == 0).select(key.cast("string").alias("filing_id"), key.cast("string").alias("issue_id"), F.lit("any").alias("issue_type"), _lit_ts("2024-01-01 00:00:00").alias("created_at")))
+    text = jobs.quality_report(state, F.lit("2000-01-01").cast("date"))
+    return spark.createDataFrame(list(enumerate(text.split("\n"), 1)), "place long, line string")
+
+
+@query("SELECT 'house:' || o_orderkey AS filing_id, CASE WHEN o_orderkey % 6 <> 0 THEN 'k/house:' || o_orderkey END AS raw_object_key, CASE WHEN o_orderkey % 6 = 0 THEN 'no answer' END AS details FROM orders")
+def backlog_drained(spark, d):
+    """The archive queue taken in quarters until only reports that cannot be fetched are left; each of these has one issue."""
+    state, o = State(spark, _landing(spark, "state")), table(spark, d, "orders")
+    state.append("filings", o.select(
+        F.concat(F.lit("house:"), F.col("o_orderkey").cast("string")).alias("filing_id"), F.lit("house").alias("chamber"), F.lit("A filer").alias("filer_name"), F.col("o_orderstatus").alias("filing_type"), _lit_ts("2024-01-01 00:00:00").alias("first_seen_at"), F.lit(300).alias("first_seen_precision_s"),
+        F.lit("unknown").alias("format"), F.lit("pending").alias("parse_status"), F.lit("official").alias("source"),
+    ))
+    batch = o.count() // 4 + 1
+    number = F.substring_index("filing_id", ":", -1).cast("long")
+
+    def step() -> None:
+        queue = jobs.pending_reports(state, batch)
+        fetched = queue.select("filing_id", F.concat(F.lit("k/"), "filing_id").alias("key"), F.lit(1).cast("long").alias("bytes"), F.sha2("filing_id", 256).alias("sha256"), F.when(number % 6 == 0, "no answer").alias("error"), number.alias("place"))
+        jobs.archive_batch(state, fetched, "raw", 1 << 40, _lit_ts("2024-02-01 00:00:00"))
+
+    ingest.drain(lambda: state.read("filings").filter("raw_object_key is null").count(), step)
+    return state.read("filings").select("filing_id", "raw_object_key").join(state.read("dq_issues").select("filing_id", "details"), "filing_id", "left")
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+def table_dumped(spark, d):
+    """A dated, compressed copy of a table as JSON lines, made twice and read back."""
+    rows, folder = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), _landing(spark, "dumps")
+    for _ in range(2):
+        path = objects.dump(rows, folder, "2024-02-01")
+    return spark.read.schema(rows.schema).json(path)
