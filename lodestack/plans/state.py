@@ -4,6 +4,10 @@ A job that changes rows rewrites the table's partitions by dynamic overwrite, wh
 them in place when the job commits; what it reads of the table itself it has read by then. Partitions that the rows do not have stay
 as they are, so jobs of the two chambers may rewrite their filings at the same time. An append adds files.
 Frames read before a rewrite are not to be used after it; steps that need rows twice stage them.
+
+Spark takes the size of a file for that of its rows and so broadcasts millions of ids that compress well, which the driver's memory
+cannot hold. Joins with tables that grow with the filings, and with staged rows, are therefore sort-merge joins by a hint;
+a broadcast hint on the other side, for rows that stay few, takes precedence.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from .schemas import TABLES, empty
 
 #: What a table is partitioned by; the others have one partition.
 PARTITIONS = {"filings": "chamber"}
+#: Tables that grow with the filings: no join may hold one of them whole.
+GROWING = {"filings", "transactions", "holdings", "dq_issues", "community_transactions", "transaction_provenance", "instruments", "ticker_map"}
 
 
 class State:
@@ -28,7 +34,7 @@ class State:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             return empty(self.spark, table)
-        return rows.drop("part")
+        return rows.drop("part").hint("merge") if table in GROWING else rows.drop("part")
 
     def _shaped(self, table: str, rows: DataFrame) -> DataFrame:
         """``rows`` with the table's columns and its partition; columns that are missing are null."""
@@ -55,4 +61,4 @@ class State:
         """``rows`` written once for the several steps of a job that read them; the next job's take their place."""
         path = f"{self.folder}/_staged/{name}"
         rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path).hint("merge")
