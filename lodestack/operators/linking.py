@@ -62,7 +62,7 @@ def link_people(filings: DataFrame, terms: DataFrame, people: DataFrame, overrid
     """
     named = filings.withColumn("_name", person_name("filer_name"))
     fixed = overrides.select("chamber", person_name("filer_name").alias("_name"), F.col("bioguide_id").alias("_fixed")).dropDuplicates(["chamber", "_name"])
-    named = named.join(fixed, ["chamber", "_name"], "left")
+    named = named.join(F.broadcast(fixed), ["chamber", "_name"], "left")  # kept by hand, so few
     # filings of a day and chamber have the same candidates, and many filings the same name: neither is joined per filing
     asked = named.filter(F.col("_fixed").isNull()).select("chamber", "_name", "as_of").distinct()
     candidates = active_terms(asked.select("chamber", "as_of").distinct(), terms.select("chamber", "bioguide_id", "start_date", "end_date"), "chamber", "as_of").select("chamber", "as_of", "bioguide_id").distinct()

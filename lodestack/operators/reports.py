@@ -41,9 +41,11 @@ def member_lists(members: DataFrame, groups: DataFrame, member: str, group: str,
     return members.join(groups, group).groupBy(member).agg(F.array_sort(F.collect_list(label)).alias("labels"))
 
 
-def cap_and_remainder(rows: DataFrame, by: str, n: int, *order: Column | str) -> DataFrame:
-    """The first ``n`` rows of each group, each with the number of rows left out of its group."""
+def cap_and_remainder(rows: DataFrame, by: str, n: int | None, *order: Column | str) -> DataFrame:
+    """The first ``n`` rows of each group, each with the number of rows left out of its group; all rows with None."""
     w = Window.partitionBy(by)
+    if n is None:
+        return rows.withColumns({"rank": F.row_number().over(w.orderBy(*order)), "remainder": F.lit(0).cast("long")})
     ranked = rows.withColumns({"rank": F.row_number().over(w.orderBy(*order)), "remainder": F.greatest(F.count("*").over(w) - n, F.lit(0))})
     return ranked.filter(F.col("rank") <= n)
 

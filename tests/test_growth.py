@@ -30,3 +30,19 @@ def test_staged_rows_are_not_broadcast(spark, tmp_path):
     pages = spark.range(50).select(F.col("id").cast("string").alias("filing_id"))
     for joined, n in ((pages.join(few, "filing_id", "left_semi"), 5), (pages.join(state.read("filings").select("filing_id").distinct(), "filing_id"), 50)):
         assert "BroadcastHashJoin" not in plan_of(joined) and joined.count() == n
+
+
+def test_live_messages_have_every_line_of_a_long_filing(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    folder = str(tmp_path / "tables")
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").filter("o_orderkey in (0, 2)").coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    line = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").orderBy("l_orderkey", "l_partkey").limit(20)
+    line.withColumn("l_orderkey", F.lit(2).cast("long")).withColumn("l_partkey", F.monotonically_increasing_id()).coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    rows = sorted(tuple(r) for r in entry.queries()["live_messages"](spark, folder).collect())
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
+    assert len(rows) == 20 and rows == sorted(con.execute(entry.oracle_sql()["live_messages"]).fetchall())
