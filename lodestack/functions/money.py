@@ -24,14 +24,16 @@ AMOUNT_BANDS = {
 
 def number(x: Column) -> Column:
     """The number after dollar signs and commas are dropped, null if there is none."""
-    digits = bare(F.regexp_replace(x, "[$,]", ""))
-    return F.when(digits.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), digits.try_cast("double"))
+    pattern = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+    # most texts have no other white space than blanks; only the rest is stripped by an expression
+    plain, digits = F.trim(F.translate(x, "$,", "")), bare(F.translate(x, "$,", ""))
+    return F.when(plain.rlike(pattern), plain.try_cast("double")).when(digits.rlike(pattern), digits.try_cast("double"))
 
 
 def amount_range(x: Column | str) -> Column:
     """struct(low, high): both bounds of "$a - $b", only the lower one of "Over $a", else nulls."""
-    text = bare(x)
-    over = F.lower(text).startswith("over")
+    text = F.col(x) if isinstance(x, str) else x
+    over = F.lower(text).rlike(r"(?U)^\s*over")
     after = F.when(F.contains(text, F.lit("$")), F.substring(text, F.instr(text, "$") + 1, F.length(text)))
     halves = F.split(text, "-", 2)
     low = F.when(over, number(after)).when(F.size(halves) == 2, number(halves[0]))

@@ -245,10 +245,14 @@ def transcribed_rows(rows: DataFrame) -> DataFrame:
 def report_rows(pages: DataFrame, key: str = "filing_id", html: str = "html") -> DataFrame:
     """Trades of HTML reports. Rows of fewer than nine cells are dropped, but count for row_index."""
     rows = table_cells(pages, key, html).filter(F.size("cells") >= 9)
-    c = [F.get("cells", F.lit(i)) for i in range(9)]
+    # cells have no white space at their ends; each is taken from the list once
+    rows = rows.select(key, "row_index", *(F.get("cells", F.lit(i)).alias(f"_{i}") for i in range(9)))
+    c = [F.col(f"_{i}") for i in range(9)]
     option, bounds = option_cell(c[4]), amount_range(c[7])
+    with_option = lambda x: F.when(F.contains(F.lower(c[4]), F.lit("option")), x)
+    known = lambda x: F.when((x != "") & (x != "--"), x)
     return rows.select(
-        key, "row_index", form_date(bare(c[1])).alias("tx_date"), code_name(F.lower(bare(c[2])), OWNER_NAMES).alias("owner"), dash_to_null(c[3]).alias("ticker"), before_option_details(c[4]).alias("asset_description_raw"),
-        dash_to_null(c[5]).alias("asset_type"), code_name(F.lower(bare(c[6])), TRADE_NAMES).alias("tx_type"), bounds["low"].alias("amount_min"), bounds["high"].alias("amount_max"),
-        option["option_type"].alias("option_type"), option["strike"].alias("strike"), option["expiry"].alias("expiry"), F.lit(None).cast("date").alias("notification_date"), unread_date(bare(c[1])).alias("unread_date"),
+        key, "row_index", form_date(c[1]).alias("tx_date"), code_name(F.lower(c[2]), OWNER_NAMES).alias("owner"), known(c[3]).alias("ticker"), before_option_details(c[4]).alias("asset_description_raw"),
+        known(c[5]).alias("asset_type"), code_name(F.lower(c[6]), TRADE_NAMES).alias("tx_type"), bounds["low"].alias("amount_min"), bounds["high"].alias("amount_max"),
+        with_option(option["option_type"]).alias("option_type"), with_option(option["strike"]).alias("strike"), with_option(option["expiry"]).alias("expiry"), F.lit(None).cast("date").alias("notification_date"), unread_date(c[1]).alias("unread_date"),
     )
