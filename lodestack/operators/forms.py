@@ -1,12 +1,14 @@
 """Trades and holdings from the positioned words of forms.
 
-A page is a set of words with their places. Words are put into lines by a fold over each page
-in reading order; everything after that is joins, windows and aggregates over lines, within
-one filing at a time.
+A page is a set of words with their places. Words are put into lines page by page, in Arrow batches inside
+tasks; everything after that is joins, windows and aggregates over lines, within one filing at a time.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,22 +25,54 @@ LABELS = {"f": "filing", "s": "subholding", "d": "description", "l": "location"}
 WORD_SCHEMA = "filing_id string, page int, text string, x0 double, top double"
 
 
+def pages_of(words: DataFrame) -> DataFrame:
+    """(filing_id, page, words): words as rows put together by page; one shuffle by filing serves all that follows."""
+    return words.repartition("filing_id").groupBy("filing_id", "page").agg(F.collect_list(F.struct("text", F.col("x0").cast("double").alias("x0"), F.col("top").cast("double").alias("top"))).alias("words"))
+
+
+def _line_numbers(page: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """The line of each word, in order of page and place: a word lower than the tolerance below the line's first begins the next one."""
+    new = np.r_[True, (page[1:] != page[:-1]) | (top[1:] != top[:-1])]
+    at, out, last, begin, line = np.flatnonzero(new), [], -1, 0.0, -1
+    for p, t in zip(page[at].tolist(), top[at].tolist()):
+        if p != last:
+            last, begin, line = p, -np.inf, -1
+        if t - begin > LINE_TOLERANCE:
+            begin, line = t, line + 1
+        out.append(line)
+    return np.repeat(out, np.diff(np.r_[at, len(page)]))
+
+
+def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The lines of a batch of pages (filing_id, page, words)."""
+    lists = batch.column(2)
+    page = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    number = lambda c: pc.fill_null(flat.field(c), -np.inf).to_numpy(zero_copy_only=False)
+    text, x0, top = flat.field("text"), number("x0"), np.nan_to_num(number("top"), nan=np.inf, neginf=-np.inf, posinf=np.inf)
+    order = np.lexsort((top, page))
+    line = np.empty(len(page), np.int32)
+    line[order] = _line_numbers(page[order], top[order]) if len(page) else 0
+    order = np.lexsort((x0, line, page))
+    same = lambda a: a[order][1:] == a[order][:-1]
+    if (same(x0) & same(line) & same(page)).any():
+        order = np.lexsort((pc.rank(text.cast(pa.binary()), "ascending", null_placement="at_start", tiebreaker="dense").to_numpy(), x0, line, page))
+    begins = np.flatnonzero(np.r_[len(page) > 0, ~(same(line) & same(page))][: len(page)])
+    words = pa.StructArray.from_arrays([flat.field("x0").take(pa.array(order)), text.take(pa.array(order))], ["x0", "text"])
+    ends = pa.array(np.r_[begins, len(page)].astype(np.int32))
+    at = pa.array(page[order][begins])
+    return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(line[order][begins], pa.int32()), pa.ListArray.from_arrays(ends, words)], ["filing_id", "page", "line", "words"])
+
+
 def lines_of(words: DataFrame) -> DataFrame:
     """(filing_id, page, line, words): lines are bands of words no lower than a tolerance below the band's first word.
 
-    A fold over the page keeps only the places where lines begin; a word's line is the last one that begins
-    at or above it. Words without a place are in line -1. One shuffle by filing serves all that follows.
+    Words come as rows, or as pages (filing_id, page, words) with an array of their words, which need no shuffle here. Words without a place are in line -1.
     """
-    pages = words.repartition("filing_id").groupBy("filing_id", "page").agg(F.sort_array(F.collect_list(F.struct("top", "x0", "text"))).alias("w"))
-
-    def step(begins: Column, w: Column) -> Column:
-        new = w["top"].isNotNull() & ((F.size(begins) == 0) | F.coalesce(w["top"] - F.get(begins, F.size(begins) - 1) > LINE_TOLERANCE, F.lit(False)))
-        return F.when(new, F.concat(begins, F.array(w["top"]))).otherwise(begins)
-
-    begins = pages.withColumn("b", F.aggregate("w", F.array().cast("array<double>"), step))
-    placed = begins.select("filing_id", "page", "b", F.explode("w").alias("w"))
-    line = F.size(F.filter("b", lambda t: t <= F.col("w.top"))) - 1
-    return placed.groupBy("filing_id", "page", line.alias("line")).agg(F.sort_array(F.collect_list(F.struct("w.x0", "w.text"))).alias("words"))
+    pages = words if "words" in words.columns else pages_of(words)
+    given = pages.select("filing_id", F.col("page").cast("int").alias("page"), F.col("words").cast("array<struct<text:string,x0:double,top:double>>").alias("words"))
+    kind = words.schema["filing_id"].dataType.simpleString()
+    return given.mapInArrow(lambda batches: map(_cut, batches), f"filing_id {kind}, page int, line int, words array<struct<x0:double,text:string>>")
 
 
 def _lines(given: DataFrame) -> DataFrame:
@@ -47,7 +81,7 @@ def _lines(given: DataFrame) -> DataFrame:
 
 
 def _text(words: Column) -> Column:
-    return F.array_join(F.transform(words, lambda w: w["text"]), " ")
+    return F.array_join(words["text"], " ")
 
 
 def _x(words: Column, name: str, last: bool = True) -> Column:
@@ -56,14 +90,16 @@ def _x(words: Column, name: str, last: bool = True) -> Column:
 
 
 def _header(w: Column) -> Column:
-    """The right ends of a form's columns if the words are its header row, else null."""
+    """The right ends of a form's columns if the words are its header row, else null; lines that lack a name of the header are not searched."""
+    low = F.lower(_text(w))
+    named = F.contains(low, F.lit("notification")) & F.contains(low, F.lit("transaction")) & F.contains(low, F.lit("owner"))
     x = {n: _x(w, n) for n in ("owner", "asset", "transaction", "notification", "amount", "cap.")}
     dates = F.filter(w, lambda v: (F.lower(v["text"]) == "date") & (v["x0"] > x["transaction"]) & (v["x0"] < x["notification"]))
     date = F.get(dates, F.lit(0))["x0"]
     m = COLUMN_MARGIN
     ends = {"id": F.lit(DEFAULT_COLUMNS["id"]), "owner": x["asset"] - m, "asset": x["transaction"] - m, "kind": date - m, "traded": x["notification"] - m, "notified": x["amount"] - m, "amount": F.coalesce(x["cap."] - m, x["amount"] + AMOUNT_WIDTH)}
     found = x["owner"].isNotNull() & x["asset"].isNotNull() & x["transaction"].isNotNull() & date.isNotNull() & x["notification"].isNotNull() & x["amount"].isNotNull()
-    return F.when(found, F.struct(*(e.alias(k) for k, e in ends.items())))
+    return F.when(named, F.when(found, F.struct(*(e.alias(k) for k, e in ends.items()))))
 
 
 def _zone(words: Column, low: Column | None, high: Column) -> Column:
@@ -104,20 +140,23 @@ def trade_form(words: DataFrame) -> DataFrame:
     dated = lambda a: last(F.filter(a, lambda t: t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$")))
     texts = F.filter(F.transform(w, lambda v: v["text"]), lambda t: ~F.contains(t, F.lit("\x00")) & (F.lower(F.rtrim(t, F.lit(":"))) != "description"))
     is_record = F.col("_mode") == "record"
+    fields = F.struct(
+        last(_zone(w, None, F.col("id"))).alias("i"),
+        last(F.filter(F.transform(_zone(w, F.col("id"), F.col("owner")), F.upper), lambda t: t.isin(*OWNER_CODES))).alias("o"),
+        F.upper(last(codes)).alias("k"),
+        F.exists(_zone(w, F.col("asset"), F.col("kind")), lambda t: F.lower(t) == "(partial)").alias("p"),
+        dated(_zone(w, F.col("kind"), F.col("traded"))).alias("d"),
+        dated(_zone(w, F.col("traded"), F.col("notified"))).alias("n"),
+    )
     parts = rows.select(
-        "filing_id", "row_index", "page", "line",
-        opens(last(_zone(w, None, F.col("id")))).alias("i"),
-        opens(last(F.filter(F.transform(_zone(w, F.col("id"), F.col("owner")), F.upper), lambda t: t.isin(*OWNER_CODES)))).alias("o"),
-        opens(F.upper(last(codes))).alias("k"),
-        opens(F.exists(_zone(w, F.col("asset"), F.col("kind")), lambda t: F.lower(t) == "(partial)")).alias("p"),
-        opens(dated(_zone(w, F.col("kind"), F.col("traded")))).alias("d"),
-        opens(dated(_zone(w, F.col("traded"), F.col("notified")))).alias("n"),
+        "filing_id", "row_index", "page", "line", opens(fields).alias("f"),
         F.when(is_record, _zone(w, F.col("owner"), F.col("asset"))).alias("a"),
         F.when(is_record, _zone(w, F.col("notified"), F.col("amount"))).alias("m"),
         F.when(F.col("_mode") == "text", texts).alias("t"),
     )
-    joined = lambda c: F.array_join(F.flatten(F.transform(F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("page", "line", c)))), lambda x: x[c])), " ")
-    g = parts.groupBy("filing_id", "row_index").agg(*(F.max(c).alias(c) for c in "iokpdn"), *(joined(c).alias(c) for c in "amt"))
+    # a record has one line that opens it; its lines are put in order once for all texts
+    g = parts.groupBy("filing_id", "row_index").agg(F.max("f").alias("f"), F.sort_array(F.collect_list(F.struct("page", "line", "a", "m", "t"))).alias("x"))
+    g = g.select("filing_id", "row_index", "f.*", *(F.array_join(F.flatten(F.array_compact(f"x.{c}")), " ").alias(c) for c in "amt"))
     trade = code_name(F.col("k"), TRADE_CODES)
     kind = suffix_type("a")
     option = F.when(kind == "OP", option_details("t"))
@@ -131,7 +170,12 @@ def trade_form(words: DataFrame) -> DataFrame:
 
 def is_electronic(words: DataFrame) -> DataFrame:
     """(filing_id, electronic): whether the filing has the form's header row."""
-    return _lines(words).groupBy("filing_id").agg(F.max(_header(F.col("words")).isNotNull()).alias("electronic"))
+    return _lines(words).groupBy("filing_id").agg(has_header(F.col("words")).alias("electronic"))
+
+
+def has_header(words: Column) -> Column:
+    """Whether one of a filing's lines is the header row; an aggregate."""
+    return F.max(_header(words).isNotNull())
 
 
 def _schedule(words: Column) -> Column:

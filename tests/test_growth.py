@@ -46,3 +46,25 @@ def test_live_messages_have_every_line_of_a_long_filing(spark, tmp_path):
     for t in ("orders", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
     assert len(rows) == 20 and rows == sorted(con.execute(entry.oracle_sql()["live_messages"]).fetchall())
+
+
+def test_pages_of_words_give_the_lines_of_word_rows_without_a_shuffle(spark):
+    from lodestack.operators import forms
+
+    words = [("f", 0, t, x, y) for t, x, y in (("b", 20.0, 12.9), ("a", 10.0, 10.0), ("c", 5.0, 13.5), ("", 7.0, None), ("d", 5.0, 13.0), ("e", 5.0, 13.0), ("g", None, 30.0))] + [("g", 1, "z", 1.0, 1.0), ("h", 0, "n", 1.0, None)]
+    rows = spark.createDataFrame(words, forms.WORD_SCHEMA)
+    pages = rows.groupBy("filing_id", "page").agg(F.collect_list(F.struct("text", "x0", "top")).alias("words")).localCheckpoint()
+    pages = pages.unionByName(spark.createDataFrame([("empty", 0, []), ("none", 0, None)], "filing_id string, page int, words array<struct<text:string,x0:double,top:double>>"))
+    shown = lambda lines: {(r.filing_id, r.page, r.line): [w.text for w in r.words] for r in lines.collect()}
+    expected = {("f", 0, -1): [""], ("f", 0, 0): ["d", "e", "a", "b"], ("f", 0, 1): ["c"], ("f", 0, 2): ["g"], ("g", 1, 0): ["z"], ("h", 0, -1): ["n"]}
+    assert shown(forms.lines_of(pages)) == shown(forms.lines_of(rows)) == expected
+    assert "Exchange" not in plan_of(forms.lines_of(pages))
+
+
+def test_plain_pages_are_read_without_the_library_parser(monkeypatch):
+    from lodestack.sources import html_tables
+
+    plain, odd = "<p>x<table class='t'><caption>C<tr><TD>a &amp; b</td><td> c<tr><td>d", "<table><!-- <td> --><tr><td>a<br/>b<td>c"
+    assert html_tables.first_table(odd) == [["a b", "c"]]
+    monkeypatch.setattr(html_tables.FirstTable, "feed", lambda *_: 1 / 0)
+    assert html_tables.first_table(plain) == [["a & b", "c"], ["d"]]
