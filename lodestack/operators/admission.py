@@ -37,10 +37,14 @@ def admit(queue: DataFrame, used: DataFrame, ceiling: int, folder: str, rows: in
     and the decisions. Objects of zero bytes come in while the bucket is not over its ceiling.
     """
     spark = queue.sparkSession
-    blocks = max(1, -(-queue.count() // rows))
-    ranged = queue.select("bucket", "key", "bytes", "place").repartitionByRange(blocks, "bucket", "place", "key").sortWithinPartitions("bucket", "place", "key")
-    ranged.select("bucket", "key", "bytes", "place", F.spark_partition_id().alias("block")).write.mode("overwrite").partitionBy("block").parquet(f"{folder}/blocks")
-    stored = spark.read.schema("bucket string, key string, bytes long, place long, block int").parquet(f"{folder}/blocks")
+    # a task ranges ROWS objects at least, and cuts them into its blocks: tasks and files do not grow with the number of blocks
+    tasks = max(1, -(-queue.count() // max(rows, ROWS)))
+    ranged = queue.select("bucket", "key", "bytes", "place").repartitionByRange(tasks, "bucket", "place", "key").sortWithinPartitions("bucket", "place", "key")
+    at = F.monotonically_increasing_id()  # the task in the upper bits, the place within it in the lower 33
+    numbered = ranged.withColumn("at", at)
+    block = F.shiftleft(F.shiftright("at", 33), 33) + F.floor(F.col("at").bitwiseAND((1 << 33) - 1) / rows)
+    numbered.select("bucket", "key", "bytes", "place", block.cast("long").alias("block")).write.mode("overwrite").parquet(f"{folder}/blocks")
+    stored = spark.read.schema("bucket string, key string, bytes long, place long, block long").parquet(f"{folder}/blocks")
     taken = {r.bucket: r.total_bytes or 0 for r in used.select("bucket", "total_bytes").collect()}
     whole, mixed = [], []
     sums = stored.groupBy("bucket", "block").agg(F.sum("bytes").alias("total"), F.min("bytes").alias("least")).orderBy("bucket", "block")
@@ -56,7 +60,7 @@ def admit(queue: DataFrame, used: DataFrame, ceiling: int, folder: str, rows: in
         queue_of.mapInArrow(_walker(at, ceiling), "bucket string, key string, bytes long, admitted boolean").write.mode("overwrite").parquet(path)
         mixed.append(spark.read.schema("bucket string, key string, bytes long, admitted boolean").parquet(path))
         taken[b.bucket] = at + (mixed[-1].filter("admitted").agg(F.sum("bytes")).first()[0] or 0)
-    decided = stored.join(spark.createDataFrame(whole, "bucket string, block int, admitted boolean"), ["bucket", "block"]).select("bucket", "key", "bytes", "admitted")
+    decided = stored.join(spark.createDataFrame(whole, "bucket string, block long, admitted boolean"), ["bucket", "block"]).select("bucket", "key", "bytes", "admitted")
     for part in mixed:
         decided = decided.unionByName(part)
     return decided

@@ -68,3 +68,29 @@ def test_plain_pages_are_read_without_the_library_parser(monkeypatch):
     assert html_tables.first_table(odd) == [["a b", "c"]]
     monkeypatch.setattr(html_tables.FirstTable, "feed", lambda *_: 1 / 0)
     assert html_tables.first_table(plain) == [["a & b", "c"], ["d"]]
+
+
+def test_admission_takes_no_task_per_block(spark, tmp_path):
+    from lodestack.operators import admission
+
+    queue = spark.range(400).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("bucket"), F.col("id").cast("string").alias("key"), (F.col("id") % 7).alias("bytes"), (400 - F.col("id")).alias("place"))
+    used = spark.createDataFrame([("a", 5)], "bucket string, total_bytes long")
+    folder = str(tmp_path / "admission")
+    got = {(r.bucket, r.key): r.admitted for r in admission.admit(queue, used, 300, folder, rows=10).collect()}
+    expected, taken = {}, {"a": 5, "b": 0}
+    for r in sorted(queue.collect(), key=lambda r: (r.bucket, r.place, r.key)):
+        expected[r.bucket, r.key] = taken[r.bucket] + r.bytes <= 300
+        taken[r.bucket] += r.bytes * expected[r.bucket, r.key]
+    assert got == expected and set(got.values()) == {True, False}
+    assert len(list((tmp_path / "admission" / "blocks").rglob("*.parquet"))) == 1
+
+
+def test_parts_are_the_ntiles(spark, tmp_path):
+    from pyspark.sql import Window
+
+    from lodestack import catalog_landed
+
+    for n in (0, 4, 101):
+        rows = spark.range(n).select((F.col("id") * 7 % 1000).alias("k"))
+        parts = catalog_landed._in_parts(spark, rows, "k", 6, str(tmp_path / str(n)))
+        assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, rows.withColumn("part", F.ntile(6).over(Window.orderBy("k"))).collect()))
