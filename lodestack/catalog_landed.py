@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import _landing, _lit_ts, _report_row, query, table
@@ -215,6 +215,19 @@ def stream_look_back(spark, d):
     return spark.read.parquet(f"{folder}/out").groupBy("event_id").agg(F.count("*").alias("n_seen"))
 
 
+def _in_parts(spark, rows: DataFrame, key: str, n: int, folder: str) -> DataFrame:
+    """``rows`` with ``part``: the ntile of n in the order of ``key``, of ranges that are counted apart, as a window without partitions is one task."""
+    rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
+    stored = spark.read.parquet(folder).withColumn("_range", F.shiftright("_at", 33))
+    counts = sorted((r["_range"], r["count"]) for r in stored.groupBy("_range").count().collect())
+    before = [(r, sum(c for q, c in counts if q < r)) for r, _ in counts]
+    size, more = divmod(sum(c for _, c in counts), n)
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    longer = more * (size + 1)
+    part = F.when(place < longer, F.floor(place / (size + 1))).otherwise(more + F.floor((place - longer) / max(size, 1))) + 1
+    return stored.join(F.broadcast(spark.createDataFrame(before, "_range long, _before long")), "_range").withColumn("part", part.cast("int")).drop("_range", "_at", "_before")
+
+
 @query("""
 WITH e AS (SELECT event_type AS bucket, event_id, CAST(round(value) AS BIGINT) AS bytes, ntile(6) OVER (ORDER BY event_id) AS part FROM events),
 r AS (SELECT bucket, CAST(sum(bytes) + 1000 AS BIGINT) AS bytes, CAST(count(*) + 1 AS BIGINT) AS objects FROM e WHERE part <= 4 GROUP BY bucket)
@@ -223,7 +236,7 @@ SELECT r.bucket, CAST(r.bytes + sum(e.bytes) AS BIGINT) AS total_bytes, CAST(r.o
 def stream_totals(spark, d):
     """Bytes in use as a stream over six parts of the events: a run of three, a new start from its checkpoint, and a recount that overwrites the totals after four."""
     folder = _landing(spark, "totals")
-    e = table(spark, d, "events").withColumn("part", F.ntile(6).over(Window.orderBy("event_id")))
+    e = _in_parts(spark, table(spark, d, "events").select("event_id", "event_type", "value"), "event_id", 6, f"{folder}/ranged")
     adds = e.select("part", F.col("event_type").alias("bucket"), F.lit("add").alias("kind"), F.col("event_id").alias("seq"), F.round("value").cast("long").alias("bytes"), F.lit(1).cast("long").alias("objects"))
     recount = adds.filter("part <= 4").groupBy("bucket").agg((F.sum("bytes") + 1000).alias("bytes"), (F.count("*") + 1).alias("objects"), F.max("seq").alias("seq"))
     recount = recount.select(F.lit(4).alias("part"), "bucket", F.lit("set").alias("kind"), "seq", "bytes", "objects")

@@ -35,14 +35,17 @@ def running_totals(events: DataFrame) -> DataFrame:
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         total, objects = state.get if state.exists else (0, 0)
-        rows = pd.concat(list(chunks))  # one bucket's rows of one micro-batch, which maxFilesPerTrigger bounds
-        recounts = rows[rows.kind == "set"]
-        if len(recounts):
-            last = recounts.sort_values("seq").tail(1)
-            total, objects = int(last.bytes.iloc[0]), int(last.objects.iloc[0])
-            rows = rows[rows.seq > last.seq.iloc[0]]
-        added = rows[rows.kind == "add"]
-        total, objects = total + int(added.bytes.sum()), objects + int(added.objects.sum())
+        after, kept = None, []  # the last recount's place, and three numbers of each row that counts up after it
+        for rows in chunks:
+            recounts = rows[rows.kind == "set"]
+            if len(recounts):
+                last = recounts.sort_values("seq").tail(1)
+                if after is None or last.seq.iloc[0] > after:
+                    after, total, objects = int(last.seq.iloc[0]), int(last.bytes.iloc[0]), int(last.objects.iloc[0])
+            kept.append(rows.loc[rows.kind == "add", ["seq", "bytes", "objects"]])
+        for added in kept:
+            counted = added if after is None else added[added.seq > after]
+            total, objects = total + int(counted.bytes.sum()), objects + int(counted.objects.sum())
         state.update((total, objects))
         yield pd.DataFrame({"bucket": [key[0]], "total_bytes": [total], "object_count": [objects]})
 
