@@ -94,3 +94,9 @@ def test_parts_are_the_ntiles(spark, tmp_path):
         rows = spark.range(n).select((F.col("id") * 7 % 1000).alias("k"))
         parts = catalog_landed._in_parts(spark, rows, "k", 6, str(tmp_path / str(n)))
         assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, rows.withColumn("part", F.ntile(6).over(Window.orderBy("k"))).collect()))
+
+
+def test_parsed_reports_are_joined_without_broadcasts(spark, sf):
+    import __spark_entry__ as entry
+
+    assert "BroadcastHashJoin" not in plan_of(entry.queries()["reports_parsed"](spark, sf))
