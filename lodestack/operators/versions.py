@@ -19,27 +19,46 @@ def resolve_currency(rows: DataFrame, group: list[str], order: list[str]) -> Dat
     return rows.withColumns({"is_current": newest == 1, "oldest": oldest})
 
 
+def amendment_marks(filings: DataFrame, rows: DataFrame) -> DataFrame:
+    """(filing_id, row_index, is_current, _current, _oldest, _heir) of the rows of filings whose id more than one filing has.
+
+    ``_current`` tells the newest filing's row, ``_oldest`` is the oldest filing, and ``_heir`` that the newest one is another and has no predecessor
+    yet. Rows move twice, without the columns that no rule asks for: to their filing's dates and to their id.
+    """
+    dates = filings.select("filing_id", F.coalesce("filed_date", F.to_date(F.lit("0001-01-01"))).alias("_filed"), F.col("first_seen_at").alias("_seen"), F.col("supersedes_filing_id").isNull().alias("_free"))
+    named = rows.filter(F.col("source_transaction_id").isNotNull()).select("filing_id", "row_index", "source_transaction_id", "is_current")
+    placed = named.join(dates, "filing_id", "left").withColumn("_place", F.when(F.col("_free").isNotNull(), F.struct("_filed", "_seen", "filing_id", "row_index")))
+    placed = placed.select("source_transaction_id", "is_current", "_free", "_place", F.col("filing_id").alias("_filing"))
+    w = Window.partitionBy("source_transaction_id")
+    marks = placed.withColumns({
+        "_current": F.row_number().over(w.orderBy(F.col("_place").desc_nulls_last())) == 1,
+        "_oldest": F.min("_place").over(w)["filing_id"],
+        "_amended": F.min("_filing").over(w) != F.max("_filing").over(w),
+    }).filter("_amended and _place is not null")
+    heir = F.col("_free") & F.col("_current") & (F.col("_filing") != F.col("_oldest"))
+    return marks.select("_place.filing_id", "_place.row_index", "is_current", "_current", "_oldest", heir.alias("_heir"))
+
+
+def with_currency(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """``rows`` with ``is_current`` as ``marks`` (filing_id, row_index, _current) have it; others keep theirs."""
+    changed = rows.join(marks.select("filing_id", "row_index", "_current"), ["filing_id", "row_index"], "left")
+    return changed.withColumn("is_current", F.coalesce("_current", "is_current")).select(*rows.columns)
+
+
+def with_heirs(filings: DataFrame, marks: DataFrame) -> DataFrame:
+    """``filings`` with the predecessor of those that ``marks`` (filing_id, _oldest, _heir) tell as heirs."""
+    heirs = marks.filter("_heir").groupBy("filing_id").agg(F.min("_oldest").alias("_oldest"))
+    return filings.join(heirs, "filing_id", "left").withColumn("supersedes_filing_id", F.coalesce("supersedes_filing_id", "_oldest")).select(*filings.columns)
+
+
 def link_amendments(filings: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with is_current, filings with supersedes_filing_id) after amendments are followed.
 
     Of an id in several filings only the newest filing's row stays current. The newest filing
     supersedes the oldest, unless it has a predecessor already.
     """
-    amended = amended_ids(rows, "source_transaction_id", "filing_id").select("source_transaction_id")
-    dates = filings.select("filing_id", F.coalesce("filed_date", F.to_date(F.lit("0001-01-01"))).alias("_filed"), F.col("first_seen_at").alias("_seen"))
-    placed = rows.join(amended, "source_transaction_id", "left_semi").join(dates, "filing_id")
-    w = Window.partitionBy("source_transaction_id")
-    order = [F.col(c) for c in ("_filed", "_seen", "filing_id", "row_index")]
-    marks = placed.select(
-        "filing_id", "row_index", "source_transaction_id",
-        (F.row_number().over(w.orderBy(*(c.desc() for c in order))) == 1).alias("_current"),
-        F.first("filing_id").over(w.orderBy(*(c.asc() for c in order))).alias("_oldest"),
-    )
-    changed = rows.join(marks.select("filing_id", "row_index", "_current"), ["filing_id", "row_index"], "left")
-    changed = changed.withColumn("is_current", F.coalesce("_current", "is_current")).select(*rows.columns)
-    heirs = marks.filter("_current and filing_id <> _oldest").groupBy("filing_id").agg(F.min("_oldest").alias("_oldest"))
-    linked = filings.join(heirs, "filing_id", "left").withColumn("supersedes_filing_id", F.coalesce("supersedes_filing_id", "_oldest")).select(*filings.columns)
-    return changed, linked
+    marks = amendment_marks(filings, rows)
+    return with_currency(rows, marks), with_heirs(filings, marks)
 
 
 def content_key(*parts: Column) -> Column:

@@ -43,13 +43,12 @@ class State:
         return shaped.withColumn("part", F.col(PARTITIONS[table]) if table in PARTITIONS else F.lit("all"))
 
     def replace(self, table: str, rows: DataFrame) -> DataFrame:
-        """Put ``rows`` in the place of the table's; returns it as read back."""
+        """Put ``rows`` in the place of the table's; returns it as read back. The rows are computed once, by their write."""
         shaped, path = self._shaped(table, rows), f"{self.folder}/{table}"
-        if shaped.isEmpty():  # no partition would be named, so nothing be overwritten
-            shaped.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.folder}/_staged/{table}-empty")
-            self.spark.read.schema(shaped.schema).parquet(f"{self.folder}/_staged/{table}-empty").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
-        else:
-            shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+        before = set(self.read(table).inputFiles())
+        shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+        if before and set(self.read(table).inputFiles()) == before:  # there were no rows: no partition was named, so nothing overwritten
+            shaped.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
         return self.read(table)
 
     def append(self, table: str, rows: DataFrame) -> DataFrame:

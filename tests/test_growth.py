@@ -100,3 +100,34 @@ def test_parsed_reports_are_joined_without_broadcasts(spark, sf):
     import __spark_entry__ as entry
 
     assert "BroadcastHashJoin" not in plan_of(entry.queries()["reports_parsed"](spark, sf))
+
+
+def test_a_replacement_computes_its_rows_once_and_an_empty_one_empties_the_table(spark, tmp_path):
+    state, seen = small_state(spark, tmp_path), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    schema = state.read("filings").schema
+    ids = spark.range(50).select(F.col("id").cast("string").alias("filing_id"))
+    rows = ids.withColumns({f.name: F.lit("B" if f.dataType.simpleString() == "string" else None).cast(f.dataType) for f in schema if f.name != "filing_id"}).mapInArrow(counted, "filing_id string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema if f.name != "filing_id"))
+    assert state.replace("filings", rows.withColumn("chamber", F.lit("house"))).filter("filer_name = 'B'").count() == 50 and seen.value == 50
+    assert state.replace("filings", state.staged("none", state.read("filings").filter("false"))).count() == 0 == state.read("filings").count()
+
+
+def test_amendments_followed_again_rewrite_nothing(spark, tmp_path):
+    from lodestack.plans import jobs
+
+    state = small_state(spark, tmp_path)
+    ids = spark.range(100, 104).select(F.col("id").cast("string").alias("filing_id"))
+    state.append("filings", ids.withColumns({"chamber": F.lit("house"), "filer_name": F.lit("A"), "filed_date": F.lit("2024-01-01").cast("date"), "filing_type": F.lit("P"), "format": F.lit("unknown"), "parse_status": F.lit("pending"), "source": F.lit("official")}))
+    state.append("transactions", ids.withColumns({"transaction_id": F.col("filing_id"), "row_index": F.lit(0), "asset_description_raw": F.lit("A"), "tx_type": F.lit("purchase"), "is_current": F.lit(True), "source_transaction_id": F.lit("s")}))
+    files = lambda: {t: sorted(state.read(t).inputFiles()) for t in ("filings", "transactions")}
+    jobs.follow_amendments(state)
+    before = files()
+    jobs.follow_amendments(state)
+    assert files() == before
+    assert {r[0] for r in state.read("transactions").filter("not is_current").select("filing_id").collect()} == {"100", "101", "102"}
+    assert [tuple(r) for r in state.read("filings").filter("supersedes_filing_id is not null").select("filing_id", "supersedes_filing_id").collect()] == [("103", "100")]
