@@ -20,6 +20,8 @@ from ..functions import dates
 from ..functions.text import content_type
 
 CHUNK = 1 << 20
+#: Files of a listing's Arrow batch.
+LISTED = 10_000
 OUTCOME = "key string, outcome string, bytes long, sha256 string, error string"
 
 
@@ -33,11 +35,40 @@ def key_of(path: Column, folder: str) -> Column:
     return F.substring_index(path, base, -1)
 
 
+def _entries(folders: DataFrame, root: str, inside: bool) -> DataFrame:
+    """(key, bytes, modified) of what lies directly in each of ``folders`` (folder, below ``root``): folders, or files that Spark's file scan would find."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(root)
+        base, kind = base.rstrip("/"), fs.FileType.Directory if inside else fs.FileType.File
+        for folder in (x for batch in batches for x in batch.column("folder").to_pylist()):
+            found = store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/")))
+            found = [x for x in found if x.type == kind and (inside or x.size) and not _hidden(x.base_name)]
+            for i in range(0, len(found), LISTED):
+                part = found[i : i + LISTED]
+                keys = [x.path[len(base) + 1 :] for x in part]
+                modified = [x.mtime_ns // 1000 for x in part]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([x.size or 0 for x in part], pa.int64()), pa.array(modified, pa.timestamp("us", "UTC"))], ["key", "bytes", "modified"])
+
+    return folders.mapInArrow(entries, "key string, bytes long, modified timestamp")
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
 def listing(spark: SparkSession, folder: str) -> DataFrame:
-    """(key, bytes, modified, content_type) of the files below ``folder``; no file is opened. Spark's file scan leaves out files of zero bytes."""
-    files = _files(spark, folder).select("path", "length", "modificationTime")
-    key = key_of(F.col("path"), folder)
-    return files.select(key.alias("key"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), content_type(key).alias("content_type"))
+    """(key, bytes, modified, content_type) of the files below ``folder``; no file is opened. As in Spark's file scan, files of zero bytes and hidden ones are left out.
+
+    Folders are listed in tasks, so that only their names pass through the driver and no file's.
+    """
+    root, level, folders = folder.rstrip("/"), [""], []
+    spread = lambda names: spark.createDataFrame([(x,) for x in names], "folder string").repartition(min(len(names), 1000))
+    while level:
+        folders += level
+        level = [r.key for r in _entries(spread(level), root, True).select("key").collect()]
+    files = _entries(spread(folders), root, False)
+    return files.select("key", "bytes", "modified", content_type(F.col("key")).alias("content_type"))
 
 
 def objects(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,10 +99,12 @@ def _digest(store: fs.FileSystem, path: str) -> tuple[int, str]:
     return size, digest.hexdigest()
 
 
-def _place(store: fs.FileSystem, path: str, chunks: Iterator[bytes], expected: str | None) -> tuple[int, str]:
-    """Write ``chunks`` beside ``path``, check what can be read back, and move it there."""
-    attempt, written = f"{path}.attempt-{uuid.uuid4().hex}", hashlib.sha256()
-    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+def _place(store: fs.FileSystem, path: str, chunks: Iterator[bytes], expected: str | None, made: set[str]) -> tuple[int, str]:
+    """Write ``chunks`` beside ``path``, check what can be read back, and move it there; ``made`` are the folders made by now."""
+    attempt, written, parent = f"{path}.attempt-{uuid.uuid4().hex}", hashlib.sha256(), path.rsplit("/", 1)[0]
+    if parent not in made:
+        store.create_dir(parent, recursive=True)
+        made.add(parent)
     try:
         with store.open_output_stream(attempt) as stream:
             for chunk in chunks:
@@ -110,6 +143,7 @@ def copy_objects(entries: DataFrame, source: str, target: str, tasks: int = 64)
     def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, base = fs.FileSystem.from_uri(source)
         there, goal = fs.FileSystem.from_uri(target)
+        made: set[str] = set()
 
         def one(row):
             path = f"{goal.rstrip('/')}/{row['key']}"
@@ -118,7 +152,7 @@ def copy_objects(entries: DataFrame, source: str, target: str, tasks: int = 64)
                 if row["sha256"] in (None, digest):
                     return "present", size, digest
             with here.open_input_stream(f"{base.rstrip('/')}/{row['key']}") as stream:
-                return "copied", *_place(there, path, iter(lambda: stream.read(CHUNK), b""), row["sha256"])
+                return "copied", *_place(there, path, iter(lambda: stream.read(CHUNK), b""), row["sha256"], made)
 
         yield from _outcomes(batches, one)
 
@@ -126,14 +160,15 @@ def copy_objects(entries: DataFrame, source: str, target: str, tasks: int = 64)
     return entries.select("key", "sha256").dropDuplicates(["key"]).repartition(tasks, "key").mapInArrow(copies, OUTCOME)
 
 
-def put_objects(contents: DataFrame, target: str) -> DataFrame:
-    """(key, outcome, bytes, sha256, error) of every row (key, content), stored: ``copied`` or ``failed``."""
+def put_objects(contents: DataFrame, target: str, tasks: int = 64) -> DataFrame:
+    """(key, outcome, bytes, sha256, error) of every row (key, content), stored: ``copied`` or ``failed``. Rows are dealt to ``tasks``, however few files they come from."""
 
     def puts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there, goal = fs.FileSystem.from_uri(target)
-        yield from _outcomes(batches, lambda row: ("copied", *_place(there, f"{goal.rstrip('/')}/{row['key']}", iter([row["content"]]), None)))
+        made: set[str] = set()
+        yield from _outcomes(batches, lambda row: ("copied", *_place(there, f"{goal.rstrip('/')}/{row['key']}", iter([row["content"]]), None, made)))
 
-    return contents.select("key", F.col("content").cast("binary").alias("content")).mapInArrow(puts, OUTCOME)
+    return contents.select("key", F.col("content").cast("binary").alias("content")).repartition(tasks, "key").mapInArrow(puts, OUTCOME)
 
 
 def rederive(entries: DataFrame, contents: DataFrame, spark: SparkSession, target: str) -> DataFrame:
