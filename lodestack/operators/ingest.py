@@ -70,11 +70,30 @@ def lookup_or_create(known: DataFrame, wanted: DataFrame, key: str, id_col: str)
     return known.select(key, id_col).unionByName(missing.select(key, F.sha2(F.col(key).cast("string"), 256).alias(id_col)))
 
 
-def flagged_first(rows: DataFrame, flagged: DataFrame, key: str, limit: int, *order: Column | str, last: bool = True) -> DataFrame:
-    """The first ``limit`` rows of a work queue; flagged keys go last, or first."""
+#: Rows that one task may sort out of a queue.
+FEW = 10_000
+
+
+def flagged_first(rows: DataFrame, flagged: DataFrame, key: str, limit: int, *order: Column | str, last: bool = True, stage=None, few: int = FEW) -> DataFrame:
+    """The first ``limit`` rows of a work queue; flagged keys go last, or first.
+
+    A limit above ``few`` needs ``stage``, which writes a frame and returns it as read back: the queue is cut into ranges of its order and
+    written once, whole ranges are taken by their counts, and only the range in which the limit falls is sorted. ``order`` must leave no ties then.
+    """
     marks = flagged.select(key).distinct().withColumn("_flag", F.lit(1))
     queue = rows.join(marks, key, "left").withColumn("_flag", F.coalesce("_flag", F.lit(0)))
-    return queue.orderBy(F.col("_flag").asc() if last else F.col("_flag").desc(), *order).limit(limit).drop("_flag")
+    by = [F.col("_flag").asc() if last else F.col("_flag").desc(), *order]
+    if limit <= few or stage is None:
+        return queue.orderBy(*by).limit(limit).drop("_flag")
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced
+    ranged = stage(queue.repartitionByRange(ranges, *by).withColumn("_range", F.spark_partition_id()))
+    taken = 0
+    for part, n in sorted(tuple(r) for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect()):  # a row per range
+        if taken + n > limit:
+            cut = ranged.filter(F.col("_range") == part).orderBy(*by).limit(limit - taken)
+            return ranged.filter(F.col("_range") < part).unionByName(cut).drop("_flag", "_range")
+        taken += n
+    return ranged.drop("_flag", "_range")
 
 
 def drain(pending, step, most: int = 1000) -> int:

@@ -150,3 +150,36 @@ def test_transcribed_rows_are_computed_once(spark, tmp_path):
     assert jobs.import_transcribed(state, rows, "f.csv", now) == 50 and seen.value == 50
     assert state.read("transactions").count() == 75 and state.read("dq_issues").count() == 25 == state.read("transaction_provenance").count()
     assert jobs.import_transcribed(state, rows, "f.csv", now) == 0 and state.read("transactions").count() == 75
+
+
+def test_a_long_queue_is_cut_by_ranges_without_a_single_task_sort(spark, tmp_path):
+    from lodestack.operators import ingest
+
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).cast("string").alias("k"), (F.col("id") % 3).alias("tier"))
+    flagged = rows.filter("tier = 1").select("k")
+    number = iter(range(100))
+
+    def stage(df):
+        path = f"file://{tmp_path}/{next(number)}"
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    for limit in (0, 1, 499, 667, 999, 1000, 5000):
+        for last in (True, False):
+            plain = ingest.flagged_first(rows, flagged, "k", limit, "tier", "k", last=last)
+            cut = ingest.flagged_first(rows, flagged, "k", limit, "tier", "k", last=last, stage=stage, few=-1)
+            assert cut.columns == plain.columns and sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+    cut = ingest.flagged_first(rows, flagged, "k", 900, "tier", "k", stage=stage, few=10)
+    assert cut.count() == 900 and "TakeOrderedAndProject(limit=900" not in plan_of(cut)
+
+
+def test_a_trade_text_is_asked_for_once(spark, tmp_path, monkeypatch):
+    from lodestack.operators import linking
+    from lodestack.plans import jobs
+
+    state, asked, ask = small_state(spark, tmp_path), [], linking.link_securities
+    monkeypatch.setattr(linking, "link_securities", lambda rows, *a: (asked.append(rows.count()), ask(rows, *a))[1])
+    companies = spark.createDataFrame([("0000000001", "T", "Zzqx", 1)], "cik string, ticker string, title string, position long")
+    none = spark.createDataFrame([], "match_type string, match_value string, ticker string, cik string")
+    jobs.link_trades(state, companies, none, F.lit("2024-01-01").cast("timestamp"), 40)
+    assert asked == [1] and state.read("dq_issues").count() == 40 and state.read("transactions").filter("instrument_id is null").count() == 50
