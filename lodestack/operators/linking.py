@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,14 +15,15 @@ def _bucket(day: Column, days: int) -> Column:
     return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / days).cast("int")
 
 
-def active_terms(facts: DataFrame, terms: DataFrame, key: str, as_of: str, begin: str = "start_date", end: str = "end_date", days: int = 180) -> DataFrame:
+def active_terms(facts: DataFrame, terms: DataFrame, key: str, as_of: str, begin: str = "start_date", end: str = "end_date", days: int = 180, last: date | None = None) -> DataFrame:
     """Facts with the terms of their key that hold on their day; both ends count, an open end always holds.
 
     Time is cut into buckets of ``days``. A fact is in the bucket of its day and a term in each that it
     touches, so they meet by an equality on (key, bucket) and at most once; a key with most facts is spread over
-    its buckets. Open ends are taken to the last day of any fact, which one aggregate gives.
+    its buckets. Open ends are taken to the last day of any fact, which one aggregate over ``facts`` gives. Where these come
+    from a join, ``last``, a day that no fact is after, saves computing them twice.
     """
-    last = facts.agg(F.max(as_of)).first()[0]
+    last = last or facts.agg(F.max(as_of)).first()[0]
     other = [c for c in terms.columns if c != key]
     held = terms.select(key, *(F.col(c).alias(f"_t_{c}") for c in other))
     first, over = F.col(f"_t_{begin}"), F.least(F.coalesce(f"_t_{end}", F.lit(last).cast("date")), F.lit(last).cast("date"))

@@ -183,3 +183,22 @@ def test_a_trade_text_is_asked_for_once(spark, tmp_path, monkeypatch):
     none = spark.createDataFrame([], "match_type string, match_value string, ticker string, cik string")
     jobs.link_trades(state, companies, none, F.lit("2024-01-01").cast("timestamp"), 40)
     assert asked == [1] and state.read("dq_issues").count() == 40 and state.read("transactions").filter("instrument_id is null").count() == 50
+
+
+def test_terms_with_a_given_last_day_start_no_job_over_the_facts(spark):
+    from datetime import date
+
+    from lodestack.operators import linking
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    facts = spark.createDataFrame([(1, date(2020, 1, 1)), (1, date(2019, 1, 1)), (2, date(2020, 5, 5))], "k int, as_of date").mapInArrow(counted, "k int, as_of date")
+    terms = spark.createDataFrame([(1, date(2019, 6, 1), None), (2, date(2020, 5, 5), date(2020, 5, 5))], "k int, start_date date, end_date date")
+    got = linking.active_terms(facts, terms, "k", "as_of", last=date(2021, 1, 1))
+    assert seen.value == 0
+    assert sorted((r.k, r.as_of) for r in got.collect()) == [(1, date(2020, 1, 1)), (2, date(2020, 5, 5))]
