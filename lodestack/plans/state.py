@@ -46,18 +46,18 @@ class State:
         """Put ``rows`` in the place of the table's; returns it as read back. The rows are computed once, by their write."""
         shaped, path = self._shaped(table, rows), f"{self.folder}/{table}"
         before = set(self.read(table).inputFiles())
-        shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+        shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").option("compression", "zstd").parquet(path)
         if before and set(self.read(table).inputFiles()) == before:  # there were no rows: no partition was named, so nothing overwritten
             shaped.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
         return self.read(table)
 
     def append(self, table: str, rows: DataFrame) -> DataFrame:
         """Add ``rows`` to the table's files, which stay as they are; returns the table as read back."""
-        self._shaped(table, rows).write.mode("append").partitionBy("part").parquet(f"{self.folder}/{table}")
+        self._shaped(table, rows).write.mode("append").option("compression", "zstd").partitionBy("part").parquet(f"{self.folder}/{table}")
         return self.read(table)
 
     def staged(self, name: str, rows: DataFrame) -> DataFrame:
         """``rows`` written once for the several steps of a job that read them; the next job's take their place."""
         path = f"{self.folder}/_staged/{name}"
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path).hint("merge")

@@ -202,3 +202,17 @@ def test_terms_with_a_given_last_day_start_no_job_over_the_facts(spark):
     got = linking.active_terms(facts, terms, "k", "as_of", last=date(2021, 1, 1))
     assert seen.value == 0
     assert sorted((r.k, r.as_of) for r in got.collect()) == [(1, date(2020, 1, 1)), (2, date(2020, 5, 5))]
+
+
+def test_community_rows_are_stored_compressed_and_those_without_a_filing_stay(spark, tmp_path):
+    from lodestack.plans import jobs
+
+    state = small_state(spark, tmp_path)
+    feed = "source string, chamber string, external_filing_id string, filer_name string, tx_date date, ticker string, asset_description string, tx_type string, owner string, amount_min double, amount_max double"
+    rows = spark.createDataFrame([("s", "house", i, "A", None, t, "d", "purchase", None, 1.0, None) for i, t in (("7", "a"), ("7", "a"), ("7", "b"), ("new", "a"), (None, "a"))], feed)
+    assert [jobs.import_community(state, rows) for _ in range(2)] == [4, 0]
+    state.append("filings", state.read("filings").limit(1).withColumn("filing_id", F.lit("new")))
+    jobs.rematch_community(state)
+    stored = state.read("community_transactions")
+    assert sorted((str(r[0]), str(r[1])) for r in stored.select("external_filing_id", "matched_filing_id").collect()) == [("7", "7"), ("7", "7"), ("None", "None"), ("new", "new")]
+    assert all(".zstd." in f for f in stored.inputFiles()) and stored.filter("length(dedup_key) = 64").count() == 4
