@@ -258,8 +258,10 @@ def stream_silence(spark, d):
     """Each time a user says nothing for a day, from a stream in six parts; one who returns is heard again."""
     folder = _landing(spark, "silence")
     e = table(spark, d, "events").select(F.col("user_id").alias("key"), F.col("ts").cast("timestamp").alias("at"), F.floor(F.dayofmonth("ts") / 5).cast("int").alias("part"))
+    e.write.partitionBy("part").parquet(f"{folder}/parts")  # so that the events are read once, by all tasks
+    parts = spark.read.schema("key long, at timestamp, part int").parquet(f"{folder}/parts")
     for part in range(7):
-        e.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+        parts.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{folder}/landing")
     stream = first_seen.read_events(spark, f"{folder}/landing", "key long, at timestamp", files=1)
     keyed.run_available(keyed.silent_keys(stream), "append", keyed.batch_files(f"{folder}/out"), f"{folder}/checkpoint")
     return spark.read.schema("key long, last_at timestamp").parquet(f"{folder}/out").select(F.col("key").alias("user_id"), F.col("last_at").cast("timestamp_ntz").alias("last_at"))

@@ -58,37 +58,42 @@ def latest_totals(batches: DataFrame) -> DataFrame:
     return last.select("bucket", "t.total_bytes", "t.object_count")
 
 
-def silent_keys(events: DataFrame, hours: int = 24, delay: str = "1 hour") -> DataFrame:
+def silent_keys(events: DataFrame, hours: int = 24, delay: str = "1 hour", buckets: int = 1024) -> DataFrame:
     """(key, last_at) of each key of ``events`` (key, at) that said nothing for more than ``hours``, once for each silence.
 
     A silence is told as soon as the watermark, ``delay`` behind the latest event, has passed its length, or when the key returns
     before that. The state holds the keys heard since; a key that was told of is forgotten and starts anew. Rows behind the watermark are dropped.
+
+    Keys, strings or whole numbers, share a state by their hash, as a group costs Python far more than a row. A task holds the keys of one
+    of the ``buckets`` at a time; their number belongs to the checkpoint.
     """
     limit = hours * 3_600_000
 
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        told = []
-        if state.hasTimedOut:
-            told.append(state.get[0])
+    def step(bucket: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = dict(zip(*state.get)) if state.exists else {}
+        mark, told, heard = state.getCurrentWatermarkMs(), [], []
+        if not state.hasTimedOut:
+            for chunk in chunks:
+                keys = [None] * len(chunk) if bucket[0] < 0 else chunk["key"].tolist()
+                heard += zip(chunk["ms"].tolist(), keys)
+        for at, key in sorted(heard, key=lambda x: x[0]):
+            before = last.get(key, at)
+            if at - before > limit:
+                told.append((key, before))
+            last[key] = max(before, at)
+        told += [(key, at) for key, at in last.items() if at + limit < mark]
+        last = {key: at for key, at in last.items() if at + limit >= mark}
+        if last:
+            state.update((list(last.keys()), list(last.values())))
+            state.setTimeoutTimestamp(max(min(last.values()) + limit, mark + 1))
+        elif state.exists:
             state.remove()
-        else:
-            last = state.get[0] if state.exists else None
-            heard = sorted({int(x) for chunk in chunks for x in chunk["ms"]})
-            for at in heard:
-                if last is not None and at - last > limit:
-                    told.append(last)
-                last = at if last is None else max(last, at)
-            if last + limit < state.getCurrentWatermarkMs():
-                told.append(last)
-                if state.exists:
-                    state.remove()
-            else:
-                state.update((last,))
-                state.setTimeoutTimestamp(max(last + limit, state.getCurrentWatermarkMs() + 1))
         if told:
-            yield pd.DataFrame({"key": [key[0]] * len(told), "last_ms": told})
+            yield pd.DataFrame({"key": pd.Series([key for key, _ in told], dtype=object), "last_ms": [at for _, at in told]})
 
-    rows = events.select("key", "at", F.unix_millis("at").alias("ms")).withWatermark("at", delay)
+    # a null key has a bucket of its own, as pandas makes floats of whole numbers beside it
+    bucket = F.when(F.col("key").isNull(), -1).otherwise(F.pmod(F.xxhash64("key"), F.lit(buckets))).cast("int")
+    rows = events.select("key", "at", F.unix_millis("at").alias("ms"), bucket.alias("bucket")).withWatermark("at", delay)
     kind = events.schema["key"].dataType.simpleString()
-    told = rows.groupBy("key").applyInPandasWithState(step, f"key {kind}, last_ms long", "last_ms long", "append", GroupStateTimeout.EventTimeTimeout)
+    told = rows.groupBy("bucket").applyInPandasWithState(step, f"key {kind}, last_ms long", f"keys array<{kind}>, last array<long>", "append", GroupStateTimeout.EventTimeTimeout)
     return told.select("key", F.timestamp_millis("last_ms").alias("last_at"))

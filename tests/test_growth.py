@@ -216,3 +216,37 @@ def test_community_rows_are_stored_compressed_and_those_without_a_filing_stay(sp
     stored = state.read("community_transactions")
     assert sorted((str(r[0]), str(r[1])) for r in stored.select("external_filing_id", "matched_filing_id").collect()) == [("7", "7"), ("7", "7"), ("None", "None"), ("new", "new")]
     assert all(".zstd." in f for f in stored.inputFiles()) and stored.filter("length(dedup_key) = 64").count() == 4
+
+
+def silences(spark, folder, kind, batches, **options):
+    from lodestack.streaming import first_seen, keyed
+
+    for rows in batches:
+        spark.createDataFrame(rows, f"key {kind}, at timestamp").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    told = keyed.silent_keys(first_seen.read_events(spark, f"{folder}/in", f"key {kind}, at timestamp", files=1), **options)
+    keyed.run_available(told, "append", keyed.batch_files(f"{folder}/out"), f"{folder}/checkpoint")
+    return sorted(((str(r.key), r.last_at) for r in spark.read.schema(f"key {kind}, last_at timestamp").parquet(f"{folder}/out").collect()))
+
+
+def test_silent_keys_of_one_state_are_told_apart(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    day = lambda x: datetime(2024, 1, 1) + timedelta(days=x)
+    big = 2**60 + 1
+    batches = [[(1, day(0)), (big, day(0)), (None, day(0)), (3, day(0)), (3, day(2.5))], [(1, day(0.5)), (1, day(2.9)), (None, day(3)), (big, day(2.6))], [(3, day(3.5)), (4, day(9))]]
+    expected = sorted([(str(k), day(d)) for k, d in ((1, 0.5), (1, 2.9), (big, 0), (big, 2.6), (None, 0), (None, 3), (3, 0), (3, 3.5))])
+    for n in (1, 1024):
+        # the second batch's rows are not late, as its watermark for late rows is that before the first
+        assert silences(spark, tmp_path / f"long-{n}", "long", batches, buckets=n) == expected
+    strings = [[(None if k is None else str(k), at) for k, at in rows] for rows in batches]
+    assert silences(spark, tmp_path / "string", "string", strings, buckets=1) == expected
+
+
+def test_many_silent_keys_share_few_groups(spark, tmp_path):
+    from datetime import datetime
+
+    rows = [(k, datetime(2024, 1, 1 + 3 * d)) for d in range(2) for k in range(3000)]
+    got = silences(spark, tmp_path, "long", [rows[:3000], rows[3000:]])
+    assert len(got) == 3000 == len(set(got))
+    groups = spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count()
+    assert 0 < groups <= 1024
