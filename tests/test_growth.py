@@ -250,3 +250,15 @@ def test_many_silent_keys_share_few_groups(spark, tmp_path):
     assert len(got) == 3000 == len(set(got))
     groups = spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count()
     assert 0 < groups <= 1024
+
+
+def test_the_job_of_reports_broadcasts_nothing_in_any_of_its_steps(spark, sf):
+    import __spark_entry__ as entry
+
+    store = spark._jsparkSession.sharedState().statusStore()
+    steps = lambda: [store.executionsList().apply(i) for i in range(store.executionsList().size())]
+    before = {x.executionId() for x in steps()}
+    assert entry.queries()["reports_parsed"](spark, sf).count()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = [x.physicalPlanDescription() for x in steps() if x.executionId() not in before]
+    assert len(plans) > 10 and any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
