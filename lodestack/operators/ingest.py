@@ -96,6 +96,53 @@ def flagged_first(rows: DataFrame, flagged: DataFrame, key: str, limit: int, *or
     return ranged.drop("_flag", "_range")
 
 
+#: Keys of which the place of one among many is guessed.
+SAMPLE_KEYS = 20_000
+
+
+def nth_key(rows: DataFrame, key: str, n: int, count: int, few: int = FEW):
+    """The ``n``-th of ``count`` different keys in their order, by passes over the keys alone, which nothing shuffles or sorts.
+
+    Of a bounded sample two keys are taken that most likely have the wanted one between them; a count tells how many keys there are up to each.
+    That is repeated between them until ``few`` are left, which are sorted.
+    """
+    k, low, high = F.col(key), None, None
+
+    def between(a, b) -> Column:
+        return F.coalesce((k > F.lit(a) if a is not None else F.lit(True)) & (k <= F.lit(b) if b is not None else F.lit(True)), F.lit(False))
+
+    keys = rows.select(key).filter(k.isNotNull())
+    while count > max(few, 1):
+        some = sorted(r[0] for r in keys.filter(between(low, high) & (F.pmod(F.xxhash64(key), F.lit(max(1, count // SAMPLE_KEYS))) == 0)).collect())
+        at, room = n * len(some) // count, int(4 * len(some) ** 0.5) + 4
+        a, b = some[at - room] if at >= room else low, some[at + room] if at + room < len(some) else high
+        if (a, b) == (low, high):
+            break
+        up_to_a, up_to_b = keys.filter(between(low, high)).agg(F.count_if(between(low, a)) if a != low else F.lit(0), F.count_if(between(low, b))).first()
+        if n <= up_to_a:
+            high, count = a, up_to_a
+        elif n > up_to_b:
+            low, n, count = b, n - up_to_b, count - up_to_b
+        else:
+            low, high, n, count = a, b, n - up_to_a, up_to_b - up_to_a
+    return keys.filter(between(low, high)).orderBy(key).offset(n - 1).limit(1).first()[0]
+
+
+def first_of_queue(queue: DataFrame, key: str, limit: int, few: int = FEW) -> Column:
+    """Whether a row is among the first ``limit`` of a queue in the order of ``_flag`` and a key without ties; a condition on the row, never null."""
+    counts = sorted(tuple(r) for r in queue.groupBy("_flag").agg(F.count(key).alias("n")).collect())
+    left = limit
+    for flag, n in counts:
+        if n > left:
+            whole = F.col("_flag") < flag
+            if left <= 0:
+                return whole
+            last = nth_key(queue.filter(F.col("_flag") == flag), key, left, n, few)
+            return whole | ((F.col("_flag") == flag) & F.coalesce(F.col(key) <= F.lit(last), F.lit(False)))
+        left -= n
+    return F.lit(True)
+
+
 def drain(pending, step, most: int = 1000) -> int:
     """Run ``step`` until nothing is pending or the pending count no longer falls; returns the steps taken."""
     left, taken = pending(), 0

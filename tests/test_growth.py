@@ -262,3 +262,38 @@ def test_the_job_of_reports_broadcasts_nothing_in_any_of_its_steps(spark, sf):
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     plans = [x.physicalPlanDescription() for x in steps() if x.executionId() not in before]
     assert len(plans) > 10 and any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_the_first_of_a_queue_are_told_without_a_shuffle_of_its_rows(spark):
+    from lodestack.operators import ingest
+
+    queue = spark.range(3000).select((F.col("id") * 7 % 3000).cast("string").alias("k"), (F.col("id") % 3 == 0).cast("int").alias("_flag")).localCheckpoint()
+    ordered = sorted((r._flag, r.k) for r in queue.collect())
+    for limit in (0, 1, 1999, 2000, 2001, 2500, 3000, 9000):
+        taken = ingest.first_of_queue(queue, "k", limit, few=10)
+        assert sorted((r._flag, r.k) for r in queue.filter(taken).collect()) == ordered[:limit]
+        assert "Exchange" not in plan_of(queue.filter(taken)) and queue.filter(~taken).count() == max(0, 3000 - limit)
+    assert ingest.nth_key(spark.range(50_000).select(F.format_string("%06d", "id").alias("k")), "k", 20_001, 50_000, few=100) == "020000"
+
+
+def test_linked_trades_meet_their_rows_and_issues_without_a_second_join(spark, tmp_path):
+    from lodestack.plans import jobs
+
+    state = small_state(spark, tmp_path)
+    companies = spark.createDataFrame([("0000000001", "T", "Zzqx", 1)], "cik string, ticker string, title string, position long")
+    none = spark.createDataFrame([], "match_type string, match_value string, ticker string, cik string")
+    state.append("transactions", state.read("transactions").filter("filing_id < '3'").withColumns({"transaction_id": F.concat(F.lit("t"), "transaction_id"), "ticker": F.lit("T")}))
+    n = state.read("transactions").count()
+    store = spark._jsparkSession.sharedState().statusStore()
+    steps = lambda: [store.executionsList().apply(i) for i in range(store.executionsList().size())]
+    before = {x.executionId() for x in steps()}
+    jobs.link_trades(state, companies, none, F.lit("2024-01-01").cast("timestamp"), 60)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    writes = [x.physicalPlanDescription() for x in steps() if x.executionId() not in before]
+    written = [p for p in writes if "InsertIntoHadoopFsRelationCommand" in p and any(f"/state/{t}," in p for t in ("transactions", "dq_issues"))]
+    assert len(written) == 2 and not any("Join" in p or "Exchange" in p for p in written)
+    for _ in range(2):
+        jobs.link_trades(state, companies, none, F.lit("2024-01-02").cast("timestamp"), 60)
+    t, issues = state.read("transactions"), state.read("dq_issues")
+    assert t.count() == n == t.select("transaction_id").distinct().count() and t.filter("instrument_id is not null").count() == n - 50
+    assert issues.count() == 50 == issues.select("transaction_id").distinct().count()
