@@ -1,11 +1,14 @@
 """Trades and holdings from the positioned words of forms.
 
 A page is a set of words with their places. Words are put into lines page by page, in Arrow batches inside
-tasks; everything after that is joins, windows and aggregates over lines, within one filing at a time.
+tasks. Trades are cut from the pages of whole filings in the same way, many filings at a time; holdings are windows and
+aggregates over lines, within one filing at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -43,25 +46,31 @@ def _line_numbers(page: np.ndarray, top: np.ndarray) -> np.ndarray:
     return np.repeat(out, np.diff(np.r_[at, len(page)]))
 
 
+class _Words:
+    """The words of a list of pages, in order of page, line and place: ``flat`` has them as given, the other arrays in that order."""
+
+    def __init__(self, lists: pa.Array):
+        page = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        self.flat = flat = lists.flatten()
+        number = lambda c: pc.fill_null(flat.field(c), -np.inf).to_numpy(zero_copy_only=False)
+        text, x0, top = flat.field("text"), number("x0"), np.nan_to_num(number("top"), nan=np.inf, neginf=-np.inf, posinf=np.inf)
+        order = np.lexsort((top, page))
+        line = np.empty(len(page), np.int32)
+        line[order] = _line_numbers(page[order], top[order]) if len(page) else 0
+        order = np.lexsort((x0, line, page))
+        same = lambda a: a[order][1:] == a[order][:-1]
+        if (same(x0) & same(line) & same(page)).any():
+            order = np.lexsort((pc.rank(text.cast(pa.binary()), "ascending", null_placement="at_start", tiebreaker="dense").to_numpy(), x0, line, page))
+        self.begins = np.flatnonzero(np.r_[len(page) > 0, ~(same(line) & same(page))][: len(page)])  # of the lines
+        self.order, self.page, self.line = order, page[order], line[order]
+
+
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The lines of a batch of pages (filing_id, page, words)."""
-    lists = batch.column(2)
-    page = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-    flat = lists.flatten()
-    number = lambda c: pc.fill_null(flat.field(c), -np.inf).to_numpy(zero_copy_only=False)
-    text, x0, top = flat.field("text"), number("x0"), np.nan_to_num(number("top"), nan=np.inf, neginf=-np.inf, posinf=np.inf)
-    order = np.lexsort((top, page))
-    line = np.empty(len(page), np.int32)
-    line[order] = _line_numbers(page[order], top[order]) if len(page) else 0
-    order = np.lexsort((x0, line, page))
-    same = lambda a: a[order][1:] == a[order][:-1]
-    if (same(x0) & same(line) & same(page)).any():
-        order = np.lexsort((pc.rank(text.cast(pa.binary()), "ascending", null_placement="at_start", tiebreaker="dense").to_numpy(), x0, line, page))
-    begins = np.flatnonzero(np.r_[len(page) > 0, ~(same(line) & same(page))][: len(page)])
-    words = pa.StructArray.from_arrays([flat.field("x0").take(pa.array(order)), text.take(pa.array(order))], ["x0", "text"])
-    ends = pa.array(np.r_[begins, len(page)].astype(np.int32))
-    at = pa.array(page[order][begins])
-    return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(line[order][begins], pa.int32()), pa.ListArray.from_arrays(ends, words)], ["filing_id", "page", "line", "words"])
+    w = _Words(batch.column(2))
+    words = pa.StructArray.from_arrays([w.flat.field(c).take(pa.array(w.order)) for c in ("x0", "text")], ["x0", "text"])
+    ends, at = pa.array(np.r_[w.begins, len(w.order)].astype(np.int32)), pa.array(w.page[w.begins])
+    return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(w.line[w.begins], pa.int32()), pa.ListArray.from_arrays(ends, words)], ["filing_id", "page", "line", "words"])
 
 
 def lines_of(words: DataFrame) -> DataFrame:
@@ -107,67 +116,177 @@ def _zone(words: Column, low: Column | None, high: Column) -> Column:
     return F.transform(F.filter(words, inside), lambda w: w["text"])
 
 
-def _label(first: Column) -> Column:
-    plain = F.lower(F.rtrim(first, F.lit(":")))
-    return F.when(F.contains(first, F.lit("\x00")), code_name(F.lower(F.substring(first, 1, 1)), LABELS)).when(plain.isin(*LABELS.values()), plain)
+# Marks of a line's words: what its text is searched for, as none of it has a space.
+_MARKS = ("owner", "asset", "notification", "amount", "cap.", "gains", "$200?")
+_LINE_END = r"(\r\n|[\n\r\x{85}\x{2028}\x{2029}])?$"
+#: What a trade is read from: its id, owner, codes and dates, and its joined texts.
+RECORD = "struct<i:string,o:string,k:string,p:boolean,d:string,n:string,a:string,m:string,t:string>"
 
 
-def trade_form(words: DataFrame) -> DataFrame:
-    """One row per trade of every filing: filing_id, row_index, owner, description, ticker, type, option, trade, dates, amounts, id, and a date that is none.
+def _cased(words: pa.Array, plain, whole) -> pa.Array:
+    """Upper or lower case; words with letters beyond ASCII may become longer."""
+    odd = pc.invert(pc.string_is_ascii(words))
+    done = plain(words)
+    return pc.replace_with_mask(done, odd, pa.array([whole(w) for w in words.filter(odd).to_pylist()], words.type)) if pc.any(odd).as_py() else done
 
-    A line with a trade code in the code column opens a record. After it, lines extend its
-    description and amount until a label line; a description label collects option text, other
-    labels are skipped. Header lines repeat and are dropped, and so is a page from its footer on.
+
+def _ends_of(at: dict[str, np.ndarray]) -> np.ndarray:
+    """The right ends of a form's columns from the places of its header's names."""
+    m = COLUMN_MARGIN
+    last = np.where(np.isnan(at["cap."]), at["amount"] + AMOUNT_WIDTH, at["cap."] - m)
+    return np.stack([np.full(len(last), DEFAULT_COLUMNS["id"]), at["asset"] - m, at["transaction"] - m, at["date"] - m, at["notification"] - m, at["amount"] - m, last], axis=1)
+
+
+def _read(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(filing_id, electronic, trades) of the filings in a batch of their pages (filing_id, place, page, words); ``place`` is 1 where a filing begins.
+
+    What a word tells by itself is found once for each different word of the batch, all else by its number.
     """
-    whole = Window.partitionBy("filing_id").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = _lines(words).withColumn("_head", _header(F.col("words")))
-    rows = rows.withColumn("_head", F.first("_head", ignorenulls=True).over(whole))
-    rows = rows.select("filing_id", "page", "line", "words", _text(F.col("words")).alias("line_text"), *(F.coalesce(f"_head.{k}", F.lit(v)).alias(k) for k, v in DEFAULT_COLUMNS.items()))
-    low = F.lower("line_text")
-    has = lambda *xs: F.contains(low, F.lit(xs[0])) & F.contains(low, F.lit(xs[-1]))
-    rows = rows.filter(~(has("owner", "asset") | has("notification", "amount") | has("cap.", "gains") | has("$200?")))
-    page = Window.partitionBy("filing_id", "page").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_over", F.max(F.contains("line_text", F.lit(FOOTER)).cast("int")).over(page)).filter("_over = 0")
-    codes = F.filter(_zone(F.col("words"), F.col("asset"), F.col("kind")), lambda t: t.rlike("(?i)^[PSE]$"))
-    doc = Window.partitionBy("filing_id").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)
-    label = _label(F.col("words")[0]["text"])
-    rows = rows.withColumn("_opens", F.size(codes) > 0)
-    rows = rows.withColumn("_mode", F.when(F.col("_opens"), "record").when(label == "description", "text").when(label.isNotNull(), "skip"))
-    rows = rows.withColumns({"_mode": F.last("_mode", ignorenulls=True).over(doc), "row_index": F.sum(F.col("_opens").cast("int")).over(doc) - 1}).filter("row_index >= 0 and _mode <> 'skip'")
-    w = F.col("words")
-    opens = lambda c: F.when(F.col("_opens"), c)
-    last = lambda a: F.get(F.reverse(a), F.lit(0))
-    dated = lambda a: last(F.filter(a, lambda t: t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$")))
-    texts = F.filter(F.transform(w, lambda v: v["text"]), lambda t: ~F.contains(t, F.lit("\x00")) & (F.lower(F.rtrim(t, F.lit(":"))) != "description"))
-    is_record = F.col("_mode") == "record"
-    fields = F.struct(
-        last(_zone(w, None, F.col("id"))).alias("i"),
-        last(F.filter(F.transform(_zone(w, F.col("id"), F.col("owner")), F.upper), lambda t: t.isin(*OWNER_CODES))).alias("o"),
-        F.upper(last(codes)).alias("k"),
-        F.exists(_zone(w, F.col("asset"), F.col("kind")), lambda t: F.lower(t) == "(partial)").alias("p"),
-        dated(_zone(w, F.col("kind"), F.col("traded"))).alias("d"),
-        dated(_zone(w, F.col("traded"), F.col("notified"))).alias("n"),
-    )
-    parts = rows.select(
-        "filing_id", "row_index", "page", "line", opens(fields).alias("f"),
-        F.when(is_record, _zone(w, F.col("owner"), F.col("asset"))).alias("a"),
-        F.when(is_record, _zone(w, F.col("notified"), F.col("amount"))).alias("m"),
-        F.when(F.col("_mode") == "text", texts).alias("t"),
-    )
-    # a record has one line that opens it; its lines are put in order once for all texts
-    g = parts.groupBy("filing_id", "row_index").agg(F.max("f").alias("f"), F.sort_array(F.collect_list(F.struct("page", "line", "a", "m", "t"))).alias("x"))
-    g = g.select("filing_id", "row_index", "f.*", *(F.array_join(F.flatten(F.array_compact(f"x.{c}")), " ").alias(c) for c in "amt"))
+    w = _Words(batch.column(3))
+    coded = w.flat.field("text").dictionary_encode()
+    vocabulary = coded.dictionary
+    code = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)[w.order]
+    low = _cased(vocabulary, pc.utf8_lower, str.lower)
+    flag = lambda a: np.r_[pc.fill_null(a, False).to_numpy(zero_copy_only=False).astype(bool), False]  # noqa: E731  (the last for no text)
+    is_word = lambda *xs: flag(pc.is_in(low, pa.array(xs)))
+    is_text = code >= 0
+
+    raw = w.flat.field("x0")
+    x = raw.to_numpy(zero_copy_only=False).astype(float)
+    x[np.isnan(x) & ~raw.is_null().to_numpy(zero_copy_only=False)] = np.inf  # no number is above all numbers; only a missing place is none
+    x = x[w.order]
+
+    # lines and filings
+    n = len(w.begins)
+    line_of = np.repeat(np.arange(n), np.diff(np.r_[w.begins, len(code)]))
+    filing_of_row = np.cumsum(batch.column(1).to_numpy() == 1) - 1
+    row = w.page[w.begins]
+    filing = filing_of_row[row]
+    numbers = pc.fill_null(batch.column(2).cast(pa.int64()), -(2**40)).to_numpy()
+    page = np.cumsum(np.r_[False, (filing_of_row[1:] != filing_of_row[:-1]) | (numbers[1:] != numbers[:-1])])[row] if n else row
+
+    def last_in(lines: int, of: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """The last word of each line, or what else ``of`` numbers, among those of a mask; -1 if there is none."""
+        out, at = np.full(lines, -1), np.flatnonzero(where)
+        out[of[at]] = at  # of equal places the last one stays
+        return out
+
+    # the first header of each filing sets its columns
+    at = {}
+    for name in ("owner", "asset", "transaction", "notification", "amount", "cap."):
+        found = last_in(n, line_of, is_word(name)[code])
+        at[name] = np.where(found >= 0, x[found] if len(x) else np.nan, np.nan)
+    dates = np.flatnonzero(is_word("date")[code] & (x > at["transaction"][line_of]) & (x < at["notification"][line_of]))[::-1]
+    at["date"] = np.full(n, np.nan)
+    at["date"][line_of[dates]] = x[dates]
+    heads = np.flatnonzero(~np.isnan(np.stack([v for k, v in at.items() if k != "cap."])).any(axis=0))[::-1]
+    n_filings = int(filing_of_row[-1]) + 1 if len(filing_of_row) else 0
+    columns, electronic = np.tile(np.array(list(DEFAULT_COLUMNS.values())), (n_filings, 1)), np.zeros(n_filings, bool)
+    columns[filing[heads]], electronic[filing[heads]] = _ends_of({k: v[heads] for k, v in at.items()}), True
+
+    # header lines are dropped, and a page from its footer on
+    bits = sum(flag(pc.match_substring(low, m)).astype(np.int32) << k for k, m in enumerate(_MARKS)) | flag(pc.match_substring(vocabulary, FOOTER.split()[-1])).astype(np.int32) << len(_MARKS)
+    bits = np.bitwise_or.reduceat(bits[code], w.begins) if n else np.zeros(0, np.int32)
+    has = lambda a, b: (bits >> _MARKS.index(a) & 1 & bits >> _MARKS.index(b)).astype(bool)
+    alive = ~(has("owner", "asset") | has("notification", "amount") | has("cap.", "gains") | has("$200?", "$200?"))
+    ends = np.r_[w.begins, len(code)]
+    footers = [k for k in np.flatnonzero(alive & (bits >> len(_MARKS) & 1).astype(bool)) if FOOTER in " ".join(t for t in vocabulary.take(pa.array([c for c in code[ends[k] : ends[k + 1]] if c >= 0], pa.int64())).to_pylist())]
+    over = np.full(int(page[-1]) + 1 if n else 0, n)
+    for k in reversed(footers):
+        over[page[k]] = k
+    alive &= np.arange(n) < over[page]
+
+    # a line with a trade code opens a record, a label sets what the lines after it are
+    right = columns[filing][line_of]
+    zone = lambda k: (x < right[:, k]) & (x >= right[:, k - 1] if k else True)
+    in_code = zone(3)
+    is_code = in_code & flag(pc.match_substring_regex(vocabulary, "^[PSEpse]" + _LINE_END))[code] & alive[line_of]
+    opens = np.zeros(n, bool)
+    opens[line_of[is_code]] = True
+    nul = flag(pc.match_substring(vocabulary, "\x00"))
+    stripped = pc.utf8_rtrim(low, ":")
+    initial = pc.utf8_slice_codeunits(low, 0, 1)
+    other = [v for v in LABELS.values() if v != "description"]
+    says = np.where(nul, np.where(flag(pc.equal(initial, "d")), 2, np.where(flag(pc.is_in(initial, pa.array(list(LABELS)))), 3, 0)), np.where(flag(pc.equal(stripped, "description")), 2, np.where(flag(pc.is_in(stripped, pa.array(other))), 3, 0)))
+    mode = np.where(opens, 1, says[code[w.begins]] if n else 0)
+    since = np.maximum.accumulate(np.where(alive & (mode > 0), np.arange(n), 0)) if n else row
+    mode = mode[since] if n else mode
+    opener = np.flatnonzero(opens)
+    record = np.cumsum(opens) - 1
+    held = alive & (record >= 0)
+    held[held] = filing[opener][record[held]] == filing[held]
+    record = np.where(held & (mode < 3), record, -1)
+
+    # the fields of the opening lines, and the texts of all lines of a record
+    n_records = len(opener)
+    of = record[line_of]
+    opening = opens[line_of]
+    upper = _cased(vocabulary, pc.utf8_upper, str.upper)
+
+    def last_word(where: np.ndarray, words: pa.Array = vocabulary) -> pa.Array:
+        k = last_in(n_records, of, where & opening)
+        c = np.where(k >= 0, code[k] if len(code) else -1, -1)
+        return words.take(pa.array(c, pa.int64(), mask=c < 0))
+
+    def joined(where: np.ndarray) -> pa.Array:
+        k = np.flatnonzero(where & is_text & (of >= 0))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.searchsorted(of[k], np.arange(n_records + 1)), pa.int32()), vocabulary.take(pa.array(code[k], pa.int64()))), " ")
+
+    is_date = flag(pc.match_substring_regex(vocabulary, "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}" + _LINE_END))[code]
+    part = last_in(n_records, of, in_code & is_word("(partial)")[code] & opening) >= 0
+    in_text = (mode == 2)[line_of] & ~nul[code] & ~flag(pc.equal(stripped, "description"))[code]
+    fields = {
+        "i": last_word(zone(0)), "o": last_word(zone(1) & flag(pc.is_in(upper, pa.array(list(OWNER_CODES))))[code], upper), "k": last_word(is_code, upper), "p": pa.array(part),
+        "d": last_word(zone(4) & is_date), "n": last_word(zone(5) & is_date), "a": joined((mode == 1)[line_of] & zone(2)), "m": joined((mode == 1)[line_of] & zone(6)), "t": joined(in_text),
+    }
+    trades = pa.ListArray.from_arrays(pa.array(np.searchsorted(filing[opener], np.arange(n_filings + 1)), pa.int32()), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
+    shown = np.unique(filing)  # a filing without a word tells nothing
+    first = np.flatnonzero(batch.column(1).to_numpy() == 1)[shown] if n else shown
+    return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first, pa.int64())), pa.array(electronic[shown]), trades.take(pa.array(shown, pa.int64()))], ["filing_id", "electronic", "trades"])
+
+
+def _whole_filings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of pages, cut where a filing begins."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        begins = np.flatnonzero(batch.column(1).to_numpy() == 1)
+        if len(begins) and (held or begins[-1]):
+            yield pa.concat_batches([*held, batch.slice(0, begins[-1])])
+            held = []
+        held.append(batch.slice(begins[-1]) if len(begins) else batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def read_trades(words: DataFrame) -> DataFrame:
+    """``trade_form`` with ``electronic``, whether the filing has the form's header row; a filing with words but no trade has one row without ``row_index``."""
+    pages = words if "words" in words.columns else pages_of(words)
+    place = F.row_number().over(Window.partitionBy("filing_id").orderBy("page"))  # brings a filing's pages together, in order
+    given = pages.select("filing_id", place.alias("place"), F.col("page").cast("int").alias("page"), F.col("words").cast("array<struct<text:string,x0:double,top:double>>").alias("words"))
+    kind = words.schema["filing_id"].dataType.simpleString()
+    read = given.mapInArrow(lambda batches: map(_read, _whole_filings(batches)), f"filing_id {kind}, electronic boolean, trades array<{RECORD}>")
+    g = read.select("filing_id", "electronic", F.posexplode_outer("trades").alias("row_index", "x")).select("filing_id", "electronic", F.col("row_index").cast("long").alias("row_index"), "x.*")
     trade = code_name(F.col("k"), TRADE_CODES)
     kind = suffix_type("a")
     option = F.when(kind == "OP", option_details("t"))
     return g.select(
-        "filing_id", "row_index", F.coalesce(code_name(F.col("o"), OWNER_CODES), F.lit("self")).alias("owner"), F.trim("a").alias("asset_description_raw"), suffix_ticker("a").alias("ticker"), kind.alias("asset_type"),
+        "filing_id", "electronic", "row_index", F.when(F.col("row_index").isNotNull(), F.coalesce(code_name(F.col("o"), OWNER_CODES), F.lit("self"))).alias("owner"), F.trim("a").alias("asset_description_raw"), suffix_ticker("a").alias("ticker"), kind.alias("asset_type"),
         option["option_type"].alias("option_type"), option["strike"].alias("strike"), option["expiry"].alias("expiry"),
         F.when((trade == "sale_full") & F.col("p"), "sale_partial").otherwise(trade).alias("tx_type"), form_date("d").alias("tx_date"), form_date("n").alias("notification_date"),
         amount_range("m")["low"].alias("amount_min"), amount_range("m")["high"].alias("amount_max"), F.col("i").alias("source_transaction_id"), unread_date("d", "n").alias("unread_date"),
     )
 
 
+def trade_form(words: DataFrame) -> DataFrame:
+    """One row per trade of every filing: filing_id, row_index, owner, description, ticker, type, option, trade, dates, amounts, id, and a date that is none.
+
+    A line with a trade code in the code column opens a record. After it, lines extend its
+    description and amount until a label line; a description label collects option text, other
+    labels are skipped. Header lines repeat and are dropped, and so is a page from its footer on.
+    """
+    return read_trades(words).filter(F.col("row_index").isNotNull()).drop("electronic")
+
+
 def is_electronic(words: DataFrame) -> DataFrame:
     """(filing_id, electronic): whether the filing has the form's header row."""
     return _lines(words).groupBy("filing_id").agg(has_header(F.col("words")).alias("electronic"))

@@ -297,3 +297,25 @@ def test_linked_trades_meet_their_rows_and_issues_without_a_second_join(spark, t
     t, issues = state.read("transactions"), state.read("dq_issues")
     assert t.count() == n == t.select("transaction_id").distinct().count() and t.filter("instrument_id is not null").count() == n - 50
     assert issues.count() == 50 == issues.select("transaction_id").distinct().count()
+
+
+def test_trades_of_forms_are_cut_from_whole_filings_in_one_pass(spark):
+    from lodestack.operators import forms
+
+    head = [(t, x, 10.0) for t, x in (("Owner", 60.0), ("Asset", 105.0), ("Transaction", 262.0), ("Date", 330.0), ("Notification", 385.0), ("Amount", 450.0), ("Cap.", 527.0))]
+    row = lambda y, name: [(name, 106.0, y), ("P", 263.0, y), ("1/2/2020", 331.0, y), ("$5", 451.0, y), ("-", 470.0, y)]
+    pages = []
+    for f in range(40):
+        # a record goes on over pages, the header of the first page holds for all, and pages of many filings share a batch
+        pages += [(f"f{f}", 0, head + row(30.0, f"A{f}")), (f"f{f}", 1, [("more", 106.0, 5.0), ("$9", 451.0, 5.0), *row(30.0, "B")]), (f"f{f}", 2, [("Description:", 106.0, 5.0), ("aside", 106.0, 20.0)] if f % 2 else None)]
+    pages += [("bare", 0, []), ("scan", 0, [("cover", 1.0, 1.0)])]
+    df = spark.createDataFrame(pages, "filing_id string, page int, words array<struct<text:string,x0:double,top:double>>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        read = forms.read_trades(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = sorted((r.filing_id, r.row_index, r.asset_description_raw, r.amount_min, r.amount_max) for r in read if r.electronic)
+    assert got == sorted(x for f in range(40) for x in ((f"f{f}", 0, f"A{f} more", 5.0, 9.0), (f"f{f}", 1, "B", 5.0, None)))
+    assert [(r.filing_id, r.row_index, r.owner) for r in read if not r.electronic] == [("scan", None, None)]
+    assert plan_of(forms.trade_form(df)).count("Exchange ") == 1
