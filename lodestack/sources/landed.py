@@ -242,14 +242,19 @@ def transcribed_rows(rows: DataFrame) -> DataFrame:
 # --- HTML reports
 
 
-def report_rows(pages: DataFrame, key: str = "filing_id", html: str = "html") -> DataFrame:
-    """Trades of HTML reports. Rows of fewer than nine cells are dropped, but count for row_index."""
-    rows = table_cells(pages, key, html).filter(F.size("cells") >= 9)
+def report_rows(pages: DataFrame, key: str = "filing_id", html: str = "html", every_page: bool = False) -> DataFrame:
+    """Trades of HTML reports. Rows of fewer than nine cells are dropped, but count for row_index.
+
+    With ``every_page`` each page has one row more, without ``row_index`` and all else.
+    """
+    rows = table_cells(pages, key, html, every_page).filter((F.size("cells") >= 9) | F.col("row_index").isNull())
     # cells have no white space at their ends; each is taken from the list once
     rows = rows.select(key, "row_index", *(F.get("cells", F.lit(i)).alias(f"_{i}") for i in range(9)))
     c = [F.col(f"_{i}") for i in range(9)]
     option, bounds = option_cell(c[4]), amount_range(c[7])
-    with_option = lambda x: F.when(F.contains(F.lower(c[4]), F.lit("option")), x)
+    # what an option's cell has is looked for where its mark is
+    low = F.lower(c[4])
+    with_option = lambda x: F.when(F.contains(low, F.lit("option")) & F.contains(low, F.lit("strike price:")), x)
     known = lambda x: F.when((x != "") & (x != "--"), x)
     return rows.select(
         key, "row_index", form_date(c[1]).alias("tx_date"), code_name(F.lower(c[2]), OWNER_NAMES).alias("owner"), known(c[3]).alias("ticker"), before_option_details(c[4]).alias("asset_description_raw"),

@@ -319,3 +319,21 @@ def test_trades_of_forms_are_cut_from_whole_filings_in_one_pass(spark):
     assert got == sorted(x for f in range(40) for x in ((f"f{f}", 0, f"A{f} more", 5.0, 9.0), (f"f{f}", 1, "B", 5.0, None)))
     assert [(r.filing_id, r.row_index, r.owner) for r in read if not r.electronic] == [("scan", None, None)]
     assert plan_of(forms.trade_form(df)).count("Exchange ") == 1
+
+
+def test_regular_tables_are_cut_without_the_builder(spark, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from lodestack.sources import html_tables
+
+    page = "<html><body class='x'><p>a</p><table id=\"t\"><thead><tr><th>#</th></tr></thead>\n<tbody><tr><td> a &amp; b </td><td></td>\n</tr><tr></tr></tbody><tbody><tr class='y'><td>\xa0c&nbsp;</td></tr></tbody></table><script>"
+    odd = ["<table><tbody><tr><td>a<td>b</td></tr></tbody></table>", "<title><tr></title><table><tbody><tr><td>a</td></tr></tbody></table>", "<p>none", "", None]
+    cut = lambda: sorted((r.k, r.row_index, r.cells) for r in html_tables.table_cells(spark.createDataFrame([(i, p) for i, p in enumerate([page, *odd])], "k int, p string"), "k", "p").collect())
+    assert cut() == [(0, 0, ["a & b", ""]), (0, 1, []), (0, 2, ["c"]), (1, 0, ["a", "b"]), (2, 0, ["a"])]
+    # the regular page needs no builder
+    monkeypatch.setattr(html_tables, "first_table", lambda _: 1 / 0)
+    one = pa.array([page])
+    n, cells = html_tables._regular_cells(one)
+    assert pc.match_substring_regex(one, html_tables.REGULAR).to_pylist() == [True]
+    assert n.tolist() == [3] and cells.to_pylist() == [["a & b", ""], [], ["c"]]
