@@ -104,3 +104,22 @@ def import_by_content(stored: DataFrame, incoming: DataFrame, keys: list[str], *
     from .ingest import first_per_key
 
     return first_per_key(incoming.join(stored.select(*keys).distinct(), keys, "left_anti"), keys, *order)
+
+
+def import_covered(stored: DataFrame, incoming: DataFrame, known: DataFrame, source: str, key: Column, external_id: str, known_id: str) -> DataFrame:
+    """``import_by_content`` with the ``coverage`` of its rows, by one shuffle: rows, stored keys and known ids meet by the external id.
+
+    ``stored`` has the source, the external id and the hash (``_key``, bytes) of its rows. ``key``, a hash of columns of ``incoming``, the external id among them,
+    is taken after the shuffle, as hashes do not compress; rows without an external id are dealt out by theirs.
+    """
+    near = F.coalesce(F.col(external_id), F.hex("_key")).alias("_near")
+    rows = incoming.select("*", F.coalesce(F.col(external_id), F.hex(key)).alias("_near"), F.lit(2).alias("_kind"))
+    old = stored.select(near, source, "_key", F.lit(1).alias("_kind"))
+    ids = known.select(F.col(known_id).alias("_near"), F.col(known_id).alias("_id"), F.lit(0).alias("_kind"))
+    met = rows.unionByName(old, allowMissingColumns=True).unionByName(ids, allowMissingColumns=True).repartition("_near")
+    met = met.withColumn("_key", F.coalesce("_key", F.when(F.col("_kind") == 2, key)))
+    first = F.row_number().over(Window.partitionBy("_near", source, "_key").orderBy("_kind"))
+    met = met.withColumn("_first", first).filter("_kind = 0 or _kind = 2 and _first = 1")
+    met = met.withColumn("_id", F.max("_id").over(Window.partitionBy("_near"))).filter("_kind = 2")
+    # an id that only stands for a missing one meets nothing
+    return met.withColumn("matched_id", F.when(F.col(external_id).isNotNull(), F.col("_id"))).drop("_near", "_kind", "_first", "_id")

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from .schemas import TABLES, empty
 
-#: What a table is partitioned by; the others have one partition.
-PARTITIONS = {"filings": "chamber"}
+#: What a table is partitioned by; the others have one partition. Community rows are dealt out, so that a rewrite goes part by part.
+PARTITIONS = {"filings": "chamber", "community_transactions": "cast(pmod(xxhash64(dedup_key), 4) as string)"}
 #: Tables that grow with the filings: no join may hold one of them whole.
 GROWING = {"filings", "transactions", "holdings", "dq_issues", "community_transactions", "transaction_provenance", "instruments", "ticker_map"}
 
@@ -27,20 +27,25 @@ class State:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, part: str | None = None) -> DataFrame:
         try:
             rows = self.spark.read.schema(f"{TABLES[table]}, part string").parquet(f"{self.folder}/{table}")
         except Exception as error:  # the table has not been written yet
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             return empty(self.spark, table)
-        return rows.drop("part").hint("merge") if table in GROWING else rows.drop("part")
+        rows = (rows if part is None else rows.filter(F.col("part") == part)).drop("part")
+        return rows.hint("merge") if table in GROWING else rows
+
+    def parts(self, table: str) -> list[str]:
+        """The partitions that a table has."""
+        return sorted({f.split("/part=")[1].split("/")[0] for f in self.read(table).inputFiles()})
 
     def _shaped(self, table: str, rows: DataFrame) -> DataFrame:
         """``rows`` with the table's columns and its partition; columns that are missing are null."""
         wanted = empty(self.spark, table).schema
         shaped = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted))
-        return shaped.withColumn("part", F.col(PARTITIONS[table]) if table in PARTITIONS else F.lit("all"))
+        return shaped.withColumn("part", F.expr(PARTITIONS[table]) if table in PARTITIONS else F.lit("all"))
 
     def replace(self, table: str, rows: DataFrame) -> DataFrame:
         """Put ``rows`` in the place of the table's; returns it as read back. The rows are computed once, by their write."""
@@ -51,6 +56,11 @@ class State:
             shaped.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
         return self.read(table)
 
+    def replace_part(self, table: str, part: str, rows: DataFrame) -> None:
+        """Put ``rows``, at least one, in the place of those of one partition; two versions of that partition are all that the disk holds meanwhile."""
+        shaped = self._shaped(table, rows).withColumn("part", F.lit(part))
+        shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").option("compression", "zstd").parquet(f"{self.folder}/{table}")
+
     def append(self, table: str, rows: DataFrame) -> DataFrame:
         """Add ``rows`` to the table's files, which stay as they are; returns the table as read back."""
         self._shaped(table, rows).write.mode("append").option("compression", "zstd").partitionBy("part").parquet(f"{self.folder}/{table}")

@@ -350,3 +350,30 @@ def test_saved_reports_rewrite_their_filings_once(spark, tmp_path):
     jobs.parse_trade_forms(state, words, F.lit("2024-01-01").cast("timestamp"))
     assert sorted(written) == ["filings", "transactions"] and state.read("filings").filter("parse_status = 'paper_deferred' and format = 'scanned'").count() == 50
     assert state.read("dq_issues").count() == 0 and state.read("transactions").count() == 50
+
+
+def test_community_rows_move_once_and_are_rewritten_part_by_part(spark, tmp_path):
+    from lodestack.operators import versions
+    from lodestack.plans import jobs
+
+    state = small_state(spark, tmp_path)
+    feed = "source string, chamber string, external_filing_id string, filer_name string, tx_date date, ticker string, asset_description string, tx_type string, owner string, amount_min double, amount_max double"
+    rows = spark.createDataFrame([(s, "house", i, "A", None, str(t), "d", "purchase", None, 1.0, None) for s in ("s", "r", None) for i in ("7", "new", None, "8") for t in (1, 2, 2, 3)], feed)
+    key = F.sha2(F.concat_ws("|", F.coalesce("external_filing_id", F.lit("")), "ticker"), 256)
+    stored = rows.filter("ticker = '3'").select("source", "external_filing_id", F.unhex(key).alias("_key"))
+    met = versions.import_covered(stored, rows, state.read("filings"), "source", F.unhex(key), "external_filing_id", "filing_id")
+    assert plan_of(met).count("Exchange hashpartitioning") == 1 and "Join" not in plan_of(met)
+    assert met.count() == 24 and met.filter("matched_id is not null").count() == 12 == met.filter("matched_id = external_filing_id").count()
+
+    assert [jobs.import_community(state, rows) for _ in range(2)] == [36, 0]
+    state.append("filings", state.read("filings").limit(1).withColumn("filing_id", F.lit("new")))
+    odd = state.read("community_transactions").limit(1).withColumns({"dedup_key": F.lit("No hash"), "external_filing_id": F.lit("new"), "matched_filing_id": F.lit(None).cast("string")})
+    state.append("community_transactions", odd)
+    before = {tuple(r) for r in state.read("community_transactions").drop("matched_filing_id").collect()}
+    written, put = [], State.replace_part
+    state.replace_part = lambda table, part, rows: (written.append(part), put(state, table, part, rows))[1]
+    jobs.rematch_community(state)
+    after = state.read("community_transactions")
+    assert len(written) > 1 and written == state.parts("community_transactions")
+    assert {tuple(r) for r in after.drop("matched_filing_id").collect()} == before and after.count() == 37
+    assert after.filter("matched_filing_id is null").count() == 9 == after.filter("external_filing_id is null").count()
